@@ -272,3 +272,114 @@ for _name, _text, _filters in (("p7_spec_search_names", "bob hr", {"employee_las
     def _mk(text=_text, filters=_filters):
         return lambda fx: search.search_hires_spec(fx["new_hires"], fx["employees"], text, filters)
     register(_name, _SEARCH_FX, _p7_sql(_text, _filters))(_mk())
+
+
+# ---------------------------------------------------------------- changes
+from .plans import changes  # noqa: E402
+
+CHANGE_TS = dt.datetime(2024, 2, 1, 9, 30, 0)
+
+
+@register("p8_staff_change_history", ("staff_master", "staff_staging"), f"""
+SELECT sm.emp_id, sm.zone, sm.team, sm.title, sm.first_name AS firstname, sm.last_name AS lastname, sm.mobile,
+  TIMESTAMP '{CHANGE_TS}' AS change_date,
+  json_object('changes', json_object(
+     'zone', json_object('old', sm.zone, 'new', ss.zone),
+     'team', json_object('old', sm.team, 'new', ss.team),
+     'title', json_object('old', sm.title, 'new', ss.title)))::VARCHAR AS comments
+FROM staff_master sm JOIN staff_staging ss ON sm.emp_id = ss.emp_id
+WHERE (sm.zone != ss.zone OR sm.team != ss.team OR sm.title != ss.title)""")
+def q_p8(fx):
+    return changes.staff_change_history(fx["staff_master"], fx["staff_staging"], CHANGE_TS)
+
+
+_MASTER_COLS = ("id emp_id tech_id first_name last_name state city zone team title mobile "
+                "assoc_manager_tid manager_tid time_zone is_active").split()
+_P9_SET = {"zone": "zone", "team": "team", "title": "title", "first_name": "firstname",
+           "last_name": "lastname", "mobile": "mobile"}
+
+
+@register("p9_apply_staging", ("staff_master", "staff_staging"), """
+SELECT """ + ", ".join(f"CASE WHEN ss.emp_id IS NOT NULL THEN ss.{_P9_SET[c]} ELSE sm.{c} END AS {c}"
+                       if c in _P9_SET else f"sm.{c}" for c in _MASTER_COLS) + """
+FROM staff_master sm LEFT JOIN staff_staging ss ON sm.emp_id = ss.emp_id""")
+def q_p9(fx):
+    return changes.apply_staging(fx["staff_master"], fx["staff_staging"])[0]
+
+
+@register("p10_assign_mileage_by_date_range", ("van_mileage", "van_allocation_history"), """
+, ad AS (SELECT van_number, emp_id, start_date, end_date FROM van_allocation_history WHERE is_active = TRUE),
+m AS (SELECT DISTINCT vm.l_orderkey, vm.l_linenumber, vm.van_number, vm.mileage_date, vm.miles,
+             first_value(ad.emp_id) OVER (PARTITION BY vm.l_orderkey, vm.l_linenumber, vm.van_number, vm.mileage_date, vm.miles
+                                ORDER BY ad.start_date DESC, ad.emp_id ASC NULLS LAST) AS new_emp
+      FROM van_mileage vm JOIN ad ON vm.van_number = ad.van_number
+       AND vm.mileage_date >= ad.start_date AND vm.mileage_date <= ad.end_date)
+SELECT vm.l_orderkey, vm.l_linenumber, vm.van_number, vm.mileage_date, vm.miles,
+       CASE WHEN m.l_orderkey IS NOT NULL THEN m.new_emp ELSE vm.emp_id END AS emp_id
+FROM van_mileage vm LEFT JOIN m ON m.l_orderkey = vm.l_orderkey AND m.l_linenumber = vm.l_linenumber
+  AND m.van_number = vm.van_number AND m.mileage_date = vm.mileage_date AND m.miles = vm.miles""")
+def q_p10(fx):
+    return changes.assign_by_date_range(fx["van_mileage"], fx["van_allocation_history"])
+
+
+# ---------------------------------------------------------------- JSON fields
+from .plans import jsonfields  # noqa: E402
+
+_P11_CTES = """
+, t AS (SELECT *, to_json(project_data) AS rowj FROM project_data),
+np AS (SELECT t.site, to_json(list(json_object('field_name', m.field_name, 'field_display_name', m.field_display_name,
+                                                'value', t.rowj -> m.column_name, 'is_track_time', false)
+                                    ORDER BY m.column_name))::VARCHAR AS field_info
+       FROM t JOIN project_metadata m ON TRUE GROUP BY t.site)"""
+
+
+@register("p11_build_field_json", ("project_data", "project_metadata"), _P11_CTES + "\nSELECT site, field_info FROM np")
+def q_p11(fx):
+    return jsonfields.build_field_json(fx["project_data"], fx["project_metadata"])
+
+
+@register("p12_validate_field_json", ("project_data", "project_metadata"), _P11_CTES + """,
+ej AS (SELECT site, unnest(from_json(field_info, '["JSON"]')) AS field_obj FROM np)
+SELECT ej.site, m.column_name, t.rowj ->> m.column_name AS original_value, ej.field_obj ->> 'value' AS json_value,
+  CASE WHEN json_exists(t.rowj, '$.' || m.column_name)
+        AND NOT ((t.rowj ->> m.column_name) IS DISTINCT FROM (ej.field_obj ->> 'value')) THEN 'MATCH' ELSE 'MISMATCH' END
+    AS validation_result
+FROM ej JOIN project_metadata m ON ej.field_obj ->> 'field_name' = m.field_name
+JOIN t ON t.site = ej.site""")
+def q_p12(fx):
+    built = jsonfields.build_field_json(fx["project_data"], fx["project_metadata"], keep_row=True)
+    return jsonfields.validate_field_json(built, fx["project_metadata"])
+
+
+def _zone_case(col):
+    return (f"CASE {col} WHEN 'Eastern' THEN 'America/New_York' WHEN 'Central' THEN 'America/Chicago' "
+            f"WHEN 'Mountain' THEN 'America/Denver' WHEN 'Pacific' THEN 'America/Los_Angeles' "
+            f"WHEN 'Hawaii' THEN 'Pacific/Honolulu' ELSE 'UTC' END")
+
+
+def _utc_sql(text, zone_label):
+    return f"strftime((CAST({text} AS TIMESTAMP) AT TIME ZONE {_zone_case(zone_label)}) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ')"
+
+
+@register("p13_field_time_to_utc", ("project_execution_json", "staff_master"), f"""
+SELECT ped.tech_id, sm.time_zone, x.elem ->> 'value' AS original_value,
+  {_utc_sql("x.elem ->> 'value'", "sm.time_zone")} AS converted_value_utc_iso8601
+FROM project_execution_json ped JOIN staff_master sm ON ped.tech_id = sm.tech_id,
+LATERAL (SELECT unnest(from_json(ped.project_data, '["JSON"]')) AS elem) x
+WHERE x.elem ->> 'field_name' = '{FIELD}'""")
+def q_p13(fx):
+    return jsonfields.field_time_to_utc(fx["project_execution_json"], fx["staff_master"], FIELD)
+
+
+@register("p14_rewrite_field_time_to_utc", ("project_execution_json", "staff_master"), f"""
+SELECT ped.id, ped.staff_id, ped.tech_id,
+  CASE WHEN sm.id IS NOT NULL
+        AND len(list_filter(from_json(ped.project_data, '["JSON"]'), lambda e: e ->> 'field_name' = '{FIELD}')) > 0
+       THEN to_json(list_transform(from_json(ped.project_data, '["JSON"]'), lambda e:
+              CASE WHEN e ->> 'field_name' = '{FIELD}' AND (e ->> 'value') IS NOT NULL
+                   THEN json_object('field_name', e ->> 'field_name', 'value', {_utc_sql("e ->> 'value'", "sm.time_zone")})
+                   ELSE e END))::VARCHAR
+       ELSE ped.project_data END AS project_data
+FROM project_execution_json ped LEFT JOIN staff_master sm ON ped.staff_id = sm.id""")
+def q_p14(fx):
+    return jsonfields.rewrite_field_time_to_utc(fx["project_execution_json"], fx["staff_master"], FIELD)
