@@ -111,6 +111,7 @@ def add_units(ts: Column, n: Column, value: Column, unit: Column) -> Column:
     u = normalize_unit(unit)
     months = F.when(u == "month", F.lit(1)).when(u == "year", F.lit(12))
     secs = unit_seconds(unit)
+    n, value = n.cast("long"), value.cast("long")
     by_month = F.timestamp_add("MONTH", (n * value * months).cast("int"), ts)
-    by_secs = F.timestamp_add("SECOND", (n * value * secs).cast("long"), ts)
+    by_secs = F.timestamp_add("SECOND", n * value * secs, ts)
     return F.when(months.isNotNull(), by_month).otherwise(by_secs)

@@ -383,3 +383,125 @@ SELECT ped.id, ped.staff_id, ped.tech_id,
 FROM project_execution_json ped LEFT JOIN staff_master sm ON ped.staff_id = sm.id""")
 def q_p14(fx):
     return jsonfields.rewrite_field_time_to_utc(fx["project_execution_json"], fx["staff_master"], FIELD)
+
+
+# ---------------------------------------------------------------- projects
+from .plans import projects  # noqa: E402
+
+_NEXT_CYCLE_SQL = """
+, c AS (
+  SELECT d.*,
+    CASE WHEN recurrence = 'one-time' THEN 1 ELSE COALESCE(cycle_index, 0) + 1 END AS next_cycle_index,
+    CASE WHEN recurrence = 'one-time' THEN start_date
+         ELSE CAST(COALESCE(cycle_end_date, start_date) + INTERVAL '1 day' AS DATE) END AS next_start_date
+  FROM project_definition d
+  WHERE recurrence IN ('one-time', 'monthly', 'quarterly', 'half-yearly', 'yearly')),
+cy AS (
+  SELECT c.*,
+    CASE recurrence WHEN 'one-time' THEN end_date
+      WHEN 'monthly' THEN CAST(next_start_date + INTERVAL '1 month' - INTERVAL '1 day' AS DATE)
+      WHEN 'quarterly' THEN CAST(next_start_date + INTERVAL '3 months' - INTERVAL '1 day' AS DATE)
+      WHEN 'half-yearly' THEN CAST(next_start_date + INTERVAL '6 months' - INTERVAL '1 day' AS DATE)
+      WHEN 'yearly' THEN CAST(next_start_date + INTERVAL '1 year' - INTERVAL '1 day' AS DATE) END AS next_end_date
+  FROM c)"""
+
+_GEN_SQL = _NEXT_CYCLE_SQL + """,
+g AS (SELECT * FROM cy
+      WHERE NOT EXISTS (SELECT 1 FROM project_execution_cycles e
+                        WHERE e.project_id = cy.id AND e.cycle_index = cy.next_cycle_index)
+        AND scope IN ('Global', 'Zone', 'State', 'Store Type', 'Specified Sites'))"""
+
+_DEF_COLS = ("id recurrence scope scope_data start_date end_date cycle_index cycle_start_date cycle_end_date").split()
+_PROJ_FX = ("project_definition", "project_execution_cycles", "site_master")
+
+
+@register("p15_next_project_cycles", ("project_definition",), _NEXT_CYCLE_SQL + "\nSELECT * FROM cy")
+def q_p15(fx):
+    return projects.next_project_cycles(fx["project_definition"])[0]
+
+
+_SKEL_COLS = "g.id AS project_id, {site} AS site, g.next_cycle_index AS cycle_index, g.next_start_date AS cycle_start_date, " \
+             "g.next_end_date AS cycle_end_date, TRUE AS is_on_project, 'pending' AS execution_status"
+
+
+@register("p16_project_skeleton", _PROJ_FX, _GEN_SQL + f"""
+SELECT {_SKEL_COLS.format(site='s.site')} FROM g JOIN site_master s ON g.scope = 'Global'
+UNION ALL
+SELECT {_SKEL_COLS.format(site='s.site')} FROM g JOIN site_master s
+  ON g.scope = 'Zone' AND g.scope_data <> '' AND list_contains(string_split(g.scope_data, ','), s.zone)
+UNION ALL
+SELECT {_SKEL_COLS.format(site='s.site')} FROM g JOIN site_master s
+  ON g.scope = 'State' AND g.scope_data <> '' AND list_contains(string_split(g.scope_data, ','), s.state)
+UNION ALL
+SELECT {_SKEL_COLS.format(site='s.site')} FROM g JOIN site_master s
+  ON g.scope = 'Store Type' AND g.scope_data <> '' AND list_contains(string_split(g.scope_data, ','), s.store_type)
+UNION ALL
+SELECT {_SKEL_COLS.format(site='x.site')}
+FROM g, LATERAL (SELECT unnest(CASE WHEN g.scope_data = '' THEN []::VARCHAR[] ELSE string_split(g.scope_data, ',') END) AS site) x
+WHERE g.scope = 'Specified Sites'""")
+def q_p16(fx):
+    return projects.project_skeleton(fx["project_definition"], fx["site_master"], fx["project_execution_cycles"])[0]
+
+
+@register("p17_advance_definitions", _PROJ_FX, _GEN_SQL + """
+SELECT d.id, d.recurrence, d.scope, d.scope_data, d.start_date, d.end_date,
+  CASE WHEN g.id IS NOT NULL THEN g.next_cycle_index ELSE d.cycle_index END AS cycle_index,
+  CASE WHEN g.id IS NOT NULL THEN g.next_start_date ELSE d.cycle_start_date END AS cycle_start_date,
+  CASE WHEN g.id IS NOT NULL THEN g.next_end_date ELSE d.cycle_end_date END AS cycle_end_date
+FROM project_definition d LEFT JOIN g ON d.id = g.id""")
+def q_p17(fx):
+    return projects.advance_definitions(fx["project_definition"], fx["project_execution_cycles"])
+
+
+# ---------------------------------------------------------------- jobs
+from .plans import jobs  # noqa: E402
+
+_UNIT_SECS_SQL = ("CASE regexp_replace(lower(trim(m.interval_unit)), 's$', '') WHEN 'second' THEN 1 WHEN 'minute' THEN 60 "
+                  "WHEN 'hour' THEN 3600 WHEN 'day' THEN 86400 WHEN 'week' THEN 604800 WHEN 'month' THEN 2592000 "
+                  "WHEN 'year' THEN 31557600 END")
+_SLOTS_SQL = f"""
+, s0 AS (
+  SELECT r.*, m.id AS job_id, m.created_at, m.interval_value, m.interval_unit,
+    CAST(floor(epoch(r.started_at - m.created_at) / (m.interval_value * {_UNIT_SECS_SQL})) AS BIGINT) + 1 AS run_count
+  FROM job_events r JOIN fts_job_master m ON r.name = m.name),
+slots AS (
+  SELECT CAST(job_id AS VARCHAR) || ':' || CAST(event_seq AS VARCHAR) AS log_id, job_id, name, event_seq, run_count,
+    created_at + (run_count - 1) * CAST(CAST(interval_value AS VARCHAR) || ' ' || interval_unit AS INTERVAL) AS scheduled_for,
+    'RUNNING' AS status, started_at,
+    created_at + run_count * CAST(CAST(interval_value AS VARCHAR) || ' ' || interval_unit AS INTERVAL) AS next_run_at,
+    ended_at, status AS end_status, error_message
+  FROM s0)"""
+_JOB_FX = ("job_events", "fts_job_master")
+
+
+@register("p18_job_slots", _JOB_FX, _SLOTS_SQL + """
+SELECT log_id, job_id, name, event_seq, run_count, scheduled_for, status, started_at, next_run_at FROM slots""")
+def q_p18(fx):
+    return jobs.job_slots(fx["job_events"], fx["fts_job_master"])[0]
+
+
+@register("p19_job_log_post_image", _JOB_FX, _SLOTS_SQL + """
+SELECT log_id, job_id, scheduled_for, CASE WHEN ended_at IS NOT NULL THEN end_status ELSE status END AS status,
+  started_at, ended_at, error_message FROM slots""")
+def q_p19_log(fx):
+    return jobs.apply_job_events(fx["job_events"], fx["fts_job_master"])[0]
+
+
+@register("p19_job_master_post_image", _JOB_FX, _SLOTS_SQL + """,
+ev AS (SELECT job_id, started_at AS ts, event_seq, 0 AS kind, 'RUNNING' AS ev_status, next_run_at FROM slots
+       UNION ALL
+       SELECT job_id, ended_at AS ts, event_seq, 1 AS kind, end_status AS ev_status, NULL AS next_run_at
+       FROM slots WHERE ended_at IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY job_id, kind ORDER BY ts DESC, event_seq DESC) AS rn_kind,
+             row_number() OVER (PARTITION BY job_id ORDER BY ts DESC, event_seq DESC, kind DESC) AS rn_all,
+             row_number() OVER (PARTITION BY job_id, kind, ev_status ORDER BY ts DESC, event_seq DESC) AS rn_status
+      FROM ev)
+SELECT m.id, m.name, m.created_at, m.interval_value, m.interval_unit,
+  (SELECT ts FROM r WHERE r.job_id = m.id AND kind = 0 AND rn_kind = 1) AS last_run_start_at,
+  (SELECT ts FROM r WHERE r.job_id = m.id AND kind = 1 AND rn_kind = 1) AS last_run_end_at,
+  (SELECT ev_status FROM r WHERE r.job_id = m.id AND rn_all = 1) AS last_run_status,
+  (SELECT ts FROM r WHERE r.job_id = m.id AND kind = 1 AND ev_status = 'SUCCESS' AND rn_status = 1) AS last_successful_at,
+  (SELECT next_run_at FROM r WHERE r.job_id = m.id AND kind = 0 AND rn_kind = 1) AS next_run_at
+FROM fts_job_master m""")
+def q_p19_master(fx):
+    return jobs.apply_job_events(fx["job_events"], fx["fts_job_master"])[1]
