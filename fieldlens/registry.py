@@ -505,3 +505,125 @@ SELECT m.id, m.name, m.created_at, m.interval_value, m.interval_unit,
 FROM fts_job_master m""")
 def q_p19_master(fx):
     return jobs.apply_job_events(fx["job_events"], fx["fts_job_master"])[1]
+
+
+# ---------------------------------------------------------------- quality
+from .plans import quality  # noqa: E402
+
+_CATALOG_FX = ("source_columns", "target_columns")
+
+
+@register("p20_schema_diff_tables", _CATALOG_FX, """
+, st AS (SELECT DISTINCT table_name FROM source_columns),
+tt AS (SELECT DISTINCT table_name FROM target_columns)
+SELECT 'Added Tables' AS "Change Type", table_name AS "Table Name", 'N/A' AS "Details"
+FROM st WHERE table_name NOT IN (SELECT table_name FROM tt)
+UNION ALL
+SELECT 'Removed Tables', table_name, 'N/A' FROM tt WHERE table_name NOT IN (SELECT table_name FROM st)""")
+def q_p20(fx):
+    return quality.schema_diff_tables(fx["source_columns"], fx["target_columns"])
+
+
+_S_TYPE = ("s.data_type || CASE WHEN coalesce(s.max_length, 0) <> 0 "
+           "THEN '(' || CAST(s.max_length AS VARCHAR) || ')' ELSE '' END")
+_P21_SQL = f"""
+, s AS (SELECT * FROM source_columns WHERE table_name IN (SELECT table_name FROM target_columns)),
+t AS (SELECT * FROM target_columns WHERE table_name IN (SELECT table_name FROM source_columns)),
+added AS (
+  SELECT s.table_name AS "table", s.column_name AS "column", 'added' AS change,
+    s.data_type AS source_data_type, '' AS target_data_type, s.is_nullable AS source_is_nullable, '' AS target_is_nullable,
+    CAST(s.max_length AS VARCHAR) AS source_max_length, '' AS target_max_length,
+    s.column_default AS source_default, '' AS target_default,
+    'ALTER TABLE public.' || s.table_name || ' ADD COLUMN ' || s.column_name || ' ' || {_S_TYPE} ||
+      CASE WHEN lower(s.is_nullable) = 'no' THEN ' NOT NULL' ELSE ' NULL' END ||
+      CASE WHEN coalesce(s.column_default, '') <> '' THEN ' DEFAULT ' || s.column_default ELSE '' END || ';' AS sql_query
+  FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.table_name = s.table_name AND t.column_name = s.column_name)),
+removed AS (
+  SELECT t.table_name, t.column_name, 'removed', '', t.data_type, '', t.is_nullable, '', CAST(t.max_length AS VARCHAR),
+    '', t.column_default, 'ALTER TABLE public.' || t.table_name || ' DROP COLUMN ' || t.column_name || ';'
+  FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.table_name = t.table_name AND s.column_name = t.column_name)),
+modified AS (
+  SELECT s.table_name, s.column_name, 'modified', s.data_type, t.data_type, s.is_nullable, t.is_nullable,
+    CAST(s.max_length AS VARCHAR), CAST(t.max_length AS VARCHAR), s.column_default, t.column_default,
+    'ALTER TABLE public.' || s.table_name || ' ' || array_to_string(list_filter([
+       CASE WHEN s.data_type IS DISTINCT FROM t.data_type OR s.max_length IS DISTINCT FROM t.max_length
+            THEN 'ALTER COLUMN ' || s.column_name || ' TYPE ' || {_S_TYPE} END,
+       CASE WHEN s.is_nullable IS DISTINCT FROM t.is_nullable
+            THEN 'ALTER COLUMN ' || s.column_name || CASE WHEN lower(s.is_nullable) = 'no' THEN ' SET NOT NULL' ELSE ' DROP NOT NULL' END END,
+       CASE WHEN s.column_default IS DISTINCT FROM t.column_default
+            THEN 'ALTER COLUMN ' || s.column_name || CASE WHEN s.column_default IS NOT NULL THEN ' SET DEFAULT ' || s.column_default ELSE ' DROP DEFAULT' END END
+    ], lambda x: x IS NOT NULL), ', ') || ';'
+  FROM s JOIN t ON s.table_name = t.table_name AND s.column_name = t.column_name
+  WHERE s.data_type IS DISTINCT FROM t.data_type OR s.is_nullable IS DISTINCT FROM t.is_nullable
+     OR s.max_length IS DISTINCT FROM t.max_length OR s.column_default IS DISTINCT FROM t.column_default),
+p21 AS (SELECT * FROM added UNION ALL SELECT * FROM removed UNION ALL SELECT * FROM modified)"""
+
+
+@register("p21_schema_diff_columns", _CATALOG_FX, _P21_SQL + "\nSELECT * FROM p21")
+def q_p21(fx):
+    return quality.schema_diff_columns(fx["source_columns"], fx["target_columns"])
+
+
+def _p22_sql(source, pairs, nulls):
+    flags = []
+    per_col: dict[str, list[str]] = {}
+    for a, b in pairs:
+        name = f"diff_{a}__{b}"
+        flags.append((f"NOT coalesce({a} = {b}, false)" if nulls == "differ" else f"{a} IS DISTINCT FROM {b}") + f" AS {name}")
+        for c in (a, b):
+            per_col.setdefault(c, []).append(name)
+    hl = [" OR ".join(v) + f" AS highlight_{c}" for c, v in per_col.items()]
+    return f"SELECT *, {', '.join(hl)} FROM (SELECT *, {', '.join(flags)} FROM {source}) f"
+
+
+@register("p22_datatype_sheet_flags", ("datatype_sheet",), _p22_sql("datatype_sheet", quality.DATATYPE_SHEET_PAIRS, "differ"))
+def q_p22(fx):
+    return quality.pair_diff_flags(fx["datatype_sheet"], quality.DATATYPE_SHEET_PAIRS, nulls="differ")
+
+
+@register("p22_schema_diff_flags", _CATALOG_FX, _P21_SQL + "\n" + _p22_sql("p21", quality.SCHEMA_DIFF_PAIRS, "equal"))
+def q_p22_schema(fx):
+    d = quality.schema_diff_columns(fx["source_columns"], fx["target_columns"])
+    return quality.pair_diff_flags(d, quality.SCHEMA_DIFF_PAIRS, nulls="equal")
+
+
+_CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+for _n in (17, 30):
+    register(f"p23_long_values_customer_{_n}", (),
+             "SELECT " + ", ".join(f"CASE WHEN length(CAST({c} AS VARCHAR)) > {_n} THEN {c} END AS {c}"
+                                   for c in _CUSTOMER_COLS) + " FROM customer")(
+        (lambda n: lambda fx: quality.long_values(fx["customer"], n))(_n))
+
+
+@register("p23_long_value_findings_part", (), """
+SELECT p_partkey, column_name, value FROM (
+  SELECT p_partkey, 'p_name' AS column_name, p_name AS value FROM part
+  UNION ALL SELECT p_partkey, 'p_brand', p_brand FROM part
+  UNION ALL SELECT p_partkey, 'p_type', p_type FROM part
+  UNION ALL SELECT p_partkey, 'p_size', CAST(p_size AS VARCHAR) FROM part
+  UNION ALL SELECT p_partkey, 'p_retailprice', CAST(p_retailprice AS VARCHAR) FROM part) u
+WHERE length(value) > 9""")
+def q_p23_findings(fx):
+    return quality.long_value_findings(fx["part"], ["p_partkey"], 9)
+
+
+@register("p25_recent_events", (), f"""
+SELECT * FROM events WHERE ts >= TIMESTAMP '{RECENT_AS_OF}' - INTERVAL 7 DAY""")
+def q_p25(fx):
+    return quality.recent_rows(fx["events"], "ts", RECENT_AS_OF, days=7)
+
+
+# ---------------------------------------------------------------- mail
+from .plans import mail  # noqa: E402
+
+
+@register("p26_sorted_recipients", ("recipients",), """
+, r AS (SELECT *, CASE WHEN instr(name, ',') > 0 THEN trim(split_part(name, ',', 1), ' ')
+                       WHEN len(string_split(name, ' ')) >= 2 THEN trim(string_split(name, ' ')[-1], ' ')
+                       ELSE name END AS ln
+        FROM recipients)
+SELECT message_id, type, COUNT(*) AS recipient_count, COUNT(*) > 1 AS reordered,
+       string_agg(address, '; ' ORDER BY ln, position) AS sorted_addresses
+FROM r GROUP BY message_id, type""")
+def q_p26(fx):
+    return mail.sorted_recipients(fx["recipients"])

@@ -148,8 +148,8 @@ select p_partkey as row_id, p_type as dev_datatype, case when p_partkey % 5 = 0
  case when p_partkey % 10 = 0 then null else p_type end as staging_datatype
 from {part}""",
     "recipients": """
-select c_custkey % 40 as message_id, c_custkey as position,
- case when cast(floor(c_custkey / 40) as int) % 2 = 0 then 'To' else 'Cc' end as type,
+select cast(floor(c_custkey / 40) as bigint) as message_id, c_custkey as position,
+ case when c_custkey % 40 < 25 then 'To' else 'Cc' end as type,
  case c_custkey % 3 when 0 then concat('Last',cast(c_custkey % 11 as string),', First')
                     when 1 then concat('First Last',cast(c_custkey % 11 as string))
                     else concat('Mono',cast(c_custkey % 11 as string)) end as name,
