@@ -9,8 +9,11 @@ same numbers arithmetically (``fanout="multiply"``, the default) or the
 plain counts (``fanout="independent"``).  No pair is ever materialised,
 so a person with a third of all SRs costs one row per day.
 
-The grid itself is generated per staff row with ``explode(sequence(...))``
-(the day list is parameter-sized), not by a cross join.
+Only sparse cells (staff-days that have SRs or activities) are joined and
+aggregated; the dense grid is generated at the very end, per group of
+staff attributes, with ``explode(sequence(start, end))`` and a map lookup.
+No cross join, and nothing of grid size is ever shuffled.  ``staff.id``
+is the staff key.
 """
 
 from __future__ import annotations
@@ -52,8 +55,6 @@ def daily_staff_summary(staff: DataFrame, srs: DataFrame, activities: DataFrame,
                .select(F.col("id").alias("staff_id"), "emp_id",
                        pipe_concat(F.col("first_name"), " ", F.col("last_name")).alias("full_name"),
                        "tech_id", "zone", "team"))
-    grid = staff_f.withColumn("report_date", F.explode(F.when(s <= e, F.sequence(s, e))))
-
     od, cd = F.to_date("open_date"), F.to_date("closed_date")
     sr_days = (srs.select("siebel_id", od.alias("od"), cd.alias("cd"))
                .where(F.col("od").between(s, e) | F.col("cd").between(s, e))
@@ -72,19 +73,38 @@ def daily_staff_summary(staff: DataFrame, srs: DataFrame, activities: DataFrame,
                      F.count(F.when(F.col("record_type") == "Time Task", 1)).alias("n_tt"),
                      F.count(F.lit(1)).alias("n_pa")))
 
-    j = (grid.join(sr_days, (grid["emp_id"] == sr_days["siebel_id"]) & (grid["report_date"] == sr_days["s_day"]), "left")
-         .join(act_days, (grid["staff_id"] == act_days["a_staff"]) & (grid["report_date"] == act_days["a_day"]), "left"))
-
-    def z(c):
-        return F.coalesce(F.col(c), F.lit(0))
-
+    keys = GROUP_KEYS[1:]
+    # sparse cells: one row per (staff row, day) that has SRs or activities
+    sr_cells = (staff_f.join(sr_days, staff_f["emp_id"] == sr_days["siebel_id"])
+                .select("staff_id", *keys, F.col("s_day").alias("day"), "n_open", "n_closed", "n_sr"))
+    act_cells = (staff_f.join(act_days, staff_f["staff_id"] == act_days["a_staff"])
+                 .select("staff_id", *keys, F.col("a_day").alias("day"), "n_act", "n_tt", "n_pa"))
+    counts = ["n_open", "n_closed", "n_sr", "n_act", "n_tt", "n_pa"]
+    per_cell = (sr_cells.unionByName(act_cells, allowMissingColumns=True)
+                .groupBy("staff_id", *keys, "day")
+                .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts]))
     if fanout == "multiply":
-        per_sr = F.greatest(z("n_pa"), F.lit(1))
-        per_pa = F.greatest(z("n_sr"), F.lit(1))
+        per_sr = F.greatest(F.col("n_pa"), F.lit(1))
+        per_pa = F.greatest(F.col("n_sr"), F.lit(1))
     else:
         per_sr = per_pa = F.lit(1)
-    return (j.groupBy(*GROUP_KEYS)
-            .agg(F.sum(z("n_open") * per_sr).cast("long").alias("open_srs"),
-                 F.sum(z("n_closed") * per_sr).cast("long").alias("closed_srs"),
-                 F.sum(z("n_act") * per_pa).cast("long").alias("activity_count"),
-                 F.sum(z("n_tt") * per_pa).cast("long").alias("time_task_count")))
+    per_key_day = (per_cell.groupBy(*keys, "day")
+                   .agg(F.sum(F.col("n_open") * per_sr).alias("o"), F.sum(F.col("n_closed") * per_sr).alias("c"),
+                        F.sum(F.col("n_act") * per_pa).alias("a"), F.sum(F.col("n_tt") * per_pa).alias("t")))
+    # dense output: every key group gets every day; the days are generated
+    # last, per group, so no grid-sized data is ever shuffled
+    cell = F.struct(F.col("day").alias("d"), *[F.col(c).cast("long").alias(c) for c in "ocat"])
+    groups = (staff_f.select(*keys, F.lit(None).cast("date").alias("day"),
+                             *[F.lit(None).cast("long").alias(c) for c in "ocat"])
+              .unionByName(per_key_day)
+              .groupBy(*keys)
+              .agg(F.map_from_entries(F.collect_list(F.when(F.col("day").isNotNull(),
+                                                            F.struct(F.col("day"), cell)))).alias("cells")))
+    out = groups.select(F.explode(F.when(s <= e, F.sequence(s, e))).alias("report_date"), *keys, "cells")
+    got = F.element_at(F.col("cells"), F.col("report_date"))
+
+    def z(c):
+        return F.coalesce(got[c], F.lit(0)).cast("long")
+
+    return out.select("report_date", *keys, z("o").alias("open_srs"), z("c").alias("closed_srs"),
+                      z("a").alias("activity_count"), z("t").alias("time_task_count"))

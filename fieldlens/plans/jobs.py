@@ -1,10 +1,11 @@
 """Job-run ledger: P18 run slots, P19 log and master post-images.
 
-The reference records one run per procedure call.  Here a table of run
-events (one row per run: job name, start, and optionally end, status,
-error) is folded in one pass.  Per-job state is a grouped ``max_by``
-over a total event order -- a declarative aggregate with map-side
-partial aggregation, so a job with a third of all runs costs one
+The reference records one run per procedure call.  Here a table of runs
+(one row per run: job name, start, and optionally end, end status and
+error) is folded in one pass.  The job master is a small dimension that
+is broadcast after a row-count check.  Per-job state is a grouped
+``max_by`` over a total event order -- a declarative aggregate with
+map-side partial aggregation, so a job with a third of all runs costs one
 partial row per task.
 """
 
@@ -14,11 +15,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import add_units, unit_seconds
-from ..operators.joins import broadcast_if_small, is_small
+from ..operators.joins import is_small
 
 MASTER_STATE = ["last_run_start_at", "last_run_end_at", "last_run_status", "last_successful_at", "next_run_at"]
 
 
+def _master(job_master: DataFrame) -> DataFrame:
+    m = job_master.select(F.col("id").alias("job_id"), F.col("name").alias("__name"),
+                          "created_at", "interval_value", "interval_unit")
+    return F.broadcast(m) if is_small(job_master) else m
+
+
+def _slotted(runs: DataFrame, job_master: DataFrame, seq_col: str) -> tuple[DataFrame, DataFrame]:
+    """Runs of known jobs with their slot columns (run columns kept), and
+    runs of unknown jobs."""
+    m = _master(job_master)
+    j = runs.join(m, runs["name"] == m["__name"])
+    elapsed_us = F.timestamp_diff("MICROSECOND", F.col("created_at"), F.col("started_at"))
+    span_us = F.col("interval_value").cast("long") * unit_seconds(F.col("interval_unit")) * F.lit(1_000_000)
+    run_count = (F.floor(elapsed_us / span_us) + 1).cast("long")
+    value, unit = F.col("interval_value"), F.col("interval_unit")
+    out = (j.withColumn("run_count", run_count)
+           .withColumn("log_id", F.concat(F.col("job_id").cast("string"), F.lit(":"), F.col(seq_col).cast("string")))
+           .withColumn("scheduled_for", add_units(F.col("created_at"), F.col("run_count") - 1, value, unit))
+           .withColumn("next_run_at", add_units(F.col("created_at"), F.col("run_count"), value, unit)))
+    return out, runs.join(m, runs["name"] == m["__name"], "left_anti")
+
+
 def job_slots(runs: DataFrame, job_master: DataFrame, seq_col: str = "event_seq") -> tuple[DataFrame, DataFrame]:
     """For each run start, its slot since job creation.
 
@@ -30,50 +53,32 @@ def job_slots(runs: DataFrame, job_master: DataFrame, seq_col: str = "event_seq"
     truncation).  Returns ``(log_rows, rejects)`` -- rejects are runs of
     unknown jobs.
     """
-    m = broadcast_if_small(job_master.select(F.col("id").alias("job_id"), F.col("name").alias("__name"),
-                                             "created_at", "interval_value", "interval_unit"))
-    j = runs.join(m, runs["name"] == m["__name"])
-    elapsed_us = F.timestamp_diff("MICROSECOND", F.col("created_at"), F.col("started_at"))
-    span_us = F.col("interval_value").cast("long") * unit_seconds(F.col("interval_unit")) * F.lit(1_000_000)
-    run_count = (F.floor(elapsed_us / span_us) + 1).cast("long")
-    out = (j.withColumn("run_count", run_count)
-           .select(F.concat(F.col("job_id").cast("string"), F.lit(":"), F.col(seq_col).cast("string")).alias("log_id"),
-                   "job_id", "name", F.col(seq_col), "run_count",
-                   add_units(F.col("created_at"), F.col("run_count") - 1, F.col("interval_value"),
-                             F.col("interval_unit")).alias("scheduled_for"),
-                   F.lit("RUNNING").alias("status"), "started_at",
-                   add_units(F.col("created_at"), F.col("run_count"), F.col("interval_value"),
-                             F.col("interval_unit")).alias("next_run_at")))
-    rejects = runs.join(m, runs["name"] == m["__name"], "left_anti")
-    return out, rejects
-
-
-def _with_ends(slots: DataFrame, runs: DataFrame, seq_col: str) -> DataFrame:
-    ends = runs.select(F.col(seq_col).alias("__seq"), "ended_at", F.col("status").alias("end_status"), "error_message")
-    j = slots.join(ends, slots[seq_col] == ends["__seq"], "left")
-    return j.withColumn("final_status", F.when(F.col("ended_at").isNotNull(), F.col("end_status"))
-                        .otherwise(F.col("status")))
+    s, rejects = _slotted(runs, job_master, seq_col)
+    return s.select("log_id", "job_id", "name", seq_col, "run_count", "scheduled_for",
+                    F.lit("RUNNING").alias("status"), "started_at", "next_run_at"), rejects
 
 
 def apply_job_events(runs: DataFrame, job_master: DataFrame,
                      seq_col: str = "event_seq") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Fold run starts and ends into the log and master post-images.
 
-    Events are ordered by (time, sequence, start-before-end).  Per job:
-    last start and its ``next_run_at``, last end, status of the latest
-    event (``RUNNING`` for a start), and the end time of the latest
-    ``SUCCESS`` (else the previous value).  Returns ``(log, master,
-    rejects)``.
+    A run row carries its own end (``ended_at``, ``status``,
+    ``error_message``); without ``ended_at`` it is still running.  Events
+    are ordered by (time, sequence, start-before-end).  Per job: last
+    start and its ``next_run_at``, last end, status of the latest event
+    (``RUNNING`` for a start), and the end time of the latest ``SUCCESS``
+    (else the previous value).  Returns ``(log, master, rejects)``.
     """
-    slots, rejects = job_slots(runs, job_master, seq_col)
-    j = _with_ends(slots, runs, seq_col)
-    log = j.select("log_id", "job_id", "scheduled_for", F.col("final_status").alias("status"), "started_at",
-                   "ended_at", "error_message")
-    events = j.select("job_id", F.explode(F.array(
+    s, rejects = _slotted(runs, job_master, seq_col)
+    ended = F.col("ended_at").isNotNull()
+    log = s.select("log_id", "job_id", "scheduled_for",
+                   F.when(ended, F.col("status")).otherwise(F.lit("RUNNING")).alias("status"),
+                   "started_at", "ended_at", "error_message")
+    events = s.select("job_id", F.explode(F.array(
         F.struct(F.col("started_at").alias("ts"), F.col(seq_col).alias("seq"), F.lit(0).alias("kind"),
                  F.lit("RUNNING").alias("ev_status"), F.col("next_run_at").alias("nra")),
         F.struct(F.col("ended_at").alias("ts"), F.col(seq_col).alias("seq"), F.lit(1).alias("kind"),
-                 F.col("end_status").alias("ev_status"), F.lit(None).cast("timestamp_ntz").alias("nra")),
+                 F.col("status").alias("ev_status"), F.lit(None).cast("timestamp_ntz").alias("nra")),
     )).alias("e")).where(F.col("e.ts").isNotNull())
     order = F.struct("e.ts", "e.seq", "e.kind")
     is_start, is_end = F.col("e.kind") == 0, F.col("e.kind") == 1
@@ -92,10 +97,5 @@ def apply_job_events(runs: DataFrame, job_master: DataFrame,
     # one state row per job: bounded by the job master, which is what gets measured
     st = F.broadcast(state) if is_small(job_master) else state
     jm = base.join(st, base["id"] == st["__job"], "left")
-    cols = []
-    for c in base.columns:
-        if c in MASTER_STATE:
-            cols.append(F.coalesce(F.col(f"n_{c}"), base[c]).alias(c))
-        else:
-            cols.append(base[c])
+    cols = [F.coalesce(F.col(f"n_{c}"), base[c]).alias(c) if c in MASTER_STATE else base[c] for c in base.columns]
     return log, jm.select(*cols), rejects

@@ -9,8 +9,8 @@ Scale notes
   and bucket, not a third of the table.
 * Day columns come from an explicit value list computed from the
   parameters (no ``distinct`` job, no data-dependent schema).
-* Per-day text is built from at most one row per bucket (<= 16 values),
-  so the ordered string aggregate is bounded by construction.
+* Per-day text is built from at most one row per (day, bucket), so the
+  per-staff cell arrays are bounded by days x buckets by construction.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import date_bucket, day_list, month_to_yesterday, ts_literal, to_date
+from ..functions.dates import date_bucket, day_list, month_to_yesterday, ts_literal
 from ..functions.text import severity_bucket
 
 STAFF_KEYS = ["tech_id", "first_name", "state", "city", "zone", "team"]
@@ -29,7 +29,9 @@ MAX_SEVERITY = 15
 
 def _closed_in(srs: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     closed_day = F.to_date("closed_date")
-    return (srs.where(closed_day.between(F.lit(start), F.lit(end)))
+    # an empty range (the 1st of a month) folds to an empty relation: nothing is read
+    in_range = closed_day.between(F.lit(start), F.lit(end)) if start <= end else F.lit(False)
+    return (srs.where(in_range)
             .select("siebel_id", closed_day.alias("closed_day"),
                     severity_bucket("severity").alias("bucket")))
 
@@ -58,10 +60,18 @@ def severity_summary(srs: DataFrame, staff: DataFrame, as_of,
             .agg(F.sum("n").cast("long").alias("count")))
 
 
-def _ordered_parts(bucket: Column, text: Column) -> Column:
-    """Non-null parts ordered by bucket, joined with ', '; NULL when none."""
-    arr = F.array_sort(F.collect_list(F.when(bucket.isNotNull(), F.struct(bucket.alias("b"), text.alias("t")))))
-    return F.when(F.size(arr) > 0, F.array_join(F.transform(arr, lambda x: x["t"]), ", "))
+def _day_cells(days, fmt) -> list[Column]:
+    """One text column per day from the sorted ``__cells`` array of
+    (d, sort key, text) structs: the day's texts joined with ', ', NULL
+    when the day has none."""
+    def on_day(d):
+        return lambda x: x["d"] == F.lit(d)
+
+    out = []
+    for d in days:
+        hit = F.filter("__cells", on_day(d))
+        out.append(F.when(F.size(hit) > 0, F.array_join(F.transform(hit, lambda x: x["t"]), ", ")).alias(fmt(d)))
+    return out
 
 
 def severity_pivot(srs: DataFrame, staff: DataFrame, as_of) -> DataFrame:
@@ -70,18 +80,22 @@ def severity_pivot(srs: DataFrame, staff: DataFrame, as_of) -> DataFrame:
     day (``YYYY-MM-DD``) such as ``97 P1, 170 P5+`` with parts ordered by
     bucket text.  A day without SRs is NULL; NULL-severity SRs count in
     the total but are left out of the day text.
+
+    Two aggregations: per (staff, day, bucket) counts, then per staff the
+    total and the (day, bucket, text) cells -- at most days x 16 entries,
+    bounded whatever the SR volume.
     """
     start, end = month_to_yesterday(as_of)
     days = day_list(start, end)
     per_bucket = _per_emp_day_bucket(srs, start, end)
-    cell_text = F.concat(F.col("n").cast("string"), F.lit(" P"), F.col("bucket"))
-    per_day = (per_bucket.groupBy("siebel_id", "closed_day")
-               .agg(F.sum("n").alias("n"), _ordered_parts(F.col("bucket"), cell_text).alias("cell")))
-    day_cols = [F.max(F.when(F.col("closed_day") == F.lit(d), F.col("cell"))).alias(d.isoformat()) for d in days]
-    per_emp = per_day.groupBy("siebel_id").agg(F.sum("n").cast("long").alias("Total SRs"), *day_cols)
+    text = F.concat(F.col("n").cast("string"), F.lit(" P"), F.col("bucket"))
+    cell = F.when(F.col("bucket").isNotNull(),
+                  F.struct(F.col("closed_day").alias("d"), F.col("bucket").alias("b"), text.alias("t")))
+    per_emp = (per_bucket.groupBy("siebel_id")
+               .agg(F.sum("n").cast("long").alias("Total SRs"), F.array_sort(F.collect_list(cell)).alias("__cells")))
     st = staff.select("emp_id", *STAFF_KEYS)
     j = st.join(per_emp, st["emp_id"] == per_emp["siebel_id"])
-    return j.select(*STAFF_KEYS, "Total SRs", *[d.isoformat() for d in days])
+    return j.select(*STAFF_KEYS, "Total SRs", *_day_cells(days, lambda d: d.isoformat()))
 
 
 def to_json_rows(df: DataFrame, col: str = "json") -> DataFrame:
@@ -145,13 +159,13 @@ def manager_report(srs: DataFrame, staff: DataFrame, as_of) -> DataFrame:
     for k in STAFF_KEYS:
         not_null = not_null & F.col(k).isNotNull()
     s = s.where(not_null)
-    text = F.when(F.col("bucket").isNotNull(), F.concat(F.col("count").cast("string"), F.lit(" P"), F.col("bucket")))
-    arr = F.array_sort(F.collect_list(text))
-    per_day = (s.groupBy("role", "manager", *STAFF_KEYS, "closed_day")
-               .agg(F.sum("count").alias("n"), F.when(F.size(arr) > 0, F.array_join(arr, ", ")).alias("cell")))
-    day_cols = [F.max(F.when(F.col("closed_day") == F.lit(d), F.col("cell"))).alias(d.strftime("%b-%d")) for d in days]
-    return (per_day.groupBy("role", "manager", *STAFF_KEYS)
-            .agg(*day_cols, F.sum("n").cast("long").alias("Total_SRs")))
+    text = F.concat(F.col("count").cast("string"), F.lit(" P"), F.col("bucket"))
+    cell = F.when(F.col("bucket").isNotNull(), F.struct(F.col("closed_day").alias("d"), text.alias("t")))
+    per_staff = (s.groupBy("role", "manager", *STAFF_KEYS)
+                 .agg(F.array_sort(F.collect_list(cell)).alias("__cells"),
+                      F.sum("count").cast("long").alias("Total_SRs")))
+    return per_staff.select("role", "manager", *STAFF_KEYS, *_day_cells(days, lambda d: d.strftime("%b-%d")),
+                            "Total_SRs")
 
 
 def write_manager_report(report: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
