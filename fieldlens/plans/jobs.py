@@ -26,7 +26,7 @@ def _master(job_master: DataFrame) -> DataFrame:
     return F.broadcast(m) if is_small(job_master) else m
 
 
-def _slotted(runs: DataFrame, job_master: DataFrame, seq_col: str) -> tuple[DataFrame, DataFrame]:
+def slotted_runs(runs: DataFrame, job_master: DataFrame, seq_col: str) -> tuple[DataFrame, DataFrame]:
     """Runs of known jobs with their slot columns (run columns kept), and
     runs of unknown jobs."""
     m = _master(job_master)
@@ -53,7 +53,7 @@ def job_slots(runs: DataFrame, job_master: DataFrame, seq_col: str = "event_seq"
     truncation).  Returns ``(log_rows, rejects)`` -- rejects are runs of
     unknown jobs.
     """
-    s, rejects = _slotted(runs, job_master, seq_col)
+    s, rejects = slotted_runs(runs, job_master, seq_col)
     return s.select("log_id", "job_id", "name", seq_col, "run_count", "scheduled_for",
                     F.lit("RUNNING").alias("status"), "started_at", "next_run_at"), rejects
 
@@ -69,12 +69,18 @@ def apply_job_events(runs: DataFrame, job_master: DataFrame,
     (``RUNNING`` for a start), and the end time of the latest ``SUCCESS``
     (else the previous value).  Returns ``(log, master, rejects)``.
     """
-    s, rejects = _slotted(runs, job_master, seq_col)
+    s, rejects = slotted_runs(runs, job_master, seq_col)
     ended = F.col("ended_at").isNotNull()
     log = s.select("log_id", "job_id", "scheduled_for",
                    F.when(ended, F.col("status")).otherwise(F.lit("RUNNING")).alias("status"),
                    "started_at", "ended_at", "error_message")
-    events = s.select("job_id", F.explode(F.array(
+    return log, master_post_image(job_master, job_state(s, seq_col)), rejects
+
+
+def job_state(slotted: DataFrame, seq_col: str = "event_seq") -> DataFrame:
+    """Per-job state from slotted runs (batch or streaming): last start and
+    its next_run_at, last end, latest status, latest success."""
+    events = slotted.select("job_id", F.explode(F.array(
         F.struct(F.col("started_at").alias("ts"), F.col(seq_col).alias("seq"), F.lit(0).alias("kind"),
                  F.lit("RUNNING").alias("ev_status"), F.col("next_run_at").alias("nra")),
         F.struct(F.col("ended_at").alias("ts"), F.col(seq_col).alias("seq"), F.lit(1).alias("kind"),
@@ -83,13 +89,17 @@ def apply_job_events(runs: DataFrame, job_master: DataFrame,
     order = F.struct("e.ts", "e.seq", "e.kind")
     is_start, is_end = F.col("e.kind") == 0, F.col("e.kind") == 1
     ok = is_end & (F.col("e.ev_status") == "SUCCESS")
-    state = events.groupBy(F.col("job_id").alias("__job")).agg(
+    return events.groupBy(F.col("job_id").alias("__job")).agg(
         F.max_by("e.ts", F.when(is_start, order)).alias("n_last_run_start_at"),
         F.max_by("e.nra", F.when(is_start, order)).alias("n_next_run_at"),
         F.max_by("e.ts", F.when(is_end, order)).alias("n_last_run_end_at"),
         F.max_by("e.ev_status", order).alias("n_last_run_status"),
         F.max_by("e.ts", F.when(ok, order)).alias("n_last_successful_at"),
     )
+
+
+def master_post_image(job_master: DataFrame, state: DataFrame) -> DataFrame:
+    """Job master with the folded state applied (jobs without events unchanged)."""
     base = job_master
     for c in MASTER_STATE:
         if c not in base.columns:
@@ -98,4 +108,4 @@ def apply_job_events(runs: DataFrame, job_master: DataFrame,
     st = F.broadcast(state) if is_small(job_master) else state
     jm = base.join(st, base["id"] == st["__job"], "left")
     cols = [F.coalesce(F.col(f"n_{c}"), base[c]).alias(c) if c in MASTER_STATE else base[c] for c in base.columns]
-    return log, jm.select(*cols), rejects
+    return jm.select(*cols)
