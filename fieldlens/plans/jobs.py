@@ -20,16 +20,22 @@ from ..operators.joins import is_small
 MASTER_STATE = ["last_run_start_at", "last_run_end_at", "last_run_status", "last_successful_at", "next_run_at"]
 
 
-def _master(job_master: DataFrame) -> DataFrame:
+def _master(job_master: DataFrame, small: bool) -> DataFrame:
     m = job_master.select(F.col("id").alias("job_id"), F.col("name").alias("__name"),
                           "created_at", "interval_value", "interval_unit")
-    return F.broadcast(m) if is_small(job_master) else m
+    return F.broadcast(m) if small else m
 
 
-def slotted_runs(runs: DataFrame, job_master: DataFrame, seq_col: str) -> tuple[DataFrame, DataFrame]:
+def slotted_runs(runs: DataFrame, job_master: DataFrame, seq_col: str, small: bool | None = None,
+                 strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """Runs of known jobs with their slot columns (run columns kept), and
-    runs of unknown jobs."""
-    m = _master(job_master)
+    runs of unknown jobs (``strict=True``: an unknown job fails the job)."""
+    m = _master(job_master, is_small(job_master) if small is None else small)
+    if strict:
+        known = runs.join(m.select("__name"), runs["name"] == F.col("__name"), "left")
+        runs = known.where(F.when(F.col("__name").isNull(),
+                                  F.raise_error(F.concat(F.lit("Job not found: "), F.col("name")))).isNull()
+                           ).drop("__name")
     j = runs.join(m, runs["name"] == m["__name"])
     elapsed_us = F.timestamp_diff("MICROSECOND", F.col("created_at"), F.col("started_at"))
     span_us = F.col("interval_value").cast("long") * unit_seconds(F.col("interval_unit")) * F.lit(1_000_000)
@@ -42,7 +48,8 @@ def slotted_runs(runs: DataFrame, job_master: DataFrame, seq_col: str) -> tuple[
     return out, runs.join(m, runs["name"] == m["__name"], "left_anti")
 
 
-def job_slots(runs: DataFrame, job_master: DataFrame, seq_col: str = "event_seq") -> tuple[DataFrame, DataFrame]:
+def job_slots(runs: DataFrame, job_master: DataFrame, seq_col: str = "event_seq",
+              strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """For each run start, its slot since job creation.
 
     ``run_count = floor(elapsed / interval) + 1`` where both spans are in
@@ -51,9 +58,9 @@ def job_slots(runs: DataFrame, job_master: DataFrame, seq_col: str = "event_seq"
     ``next_run_at = created_at + run_count * interval`` with calendar
     months.  A start before creation gets a slot <= 0 (floor, not
     truncation).  Returns ``(log_rows, rejects)`` -- rejects are runs of
-    unknown jobs.
+    unknown jobs (``strict=True`` fails the job on one instead).
     """
-    s, rejects = slotted_runs(runs, job_master, seq_col)
+    s, rejects = slotted_runs(runs, job_master, seq_col, strict=strict)
     return s.select("log_id", "job_id", "name", seq_col, "run_count", "scheduled_for",
                     F.lit("RUNNING").alias("status"), "started_at", "next_run_at"), rejects
 
@@ -69,12 +76,13 @@ def apply_job_events(runs: DataFrame, job_master: DataFrame,
     (``RUNNING`` for a start), and the end time of the latest ``SUCCESS``
     (else the previous value).  Returns ``(log, master, rejects)``.
     """
-    s, rejects = slotted_runs(runs, job_master, seq_col)
+    small = is_small(job_master)
+    s, rejects = slotted_runs(runs, job_master, seq_col, small)
     ended = F.col("ended_at").isNotNull()
     log = s.select("log_id", "job_id", "scheduled_for",
                    F.when(ended, F.col("status")).otherwise(F.lit("RUNNING")).alias("status"),
                    "started_at", "ended_at", "error_message")
-    return log, master_post_image(job_master, job_state(s, seq_col)), rejects
+    return log, master_post_image(job_master, job_state(s, seq_col), small), rejects
 
 
 def job_state(slotted: DataFrame, seq_col: str = "event_seq") -> DataFrame:
@@ -98,14 +106,14 @@ def job_state(slotted: DataFrame, seq_col: str = "event_seq") -> DataFrame:
     )
 
 
-def master_post_image(job_master: DataFrame, state: DataFrame) -> DataFrame:
+def master_post_image(job_master: DataFrame, state: DataFrame, small: bool | None = None) -> DataFrame:
     """Job master with the folded state applied (jobs without events unchanged)."""
     base = job_master
     for c in MASTER_STATE:
         if c not in base.columns:
             base = base.withColumn(c, F.lit(None).cast("string" if c == "last_run_status" else "timestamp_ntz"))
     # one state row per job: bounded by the job master, which is what gets measured
-    st = F.broadcast(state) if is_small(job_master) else state
+    st = F.broadcast(state) if (is_small(job_master) if small is None else small) else state
     jm = base.join(st, base["id"] == st["__job"], "left")
     cols = [F.coalesce(F.col(f"n_{c}"), base[c]).alias(c) if c in MASTER_STATE else base[c] for c in base.columns]
     return jm.select(*cols)

@@ -375,3 +375,22 @@ def test_state_master(spark):
     s = state_master(spark)
     assert s.count() == 50 and s.where("state_code = 'DC'").count() == 0
     assert s.where("state_name = 'West Virginia'").first()["state_code"] == "WV"
+
+
+def test_strict_mode_raises(spark):
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+    defs = spark.createDataFrame([(1, "weekly", "Global", None, D(2024, 1, 1), D(2024, 2, 1), None, None, None)], DEF_SCHEMA)
+    with pytest.raises((PySparkException, Py4JJavaError), match="Invalid recurrence type: weekly"):
+        projects.next_project_cycles(defs, strict=True)[0].collect()
+    defs = spark.createDataFrame([(1, "monthly", "Moon", None, D(2024, 1, 1), D(2024, 2, 1), None, None, None)], DEF_SCHEMA)
+    sites = spark.createDataFrame([("S1", "ASIA", "N1", "Depot")], "site string, zone string, state string, store_type string")
+    existing = spark.createDataFrame([], "project_id long, site string, cycle_index int, execution_status string")
+    with pytest.raises((PySparkException, Py4JJavaError), match="Invalid scope: Moon"):
+        projects.project_skeleton(defs, sites, existing, strict=True)[0].collect()
+    master = spark.createDataFrame([(1, "a", T(2024, 1, 1), 1, "day")],
+                                   "id long, name string, created_at timestamp_ntz, interval_value int, interval_unit string")
+    runs = spark.createDataFrame([(1, "zzz", T(2024, 1, 2))], "event_seq long, name string, started_at timestamp_ntz")
+    with pytest.raises((PySparkException, Py4JJavaError), match="Job not found: zzz"):
+        jobs.job_slots(runs, master, strict=True)[0].collect()
+    assert jobs.job_slots(runs, master)[0].count() == 0
