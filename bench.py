@@ -31,7 +31,8 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     only = [p for p in os.environ.get("BENCH_ONLY", "").split(",") if p]
     spark = get_session(f"local[{cpus}]", app="fieldlens-bench", shuffle_partitions=cpus,
-                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                               "spark.ui.showConsoleProgress": "false"})
     timings: dict[str, float] = {}
     for name, (fn, _) in QUERIES.items():
         if only and not any(p in name for p in only):

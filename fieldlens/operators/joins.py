@@ -5,6 +5,10 @@ side is within a row bound; otherwise the plan is left to the optimizer
 (sort-merge join, AQE may still convert from measured shuffle sizes and
 split skewed partitions).
 
+``left_join_nulls_aside`` is a left outer join in which rows with a NULL
+join key skip the shuffle: they can never match, and a mass of NULL keys
+(a third of the rows, say) would otherwise all hash to one reducer.
+
 ``day_range_join`` is a point-in-interval join (``d BETWEEN start AND
 end`` plus equality keys) written as an exact equi-join on ``(keys,
 day)``: each interval is expanded to the days it covers, so a hot key
@@ -28,6 +32,24 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
+def left_join_nulls_aside(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
+    """``left LEFT JOIN right ON left[l] = right[r] AND ...`` for ``keys`` =
+    [(l, r), ...].  Left rows with any NULL key are unioned back with NULL
+    right-hand columns instead of being shuffled.  Column names of the
+    two sides must be distinct."""
+    has_keys = None
+    cond = None
+    for lk, rk in keys:
+        nn = left[lk].isNotNull()
+        has_keys = nn if has_keys is None else has_keys & nn
+        c = left[lk] == right[rk]
+        cond = c if cond is None else cond & c
+    matched = left.where(has_keys).join(right, cond, "left")
+    aside = left.where(~has_keys).select(*[left[c] for c in left.columns],
+                                         *[F.lit(None).cast(t).alias(c) for c, t in right.dtypes])
+    return matched.unionByName(aside)
+
+
 def expand_days(df: DataFrame, start: str, end: str, day_col: str = "day") -> DataFrame:
     """One row per day of ``[start, end]`` (inclusive).  A NULL bound or
     ``start > end`` covers no day, as in ``d >= start AND d <= end``."""

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import left_join_nulls_aside
+
 
 def split_unique(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows whose key occurs once, and the keys that occur more than once.
@@ -35,16 +37,12 @@ def apply_by_key(base: DataFrame, changes: DataFrame, keys: list[str],
     ch = changes.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
                         *[F.col(src).alias(f"__v_{tgt}") for tgt, src in set_cols.items()],
                         F.lit(True).alias("__matched"))
-    cond = None
-    for k in keys:
-        c = base[k] == ch[f"__k_{k}"]
-        cond = c if cond is None else cond & c
-    j = base.join(ch, cond, "left")
+    j = left_join_nulls_aside(base, ch, [(k, f"__k_{k}") for k in keys])
     out = []
     for c in base.columns:
         if c in set_cols:
-            out.append(F.when(F.col("__matched"), F.col(f"__v_{c}").cast(base.schema[c].dataType))
-                       .otherwise(base[c]).alias(c))
+            out.append(F.when(F.col("__matched").isNotNull(), F.col(f"__v_{c}").cast(base.schema[c].dataType))
+                       .otherwise(F.col(c)).alias(c))
         else:
-            out.append(base[c])
+            out.append(F.col(c))
     return j.select(*out)

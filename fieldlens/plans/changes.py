@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import expand_days
+from ..operators.joins import expand_days, left_join_nulls_aside
 from ..operators.updates import apply_by_key, split_unique
 
 TRACKED = ("zone", "team", "title")
@@ -64,7 +64,7 @@ def assign_by_date_range(mileage: DataFrame, allocations: DataFrame, active_only
                        "start_date", "end_date", "a_day")
     winner = (days.groupBy(F.col("van_number").alias("a_van"), "a_day")
               .agg(F.max_by("emp_id", F.struct("start_date", (-F.col("emp_id")).alias("neg"))).alias("a_emp")))
-    j = mileage.join(winner, (mileage["van_number"] == winner["a_van"]) & (mileage["mileage_date"] == winner["a_day"]), "left")
-    return j.select(*[F.when(F.col("a_day").isNotNull(), F.col("a_emp")).otherwise(mileage["emp_id"])
+    j = left_join_nulls_aside(mileage, winner, [("van_number", "a_van"), ("mileage_date", "a_day")])
+    return j.select(*[F.when(F.col("a_day").isNotNull(), F.col("a_emp")).otherwise(F.col("emp_id"))
                       .cast(mileage.schema["emp_id"].dataType).alias("emp_id")
-                      if c == "emp_id" else mileage[c] for c in mileage.columns])
+                      if c == "emp_id" else F.col(c) for c in mileage.columns])

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import iso_utc_text, local_to_utc, zone_name
-from ..operators.joins import is_small
+from ..operators.joins import is_small, left_join_nulls_aside
 
 MAX_FIELDS = 10_000
 ELEMENT_SCHEMA = "array<struct<field_name:string,value:string>>"
@@ -123,7 +123,7 @@ def rewrite_field_time_to_utc(exec_rows: DataFrame, staff: DataFrame, field: str
     Duplicate staff ids resolve to the smallest zone label."""
     zones = staff.groupBy(F.col("id").alias("s_id")).agg(F.min("time_zone").alias("s_zone"))
     elems = F.from_json(json_col, ELEMENT_SCHEMA)
-    j = exec_rows.join(zones, exec_rows["staff_id"] == zones["s_id"], "left")
+    j = left_join_nulls_aside(exec_rows, zones, [("staff_id", "s_id")])
     touch = F.col("s_id").isNotNull() & _has_field(elems, field)
     zone = zone_name(F.col("s_zone"))
     full = F.parse_json(F.col(json_col)).cast("array<map<string,variant>>")
@@ -137,4 +137,4 @@ def rewrite_field_time_to_utc(exec_rows: DataFrame, staff: DataFrame, field: str
         return F.when((name == F.lit(field)) & val.isNotNull(), replaced).otherwise(e)
 
     new_json = F.when(touch, F.to_json(F.transform(full, fix))).otherwise(F.col(json_col))
-    return j.select(*[new_json.alias(c) if c == json_col else exec_rows[c] for c in exec_rows.columns])
+    return j.select(*[new_json.alias(c) if c == json_col else F.col(c) for c in exec_rows.columns])

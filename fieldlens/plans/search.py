@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import contains_any, pg_concat, pg_like_text
+from ..operators.joins import left_join_nulls_aside
 
 OUT = ["emp_id", "emp_full_name", "emp_manager_id", "manager_name"]
 
@@ -23,7 +24,7 @@ OUT = ["emp_id", "emp_full_name", "emp_manager_id", "manager_name"]
 def _with_employee(hires: DataFrame, employees: DataFrame) -> DataFrame:
     e = employees.select(F.col("id").alias("e_id"), F.col("first_name").alias("e_first_name"),
                          F.col("last_name").alias("e_last_name"))
-    return hires.join(e, hires["old_emp_id"] == e["e_id"], "left")
+    return left_join_nulls_aside(hires, e, [("old_emp_id", "e_id")])
 
 
 def _with_manager(cte: DataFrame, employees: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # map-side (partial) aggregation must never be skipped for hot keys
+    # split skewed join partitions even when that costs an extra shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
