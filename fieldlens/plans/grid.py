@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import to_date
 from ..functions.text import pipe_concat
+from ..operators.joins import broadcast_if_small
 
 GROUP_KEYS = ["report_date", "full_name", "tech_id", "zone", "team"]
 RECORD_TYPES = ("Activity", "Time Task")
@@ -74,10 +75,12 @@ def daily_staff_summary(staff: DataFrame, srs: DataFrame, activities: DataFrame,
                      F.count(F.lit(1)).alias("n_pa")))
 
     keys = GROUP_KEYS[1:]
-    # sparse cells: one row per (staff row, day) that has SRs or activities
-    sr_cells = (staff_f.join(sr_days, staff_f["emp_id"] == sr_days["siebel_id"])
+    # sparse cells: one row per (staff row, day) that has SRs or activities;
+    # the staff dimension is broadcast when a count proves it small
+    staff_b = broadcast_if_small(staff_f)
+    sr_cells = (staff_b.join(sr_days, staff_b["emp_id"] == sr_days["siebel_id"])
                 .select("staff_id", *keys, F.col("s_day").alias("day"), "n_open", "n_closed", "n_sr"))
-    act_cells = (staff_f.join(act_days, staff_f["staff_id"] == act_days["a_staff"])
+    act_cells = (staff_b.join(act_days, staff_b["staff_id"] == act_days["a_staff"])
                  .select("staff_id", *keys, F.col("a_day").alias("day"), "n_act", "n_tt", "n_pa"))
     counts = ["n_open", "n_closed", "n_sr", "n_act", "n_tt", "n_pa"]
     per_cell = (sr_cells.unionByName(act_cells, allowMissingColumns=True)

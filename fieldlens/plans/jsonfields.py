@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import iso_utc_text, local_to_utc, zone_name
-from ..operators.joins import is_small, left_join_nulls_aside
+from ..operators.joins import broadcast_if_small, is_small, left_join_nulls_aside
 
 MAX_FIELDS = 10_000
 ELEMENT_SCHEMA = "array<struct<field_name:string,value:string>>"
@@ -103,7 +103,7 @@ def field_time_to_utc(exec_rows: DataFrame, staff: DataFrame, field: str,
     elems = F.from_json(json_col, ELEMENT_SCHEMA)
     e = (exec_rows.select("tech_id", elems.alias("__elems"))
          .where(_has_field(F.col("__elems"), field)))
-    st = staff.select(F.col("tech_id").alias("s_tech"), "time_zone")
+    st = broadcast_if_small(staff.select(F.col("tech_id").alias("s_tech"), "time_zone"))
     j = e.join(st, e["tech_id"] == st["s_tech"])
     x = (j.select("tech_id", "time_zone", F.explode("__elems").alias("__e"))
          .where(F.col("__e.field_name") == F.lit(field)))
@@ -122,6 +122,7 @@ def rewrite_field_time_to_utc(exec_rows: DataFrame, staff: DataFrame, field: str
     of the element) are kept.  Other rows are returned unchanged.
     Duplicate staff ids resolve to the smallest zone label."""
     zones = staff.groupBy(F.col("id").alias("s_id")).agg(F.min("time_zone").alias("s_zone"))
+    zones = F.broadcast(zones) if is_small(staff) else zones  # at most one row per staff row
     elems = F.from_json(json_col, ELEMENT_SCHEMA)
     j = left_join_nulls_aside(exec_rows, zones, [("staff_id", "s_id")])
     touch = F.col("s_id").isNotNull() & _has_field(elems, field)

@@ -16,11 +16,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import contains_any, pg_concat, pg_like_text
-from ..operators.joins import left_join_nulls_aside
+from ..operators.joins import is_small, left_join_nulls_aside
 
 OUT = ["emp_id", "emp_full_name", "emp_manager_id", "manager_name"]
 
 
+def _employees(employees: DataFrame) -> DataFrame:
+    """The employee dimension, broadcast when a row count proves it small
+    (both joins then leave the hire rows where they are)."""
+    e = employees.select("id", "first_name", "last_name")
+    return F.broadcast(e) if is_small(employees) else e
+
+
 def _with_employee(hires: DataFrame, employees: DataFrame) -> DataFrame:
     e = employees.select(F.col("id").alias("e_id"), F.col("first_name").alias("e_first_name"),
                          F.col("last_name").alias("e_last_name"))
@@ -41,6 +48,7 @@ def search_hires(hires: DataFrame, employees: DataFrame, search_text: str | None
     are wildcards, an empty term between two spaces matches any non-NULL
     value), AND the given equality filters; with the employee's and the
     manager's full names (NULL parts as empty)."""
+    employees = _employees(employees)
     j = _with_employee(hires, employees)
     conds = []
     if search_text:  # NULL or '' means no search
@@ -88,6 +96,7 @@ def search_hires_spec(hires: DataFrame, employees: DataFrame, search_text: str |
     join."""
     filters = filters or {}
     spec = spec or DEFAULT_SPEC
+    employees = _employees(employees)
     j = _with_employee(hires, employees)
     conds = [_spec_pred(side, col, kind, filters[key])
              for key, (side, col, kind) in spec.items() if key in filters and side != "manager"]
