@@ -44,10 +44,13 @@ def day_list(start, end) -> list[dt.date]:
 
 
 def ts_literal(d) -> Column:
-    """Midnight of a date (or a datetime) as a TIMESTAMP_NTZ literal."""
+    """Midnight of a date (or a datetime) as a TIMESTAMP_NTZ literal.
+
+    Built from text, so the wall-clock value does not depend on the
+    session or the Python process time zone."""
     if not isinstance(d, dt.datetime):
         d = dt.datetime.combine(to_date(d), dt.time())
-    return F.lit(d).cast("timestamp_ntz")
+    return F.lit(d.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def date_bucket(col: Column, level: str | None) -> Column:

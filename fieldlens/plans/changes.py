@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import ts_literal
 from ..operators.joins import expand_days, left_join_nulls_aside
 from ..operators.updates import apply_by_key, split_unique
 
@@ -34,7 +35,7 @@ def staff_change_history(master: DataFrame, staging: DataFrame, change_ts) -> Da
         F.col("sm.emp_id").alias("emp_id"), F.col("sm.zone").alias("zone"), F.col("sm.team").alias("team"),
         F.col("sm.title").alias("title"), F.col("sm.first_name").alias("firstname"),
         F.col("sm.last_name").alias("lastname"), F.col("sm.mobile").alias("mobile"),
-        F.lit(change_ts).cast("timestamp_ntz").alias("change_date"), comments.alias("comments"))
+        ts_literal(change_ts).alias("change_date"), comments.alias("comments"))
 
 
 def apply_staging(master: DataFrame, staging: DataFrame) -> tuple[DataFrame, DataFrame]:

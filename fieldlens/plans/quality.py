@@ -14,6 +14,9 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.dates import ts_literal
 
 ATTRS = ("data_type", "is_nullable", "max_length", "column_default")
 OUT_ATTRS = (("data_type", "data_type"), ("is_nullable", "is_nullable"),
@@ -173,4 +176,6 @@ def recent_rows(df: DataFrame, ts_col: str, as_of, days: int = 7) -> DataFrame:
     if not isinstance(as_of, dt.datetime):
         as_of = dt.datetime.combine(as_of, dt.time())
     bound = as_of - dt.timedelta(days=days)
-    return df.where(F.col(ts_col) >= F.lit(bound).cast(df.schema[ts_col].dataType))
+    col_type = df.schema[ts_col].dataType
+    lit = ts_literal(bound) if isinstance(col_type, T.TimestampNTZType) else F.lit(bound).cast(col_type)
+    return df.where(F.col(ts_col) >= lit)

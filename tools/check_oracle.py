@@ -53,7 +53,11 @@ def main():
     args = sys.argv[1:]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     pats = [a for a in args if not a.startswith("/")]
+    import os
+    tz = os.environ.get("SPARK_SESSION_TZ")
     spark = get_session("local[8]", shuffle_partitions=8)
+    if tz:  # check independence from the session time zone
+        spark.conf.set("spark.sql.session.timeZone", tz)
     con = duckdb.connect()
     for t in RAW_TABLES:
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
