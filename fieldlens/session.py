@@ -39,7 +39,8 @@ def get_session(master: str | None = None, app: str = "fieldlens",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local"):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -47,12 +48,14 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the cluster's checkpoint directory.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is
-    used as is.  Only when it is unset (local tests) a scratch folder is
-    set.
+    used as is.  Only in local mode, when it is unset (tests), a scratch
+    folder is set; on a cluster an unset directory is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = fallback or tempfile.mkdtemp(prefix="fieldlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path

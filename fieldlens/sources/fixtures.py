@@ -14,7 +14,6 @@ the 4-row field metadata dimension).
 from __future__ import annotations
 
 import re
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -212,7 +211,3 @@ class Fixtures:
             text = RECIPES[name].replace("{ts}", "timestamp_ntz")
             self._cache[name] = self.spark.sql(text, **args)
         return self._cache[name]
-
-    @cached_property
-    def tables(self):
-        return sorted(RECIPES)

@@ -394,3 +394,12 @@ def test_strict_mode_raises(spark):
     with pytest.raises((PySparkException, Py4JJavaError), match="Job not found: zzz"):
         jobs.job_slots(runs, master, strict=True)[0].collect()
     assert jobs.job_slots(runs, master)[0].count() == 0
+
+
+def test_day_range_join_operator(spark):
+    from fieldlens.operators.joins import day_range_join
+    pts = spark.createDataFrame([(1, D(2024, 1, 3)), (1, D(2024, 1, 9)), (2, D(2024, 1, 3))], "k long, d date")
+    ivs = spark.createDataFrame([(1, D(2024, 1, 1), D(2024, 1, 5), "a"), (1, D(2024, 1, 3), D(2024, 1, 3), "b"),
+                                 (2, D(2024, 1, 5), D(2024, 1, 1), "c")], "ik long, s date, e date, tag string")
+    got = rows(day_range_join(pts, ivs, "d", [("k", "ik")], "s", "e"), "k", "d", "tag")
+    assert got == [(1, D(2024, 1, 3), "a"), (1, D(2024, 1, 3), "b"), (1, D(2024, 1, 9), None), (2, D(2024, 1, 3), None)]
