@@ -627,3 +627,34 @@ SELECT message_id, type, COUNT(*) AS recipient_count, COUNT(*) > 1 AS reordered,
 FROM r GROUP BY message_id, type""")
 def q_p26(fx):
     return mail.sorted_recipients(fx["recipients"])
+
+
+# ---------------------------------------------------------------- reject paths and whole-text scans
+@register("p16_project_rejects", _PROJ_FX, """
+SELECT id, recurrence, 'invalid recurrence' AS reason FROM project_definition
+WHERE recurrence IS NULL OR recurrence NOT IN ('one-time', 'monthly', 'quarterly', 'half-yearly', 'yearly')
+UNION ALL
+SELECT id, recurrence, 'invalid scope' AS reason FROM (""" + _GEN_SQL.replace(
+    "AND scope IN ('Global', 'Zone', 'State', 'Store Type', 'Specified Sites'))",
+    "AND (scope IS NULL OR scope NOT IN ('Global', 'Zone', 'State', 'Store Type', 'Specified Sites')))").lstrip(", \n")
+    .replace("c AS (", "WITH c AS (", 1) + "\nSELECT * FROM g) x")
+def q_p16_rejects(fx):
+    return projects.project_skeleton(fx["project_definition"], fx["site_master"], fx["project_execution_cycles"])[1]
+
+
+_DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@register("p23_long_values_documents", (), "SELECT " + ", ".join(
+    f"CASE WHEN length(CAST({c} AS VARCHAR)) > 30 THEN {c} END AS {c}" for c in _DOC_COLS) + " FROM documents")
+def q_p23_documents(fx):
+    return quality.long_values(fx["documents"], 30)
+
+
+@register("p23_long_value_findings_conversations", (), """
+SELECT conv_id, turn, column_name, value FROM (
+  SELECT conv_id, turn, 'role' AS column_name, role AS value FROM conversations
+  UNION ALL SELECT conv_id, turn, 'text', text FROM conversations) u
+WHERE length(value) > 30""")
+def q_p23_conversations(fx):
+    return quality.long_value_findings(fx["conversations"], ["conv_id", "turn"], 30)
