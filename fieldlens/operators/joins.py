@@ -1,7 +1,7 @@
 """Join strategies.
 
 ``broadcast_if_small`` only hints a broadcast after measuring that the
-side is within a row bound; otherwise the plan is left to the optimizer
+side is within a row and a byte bound; otherwise the plan is left to the optimizer
 (sort-merge join, AQE may still convert from measured shuffle sizes and
 split skewed partitions).
 
@@ -19,17 +19,48 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops counting past the bound)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_small(df, max_rows) else df
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+_FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
+                T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
+                T.DecimalType: 16}
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of one row: fixed-width types by their size, text and binary
+    by their actual length, nested values by the length of their JSON."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        t = f.dataType
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(t, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+        else:
+            parts.append(F.lit(_FIXED_WIDTH.get(type(t), 8)))
+    out = F.lit(0).cast("long")
+    for p in parts:
+        out = out + p
+    return out
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+             max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes
+    of data.  One pass over at most ``max_rows + 1`` rows (it stops past
+    the row bound), so checking a large input costs a bounded scan."""
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def left_join_nulls_aside(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:

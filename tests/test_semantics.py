@@ -403,3 +403,12 @@ def test_day_range_join_operator(spark):
                                  (2, D(2024, 1, 5), D(2024, 1, 1), "c")], "ik long, s date, e date, tag string")
     got = rows(day_range_join(pts, ivs, "d", [("k", "ik")], "s", "e"), "k", "d", "tag")
     assert got == [(1, D(2024, 1, 3), "a"), (1, D(2024, 1, 3), "b"), (1, D(2024, 1, 9), None), (2, D(2024, 1, 3), None)]
+
+
+def test_size_check_bounds_rows_and_bytes(spark):
+    from fieldlens.operators.joins import is_small
+    df = spark.createDataFrame([(i, "x" * 100) for i in range(50)], "id long, s string")
+    assert is_small(df, max_rows=50)
+    assert not is_small(df, max_rows=49)
+    assert is_small(df, max_rows=100, max_bytes=50 * 108)
+    assert not is_small(df, max_rows=100, max_bytes=50 * 108 - 1)
