@@ -20,7 +20,7 @@ from .sources.fixtures import Fixtures, duckdb_with
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 
-def register(name: str, fixtures: tuple[str, ...] = (), sql: str | None = None):
+def register(name: str, fixtures: tuple[str, ...] = (), sql: str | None = None, recursive: bool = False):
     def deco(fn):
         oracle = None
         if sql is not None:
@@ -28,6 +28,8 @@ def register(name: str, fixtures: tuple[str, ...] = (), sql: str | None = None):
             # a body starting with "," continues the fixtures' WITH clause
             oracle = (duckdb_with(fixtures).rstrip() + "\n" + body) if body.startswith(",") \
                 else duckdb_with(fixtures) + body
+            if recursive:
+                oracle = oracle.replace("WITH ", "WITH RECURSIVE ", 1)
         QUERIES[name] = (lambda spark, sf_dir: fn(Fixtures(spark, sf_dir)), oracle)
         return fn
     return deco
@@ -658,3 +660,33 @@ SELECT conv_id, turn, column_name, value FROM (
 WHERE length(value) > 30""")
 def q_p23_conversations(fx):
     return quality.long_value_findings(fx["conversations"], ["conv_id", "turn"], 30)
+
+
+_LN_SQL = ("CASE WHEN instr(name, ',') > 0 THEN trim(split_part(name, ',', 1), ' ') "
+           "WHEN len(string_split(name, ' ')) >= 2 THEN trim(string_split(name, ' ')[-1], ' ') ELSE name END")
+
+
+def _p26_exchange_sql():
+    # the macro's exchange sort, one (i, j) step per recursion level
+    return f"""
+, base AS (SELECT message_id, type, COUNT(*) AS recipient_count,
+                  list(struct_pack(ln := {_LN_SQL}, addr := address) ORDER BY position) AS lst
+           FROM recipients GROUP BY message_id, type),
+sim AS (
+  SELECT message_id, type, recipient_count, lst, 1 AS i, 2 AS j FROM base
+  UNION ALL
+  SELECT message_id, type, recipient_count,
+    CASE WHEN lst[i].ln > lst[j].ln
+         THEN list_transform(lst, lambda x, k: CASE WHEN k = i THEN lst[j] WHEN k = j THEN lst[i] ELSE x END)
+         ELSE lst END,
+    CASE WHEN j < recipient_count THEN i ELSE i + 1 END,
+    CASE WHEN j < recipient_count THEN j + 1 ELSE i + 2 END
+  FROM sim WHERE i < recipient_count AND j <= recipient_count)
+SELECT message_id, type, recipient_count, recipient_count > 1 AS reordered,
+       array_to_string(list_transform(lst, lambda e: e.addr), '; ') AS sorted_addresses
+FROM sim WHERE NOT (i < recipient_count AND j <= recipient_count)"""
+
+
+@register("p26_sorted_recipients_exchange", ("recipients",), _p26_exchange_sql(), recursive=True)
+def q_p26_exchange(fx):
+    return mail.sorted_recipients(fx["recipients"], tie_order="exchange")
