@@ -60,9 +60,10 @@ select c_custkey as id, c_name as req_num, concat('Cand ',cast(c_custkey % 50 as
  case when c_custkey % 11 = 0 then null else c_custkey % 100 end as manager_id
 from {customer}""",
     "staff_staging": """
-select emp_id, case when id % 6 = 0 then 'MOVED' else zone end as zone, case when id % 8 = 0 then null else team end as team,
+select case when id % 5 = 4 then concat('X', emp_id) else emp_id end as emp_id,
+ case when id % 6 = 0 then 'MOVED' else zone end as zone, case when id % 8 = 0 then null else team end as team,
  case when id % 9 = 0 then 'Chief' else title end as title, first_name as firstname, last_name as lastname, mobile
-from {staff_master} where id % 5 <> 4""",
+from {staff_master}""",
     "van_allocation_history": """
 select van_number, emp_id, start_date,
  cast(lead(start_date) over (partition by van_number order by start_date) - interval '1' day as date) as end_date,
@@ -113,7 +114,7 @@ from {part}""",
 select id as project_id, 'S000001' as site,
  case when id % 7 = 3 then (case when recurrence = 'one-time' then 1 else coalesce(cycle_index, 0) + 1 end) else 9 end as cycle_index,
  case when id % 2 = 0 then 'pending' else 'done' end as execution_status
-from {project_definition} where id % 7 in (3, 5)""",
+from {project_definition}""",
     "fts_job_master": """
 select cast(row_number() over (order by event_type) as bigint) as id, event_type as name, {ts} '2024-01-01 00:00:00' as created_at,
  case event_type when 'click' then 15 when 'view' then 2 when 'error' then 1 when 'signup' then 1 else 3 end as interval_value,
