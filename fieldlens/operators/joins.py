@@ -54,7 +54,10 @@ def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes
     of data.  One pass over at most ``max_rows + 1`` rows (it stops past
     the row bound), so checking a large input costs a bounded scan."""
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    # each row is reduced to its byte size before the limit, so only one
+    # long per row reaches the single limit partition
+    sizes = df.select(_row_bytes(df).alias("b")).limit(max_rows + 1)
+    r = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
     return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 
