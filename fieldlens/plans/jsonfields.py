@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import iso_utc_text, local_to_utc, zone_name
 from ..operators.joins import broadcast_if_small, is_small, left_join_nulls_aside
@@ -66,8 +67,9 @@ def validate_field_json(rows_with_json: DataFrame, metadata: DataFrame, key: str
                         json_col: str = "field_info") -> DataFrame:
     """Explode each row's field array, map field names back to
     columns through the metadata, and compare the element's value with
-    the row's own value (as text, NULL-safe).  A metadata column the row
-    does not have is a ``MISMATCH`` even though both sides are null.
+    the row's own value: NULL-safe, as text, and by value for numeric
+    columns.  A metadata column the row does not have is a ``MISMATCH``
+    even though both sides are null.
 
     Output: key, column_name, original_value, json_value, validation_result.
     """
@@ -85,7 +87,13 @@ def validate_field_json(rows_with_json: DataFrame, metadata: DataFrame, key: str
     orig = F.try_element_at("__vals", F.col("column_name"))
     jv = F.col("__e.value")
     present = F.map_contains_key("__vals", F.col("column_name"))
-    result = F.when(present & orig.eqNullSafe(jv), F.lit("MATCH")).otherwise(F.lit("MISMATCH"))
+    # numeric source columns compare by value, so number text written by
+    # another producer ('900' for 900.0, '1e3' for 1000.0) still matches
+    numeric = [c for c in cols if isinstance(rows_with_json.schema[c].dataType, T.NumericType)]
+    is_num = F.col("column_name").isin(*numeric) if numeric else F.lit(False)
+    same_number = is_num & (orig.try_cast("double") == jv.try_cast("double"))
+    same = orig.eqNullSafe(jv) | F.coalesce(same_number, F.lit(False))
+    result = F.when(present & same, F.lit("MATCH")).otherwise(F.lit("MISMATCH"))
     return x.select(key, "column_name", orig.alias("original_value"), jv.alias("json_value"),
                     result.alias("validation_result"))
 

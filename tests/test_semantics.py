@@ -412,3 +412,26 @@ def test_size_check_bounds_rows_and_bytes(spark):
     assert not is_small(df, max_rows=49)
     assert is_small(df, max_rows=100, max_bytes=50 * 108)
     assert not is_small(df, max_rows=100, max_bytes=50 * 108 - 1)
+
+
+def test_validate_numbers_by_value(spark):
+    rows_df = spark.createDataFrame([(1, 1000.0, "1000")], "site long, price double, code string")
+    meta = spark.createDataFrame([("P", "P", "price"), ("C", "C", "code")],
+                                 "field_name string, field_display_name string, column_name string")
+    foreign = rows_df.withColumn("field_info", F.lit('[{"field_name":"P","value":1e3},{"field_name":"C","value":"1000.0"}]'))
+    res = {r["column_name"]: r["validation_result"] for r in jsonfields.validate_field_json(foreign, meta).collect()}
+    assert res == {"price": "MATCH", "code": "MISMATCH"}   # text column: '1000' is not '1000.0'
+
+
+def test_helpers_split_weeks_units(spark):
+    from fieldlens.functions.dates import add_units, date_bucket
+    df = spark.createDataFrame([("a|b||c", T(2024, 1, 3, 10), T(2024, 1, 31))], "s string, t timestamp_ntz, c timestamp_ntz")
+    r = df.select(pg_split(F.col("s"), "|").alias("parts"), pg_split(F.col("s"), ".").alias("dot"),
+                  date_bucket(F.col("t"), "weekly").alias("wk"), date_bucket(F.col("t"), "monthly").alias("mo"),
+                  date_bucket(F.col("t"), None).alias("dy"),
+                  add_units(F.col("c"), F.lit(1), F.lit(1), F.lit("Months")).alias("m1"),
+                  add_units(F.col("c"), F.lit(-2), F.lit(3), F.lit("hours")).alias("h"),
+                  add_units(F.col("c"), F.lit(1), F.lit(1), F.lit("year")).alias("y")).first()
+    assert r["parts"] == ["a", "b", "", "c"] and r["dot"] == ["a|b||c"]
+    assert r["wk"] == D(2024, 1, 1) and r["mo"] == D(2024, 1, 1) and r["dy"] == D(2024, 1, 3)
+    assert r["m1"] == T(2024, 2, 29) and r["h"] == T(2024, 1, 30, 18) and r["y"] == T(2025, 1, 31)
