@@ -42,8 +42,26 @@ def _per_emp_day_bucket(srs: DataFrame, start, end) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def severity_summary(srs: DataFrame, staff: DataFrame, as_of,
-                     extra_staff_cols: tuple[str, ...] = ()) -> DataFrame:
+def closed_counts(srs: DataFrame, as_of) -> DataFrame:
+    """SRs closed from the first of ``as_of``'s month to the day before, counted
+    per (siebel_id, closed_day, bucket) -- the shared input of P1, P2 and
+    P24.  A job producing several of these reports for one month computes
+    it once (write it, or ``checkpoint()`` it under ``spark.checkpoint.dir``)
+    and passes it as ``counts=``, so the SR table is scanned once."""
+    start, end = month_to_yesterday(as_of)
+    return _per_emp_day_bucket(srs, start, end)
+
+
+def _counts(srs: DataFrame | None, as_of, counts: DataFrame | None) -> DataFrame:
+    if counts is not None:
+        return counts
+    if srs is None:
+        raise ValueError("pass srs or precomputed counts")
+    return closed_counts(srs, as_of)
+
+
+def severity_summary(srs: DataFrame | None, staff: DataFrame, as_of,
+                     extra_staff_cols: tuple[str, ...] = (), counts: DataFrame | None = None) -> DataFrame:
     """Closed SRs per staff attributes x close day x severity bucket,
     from the first of ``as_of``'s month to the day before ``as_of``.
 
@@ -51,9 +69,8 @@ def severity_summary(srs: DataFrame, staff: DataFrame, as_of,
     bucket, count (+ ``extra_staff_cols`` as grouping columns).
     Staff rows with equal attributes are merged, as in the reference.
     """
-    start, end = month_to_yesterday(as_of)
     keys = STAFF_KEYS + list(extra_staff_cols)
-    agg = _per_emp_day_bucket(srs, start, end)
+    agg = _counts(srs, as_of, counts)
     st = staff.select("emp_id", *keys)
     j = agg.join(st, agg["siebel_id"] == st["emp_id"])
     return (j.groupBy(*keys, "closed_day", "bucket")
@@ -74,7 +91,7 @@ def _day_cells(days, fmt) -> list[Column]:
     return out
 
 
-def severity_pivot(srs: DataFrame, staff: DataFrame, as_of) -> DataFrame:
+def severity_pivot(srs: DataFrame | None, staff: DataFrame, as_of, counts: DataFrame | None = None) -> DataFrame:
     """One row per staff member with an SR closed this month (to
     yesterday): staff attributes, ``Total SRs`` and one text column per
     day (``YYYY-MM-DD``) such as ``97 P1, 170 P5+`` with parts ordered by
@@ -87,7 +104,7 @@ def severity_pivot(srs: DataFrame, staff: DataFrame, as_of) -> DataFrame:
     """
     start, end = month_to_yesterday(as_of)
     days = day_list(start, end)
-    per_bucket = _per_emp_day_bucket(srs, start, end)
+    per_bucket = _counts(srs, as_of, counts)
     text = F.concat(F.col("n").cast("string"), F.lit(" P"), F.col("bucket"))
     cell = F.when(F.col("bucket").isNotNull(),
                   F.struct(F.col("closed_day").alias("d"), F.col("bucket").alias("b"), text.alias("t")))
@@ -139,7 +156,7 @@ def severity_trend(srs: DataFrame, start, end, assoc_mgr_id=None, manager_id=Non
 ROLES = (("Associate Manager", "assoc_manager_tid"), ("Manager", "manager_tid"))
 
 
-def manager_report(srs: DataFrame, staff: DataFrame, as_of) -> DataFrame:
+def manager_report(srs: DataFrame | None, staff: DataFrame, as_of, counts: DataFrame | None = None) -> DataFrame:
     """Per role and manager, staff x day breakdown text plus ``Total_SRs``.
 
     One row per (role, manager, staff attributes).  Day columns are named
@@ -151,7 +168,7 @@ def manager_report(srs: DataFrame, staff: DataFrame, as_of) -> DataFrame:
     """
     start, end = month_to_yesterday(as_of)
     days = day_list(start, end)
-    summary = severity_summary(srs, staff, as_of, extra_staff_cols=tuple(c for _, c in ROLES))
+    summary = severity_summary(srs, staff, as_of, extra_staff_cols=tuple(c for _, c in ROLES), counts=counts)
     roles = F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.col(c).alias("manager")) for r, c in ROLES]))
     s = (summary.select(roles.alias("r"), *STAFF_KEYS, "closed_day", "bucket", "count")
          .select("r.role", "r.manager", *STAFF_KEYS, "closed_day", "bucket", "count"))

@@ -435,3 +435,12 @@ def test_helpers_split_weeks_units(spark):
     assert r["parts"] == ["a", "b", "", "c"] and r["dot"] == ["a|b||c"]
     assert r["wk"] == D(2024, 1, 1) and r["mo"] == D(2024, 1, 1) and r["dy"] == D(2024, 1, 3)
     assert r["m1"] == T(2024, 2, 29) and r["h"] == T(2024, 1, 30, 18) and r["y"] == T(2025, 1, 31)
+
+
+def test_reports_share_precomputed_counts(spark):
+    staff = spark.createDataFrame([staff_row(1), staff_row(2)], STAFF_SCHEMA)
+    c = T(2024, 5, 3)
+    srs = _srs(spark, [("E1", 1, c, c, 0, 0), ("E2", 7, c, c, 0, 0), ("E2", 7, c, c, 0, 0)])
+    counts = severity.closed_counts(srs, D(2024, 5, 9))
+    for fn in (severity.severity_summary, severity.severity_pivot, severity.manager_report):
+        assert rows(fn(None, staff, D(2024, 5, 9), counts=counts)) == rows(fn(srs, staff, D(2024, 5, 9)))
