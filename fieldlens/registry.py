@@ -356,16 +356,21 @@ def _utc_sql(text, zone_label):
     return f"strftime((CAST({text} AS TIMESTAMP) AT TIME ZONE {_zone_case(zone_label)}) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ')"
 
 
-@register("p13_field_time_to_utc", ("project_execution_json", "staff_master"), f"""
-, elems AS (SELECT tech_id, unnest(from_json(project_data, '["JSON"]')) AS el FROM project_execution_json),
+def _p13_sql(tbl):
+    return f"""
+, elems AS (SELECT tech_id, unnest(from_json(project_data, '["JSON"]')) AS el FROM {tbl}),
 hits AS (SELECT tech_id, el ->> 'value' AS v FROM elems WHERE el ->> 'field_name' = '{FIELD}')
 SELECT h.tech_id, st.time_zone, h.v AS original_value, {_utc_sql("h.v", "st.time_zone")} AS converted_value_utc_iso8601
-FROM hits h JOIN staff_master st ON st.tech_id = h.tech_id""")
+FROM hits h JOIN staff_master st ON st.tech_id = h.tech_id"""
+
+
+@register("p13_field_time_to_utc", ("project_execution_json", "staff_master"), _p13_sql("project_execution_json"))
 def q_p13(fx):
     return jsonfields.field_time_to_utc(fx["project_execution_json"], fx["staff_master"], FIELD)
 
 
-@register("p14_rewrite_field_time_to_utc", ("project_execution_json", "staff_master"), f"""
+def _p14_sql(tbl):
+    return f"""
 SELECT ped.id, ped.staff_id, ped.tech_id,
   CASE WHEN sm.id IS NOT NULL
         AND len(list_filter(from_json(ped.project_data, '["JSON"]'), lambda e: e ->> 'field_name' = '{FIELD}')) > 0
@@ -374,7 +379,10 @@ SELECT ped.id, ped.staff_id, ped.tech_id,
                    THEN json_object('field_name', e ->> 'field_name', 'value', {_utc_sql("e ->> 'value'", "sm.time_zone")})
                    ELSE e END))::VARCHAR
        ELSE ped.project_data END AS project_data
-FROM project_execution_json ped LEFT JOIN staff_master sm ON ped.staff_id = sm.id""")
+FROM {tbl} ped LEFT JOIN staff_master sm ON ped.staff_id = sm.id"""
+
+
+@register("p14_rewrite_field_time_to_utc", ("project_execution_json", "staff_master"), _p14_sql("project_execution_json"))
 def q_p14(fx):
     return jsonfields.rewrite_field_time_to_utc(fx["project_execution_json"], fx["staff_master"], FIELD)
 
@@ -682,3 +690,18 @@ FROM sim WHERE NOT (i < recipient_count AND j <= recipient_count)"""
 @register("p26_sorted_recipients_exchange", ("recipients",), _p26_exchange_sql(), recursive=True)
 def q_p26_exchange(fx):
     return mail.sorted_recipients(fx["recipients"], tie_order="exchange")
+
+
+
+# ---------------------------------------------------------------- P13/P14 across daylight-saving changes
+for _suffix in ("spring", "fall"):
+    _tbl = f"project_execution_json_{_suffix}"
+
+    def _mk13(tbl=_tbl):
+        return lambda fx: jsonfields.field_time_to_utc(fx[tbl], fx["staff_master"], FIELD)
+
+    def _mk14(tbl=_tbl):
+        return lambda fx: jsonfields.rewrite_field_time_to_utc(fx[tbl], fx["staff_master"], FIELD)
+
+    register(f"p13_field_time_to_utc_dst_{_suffix}", (_tbl, "staff_master"), _p13_sql(_tbl))(_mk13())
+    register(f"p14_rewrite_field_time_to_utc_dst_{_suffix}", (_tbl, "staff_master"), _p14_sql(_tbl))(_mk14())

@@ -157,6 +157,13 @@ select cast(floor(c_custkey / 40) as bigint) as message_id, c_custkey as positio
 from {customer}""",
 }
 
+# Execution JSON whose field times fall on the 2024 daylight-saving changes:
+# events (January 2024) shifted to cover 2024-03-10 (clocks skip an hour)
+# and 2024-11-03 (an hour repeats) in the staff members' zones.
+for _suffix, _days in (("spring", 69), ("fall", 307)):
+    RECIPES[f"project_execution_json_{_suffix}"] = RECIPES["project_execution_json"].replace(
+        "substr(cast(ts as string),1,19)", f"substr(cast(ts + interval '{_days}' day as string),1,19)")
+
 _NAME = re.compile(r"(?<!\{)\{([a-z_]+)\}(?!\})")
 
 
