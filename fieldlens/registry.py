@@ -705,3 +705,11 @@ for _suffix in ("spring", "fall"):
 
     register(f"p13_field_time_to_utc_dst_{_suffix}", (_tbl, "staff_master"), _p13_sql(_tbl))(_mk13())
     register(f"p14_rewrite_field_time_to_utc_dst_{_suffix}", (_tbl, "staff_master"), _p14_sql(_tbl))(_mk14())
+
+
+# ---------------------------------------------------------------- P18 with calendar units on a month end
+@register("p18_job_slots_calendar", ("job_events", "fts_job_master_calendar"),
+          _SLOTS_SQL.replace("JOIN fts_job_master m", "JOIN fts_job_master_calendar m") + """
+SELECT log_id, job_id, name, event_seq, run_count, scheduled_for, status, started_at, next_run_at FROM slots""")
+def q_p18_calendar(fx):
+    return jobs.job_slots(fx["job_events"], fx["fts_job_master_calendar"])[0]

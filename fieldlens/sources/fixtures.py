@@ -157,6 +157,16 @@ select cast(floor(c_custkey / 40) as bigint) as message_id, c_custkey as positio
 from {customer}""",
 }
 
+# A job master created on a month end with calendar units, so slot dates
+# clamp to shorter months and month/year slots count 30 / 365.25 days.
+RECIPES["fts_job_master_calendar"] = """
+select cast(row_number() over (order by event_type) as bigint) as id, event_type as name,
+ {ts} '2023-01-31 06:00:00' as created_at,
+ case event_type when 'click' then 1 when 'view' then 2 when 'error' then 1 when 'signup' then 3 else 7 end as interval_value,
+ case event_type when 'click' then 'month' when 'view' then 'months' when 'error' then 'year' when 'signup' then 'week'
+                 else 'day' end as interval_unit
+from (select distinct event_type from {events}) e"""
+
 # Execution JSON whose field times fall on the 2024 daylight-saving changes:
 # events (January 2024) shifted to cover 2024-03-10 (clocks skip an hour)
 # and 2024-11-03 (an hour repeats) in the staff members' zones.
