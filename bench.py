@@ -30,7 +30,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     only = [p for p in os.environ.get("BENCH_ONLY", "").split(",") if p]
-    spark = get_session(f"local[{cpus}]", app="fieldlens-bench", shuffle_partitions=cpus,
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = get_session(f"local[{cpus}]", app="fieldlens-bench", shuffle_partitions=partitions,
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                                "spark.ui.showConsoleProgress": "false"})
     timings: dict[str, float] = {}

@@ -632,14 +632,15 @@ def q_p26(fx):
 
 
 # ---------------------------------------------------------------- reject paths and whole-text scans
-@register("p16_project_rejects", _PROJ_FX, """
+@register("p16_project_rejects", _PROJ_FX, _NEXT_CYCLE_SQL + """,
+bad_scope AS (SELECT * FROM cy
+              WHERE NOT EXISTS (SELECT 1 FROM project_execution_cycles e
+                                WHERE e.project_id = cy.id AND e.cycle_index = cy.next_cycle_index)
+                AND (scope IS NULL OR scope NOT IN ('Global', 'Zone', 'State', 'Store Type', 'Specified Sites')))
 SELECT id, recurrence, 'invalid recurrence' AS reason FROM project_definition
 WHERE recurrence IS NULL OR recurrence NOT IN ('one-time', 'monthly', 'quarterly', 'half-yearly', 'yearly')
 UNION ALL
-SELECT id, recurrence, 'invalid scope' AS reason FROM (""" + _GEN_SQL.replace(
-    "AND scope IN ('Global', 'Zone', 'State', 'Store Type', 'Specified Sites'))",
-    "AND (scope IS NULL OR scope NOT IN ('Global', 'Zone', 'State', 'Store Type', 'Specified Sites')))").lstrip(", \n")
-    .replace("c AS (", "WITH c AS (", 1) + "\nSELECT * FROM g) x")
+SELECT id, recurrence, 'invalid scope' AS reason FROM bad_scope""")
 def q_p16_rejects(fx):
     return projects.project_skeleton(fx["project_definition"], fx["site_master"], fx["project_execution_cycles"])[1]
 
