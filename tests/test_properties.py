@@ -184,3 +184,74 @@ def test_p26_exchange_sort_equals_macro(spark, seed):
     stable = {(x["message_id"], x["type"]): x["sorted_addresses"] for x in mail.sorted_recipients(df).collect()}
     want_stable = {k: "; ".join(a for _, a in sorted(v, key=lambda e: _vba_last_name(e[0]))) for k, v in groups.items()}
     assert stable == want_stable
+
+
+def _add_months(d, n):
+    import calendar
+    y, m = divmod(d.month - 1 + n, 12)
+    y, m = d.year + y, m + 1
+    return D(y, m, min(d.day, calendar.monthrange(y, m)[1]))
+
+
+def _pg_split(s):
+    if s is None:
+        return None
+    return [] if s == "" else s.split(",")
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_p16_p17_equal_per_project_procedure(spark, seed):
+    from fieldlens.plans import projects
+    r = random.Random(seed)
+    months = {"monthly": 1, "quarterly": 3, "half-yearly": 6, "yearly": 12}
+    vocab = ["ASIA", "EUROPE", " EUROPE", "N1", "N2", "Express", "Depot", "S1", "S9", ""]
+    defs = []
+    for pid in range(40):
+        rec = r.choice(["one-time", "monthly", "quarterly", "half-yearly", "yearly", "weekly", None])
+        scope = r.choice(["Global", "Zone", "State", "Store Type", "Specified Sites", "Nowhere", None])
+        data = None if r.random() < 0.15 else ",".join(r.choice(vocab) for _ in range(r.randint(0, 3)))
+        start = D(2024, 1, r.randint(1, 31))
+        ci = None if r.random() < 0.5 else r.randint(1, 4)
+        ce = None if ci is None else D(2024, r.randint(1, 12), r.randint(1, 28)) if r.random() < 0.7 else D(2024, 1, 31)
+        defs.append((pid, rec, scope, data, start, D(2024, 12, 31), ci, None, ce))
+    sites = [(f"S{i}", r.choice(["ASIA", "EUROPE", None]), r.choice(["N1", "N2"]), r.choice(["Express", "Depot", "Super"]))
+             for i in range(6)]
+    existing = [(r.randint(0, 39), "S1", r.randint(1, 5), "done") for _ in range(15)]
+    schema = ("id long, recurrence string, scope string, scope_data string, start_date date, end_date date, "
+              "cycle_index int, cycle_start_date date, cycle_end_date date")
+    d_df = spark.createDataFrame(defs, schema)
+    s_df = spark.createDataFrame(sites, "site string, zone string, state string, store_type string")
+    e_df = spark.createDataFrame(existing, "project_id long, site string, cycle_index int, execution_status string")
+    got_rows, _ = projects.project_skeleton(d_df, s_df, e_df)
+    got_rows = Counter(tuple(x) for x in got_rows.collect())
+    got_defs = {x["id"]: (x["cycle_index"], x["cycle_start_date"], x["cycle_end_date"])
+                for x in projects.advance_definitions(d_df, e_df).collect()}
+    have = {(p, c) for p, _, c, _ in existing}
+    want_rows, want_defs = Counter(), {}
+    for pid, rec, scope, data, start, end, ci, cs, ce in defs:
+        want_defs[pid] = (ci, cs, ce)
+        if rec == "one-time":
+            idx, s0, e0 = 1, start, end
+        elif rec in months:
+            idx = (ci or 0) + 1
+            s0 = (ce or start) + dt.timedelta(days=1)
+            e0 = _add_months(s0, months[rec]) - dt.timedelta(days=1)
+        else:
+            continue  # the procedure raises
+        if (pid, idx) in have:
+            continue
+        attr = {"Zone": 1, "State": 2, "Store Type": 3}
+        if scope == "Global":
+            out = [s[0] for s in sites]
+        elif scope in attr:
+            vals = _pg_split(data)
+            out = [s[0] for s in sites if vals is not None and s[attr[scope]] is not None and s[attr[scope]] in vals]
+        elif scope == "Specified Sites":
+            out = _pg_split(data) or []
+        else:
+            continue  # the procedure raises
+        for site in out:
+            want_rows[(pid, site, idx, s0, e0, True, "pending")] += 1
+        want_defs[pid] = (idx, s0, e0)
+    assert got_rows == want_rows
+    assert got_defs == want_defs
