@@ -255,3 +255,46 @@ def test_p16_p17_equal_per_project_procedure(spark, seed):
         want_defs[pid] = (idx, s0, e0)
     assert got_rows == want_rows
     assert got_defs == want_defs
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_p19_fold_equals_sequential_procedure_calls(spark, seed):
+    from fieldlens.plans import jobs
+    r = random.Random(seed)
+    master = [(1, "a", T(2024, 1, 1), 15, "minute", None), (2, "b", T(2024, 1, 1), 1, "hour", T(2023, 12, 1)),
+              (3, "c", T(2024, 1, 1), 1, "day", None)]
+    runs = []
+    for seq in range(40):
+        st = T(2024, 1, 1) + dt.timedelta(minutes=r.randint(0, 600))
+        ended = None if r.random() < 0.2 else st + dt.timedelta(minutes=r.randint(0, 90))
+        status = None if ended is None else r.choice(["SUCCESS", "FAILED"])
+        runs.append((seq, r.choice(["a", "b", "c"]), st, ended, status, None))
+    m_df = spark.createDataFrame(master, "id long, name string, created_at timestamp_ntz, interval_value int, "
+                                         "interval_unit string, last_successful_at timestamp_ntz")
+    r_df = spark.createDataFrame(runs, "event_seq long, name string, started_at timestamp_ntz, ended_at timestamp_ntz, "
+                                       "status string, error_message string")
+    got = {x["name"]: x.asDict() for x in jobs.apply_job_events(r_df, m_df)[1].collect()}
+    secs = {"minute": 60, "hour": 3600, "day": 86400}
+    state = {m[1]: {"last_run_start_at": None, "last_run_end_at": None, "last_run_status": None,
+                    "last_successful_at": m[5], "next_run_at": None} for m in master}
+    spec = {m[1]: m for m in master}
+    events = []
+    for seq, name, st, en, status, _ in runs:
+        events.append((st, seq, 0, name, None))
+        if en is not None:
+            events.append((en, seq, 1, name, status))
+    for ts, seq, kind, name, status in sorted(events):
+        s = state[name]
+        if kind == 0:   # start_job_run
+            _, _, created, value, unit, _ = spec[name]
+            span = value * secs[unit]
+            k = int((ts - created).total_seconds() // span) + 1
+            s.update(last_run_start_at=ts, last_run_status="RUNNING",
+                     next_run_at=created + dt.timedelta(seconds=k * span))
+        else:           # end_job_run
+            s.update(last_run_end_at=ts, last_run_status=status)
+            if status == "SUCCESS":
+                s["last_successful_at"] = ts
+    for name, s in state.items():
+        for k, v in s.items():
+            assert got[name][k] == v, (seed, name, k)
