@@ -444,3 +444,21 @@ def test_reports_share_precomputed_counts(spark):
     counts = severity.closed_counts(srs, D(2024, 5, 9))
     for fn in (severity.severity_summary, severity.severity_pivot, severity.manager_report):
         assert rows(fn(None, staff, D(2024, 5, 9), counts=counts)) == rows(fn(srs, staff, D(2024, 5, 9)))
+
+
+def test_catalog_columns_feed_schema_diff(spark):
+    from fieldlens.sources.catalog import catalog_columns
+    dev = {"orders": spark.createDataFrame([], "o_id long not null, o_note string, o_ts timestamp_ntz"),
+           "lines": spark.createDataFrame([], "l_id long")}
+    qa = {"orders": spark.createDataFrame([], "o_id int not null, o_ts timestamp_ntz, o_old double"),
+          "legacy": spark.createDataFrame([], "x int")}
+    src, tgt = catalog_columns(spark, dev), catalog_columns(spark, qa)
+    assert rows(src, "table_name", "column_name", "data_type", "is_nullable") == [
+        ("lines", "l_id", "int8", "YES"), ("orders", "o_id", "int8", "NO"), ("orders", "o_note", "text", "YES"),
+        ("orders", "o_ts", "timestamp", "YES")]
+    tabs = rows(quality.schema_diff_tables(src, tgt))
+    assert tabs == [("Added Tables", "lines", "N/A"), ("Removed Tables", "legacy", "N/A")]
+    cols = {(r["column"], r["change"]): r["sql_query"] for r in quality.schema_diff_columns(src, tgt).collect()}
+    assert cols == {("o_note", "added"): "ALTER TABLE public.orders ADD COLUMN o_note text NULL;",
+                    ("o_old", "removed"): "ALTER TABLE public.orders DROP COLUMN o_old;",
+                    ("o_id", "modified"): "ALTER TABLE public.orders ALTER COLUMN o_id TYPE int8;"}
