@@ -1,7 +1,7 @@
 """Join strategies.
 
-``broadcast_if_small`` only hints a broadcast after measuring that the
-side is within a row and a byte bound; otherwise the plan is left to the optimizer
+``broadcast_if_small`` only hints a broadcast after measuring (one
+aggregate pass) that the side is within a row and a byte bound; otherwise the plan is left to the optimizer
 (sort-merge join, AQE may still convert from measured shuffle sizes and
 split skewed partitions).
 
@@ -52,12 +52,11 @@ def _row_bytes(df: DataFrame) -> Column:
 def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
              max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes
-    of data.  One pass over at most ``max_rows + 1`` rows (it stops past
-    the row bound), so checking a large input costs a bounded scan."""
-    # each row is reduced to its byte size before the limit, so only one
-    # long per row reaches the single limit partition
-    sizes = df.select(_row_bytes(df).alias("b")).limit(max_rows + 1)
-    r = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
+    of data, measured by one aggregate pass: each task sends a single
+    (count, bytes) row to the final sum.  (A ``limit`` would ship up to
+    ``max_rows`` rows per input partition into one partition, which on an
+    unexpectedly large input is far costlier than the scan itself.)"""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
     return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 
