@@ -462,3 +462,19 @@ def test_catalog_columns_feed_schema_diff(spark):
     assert cols == {("o_note", "added"): "ALTER TABLE public.orders ADD COLUMN o_note text NULL;",
                     ("o_old", "removed"): "ALTER TABLE public.orders DROP COLUMN o_old;",
                     ("o_id", "modified"): "ALTER TABLE public.orders ALTER COLUMN o_id TYPE int8;"}
+
+
+def test_manager_report_written_per_manager(spark):
+    import os
+    import tempfile
+    staff = spark.createDataFrame([staff_row(1), staff_row(2, assoc_manager_tid="AM2", manager_tid="M2")], STAFF_SCHEMA)
+    c = T(2024, 5, 3)
+    rep = severity.manager_report(_srs(spark, [("E1", 1, c, c, 0, 0), ("E2", 9, c, c, 0, 0)]), staff, D(2024, 5, 4))
+    out = tempfile.mkdtemp(prefix="mgr-report-") + "/report"
+    severity.write_manager_report(rep, out)
+    folders = sorted(f"{a}/{b}" for a in os.listdir(out) if a.startswith("role=")
+                     for b in os.listdir(os.path.join(out, a)) if b.startswith("manager="))
+    assert folders == ["role=Associate Manager/manager=AM1", "role=Associate Manager/manager=AM2",
+                       "role=Manager/manager=M1", "role=Manager/manager=M2"]
+    back = spark.read.parquet(out).where("role = 'Manager' AND manager = 'M2'").collect()
+    assert [(r["tech_id"], r["May-03"], r["Total_SRs"]) for r in back] == [("T2", "1 P5+", 1)]
