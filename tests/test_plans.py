@@ -36,3 +36,31 @@ def test_pivot_has_explicit_days(spark):
     df = QUERIES["p2_severity_pivot"][0](spark, SF_CHECK)
     assert "Pivot" not in df._jdf.queryExecution().optimizedPlan().toString()
     assert df.columns[7] == "1998-06-01"
+
+
+@pytest.mark.parametrize("name,partial", [
+    ("p1_severity_summary", "partial_count"),
+    ("p2_severity_pivot", "partial_count"),
+    ("p5_grid_all", "partial_count"),
+    ("p10_assign_mileage_by_date_range", "partial_max_by"),
+    ("p19_job_master_post_image", "partial_max_by"),
+    ("p20_schema_diff_tables", "partial_max"),   # bool_or is planned as max over booleans
+])
+def test_hot_keys_are_pre_aggregated_map_side(spark, name, partial):
+    plan = _plan(QUERIES[name][0](spark, SF_CHECK))
+    assert partial in plan, f"{name}: no map-side partial aggregate"
+
+
+@pytest.mark.parametrize("name", ["p5_grid_all", "p6_search_no_text", "p7_spec_search_names",
+                                  "p13_field_time_to_utc", "p14_rewrite_field_time_to_utc", "p18_job_slots",
+                                  "p19_job_master_post_image", "p16_project_skeleton"])
+def test_dimension_joins_broadcast_up_front(spark, name):
+    # planned before execution: the fact side is never shuffled for these joins
+    plan = QUERIES[name][0](spark, SF_CHECK)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan, name
+
+
+def test_grid_output_is_generated_after_the_last_shuffle(spark):
+    plan = _plan(QUERIES["p5_grid_all"][0](spark, SF_CHECK))
+    top = plan.split("Exchange")[0]
+    assert "Generate explode" in top   # the dense days come from a generator above every exchange
