@@ -185,6 +185,20 @@ def manager_report(srs: DataFrame | None, staff: DataFrame, as_of, counts: DataF
                             "Total_SRs")
 
 
+# Report name prefix per role.
+REPORT_PREFIX = {"Associate Manager": "AM_", "Manager": "MGR_"}
+
+
+def report_name(role: Column, manager: Column) -> Column:
+    """``AM_<manager>`` / ``MGR_<manager>`` with spaces as underscores."""
+    prefix = F.when(role == "Associate Manager", F.lit(REPORT_PREFIX["Associate Manager"])).otherwise(
+        F.lit(REPORT_PREFIX["Manager"]))
+    return F.concat(prefix, F.regexp_replace(manager, " ", "_"))
+
+
 def write_manager_report(report: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """One output folder per (role, manager), written by one distributed job."""
-    report.write.mode(mode).partitionBy("role", "manager").format(fmt).save(path)
+    """One output folder per report (``report=AM_<manager>`` or
+    ``report=MGR_<manager>``), all written by one distributed job; no
+    manager's rows are funnelled through a single task."""
+    (report.withColumn("report", report_name(F.col("role"), F.col("manager")))
+     .write.mode(mode).partitionBy("report").format(fmt).save(path))
