@@ -714,3 +714,25 @@ for _suffix in ("spring", "fall"):
 SELECT log_id, job_id, name, event_seq, run_count, scheduled_for, status, started_at, next_run_at FROM slots""")
 def q_p18_calendar(fx):
     return jobs.job_slots(fx["job_events"], fx["fts_job_master_calendar"])[0]
+
+
+# ---------------------------------------------------------------- the reference's SQL call surface
+from .sql_functions import register_sql_functions  # noqa: E402
+
+
+def _sql_call(views: tuple[str, ...], statement: str):
+    def build(fx):
+        register_sql_functions(fx.spark, {v: fx[v] for v in views})
+        return fx.spark.sql(statement)
+    return build
+
+
+register("p1_sql_get_severity_summary", ("siebel_srs", "staff_master"), _p1_sql(AS_OF))(
+    _sql_call(("siebel_srs", "staff_master"), f"SELECT * FROM get_severity_summary(DATE'{AS_OF}')"))
+register("p4_sql_get_severity_counts", ("siebel_srs",), _p4_sql("weekly", 2, None))(
+    _sql_call(("siebel_srs",), f"SELECT * FROM GetSeverityCounts(DATE'{TREND_START}', DATE'{TREND_END}', 2, NULL, 'weekly')"))
+register("p5_sql_get_daily_summary", _GRID_FX, _p5_sql(None, "M2"))(
+    _sql_call(("siebel_srs", "staff_master", "project_activities"),
+              f"SELECT * FROM get_daily_summary(DATE'{GRID_START}', DATE'{GRID_END}', manager_tid => 'M2')"))
+register("p6_sql_search_all_emp", _SEARCH_FX, _p6_sql("1 ann t5", "Open"))(
+    _sql_call(("new_hires", "employees"), "SELECT * FROM search_all_emp('1 ann t5', 'Open')"))

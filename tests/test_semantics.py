@@ -476,3 +476,22 @@ def test_manager_report_written_per_manager(spark):
     assert folders == ["report=AM_AM1", "report=AM_AM2", "report=MGR_M1", "report=MGR_M2"]
     back = spark.read.parquet(out).where("report = 'MGR_M2'").collect()
     assert [(r["tech_id"], r["May-03"], r["Total_SRs"]) for r in back] == [("T2", "1 P5+", 1)]
+
+
+def test_sql_surface_defaults_and_named_args(spark):
+    from fieldlens.sql_functions import register_sql_functions
+    staff = spark.createDataFrame([staff_row(1, assoc_manager_tid="AM1", manager_tid="M9")], STAFF_SCHEMA)
+    d = T(2024, 1, 2, 8)
+    srs = _srs(spark, [("E1", 1, d, d, 0, 0)])
+    acts = spark.createDataFrame([(1, 1, d, "Activity")], "id long, staff_id long, created_at timestamp_ntz, record_type string")
+    made = register_sql_functions(spark, {"siebel_srs": srs, "staff_master": staff, "project_activities": acts})
+    assert made == ["get_severity_summary", "GetSeverityCounts", "get_daily_summary"]
+    spark.sql("SELECT * FROM get_severity_summary()").collect()          # CURRENT_DATE default runs
+    got = spark.sql("SELECT * FROM get_daily_summary(DATE'2024-01-01', DATE'2024-01-03', assoc_manager_tid => 'AM1')")
+    assert rows(got, "report_date", "open_srs", "activity_count") == [
+        (D(2024, 1, 1), 0, 0), (D(2024, 1, 2), 1, 1), (D(2024, 1, 3), 0, 0)]
+    assert spark.sql("SELECT * FROM get_daily_summary(DATE'2024-01-01', DATE'2024-01-03', manager_tid => 'M1')").count() == 0
+    summ = spark.sql("SELECT * FROM get_severity_summary(DATE'2024-01-20')")
+    assert rows(summ, "tech_id", "bucket", "count") == [("T1", "1", 1)]
+    cnt = spark.sql("SELECT * FROM GetSeverityCounts(DATE'2024-01-01', DATE'2024-01-31', NULL, NULL, 'monthly')").collect()
+    assert [(r["aggregation_date"], r["open_sev1"], r["close_sev1"]) for r in cnt] == [(D(2024, 1, 1), 1, 1)]
