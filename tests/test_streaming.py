@@ -33,3 +33,28 @@ def test_stream_matches_batch(spark):
     batch = {r["name"]: tuple(r) for r in jobs.apply_job_events(all_runs, master)[1].collect()}
     assert streamed == batch
     assert streamed["a"][7] == "FAILED" and streamed["b"][7] == "RUNNING"
+
+
+def test_stream_restarts_from_its_checkpoint(spark):
+    master = spark.createDataFrame([(1, "a", T(2024, 1, 1), 1, "hour")],
+                                   "id long, name string, created_at timestamp_ntz, interval_value int, interval_unit string")
+    b1 = [(1, "a", T(2024, 1, 1, 1), T(2024, 1, 1, 2), "SUCCESS", None)]
+    b2 = [(2, "a", T(2024, 1, 1, 3), T(2024, 1, 1, 4), "FAILED", "x")]
+    src = tempfile.mkdtemp(prefix="ledger-src-")
+    out = tempfile.mkdtemp(prefix="ledger-out-") + "/master"
+    ckpt = tempfile.mkdtemp(prefix="ledger-ckpt-")
+    runs = spark.readStream.schema(RUN_SCHEMA).parquet(src)
+    spark.createDataFrame(b1, RUN_SCHEMA).write.mode("append").parquet(src)
+    q = start_job_ledger(spark, runs, master, out, checkpoint_location=ckpt)
+    q.processAllAvailable()
+    q.stop()                                   # the driver goes away; state lives in the checkpoint
+    spark.createDataFrame(b2, RUN_SCHEMA).write.mode("append").parquet(src)
+    q = start_job_ledger(spark, spark.readStream.schema(RUN_SCHEMA).parquet(src), master, out, checkpoint_location=ckpt)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    row = spark.read.parquet(out).first()
+    assert row["last_run_status"] == "FAILED"
+    assert row["last_successful_at"] == T(2024, 1, 1, 2)   # from the batch before the restart
+    assert row["next_run_at"] == T(2024, 1, 1, 4)
