@@ -1,7 +1,8 @@
 """Column catalogs (the input of the schema diffs) and database reads.
 
 ``catalog_columns`` describes Spark DataFrames/tables in the shape of
-``information_schema.columns``; ``jdbc_columns`` reads the real
+``information_schema.columns`` and ``spark_catalog_columns`` every table
+of a catalog database; ``jdbc_columns`` reads the real
 ``information_schema.columns`` of a PostgreSQL schema, and ``jdbc_table``
 reads a table or query with a partitioned JDBC scan.  No JDBC driver jar
 ships with this repository; the functions only need one on the cluster.
@@ -44,6 +45,19 @@ def catalog_columns(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFr
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
 
 
+def spark_catalog_columns(spark: SparkSession, database: str, include_temp_views: bool = False) -> DataFrame:
+    """Column catalog of every table in a Spark catalog database (the Spark
+    counterpart of one schema's ``information_schema.columns``): compare
+    two databases with P20/P21.  Only table metadata is read."""
+    tables = {}
+    for t in spark.catalog.listTables(database):
+        if t.isTemporary and not include_temp_views:
+            continue
+        name = t.name if t.isTemporary else f"{database}.{t.name}"
+        tables[t.name] = spark.table(name)
+    return catalog_columns(spark, tables)
+
+
 def jdbc_columns(spark: SparkSession, url: str, schema_name: str, properties: dict) -> DataFrame:
     """``information_schema.columns`` of one database schema (query pushed to the database)."""
     q = ("SELECT table_name, column_name, ordinal_position, udt_name AS data_type, "

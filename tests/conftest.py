@@ -10,8 +10,10 @@ SF_CHECK = os.environ.get("FIELDLENS_TEST_SF", "/root/testdata/sf0.01")
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from fieldlens.session import get_session
-    s = get_session("local[4]", app="fieldlens-tests", shuffle_partitions=4)
+    s = get_session("local[4]", app="fieldlens-tests", shuffle_partitions=4,
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="fieldlens-warehouse-")})
     yield s
     s.stop()
 

@@ -495,3 +495,18 @@ def test_sql_surface_defaults_and_named_args(spark):
     assert rows(summ, "tech_id", "bucket", "count") == [("T1", "1", 1)]
     cnt = spark.sql("SELECT * FROM GetSeverityCounts(DATE'2024-01-01', DATE'2024-01-31', NULL, NULL, 'monthly')").collect()
     assert [(r["aggregation_date"], r["open_sev1"], r["close_sev1"]) for r in cnt] == [(D(2024, 1, 1), 1, 1)]
+
+
+def test_spark_catalog_databases_compare(spark):
+    import tempfile
+    from fieldlens.sources.catalog import spark_catalog_columns
+    loc = tempfile.mkdtemp(prefix="catalog-")
+    for db in ("fl_dev", "fl_qa"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{loc}/{db}'")
+    spark.sql("CREATE TABLE IF NOT EXISTS fl_dev.jobs (id BIGINT, name STRING, note STRING) USING parquet")
+    spark.sql("CREATE TABLE IF NOT EXISTS fl_qa.jobs (id INT, name STRING) USING parquet")
+    spark.sql("CREATE TABLE IF NOT EXISTS fl_qa.old_logs (id INT) USING parquet")
+    src, tgt = spark_catalog_columns(spark, "fl_dev"), spark_catalog_columns(spark, "fl_qa")
+    assert rows(quality.schema_diff_tables(src, tgt)) == [("Removed Tables", "old_logs", "N/A")]
+    got = {(r["column"], r["change"]) for r in quality.schema_diff_columns(src, tgt).collect()}
+    assert got == {("note", "added"), ("id", "modified")}
