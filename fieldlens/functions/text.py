@@ -67,8 +67,10 @@ def pg_like_text(term: str) -> str:
 
 
 def contains_any(cols, terms) -> Column:
-    """OR over terms of (OR over cols of ``col ILIKE '%term%'``); NULL cells never match."""
-    preds = [_col(c).ilike(f"%{pg_like_text(t)}%") for t in terms for c in cols]
+    """OR over terms of (OR over cols of ``col ILIKE '%' || term || '%'``);
+    NULL cells never match.  The whole pattern is converted, so a term
+    ending in a backslash escapes the closing ``%`` as in PostgreSQL."""
+    preds = [_col(c).ilike(pg_like_text(f"%{t}%")) for t in terms for c in cols]
     return reduce(or_, preds)
 
 

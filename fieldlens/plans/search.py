@@ -83,7 +83,7 @@ def _spec_pred(side: str, col: str, kind: str, value):
     if kind == "eq":
         return c == F.lit(value)
     if kind == "like":
-        return c.like(pg_like_text(str(value)) + "%")
+        return c.like(pg_like_text(f"{value}%"))
     raise ValueError(f"unknown filter kind {kind!r}")
 
 

@@ -298,3 +298,51 @@ def test_p19_fold_equals_sequential_procedure_calls(spark, seed):
     for name, s in state.items():
         for k, v in s.items():
             assert got[name][k] == v, (seed, name, k)
+
+
+def _pg_ilike(value, pattern):
+    """PostgreSQL ILIKE: % any run, _ any char, backslash makes the next char literal."""
+    import re
+    if value is None:
+        return False
+    out, i = [], 0
+    while i < len(pattern):
+        ch = pattern[i]
+        if ch == "\\":
+            out.append(re.escape(pattern[i + 1]))
+            i += 2
+            continue
+        out.append(".*" if ch == "%" else "." if ch == "_" else re.escape(ch))
+        i += 1
+    return re.fullmatch("".join(out), value, flags=re.IGNORECASE | re.DOTALL) is not None
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_p6_search_equals_pg_ilike(spark, seed):
+    from fieldlens.plans import search
+    r = random.Random(seed)
+    alphabet = ["a", "B", "c", "%", "_", "\\", "1", "x"]
+    def word(n):
+        return "".join(r.choice(alphabet) for _ in range(n))
+    hires = [(i, word(r.randint(1, 6)), "n", "p", "d", r.choice(["Open", "Hold"]), "Joined", "Z1",
+              r.choice([None, 1, 2]), 9) for i in range(40)]
+    emps = [(1, word(4), None), (2, word(3), word(2)), (9, "Boss", "Man")]
+    h_df = spark.createDataFrame(hires, "id long, req_num string, name string, position string, department string, "
+                                        "req_status string, hire_status string, zone string, old_emp_id long, manager_id long")
+    e_df = spark.createDataFrame(emps, "id long, first_name string, last_name string")
+    for _ in range(6):
+        terms = [word(r.randint(0, 3)) for _ in range(r.randint(1, 3))]
+        text = " ".join(terms)
+        if not text:
+            continue
+        got = sorted(x["emp_id"] for x in search.search_hires(h_df, e_df, text, pos_status="Open").collect())
+        emp = {e[0]: e for e in emps}
+        want = []
+        for h in hires:
+            e = emp.get(h[8])
+            if h[5] != "Open":
+                continue
+            if any(_pg_ilike(v, f"%{t}%") for t in text.split(" ")
+                   for v in (h[1], e and e[1], e and e[2])):
+                want.append(h[0])
+        assert got == sorted(want), (seed, text)

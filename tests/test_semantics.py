@@ -510,3 +510,13 @@ def test_spark_catalog_databases_compare(spark):
     assert rows(quality.schema_diff_tables(src, tgt)) == [("Removed Tables", "old_logs", "N/A")]
     got = {(r["column"], r["change"]) for r in quality.schema_diff_columns(src, tgt).collect()}
     assert got == {("note", "added"), ("id", "modified")}
+
+
+def test_term_ending_in_backslash_escapes_the_closing_wildcard(spark):
+    hires = spark.createDataFrame([(1, "AB%", 9), (2, "AB%x", 9), (3, "ab", 9)],
+                                  "id long, req_num string, manager_id long").select(
+        "*", F.lit(None).cast("long").alias("old_emp_id"), F.lit("Open").alias("req_status"),
+        F.lit("J").alias("hire_status"), F.lit("Z").alias("zone"))
+    emps = spark.createDataFrame([(9, "Boss", "Man")], "id long, first_name string, last_name string")
+    # pattern '%b\\%' : ends with 'b%' (PostgreSQL semantics of '%' || term || '%')
+    assert rows(search.search_hires(hires, emps, "b\\"), "emp_id") == [(1,)]
