@@ -76,14 +76,18 @@ def validate_field_json(rows_with_json: DataFrame, metadata: DataFrame, key: str
     cols = [c for c in rows_with_json.columns if c != json_col]
     if not is_small(metadata, MAX_FIELDS):
         raise ValueError(f"field metadata has more than {MAX_FIELDS} rows")
-    fmap = metadata.select(F.map_from_entries(F.collect_list(F.struct("field_name", "column_name")))).scalar()
+    # field name -> its column names (a field named twice joins twice, as
+    # in the reference's join; a NULL field name joins nothing)
+    fmap = (metadata.where(F.col("field_name").isNotNull())
+            .groupBy("field_name").agg(F.collect_list("column_name").alias("cols"))
+            .select(F.map_from_entries(F.collect_list(F.struct("field_name", "cols")))).scalar())
     tmap = _value_map(rows_with_json, cols, as_text=True)
     x = (rows_with_json
          .withColumn("__fmap", fmap)
          .select(F.col(key), tmap.alias("__vals"), "__fmap",
                  F.explode(F.from_json(json_col, ELEMENT_SCHEMA)).alias("__e"))
-         .withColumn("column_name", F.try_element_at("__fmap", F.col("__e.field_name")))
-         .where(F.col("column_name").isNotNull()))
+         .select(key, "__vals", "__e",
+                 F.explode(F.try_element_at("__fmap", F.col("__e.field_name"))).alias("column_name")))
     orig = F.try_element_at("__vals", F.col("column_name"))
     jv = F.col("__e.value")
     present = F.map_contains_key("__vals", F.col("column_name"))

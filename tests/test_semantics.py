@@ -520,3 +520,14 @@ def test_term_ending_in_backslash_escapes_the_closing_wildcard(spark):
     emps = spark.createDataFrame([(9, "Boss", "Man")], "id long, first_name string, last_name string")
     # pattern '%b\\%' : ends with 'b%' (PostgreSQL semantics of '%' || term || '%')
     assert rows(search.search_hires(hires, emps, "b\\"), "emp_id") == [(1,)]
+
+
+def test_validate_with_repeated_and_null_field_names(spark):
+    rows_df = spark.createDataFrame([(1, "B1", 5)], "site long, p_brand string, p_size int")
+    meta = spark.createDataFrame([("Brand", "B", "p_brand"), ("Size", "S", "p_size")],
+                                 "field_name string, field_display_name string, column_name string")
+    built = jsonfields.build_field_json(rows_df, meta, keep_row=True)
+    meta2 = spark.createDataFrame([("Brand", "B", "p_brand"), ("Brand", "B2", "p_size"), (None, "X", "p_size")],
+                                  "field_name string, field_display_name string, column_name string")
+    got = rows(jsonfields.validate_field_json(built, meta2), "column_name", "json_value", "validation_result")
+    assert got == [("p_brand", "B1", "MATCH"), ("p_size", "B1", "MISMATCH")]
