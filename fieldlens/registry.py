@@ -239,7 +239,8 @@ _SEARCH_FX = ("new_hires", "employees")
 for _name, _args in (("p6_search_terms_open", ("1 ann t5", "Open", None, None)),
                      ("p6_search_no_text", (None, None, None, None)),
                      ("p6_search_zone_z1", (None, None, None, "Z1")),
-                     ("p6_search_double_space_joined", ("dee  z", None, "Joined", None))):
+                     ("p6_search_double_space_joined", ("dee  z", None, "Joined", None)),
+                     ("p6_search_wildcard_terms", ("#00_1_ l%t3", None, None, "Z2"))):
     def _mk(args=_args):
         return lambda fx: search.search_hires(fx["new_hires"], fx["employees"], *args)
     register(_name, _SEARCH_FX, _p6_sql(*_args))(_mk())
