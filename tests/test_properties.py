@@ -346,3 +346,34 @@ def test_p6_search_equals_pg_ilike(spark, seed):
                    for v in (h[1], e and e[1], e and e[2])):
                 want.append(h[0])
         assert got == sorted(want), (seed, text)
+
+
+def test_local_to_utc_every_half_hour_of_2024(spark):
+    """Every wall time of 2024 (30-minute steps) in each mapped zone, against
+    zoneinfo under PostgreSQL's reading: an ambiguous time is standard time,
+    a skipped time takes the offset in force before the jump."""
+    from zoneinfo import ZoneInfo
+    from pyspark.sql import functions as F
+    from fieldlens.functions.dates import ZONE_NAMES, iso_utc_text, local_to_utc, zone_name
+    utc = dt.timezone.utc
+    rows, want = [], {}
+    start = T(2024, 1, 1)
+    for label, zname in list(ZONE_NAMES.items()) + [("Other", "UTC")]:
+        z = ZoneInfo(zname)
+        for k in range(366 * 48):
+            wall = start + dt.timedelta(minutes=30 * k)
+            a, b = wall.replace(tzinfo=z, fold=0), wall.replace(tzinfo=z, fold=1)
+            trips = [x for x in (a, b) if x.astimezone(utc).astimezone(z).replace(tzinfo=None) == wall]
+            if len(trips) == 2 and a.utcoffset() != b.utcoffset():
+                u = max(trips, key=lambda x: x.astimezone(utc))      # ambiguous: the later instant
+            elif trips:
+                u = trips[0]
+            else:
+                u = a                                                  # skipped: offset before the jump
+            want[(label, wall)] = u.astimezone(utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+            rows.append((label, wall))
+    df = spark.createDataFrame(rows, "label string, wall timestamp_ntz")
+    got = df.select("label", "wall", iso_utc_text(local_to_utc(F.col("wall"), zone_name(F.col("label")))).alias("u"))
+    bad = [(r["label"], r["wall"], r["u"], want[(r["label"], r["wall"])]) for r in got.collect()
+           if r["u"] != want[(r["label"], r["wall"])]]
+    assert not bad, bad[:5]
