@@ -531,3 +531,15 @@ def test_validate_with_repeated_and_null_field_names(spark):
                                   "field_name string, field_display_name string, column_name string")
     got = rows(jsonfields.validate_field_json(built, meta2), "column_name", "json_value", "validation_result")
     assert got == [("p_brand", "B1", "MATCH"), ("p_size", "B1", "MISMATCH")]
+
+
+def test_mileage_winner_with_null_emp_ids(spark):
+    alloc = spark.createDataFrame(
+        [(1, None, D(2024, 1, 5), D(2024, 1, 10), True), (1, 3, D(2024, 1, 1), D(2024, 1, 10), True),
+         (2, None, D(2024, 1, 5), D(2024, 1, 10), True), (2, 4, D(2024, 1, 5), D(2024, 1, 10), True)],
+        "van_number long, emp_id long, start_date date, end_date date, is_active boolean")
+    mil = spark.createDataFrame([(1, D(2024, 1, 6), -1), (1, D(2024, 1, 2), -1), (2, D(2024, 1, 6), -1)],
+                                "van_number long, mileage_date date, emp_id long")
+    got = rows(changes.assign_by_date_range(mil, alloc), "van_number", "mileage_date", "emp_id")
+    # latest start wins even with a NULL emp_id; at an equal start the NULL emp_id comes last
+    assert got == [(1, D(2024, 1, 2), 3), (1, D(2024, 1, 6), None), (2, D(2024, 1, 6), 4)]
