@@ -543,3 +543,16 @@ def test_mileage_winner_with_null_emp_ids(spark):
     got = rows(changes.assign_by_date_range(mil, alloc), "van_number", "mileage_date", "emp_id")
     # latest start wins even with a NULL emp_id; at an equal start the NULL emp_id comes last
     assert got == [(1, D(2024, 1, 2), 3), (1, D(2024, 1, 6), None), (2, D(2024, 1, 6), 4)]
+
+
+def test_trend_week_boundary_invalid_level_and_managers(spark):
+    srs = _srs(spark, [("E1", 2, T(2024, 1, 7, 23), None, 1, 1),     # Sunday -> week of Mon 2024-01-01
+                       ("E1", 2, T(2024, 1, 8, 0), None, 1, 2),      # Monday -> week of 2024-01-08
+                       ("E1", 2, T(2024, 1, 8, 5), None, 3, 2)])
+    wk = {r["aggregation_date"]: r["open_sev2"] for r in
+          severity.severity_trend(srs, D(2024, 1, 1), D(2024, 1, 31), level="weekly").collect()}
+    assert wk == {D(2024, 1, 1): 1, D(2024, 1, 8): 2}
+    bad = {r["aggregation_date"] for r in severity.severity_trend(srs, D(2024, 1, 1), D(2024, 1, 31), level="yearly").collect()}
+    assert bad == {D(2024, 1, 7), D(2024, 1, 8)}                    # unknown level: daily
+    both = severity.severity_trend(srs, D(2024, 1, 1), D(2024, 1, 31), assoc_mgr_id=1, manager_id=2).collect()
+    assert [(r["aggregation_date"], r["open_sev2"]) for r in both] == [(D(2024, 1, 8), 1)]
