@@ -556,3 +556,11 @@ def test_trend_week_boundary_invalid_level_and_managers(spark):
     assert bad == {D(2024, 1, 7), D(2024, 1, 8)}                    # unknown level: daily
     both = severity.severity_trend(srs, D(2024, 1, 1), D(2024, 1, 31), assoc_mgr_id=1, manager_id=2).collect()
     assert [(r["aggregation_date"], r["open_sev2"]) for r in both] == [(D(2024, 1, 8), 1)]
+
+
+def test_recent_rows_on_zone_aware_timestamps(spark):
+    ev = spark.createDataFrame([(T(2024, 1, 12, 23),), (T(2024, 1, 13, 0),)], "ts timestamp")
+    got = quality.recent_rows(ev, "ts", T(2024, 1, 20)).collect()
+    assert [r["ts"] for r in got] == [T(2024, 1, 13, 0)]
+    dates = spark.createDataFrame([(D(2024, 1, 12),), (D(2024, 1, 13),)], "d date")
+    assert [r["d"] for r in quality.recent_rows(dates, "d", D(2024, 1, 20)).collect()] == [D(2024, 1, 13)]
