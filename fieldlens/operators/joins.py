@@ -1,9 +1,9 @@
 """Join strategies.
 
 ``broadcast_if_small`` only hints a broadcast after measuring (one
-aggregate pass) that the side is within a row and a byte bound; otherwise the plan is left to the optimizer
-(sort-merge join, AQE may still convert from measured shuffle sizes and
-split skewed partitions).
+aggregate pass) that the side is within a row and a byte bound;
+otherwise the plan is left to the optimizer (sort-merge join; AQE may
+still convert from measured shuffle sizes and split skewed partitions).
 
 ``left_join_nulls_aside`` is a left outer join in which rows with a NULL
 join key skip the shuffle: they can never match, and a mass of NULL keys
