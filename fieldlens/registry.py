@@ -737,3 +737,16 @@ register("p5_sql_get_daily_summary", _GRID_FX, _p5_sql(None, "M2"))(
               f"SELECT * FROM get_daily_summary(DATE'{GRID_START}', DATE'{GRID_END}', manager_tid => 'M2')"))
 register("p6_sql_search_all_emp", _SEARCH_FX, _p6_sql("1 ann t5", "Open"))(
     _sql_call(("new_hires", "employees"), "SELECT * FROM search_all_emp('1 ann t5', 'Open')"))
+
+
+# ---------------------------------------------------------------- more parameter paths
+@register("p22_datatype_sheet_flags_nulls_equal", ("datatype_sheet",),
+          _p22_sql("datatype_sheet", quality.DATATYPE_SHEET_PAIRS, "equal"))
+def q_p22_equal(fx):
+    return quality.pair_diff_flags(fx["datatype_sheet"], quality.DATATYPE_SHEET_PAIRS, nulls="equal")
+
+
+@register("p25_recent_events_1_day", (), f"""
+SELECT * FROM events WHERE ts >= TIMESTAMP '{RECENT_AS_OF}' - INTERVAL 1 DAY""")
+def q_p25_1day(fx):
+    return quality.recent_rows(fx["events"], "ts", RECENT_AS_OF, days=1)
