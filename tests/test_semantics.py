@@ -564,3 +564,14 @@ def test_recent_rows_on_zone_aware_timestamps(spark):
     assert [r["ts"] for r in got] == [T(2024, 1, 13, 0)]
     dates = spark.createDataFrame([(D(2024, 1, 12),), (D(2024, 1, 13),)], "d date")
     assert [r["d"] for r in quality.recent_rows(dates, "d", D(2024, 1, 20)).collect()] == [D(2024, 1, 13)]
+
+
+def test_sql_surface_with_bound_parameters(spark):
+    from fieldlens.sql_functions import register_sql_functions
+    hires, emps = _hires(spark)
+    register_sql_functions(spark, {"new_hires": hires, "employees": emps})
+    got = spark.sql("SELECT * FROM search_all_emp(:text, pos_status_filter => :pos)",
+                    args={"text": "smith", "pos": "Open"})
+    assert rows(got, "emp_id", "manager_name") == [(1, "John Boss")]
+    none = spark.sql("SELECT * FROM search_all_emp(:text)", args={"text": None})
+    assert rows(none, "emp_id") == [(1,), (2,)]
