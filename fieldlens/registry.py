@@ -750,3 +750,7 @@ def q_p22_equal(fx):
 SELECT * FROM events WHERE ts >= TIMESTAMP '{RECENT_AS_OF}' - INTERVAL 1 DAY""")
 def q_p25_1day(fx):
     return quality.recent_rows(fx["events"], "ts", RECENT_AS_OF, days=1)
+register("p3_sql_pivot_severity_summary_json", ("siebel_srs", "staff_master"),
+         _p2_sql(AS_OF).replace("\nSELECT st.tech_id", ",\npiv AS (SELECT st.tech_id", 1)
+         + ")\nSELECT to_json(piv) AS json FROM piv")(
+    _sql_call(("siebel_srs", "staff_master"), f"SELECT * FROM pivot_severity_summary_json(DATE'{AS_OF}')"))

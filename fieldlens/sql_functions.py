@@ -1,8 +1,10 @@
 """SQL surface: the reference's table functions as Spark SQL table functions.
 
 Users of the reference call ``SELECT * FROM get_severity_summary()``,
-``get_daily_summary(start, end)``, ``GetSeverityCounts(...)`` and
-``search_all_emp(...)``.  :func:`register_sql_functions` binds the domain
+``get_daily_summary(start, end)``, ``GetSeverityCounts(...)``,
+``search_all_emp(...)`` and ``pivot_severity_summary_json()``.  The last
+returns one JSON document per staff member here (JSON lines, the same
+documents as P3) rather than one array value.  :func:`register_sql_functions` binds the domain
 tables as temporary views and creates temporary SQL table functions with
 the same names, parameters, defaults and output columns, so those
 statements run unchanged on Spark (``CURRENT_DATE`` defaults included).
@@ -148,6 +150,37 @@ WHERE (search_text IS NULL OR search_text = ''
 """
 
 
+PIVOT_SEVERITY_SUMMARY_JSON = f"""
+CREATE OR REPLACE TEMPORARY FUNCTION pivot_severity_summary_json(as_of DATE DEFAULT current_date())
+RETURNS TABLE (json STRING)
+RETURN
+WITH c AS (
+  SELECT siebel_id, to_date(closed_date) AS d, {_BUCKET} AS b, count(1) AS n
+  FROM siebel_srs
+  WHERE to_date(closed_date) BETWEEN trunc(pivot_severity_summary_json.as_of, 'MM')
+                                 AND date_sub(pivot_severity_summary_json.as_of, 1)
+  GROUP BY 1, 2, 3),
+e AS (
+  SELECT siebel_id, sum(n) AS total,
+         array_sort(collect_list(CASE WHEN b IS NOT NULL THEN struct(d, b, concat(CAST(n AS STRING), ' P', b) AS t) END))
+           AS cells
+  FROM c GROUP BY siebel_id)
+SELECT to_json(map_concat(
+         map('tech_id', CAST(st.tech_id AS VARIANT), 'first_name', CAST(st.first_name AS VARIANT),
+             'state', CAST(st.state AS VARIANT), 'city', CAST(st.city AS VARIANT), 'zone', CAST(st.zone AS VARIANT),
+             'team', CAST(st.team AS VARIANT), 'Total SRs', CAST(e.total AS VARIANT)),
+         map_from_entries(transform(
+           CASE WHEN trunc(pivot_severity_summary_json.as_of, 'MM') <= date_sub(pivot_severity_summary_json.as_of, 1)
+                THEN sequence(trunc(pivot_severity_summary_json.as_of, 'MM'), date_sub(pivot_severity_summary_json.as_of, 1))
+                ELSE array() END,
+           day -> struct(
+           CAST(day AS STRING),
+           CAST(CASE WHEN size(filter(e.cells, x -> x.d = day)) > 0
+                     THEN array_join(transform(filter(e.cells, x -> x.d = day), x -> x.t), ', ') END AS VARIANT)))))) AS json
+FROM staff_master st JOIN e ON e.siebel_id = st.emp_id
+"""
+
+
 def register_sql_functions(spark: SparkSession, tables: dict[str, DataFrame]) -> list[str]:
     """Bind ``tables`` (keys from :data:`VIEWS`) as temporary views and create
     the table functions whose inputs are all bound.  Returns their names."""
@@ -160,7 +193,8 @@ def register_sql_functions(spark: SparkSession, tables: dict[str, DataFrame]) ->
     for fn, needs, ddl in (("get_severity_summary", {"siebel_srs", "staff_master"}, GET_SEVERITY_SUMMARY),
                            ("GetSeverityCounts", {"siebel_srs"}, _severity_counts_ddl()),
                            ("get_daily_summary", {"siebel_srs", "staff_master", "project_activities"}, GET_DAILY_SUMMARY),
-                           ("search_all_emp", {"new_hires", "employees"}, SEARCH_ALL_EMP)):
+                           ("search_all_emp", {"new_hires", "employees"}, SEARCH_ALL_EMP),
+                           ("pivot_severity_summary_json", {"siebel_srs", "staff_master"}, PIVOT_SEVERITY_SUMMARY_JSON)):
         if needs <= have:
             spark.sql(ddl)
             created.append(fn)

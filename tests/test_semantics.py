@@ -485,7 +485,11 @@ def test_sql_surface_defaults_and_named_args(spark):
     srs = _srs(spark, [("E1", 1, d, d, 0, 0)])
     acts = spark.createDataFrame([(1, 1, d, "Activity")], "id long, staff_id long, created_at timestamp_ntz, record_type string")
     made = register_sql_functions(spark, {"siebel_srs": srs, "staff_master": staff, "project_activities": acts})
-    assert made == ["get_severity_summary", "GetSeverityCounts", "get_daily_summary"]
+    assert made == ["get_severity_summary", "GetSeverityCounts", "get_daily_summary", "pivot_severity_summary_json"]
+    js = [r["json"] for r in spark.sql("SELECT * FROM pivot_severity_summary_json(DATE'2024-01-04')").collect()]
+    assert js == ['{"tech_id":"T1","first_name":"Ann","state":"S","city":"C","zone":"Z","team":"X","Total SRs":1,'
+                  '"2024-01-01":null,"2024-01-02":"1 P1","2024-01-03":null}']
+    assert spark.sql("SELECT * FROM pivot_severity_summary_json(DATE'2024-01-01')").count() == 0   # 1st: empty
     spark.sql("SELECT * FROM get_severity_summary()").collect()          # CURRENT_DATE default runs
     got = spark.sql("SELECT * FROM get_daily_summary(DATE'2024-01-01', DATE'2024-01-03', assoc_manager_tid => 'AM1')")
     assert rows(got, "report_date", "open_srs", "activity_count") == [
