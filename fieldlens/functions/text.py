@@ -38,6 +38,9 @@ def pg_split(col, delimiter: str) -> Column:
     nothing is trimmed.  The delimiter is literal text, not a regex.
     """
     c = _col(col)
+    if delimiter == "":
+        # an empty delimiter leaves the whole text as one element
+        return F.when(c.isNull(), F.lit(None)).when(c == "", F.array().cast("array<string>")).otherwise(F.array(c))
     pattern = "\\Q" + delimiter + "\\E"
     return (F.when(c.isNull(), F.lit(None))
             .when(c == "", F.array().cast("array<string>"))

@@ -70,6 +70,8 @@ def left_join_nulls_aside(left: DataFrame, right: DataFrame, keys: list[tuple[st
     [(l, r), ...].  Left rows with any NULL key are unioned back with NULL
     right-hand columns instead of being shuffled.  Column names of the
     two sides must be distinct."""
+    if not keys:
+        raise ValueError("left_join_nulls_aside needs at least one key pair")
     has_keys = None
     cond = None
     for lk, rk in keys:

@@ -579,3 +579,11 @@ def test_sql_surface_with_bound_parameters(spark):
     assert rows(got, "emp_id", "manager_name") == [(1, "John Boss")]
     none = spark.sql("SELECT * FROM search_all_emp(:text)", args={"text": None})
     assert rows(none, "emp_id") == [(1,), (2,)]
+
+
+def test_pg_split_empty_delimiter_and_keyless_join(spark):
+    from fieldlens.operators.joins import left_join_nulls_aside
+    df = spark.createDataFrame([("a,b",), ("",), (None,)], "s string")
+    assert [r[0] for r in df.select(pg_split(F.col("s"), "")).collect()] == [["a,b"], [], None]
+    with pytest.raises(ValueError):
+        left_join_nulls_aside(df, df.select(F.col("s").alias("t")), [])
