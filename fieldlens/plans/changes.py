@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import ts_literal
 from ..operators.joins import expand_days, left_join_nulls_aside
@@ -66,12 +67,17 @@ def assign_by_date_range(mileage: DataFrame, allocations: DataFrame, active_only
     # winner order (latest start, then lowest emp_id, NULL emp_id last) as one
     # fixed-width decimal, so the aggregate runs hash-based (a struct order
     # would force a sort-based aggregate over every expanded day)
-    start_days = F.datediff(F.col("start_date"), F.lit("1970-01-01").cast("date")).cast("decimal(38,0)")
-    emp_rank = F.when(F.col("emp_id").isNull(), F.lit(0)).otherwise(
-        F.lit("20000000000000000000").cast("decimal(38,0)") - F.col("emp_id").cast("decimal(38,0)"))
-    order = (start_days * F.lit("100000000000000000000").cast("decimal(38,0)") + emp_rank).cast("decimal(38,0)")
+    start_days = F.datediff(F.col("start_date"), F.lit("1970-01-01").cast("date"))
+    if isinstance(a.schema["emp_id"].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        emp_rank = F.when(F.col("emp_id").isNull(), F.lit(0)).otherwise(
+            F.lit("20000000000000000000").cast("decimal(38,0)") - F.col("emp_id").cast("decimal(38,0)"))
+        order = (start_days.cast("decimal(38,0)") * F.lit("100000000000000000000").cast("decimal(38,0)")
+                 + emp_rank).cast("decimal(38,0)")
+        pick = F.max_by("emp_id", order)
+    else:  # other id types: the same order as a struct (sort-based aggregate)
+        pick = F.min_by("emp_id", F.struct(-start_days, F.col("emp_id").isNull(), F.col("emp_id")))
     winner = (days.groupBy(F.col("van_number").alias("a_van"), "a_day")
-              .agg(F.max_by("emp_id", order).alias("a_emp")))
+              .agg(pick.alias("a_emp")))
     j = left_join_nulls_aside(mileage, winner, [("van_number", "a_van"), ("mileage_date", "a_day")])
     return j.select(*[F.when(F.col("a_day").isNotNull(), F.col("a_emp")).otherwise(F.col("emp_id"))
                       .cast(mileage.schema["emp_id"].dataType).alias("emp_id")

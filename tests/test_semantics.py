@@ -587,3 +587,15 @@ def test_pg_split_empty_delimiter_and_keyless_join(spark):
     assert [r[0] for r in df.select(pg_split(F.col("s"), "")).collect()] == [["a,b"], [], None]
     with pytest.raises(ValueError):
         left_join_nulls_aside(df, df.select(F.col("s").alias("t")), [])
+
+
+def test_mileage_winner_with_text_emp_ids(spark):
+    alloc = spark.createDataFrame(
+        [(1, None, D(2024, 1, 5), D(2024, 1, 10), True), (1, "E3", D(2024, 1, 1), D(2024, 1, 10), True),
+         (2, None, D(2024, 1, 5), D(2024, 1, 10), True), (2, "E4", D(2024, 1, 5), D(2024, 1, 10), True),
+         (2, "E2", D(2024, 1, 5), D(2024, 1, 10), True)],
+        "van_number long, emp_id string, start_date date, end_date date, is_active boolean")
+    mil = spark.createDataFrame([(1, D(2024, 1, 6), "x"), (1, D(2024, 1, 2), "x"), (2, D(2024, 1, 6), "x")],
+                                "van_number long, mileage_date date, emp_id string")
+    got = rows(changes.assign_by_date_range(mil, alloc), "van_number", "mileage_date", "emp_id")
+    assert got == [(1, D(2024, 1, 2), "E3"), (1, D(2024, 1, 6), None), (2, D(2024, 1, 6), "E2")]
