@@ -599,3 +599,12 @@ def test_mileage_winner_with_text_emp_ids(spark):
                                 "van_number long, mileage_date date, emp_id string")
     got = rows(changes.assign_by_date_range(mil, alloc), "van_number", "mileage_date", "emp_id")
     assert got == [(1, D(2024, 1, 2), "E3"), (1, D(2024, 1, 6), None), (2, D(2024, 1, 6), "E2")]
+
+
+def test_spark_catalog_columns_with_temp_views(spark):
+    from fieldlens.sources.catalog import spark_catalog_columns
+    spark.sql("CREATE DATABASE IF NOT EXISTS fl_views")
+    spark.createDataFrame([(1, "a")], "k long, v string").createOrReplaceTempView("fl_tmp_view")
+    names = {r["table_name"] for r in spark_catalog_columns(spark, "fl_views", include_temp_views=True).collect()}
+    assert "fl_tmp_view" in names
+    assert "fl_tmp_view" not in {r["table_name"] for r in spark_catalog_columns(spark, "fl_views").collect()}
