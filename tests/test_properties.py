@@ -377,3 +377,52 @@ def test_local_to_utc_every_half_hour_of_2024(spark):
     bad = [(r["label"], r["wall"], r["u"], want[(r["label"], r["wall"])]) for r in got.collect()
            if r["u"] != want[(r["label"], r["wall"])]]
     assert not bad, bad[:5]
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_p21_equals_set_based_compare(spark, seed):
+    from fieldlens.plans import quality
+    r = random.Random(seed)
+    def catalog():
+        out = []
+        for t in ("t1", "t2", "t3"):
+            if r.random() < 0.2:
+                continue
+            for c in ("a", "b", "c", "d"):
+                if r.random() < 0.3:
+                    continue
+                out.append((t, c, 1, r.choice(["int4", "int8", "text"]), r.choice([None, 0, 50]),
+                            r.choice(["YES", "NO"]), r.choice([None, "", "now()"])))
+        return out
+    src_rows, tgt_rows = catalog(), catalog()
+    schema = ("table_name string, column_name string, ordinal_position int, data_type string, max_length int, "
+              "is_nullable string, column_default string")
+    got = {(x["table"], x["column"]): (x["change"], x["sql_query"]) for x in
+           quality.schema_diff_columns(spark.createDataFrame(src_rows, schema),
+                                       spark.createDataFrame(tgt_rows, schema)).collect()}
+    src = {(x[0], x[1]): (x[3], x[4], x[5], x[6]) for x in src_rows}
+    tgt = {(x[0], x[1]): (x[3], x[4], x[5], x[6]) for x in tgt_rows}
+    both_tables = {t for t, _ in src} & {t for t, _ in tgt}
+    want = {}
+    for (t, c), (dtype, mlen, nul, dflt) in src.items():
+        if t not in both_tables:
+            continue
+        typ = dtype + (f"({mlen})" if mlen else "")
+        if (t, c) not in tgt:
+            sql = f"ALTER TABLE public.{t} ADD COLUMN {c} {typ}" + (" NOT NULL" if nul.lower() == "no" else " NULL") \
+                  + (f" DEFAULT {dflt}" if dflt else "") + ";"
+            want[(t, c)] = ("added", sql)
+        elif (dtype, mlen, nul, dflt) != tgt[(t, c)]:
+            tdtype, tmlen, tnul, tdflt = tgt[(t, c)]
+            acts = []
+            if dtype != tdtype or mlen != tmlen:
+                acts.append(f"ALTER COLUMN {c} TYPE {typ}")
+            if nul != tnul:
+                acts.append(f"ALTER COLUMN {c} " + ("SET NOT NULL" if nul.lower() == "no" else "DROP NOT NULL"))
+            if dflt != tdflt:
+                acts.append(f"ALTER COLUMN {c} " + (f"SET DEFAULT {dflt}" if dflt is not None else "DROP DEFAULT"))
+            want[(t, c)] = ("modified", f"ALTER TABLE public.{t} " + ", ".join(acts) + ";")
+    for (t, c) in tgt:
+        if t in both_tables and (t, c) not in src:
+            want[(t, c)] = ("removed", f"ALTER TABLE public.{t} DROP COLUMN {c};")
+    assert got == want
