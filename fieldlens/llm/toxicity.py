@@ -33,12 +33,12 @@ from pyspark.sql import DataFrame, functions as F
 from .common import among, drop_written, smallest_ids, with_columns, written
 from .textbytes import mixed, slices, words
 
-PER_CLASS = 1500
+PER_CLASS = 3000
 SEGMENT = 32
-SEGMENTS = 3000
-MIN_RATIO = 8.0
+SEGMENTS = 2000
+MIN_RATIO = 30.0
 SPAN = 0.5
-ROUNDS = 40
+ROUNDS = 60
 
 
 @dataclass
@@ -164,8 +164,8 @@ def fit_chain(hashes: np.ndarray, labels: np.ndarray, first: np.ndarray, rounds:
         rest = np.concatenate([[miss.sum()], (moved - expected).ravel(), begun - begin_now])
         seen += grad ** 2
         seen_rest += rest ** 2
-        model.weights += 0.5 * grad / np.sqrt(seen)
-        move = 0.5 * rest / np.sqrt(seen_rest)
+        model.weights += grad / np.sqrt(seen)
+        move = rest / np.sqrt(seen_rest)
         model.bias += move[0]
         model.step += move[1:5].reshape(2, 2)
         model.begin += move[5:]
@@ -187,7 +187,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 def _copies_once(signatures: list) -> np.ndarray:
     """A weight for each sampled document: 1 over the size of its group of
-    near copies, which share one of two signatures."""
+    near copies, which share one of four signatures."""
     root = list(range(len(signatures)))
 
     def find(i):
@@ -196,8 +196,8 @@ def _copies_once(signatures: list) -> np.ndarray:
         return i
 
     seen: dict = {}
-    for i, two in enumerate(signatures):
-        for k, v in enumerate(two):
+    for i, own in enumerate(signatures):
+        for k, v in enumerate(own):
             root[find(i)] = find(seen.setdefault((k, v), i))
     size = np.bincount([find(i) for i in range(len(signatures))], minlength=len(signatures))
     return np.array([1 / size[find(i)] for i in range(len(signatures))])
@@ -228,13 +228,13 @@ def _sample_tokens(docs: DataFrame, labels: DataFrame, per_class: int, id_col: s
 
 
 def _signatures(hashes: pd.Series) -> pd.Series:
-    """Two signatures of three minimum hashes each over runs of three words."""
+    """Four signatures of two minimum hashes each over runs of three words."""
 
     def of(h):
         h = h.view(np.uint64)
         runs = h if len(h) < 3 else mixed(h[:-2] + mixed(h[1:-1] + mixed(h[2:])))
-        least = [int(mixed(runs + np.uint64(salt)).min()) if len(h) else 0 for salt in range(6)]
-        return [hash(tuple(least[:3])), hash(tuple(least[3:]))]
+        least = [int(mixed(runs + np.uint64(salt)).min()) if len(h) else 0 for salt in range(8)]
+        return [hash(tuple(least[i:i + 2])) for i in range(0, 8, 2)]
 
     return pd.Series([of(h) for h in hashes])
 
