@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontam, linededup, simhash, toxicity
+from . import bpe, covertree, decontam, langid, linededup, sharding, simhash, toxicity
 from .common import id_fold, read_table, with_columns
 
 SHINGLE, MAX_BITS = 3, 2
@@ -17,6 +17,19 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def held_out(col: str, folds: int, fold: int):
+    return F.coalesce(id_fold(col, folds) == fold, F.lit(False))
+
+
+# ----------------------------------------------------------- 1: language ID
+
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(id_fold("doc_id", 4) != 2))
+    out = langid.identify(docs.select("doc_id", "text"), model, reject=False)
+    return out.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 # ------------------------------------------------------------------- 2: BPE
 
 def token_digests(docs: DataFrame) -> DataFrame:
@@ -40,12 +53,15 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-# -------------------------------------------------------------- 5: toxicity
+# -------------------------------------------------------------- 4: sharding
 
-def held_out(col: str, folds: int, fold: int):
-    return F.coalesce(id_fold(col, folds) == fold, F.lit(False))
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard_documents(docs, sharding.even_tree(40), sharding.even_tree(41))
 
 
+# -------------------------------------------------------------- 5: toxicity
+
 def learned_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
     labels = read_table(spark, sf_dir, "labels").where(id_fold("doc_id", 3) != 1)
     return toxicity.fit(docs, labels)
@@ -65,6 +81,27 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(docs, shingle=SHINGLE, max_bits=MAX_BITS)
 
 
+# -------------------------------------------------------- 7: near embeddings
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+OP7_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND list_dot_product(a.e, b.e) >= 0.93 * sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT e.vec_id, (SELECT count(*) FROM link WHERE a = e.vec_id) AS n_links,
+       least(e.vec_id, coalesce((SELECT min(b) FROM reach WHERE a = e.vec_id), e.vec_id)) AS component_id,
+       least(e.vec_id, coalesce((SELECT min(b) FROM reach WHERE a = e.vec_id), e.vec_id)) = e.vec_id AS kept
+FROM embeddings e"""
+
+
 # ------------------------------------------------------- 9: decontamination
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,10 +136,13 @@ FROM d LEFT JOIN pos USING (r) LEFT JOIN its USING (r)"""
 
 
 QUERIES = {
+    "op1_langid": op1_langid,
     "op2_bpe": op2_bpe,
     "op3_line_dedup": op3_line_dedup,
+    "op4_sharding": op4_sharding,
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op9_decontamination": op9_decontamination,
 }
-ORACLE_SQL = {"op3_line_dedup": linededup.oracle(), "op9_decontamination": OP9_SQL}
+ORACLE_SQL = {"op3_line_dedup": linededup.oracle(), "op7_embedding_dedup": OP7_SQL, "op9_decontamination": OP9_SQL}
