@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, covertree, decontam, langid, linededup, sharding, simhash, toxicity
+from . import bpe, covertree, decontam, langid, linededup, pii, quality, sharding, simhash, toxicity
 from .common import id_fold, read_table, with_columns
 
 SHINGLE, MAX_BITS = 3, 2
@@ -90,8 +90,8 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP7_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE label IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 link AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
     AND list_dot_product(a.e, b.e) >= 0.93 * sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))),
@@ -102,6 +102,22 @@ SELECT e.vec_id, (SELECT count(*) FROM link WHERE a = e.vec_id) AS n_links,
 FROM embeddings e"""
 
 
+# --------------------------------------------------------------- 8: quality
+
+def graded(labels: DataFrame) -> DataFrame:
+    """0: poor; 1: good but toxic; 2: good."""
+    return labels.withColumn("grade", F.when(F.col("quality") == 0, 0).when(F.col("quality") == 1, F.when(
+        F.col("toxic") == 1, 1).otherwise(2)))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratings = graded(read_table(spark, sf_dir, "labels").where(id_fold("doc_id", 4) != 2))
+    out = quality.score(docs, quality.fit(docs, ratings), from_grade=1)
+    return out.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "expected_grade",
+                      F.col("tail_probability").alias("score"), "selected")
+
+
 # ------------------------------------------------------- 9: decontamination
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +127,18 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+# ------------------------------------------------------------------- 10: PII
+
+PSEUDONYM_KEY = "set your own"  # a parameter of the operator; deployments take theirs from a secret store
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pii.pseudonymize(docs, PSEUDONYM_KEY)
+    return out.select("doc_id", "text", F.size("findings").cast("long").alias("n_findings"),
+                      F.array_join(F.col("findings.kind"), ",").alias("kinds"))
+
+
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -143,6 +171,8 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
     "op7_embedding_dedup": op7_embedding_dedup,
+    "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
+    "op10_pii": op10_pii,
 }
 ORACLE_SQL = {"op3_line_dedup": linededup.oracle(), "op7_embedding_dedup": OP7_SQL, "op9_decontamination": OP9_SQL}
