@@ -328,7 +328,7 @@ def encode(docs: DataFrame, vocabulary: str, *, text_col: str = "text", ids_col:
     @F.pandas_udf("array<int>")
     def encoded(text: pd.Series) -> pd.Series:
         bpe = load(vocabulary)
-        return pd.Series([ids for run in slices(text) for ids in bpe.encode_batch(run)], dtype=object)
+        return pd.Series([ids for run in slices(text, 1 << 20) for ids in bpe.encode_batch(run)], dtype=object)
 
     return with_columns(docs, {ids_col: encoded.asNondeterministic()(F.col(text_col))})
 

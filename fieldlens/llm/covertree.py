@@ -41,7 +41,7 @@ from .common import connected_components, drop_written, written
 
 BLOCK = 1024
 SIGNS = 16
-MARGIN = 1e-9
+MARGIN = 1e-7  # above the rounding of a distance near 0
 _SMALLEST = 2.0 ** -12  # radius from which on points are children themselves
 
 
@@ -180,7 +180,7 @@ def _blocked(points: DataFrame) -> DataFrame:
     return points.join(cells, ["label", "size", "cell"]).withColumn("block", F.floor(place / BLOCK))
 
 
-def _grown(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _grown(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     x = _unit(pdf["vector"])
     tree = CoverTree(x)
     middle = x.mean(axis=0)
@@ -192,7 +192,7 @@ def _grown(key, pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _met(least: float):
-    def met(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def met(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         parts = [pickle.loads(t) for t in pdf.sort_values("block")["tree"]]
         a, a_n, a_id = parts[0]
         b, b_n, b_id = parts[1] if len(parts) > 1 else (None, a_n[:0], a_id[:0])

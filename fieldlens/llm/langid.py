@@ -118,7 +118,8 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], languages: list[str],
     best, right = p.max(axis=1), p.argmax(axis=1) == truth
     down = np.argsort(-best, kind="stable")
     good = np.cumsum(right[down]) / np.arange(1, len(truth) + 1) >= precision
-    least = float(best[down][np.flatnonzero(good)[-1]]) if good.any() else 1.0
+    good &= np.concatenate([best[down][1:] < best[down][:-1], [True]])  # equal scores go together
+    least = float(best[down][np.flatnonzero(good)[-1]]) if good.any() else 1.1
     return Model(languages, scores, temperature, 0.0 if good[-1] else least)
 
 
@@ -137,7 +138,7 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     @F.pandas_udf("at array<int>, n array<int>")
     def counted(text: pd.Series) -> pd.DataFrame:
         out = []
-        for part in slices(text, 1 << 18):
+        for part in slices(text):
             for k in range(0, len(part), 64):
                 for c in subword_counts(part[k:k + 64]):
                     at = np.flatnonzero(c)
@@ -182,7 +183,7 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text", reject: b
 
     @F.pandas_udf("lang string, score double, rejected boolean")
     def predicted(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([r for part in slices(text, 1 << 18) for r in predict_texts(shared.value, part)],
+        return pd.DataFrame([r for part in slices(text) for r in predict_texts(shared.value, part)],
                             columns=["lang", "score", "rejected"])
 
     out = docs.withColumn("__lang", predicted.asNondeterministic()(F.col(text_col)))

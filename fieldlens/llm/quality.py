@@ -144,7 +144,7 @@ def fit(docs: DataFrame, ratings: DataFrame, *, id_col: str = "doc_id", text_col
     @F.pandas_udf("at array<int>, x array<float>")
     def vector(text: pd.Series) -> pd.DataFrame:
         out = []
-        for part in slices(text, 1 << 18):
+        for part in slices(text):
             for i in range(0, len(part), 64):
                 for v in vectors(part[i:i + 64]):
                     at = np.flatnonzero(v)
@@ -171,7 +171,7 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", from_grade:
     def scored(text: pd.Series) -> pd.DataFrame:
         m, out = shared.value, []
         above = int(np.searchsorted(m.grades, from_grade))
-        for part in slices(text, 1 << 18):
+        for part in slices(text):
             for i in range(0, len(part), 64):
                 v = vectors(part[i:i + 64])
                 tails = m.tails(v @ m.weights)

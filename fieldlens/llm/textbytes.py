@@ -49,7 +49,7 @@ def words(texts, kind: np.ndarray = LETTERS):
     return np.searchsorted(ends, start, "right"), mixed(h ^ (end - start).astype(np.uint64)), start, end
 
 
-def slices(texts, chars: int = 1 << 20):
+def slices(texts, chars: int = 1 << 18):
     """Runs of texts of about ``chars`` characters, so that memory follows the
     longest text rather than the batch."""
     run, size = [], 0

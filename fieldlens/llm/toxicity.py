@@ -76,9 +76,10 @@ def _neighbours(at: np.ndarray, first: np.ndarray, unknown: int) -> tuple[np.nda
     return before, np.where(last, unknown, after)
 
 
-def forward_backward(emit: np.ndarray, first: np.ndarray, step: np.ndarray, begin: np.ndarray):
-    """Marginals of the toxic state, and the expected number of transitions
-    (2, 2) within sequences.  ``first`` marks each sequence's first token.
+def forward_backward(emit: np.ndarray, first: np.ndarray, step: np.ndarray, begin: np.ndarray, moves: bool = True):
+    """Marginals of the toxic state and, with ``moves``, the expected number of
+    transitions (2, 2) within sequences.  ``first`` marks each sequence's first
+    token.
 
     All sequences are one long chain in which a first token forgets what was
     before.  The chain is cut into lanes that advance together: products of
@@ -134,6 +135,8 @@ def forward_backward(emit: np.ndarray, first: np.ndarray, step: np.ndarray, begi
         beta[:, t] = y0, y1
     joint = alpha[:, 1:] * beta[:, 1:]
     marginal = (joint[1] / (joint[0] + joint[1])).T.reshape(-1)[:n]
+    if not moves:
+        return marginal, None
     inner = ~new
     edge = np.array([[alpha[i, :-1] * m[i][j] * beta[j, 1:] for j in (0, 1)] for i in (0, 1)])
     edge = edge / edge.sum(axis=(0, 1))
@@ -304,7 +307,7 @@ def _evidence(model: Model, hashes: np.ndarray) -> tuple[float, float]:
     if not len(hashes):
         return 0.0, 0.0
     first = np.arange(len(hashes)) == 0
-    p, _ = forward_backward(model.emission(model.known(hashes), first), first, model.step, model.begin)
+    p, _ = forward_backward(model.emission(model.known(hashes), first), first, model.step, model.begin, False)
     return float(p.sum()), float(p.max())
 
 
@@ -314,7 +317,7 @@ def score_texts(model: Model, texts: list) -> list[tuple]:
     """(score, spans) of each text; spans hold (start, end, probability)."""
     doc, h, start, end = words(texts)
     first = np.concatenate([[True], doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, bool)
-    p, _ = forward_backward(model.emission(model.known(h), first), first, model.step, model.begin)
+    p, _ = forward_backward(model.emission(model.known(h), first), first, model.step, model.begin, False)
     total = np.bincount(doc, p, len(texts))
     peak = np.zeros(len(texts))
     np.maximum.at(peak, doc, p)
