@@ -26,12 +26,10 @@ import unicodedata
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, types as T
 
-from .common import with_columns
-from .textbytes import slices
+from .common import append_columns
 
 #: Fixed value: the word pattern of byte-level vocabularies, over classes of
 #: white space, letters and numbers.
@@ -321,25 +319,31 @@ def load(path: str) -> ByteBpe:
     return _LOADED[path]
 
 
+IDS = T.ArrayType(T.IntegerType())
+SLICE = 1 << 20
+
+
 def encode(docs: DataFrame, vocabulary: str, *, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the token ids of the whole text, array<int>.
     ``vocabulary`` is a file that every executor can read."""
-
-    @F.pandas_udf("array<int>")
-    def encoded(text: pd.Series) -> pd.Series:
-        bpe = load(vocabulary)
-        return pd.Series([ids for run in slices(text, 1 << 20) for ids in bpe.encode_batch(run)], dtype=object)
-
-    return with_columns(docs, {ids_col: encoded.asNondeterministic()(F.col(text_col))})
+    new = T.StructType().add(ids_col, IDS)
+    return append_columns(docs, text_col, new, lambda texts: [load(vocabulary).encode_batch(texts)], SLICE)
 
 
 def decode(df: DataFrame, vocabulary: str, *, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``df`` with the text of the token ids, special tokens included; bytes
     that are no UTF-8 become U+FFFD.  Null ids give an empty text."""
+    new = T.StructType().add(text_col, T.StringType())
+    return append_columns(df, ids_col, new, lambda ids: [[load(vocabulary).decode(x or ()) for x in ids]], SLICE)
+
+
+def round_trip(docs: DataFrame, vocabulary: str, *, text_col: str = "text", ids_col: str = "ids",
+               decoded_col: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: the ids, and the text they give."""
 
-    @F.pandas_udf("string")
-    def decoded(ids: pd.Series) -> pd.Series:
+    def work(texts):
         bpe = load(vocabulary)
-        return pd.Series([bpe.decode(x.tolist()) if x is not None else "" for x in ids], dtype=object)
+        ids = bpe.encode_batch(texts)
+        return [ids, [bpe.decode(x.tolist()) for x in ids]]
 
-    return with_columns(df, {text_col: decoded.asNondeterministic()(F.col(ids_col))})
+    return append_columns(docs, text_col, T.StructType().add(ids_col, IDS).add(decoded_col, T.StringType()), work, SLICE)

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +68,45 @@ def with_columns(df: DataFrame, new: dict) -> DataFrame:
     return df.select(*kept, *[c.alias(n) for n, c in new.items()])
 
 
+def append_columns(df: DataFrame, col: str, new: T.StructType, work, chars: int = 1 << 18) -> DataFrame:
+    """``df`` with the columns ``new``, which replace input columns of the same
+    names.  ``work`` gets the values of ``col`` of about ``chars`` bytes' worth
+    of rows (one row at least) and returns a list of values for each new
+    column, so that memory in a task follows the longest value, not the batch.
+    """
+    taken = {f.name.lower() for f in new}
+    kept = [f for f in df.schema if f.name.lower() not in taken]
+    place = df.columns.index(col)
+    places = [df.columns.index(f.name) for f in kept]
+    names = [f.name for f in [*kept, *new]]
+    kinds = [_arrow_type(f.dataType) for f in new]
+
+    def run(batches):
+        for batch in batches:
+            values = batch.column(place)
+            width = pc.fill_null(pc.binary_length(values) if pa.types.is_string(values.type) else
+                                 pc.multiply(pc.list_value_length(values), 4), 0).to_numpy(zero_copy_only=False)
+            run_no = np.cumsum(width) // chars
+            starts = [0, *(np.flatnonzero(run_no[1:] != run_no[:-1]) + 1).tolist(), batch.num_rows]
+            for a, b in zip(starts, starts[1:]):
+                part = batch.slice(a, b - a)
+                made = work(part.column(place).to_pylist()) if b > a else [[] for _ in new]
+                arrays = [pa.array(v, k, from_pandas=False) for v, k in zip(made, kinds)]
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in places), *arrays], names=names)
+
+    return df.mapInArrow(run, T.StructType([*kept, *new]))
+
+
+def _arrow_type(kind: T.DataType) -> pa.DataType:
+    """The Arrow type of the few types that operators make."""
+    if isinstance(kind, T.ArrayType):
+        return pa.list_(_arrow_type(kind.elementType))
+    if isinstance(kind, T.StructType):
+        return pa.struct([(f.name, _arrow_type(f.dataType)) for f in kind])
+    return {T.StringType: pa.string(), T.IntegerType: pa.int32(), T.LongType: pa.int64(), T.DoubleType: pa.float64(),
+            T.BooleanType: pa.bool_()}[type(kind)]
+
+
 def smallest_ids(df: DataFrame, id_col: str, n: int) -> list:
     """Up to ``n`` distinct ids of ``df``, those of smallest hash: a sample
     that depends on the ids alone.  ``n`` bounds what the driver gets."""

@@ -28,9 +28,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import among, smallest_ids, with_columns
+from .common import among, append_columns, smallest_ids
 from .textbytes import LETTERS, joined, mixed, slices
 
 BITS = 14
@@ -181,13 +181,9 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text", reject: b
     no letter do."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS rows
 
-    @F.pandas_udf("lang string, score double, rejected boolean")
-    def predicted(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([r for part in slices(text) for r in predict_texts(shared.value, part)],
-                            columns=["lang", "score", "rejected"])
+    def work(texts):
+        lang, score, rejected = zip(*predict_texts(shared.value, texts))
+        return [[UNKNOWN if r and reject else p for p, r in zip(lang, rejected)], score, rejected]
 
-    out = docs.withColumn("__lang", predicted.asNondeterministic()(F.col(text_col)))
-    lang = F.when(F.col("__lang.rejected"), F.lit(UNKNOWN)).otherwise(F.col("__lang.lang")) if reject \
-        else F.col("__lang.lang")
-    new = {"lang_pred": lang, "score": F.col("__lang.score"), "rejected": F.col("__lang.rejected")}
-    return with_columns(out, new).drop("__lang")
+    new = T.StructType().add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    return append_columns(docs, text_col, new, work)

@@ -28,9 +28,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import among, smallest_ids, with_columns
+from .common import among, append_columns, smallest_ids, with_columns
 from .textbytes import joined, mixed, slices, words
 
 BITS = 14
@@ -167,23 +167,20 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", from_grade:
     least ``from_grade``) and selected boolean."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
 
-    @F.pandas_udf("expected double, tail double")
-    def scored(text: pd.Series) -> pd.DataFrame:
-        m, out = shared.value, []
+    new = T.StructType().add("expected_grade", "double").add("tail_probability", "double")
+
+    def work(texts):
+        m, expected, tail = shared.value, [], []
         above = int(np.searchsorted(m.grades, from_grade))
-        for part in slices(text):
-            for i in range(0, len(part), 64):
-                v = vectors(part[i:i + 64])
-                tails = m.tails(v @ m.weights)
-                expected = m.grades[0] + tails @ np.diff(m.grades)
-                tail = np.ones(len(v)) if above == 0 else tails[:, above - 1] if above < len(m.grades) else np.zeros(len(v))
-                out += zip(expected.tolist(), tail.tolist())
-        return pd.DataFrame(out, columns=["expected", "tail"])
+        for i in range(0, len(texts), 64):
+            v = vectors(texts[i:i + 64])
+            tails = m.tails(v @ m.weights)
+            expected += (m.grades[0] + tails @ np.diff(m.grades)).tolist()
+            tail += ([1.0] * len(v) if above == 0 else tails[:, above - 1].tolist() if above < len(m.grades) else [0.0] * len(v))
+        return [expected, tail]
 
     if len(model.grades):
-        out = docs.withColumn("__quality", scored.asNondeterministic()(F.col(text_col)))
+        out = append_columns(docs, text_col, new, work)
     else:
-        out = docs.withColumn("__quality", F.lit(None).cast("struct<expected:double,tail:double>"))
-    new = {"expected_grade": F.col("__quality.expected"), "tail_probability": F.col("__quality.tail"),
-           "selected": F.coalesce(F.col("__quality.tail") >= select_at, F.lit(False))}
-    return with_columns(out, new).drop("__quality")
+        out = with_columns(docs, {f.name: F.lit(None).cast("double") for f in new})
+    return with_columns(out, {"selected": F.coalesce(F.col("tail_probability") >= select_at, F.lit(False))})

@@ -34,9 +34,7 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_digests(docs: DataFrame) -> DataFrame:
     """``docs`` with ids, decoded, n_tokens, ids_sha256 and decoded_sha256."""
-    path = vocabulary_path()
-    out = bpe.decode(bpe.encode(docs, path), path)
-    return with_columns(out, {
+    return with_columns(bpe.round_trip(docs, vocabulary_path()), {
         "n_tokens": F.size("ids").cast("long"),
         "ids_sha256": F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256),
         "decoded_sha256": F.sha2(F.col("decoded"), 256)})

@@ -9,10 +9,11 @@ two-state chain (clean, toxic) with weights for the word, the word before and
 the word after, and for transitions, is fitted to segments of these tokens by
 gradient ascent with forward-backward marginals.
 
-Scoring: forward-backward marginals over the whole text.  Their sum and their
-maximum go through a logistic curve, fitted on the sample with the classes'
-true shares, to the document's probability; tokens with a marginal of at least
-``SPAN`` are reported with character offsets in the original text.
+Scoring: forward-backward marginals over the whole text.  Tokens with a
+marginal of at least ``SPAN`` are reported with character offsets in the
+original text.  The sum of these marginals (of the others, a long clean text
+would gather many) and the largest marginal go through a logistic curve, fitted
+on the sample with the classes' true shares, to the document's probability.
 
 Defined cases: null, empty and wordless texts get the score of a document
 without evidence and no spans; labels other than 0 and 1 and rows without an
@@ -28,9 +29,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import among, drop_written, smallest_ids, with_columns, written
+from .common import among, append_columns, drop_written, smallest_ids, with_columns, written
 from .textbytes import mixed, slices, words
 
 PER_CLASS = 3000
@@ -48,7 +49,7 @@ class Model:
     bias: float
     step: np.ndarray  # (2, 2) scores of the transitions
     begin: np.ndarray  # (2,) scores of the first state
-    curve: np.ndarray  # of (1, log(1 + sum of marginals), maximum)
+    curve: np.ndarray  # of (1, log(1 + sum of the spans' marginals), maximum)
 
     def known(self, hashes: np.ndarray) -> np.ndarray:
         n = len(self.vocabulary)
@@ -308,7 +309,7 @@ def _evidence(model: Model, hashes: np.ndarray) -> tuple[float, float]:
         return 0.0, 0.0
     first = np.arange(len(hashes)) == 0
     p, _ = forward_backward(model.emission(model.known(hashes), first), first, model.step, model.begin, False)
-    return float(p.sum()), float(p.max())
+    return float(p[p >= SPAN].sum()), float(p.max())
 
 
 # ------------------------------------------------------------------- scoring
@@ -318,7 +319,7 @@ def score_texts(model: Model, texts: list) -> list[tuple]:
     doc, h, start, end = words(texts)
     first = np.concatenate([[True], doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, bool)
     p, _ = forward_backward(model.emission(model.known(h), first), first, model.step, model.begin, False)
-    total = np.bincount(doc, p, len(texts))
+    total = np.bincount(doc, np.where(p >= SPAN, p, 0.0), len(texts))
     peak = np.zeros(len(texts))
     np.maximum.at(peak, doc, p)
     spans: list[list] = [[] for _ in texts]
@@ -339,13 +340,7 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: f
     """``docs`` with score double, predicted int (1 from ``threshold`` on) and
     spans array<struct<start:int,end:int,probability:double>>."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the training sample
-
-    @F.pandas_udf("score double, spans array<struct<start:int,end:int,probability:double>>")
-    def scored(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([r for part in slices(text) for r in score_texts(shared.value, part)],
-                            columns=["score", "spans"])
-
-    out = docs.withColumn("__toxic", scored.asNondeterministic()(F.col(text_col)))
-    new = {"score": F.col("__toxic.score"), "predicted": (F.col("__toxic.score") >= threshold).cast("int"),
-           "spans": F.col("__toxic.spans")}
-    return with_columns(out, new).drop("__toxic")
+    span = T.StructType().add("start", "integer").add("end", "integer").add("probability", "double")
+    new = T.StructType().add("score", "double").add("spans", T.ArrayType(span))
+    out = append_columns(docs, text_col, new, lambda texts: list(zip(*score_texts(shared.value, texts))))
+    return with_columns(out, {"predicted": (F.col("score") >= threshold).cast("int")})

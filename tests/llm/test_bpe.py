@@ -61,6 +61,8 @@ def test_cache_is_bounded(own, monkeypatch):
 
 def test_frames(spark, edge, empty, library):
     out = bpe.decode(bpe.encode(edge, PATH), PATH)
+    both = bpe.round_trip(edge, PATH)
+    assert both.columns == out.columns and both.exceptAll(out).count() == 0
     assert [c for c in out.columns if c.lower() == "ids"] == ["ids"]
     rows = out.collect()
     assert len(rows) == edge.count()

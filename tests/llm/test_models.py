@@ -1,0 +1,166 @@
+"""Language ID, toxicity and quality: held-out accuracy and exact parts."""
+
+import itertools
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from fieldlens.llm import langid, queries, quality, textbytes, toxicity
+
+SF = "/root/testdata/sf0.01"
+
+
+# ------------------------------------------------------------------ language
+
+def test_languages_held_out(spark):
+    out = queries.op1_langid(spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id")
+    held = out.where("held_out AND lang IS NOT NULL")
+    right = held.where("lang_pred = lang").count()
+    assert right >= 0.97 * held.count() and held.count() > 150
+    assert out.where("score < 0 OR score > 1").count() == 0
+    assert out.where(F.col("held_out") != (F.crc32(F.col("doc_id").cast("string")) % 4 == 2)).count() == 0
+
+
+def test_languages_edges(spark, edge, empty):
+    model = langid.fit(edge)
+    rows = langid.identify(edge, model, reject=False).collect()
+    assert len(rows) == edge.count()
+    for r in rows:
+        assert (r.lang_pred == "und") == (not langid.has_letter(r.text))
+        assert 0 <= r.score <= 1 and (r.lang_pred != "und" or r.score == 0)
+    none = langid.fit(empty)
+    assert {r.lang_pred for r in langid.identify(edge, none).collect()} == {"und"}
+    assert langid.identify(empty, model).count() == 0
+
+
+def test_subword_counts():
+    got = langid.subword_counts(["ab c", "", None, "AB C!"])
+    assert got[0].sum() == 3 + 2 + 1 + 2 + 1 and got[1].sum() == 0 and got[2].sum() == 0  # " ab ", " c "
+    assert (got[0] == got[3]).all()
+
+
+def test_rejection_is_calibrated():
+    rng = np.random.default_rng(0)
+    rows = [(np.array([1, 2]), np.array([3.0, 1.0]), 0) for _ in range(60)] + [
+        (np.array([5, 6]), np.array([1.0, 3.0]), 1) for _ in range(60)] + [
+        (np.array([9]), np.array([1.0]), int(rng.integers(2))) for _ in range(80)]
+    model = langid.train(rows, ["a", "b"])
+    p = langid._softmax(np.array([model.scores[9], (3 * model.scores[1] + model.scores[2]) / 4]) / model.temperature)
+    assert p[0].max() < model.least <= p[1].max() + 1e-6
+
+
+# ------------------------------------------------------------------ toxicity
+
+def chain_by_enumeration(emit, step, begin):
+    total, marginal, edges = 0.0, np.zeros(len(emit)), np.zeros((2, 2))
+    for y in itertools.product((0, 1), repeat=len(emit)):
+        w = np.exp(begin[y[0]] + sum(e for e, s in zip(emit, y) if s) + sum(step[a, b] for a, b in zip(y, y[1:])))
+        total += w
+        marginal += w * np.array(y)
+        for a, b in zip(y, y[1:]):
+            edges[a, b] += w
+    return marginal / total, edges / total
+
+
+def test_marginals_by_enumeration():
+    rng = np.random.default_rng(3)
+    step, begin = rng.normal(size=(2, 2)), rng.normal(size=2)
+    sizes = [1, 2, 7, 9, 1, 4]
+    emit = [rng.normal(size=n) * 2 for n in sizes]
+    first = np.concatenate([np.arange(n) == 0 for n in sizes])
+    got, edges = toxicity.forward_backward(np.concatenate(emit), first, step, begin)
+    want = [chain_by_enumeration(e, step, begin) for e in emit]
+    assert np.allclose(got, np.concatenate([m for m, _ in want]))
+    assert np.allclose(edges, sum(e for _, e in want))
+
+
+@pytest.fixture(scope="module")
+def insults(spark):
+    rng = np.random.default_rng(1)
+    rows, labels = [], []
+    for i in range(400):
+        words = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in rng.integers(0, 300, 60)]
+        toxic = i % 4 == 0
+        if toxic:
+            for k in rng.integers(0, 60, 3):
+                words[k] = ["Fiend", "knave"][int(rng.integers(2))]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return docs, toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+
+
+def test_toxic_spans_and_scores(spark, insults):
+    docs, model = insults
+    rows = toxicity.score(docs, model).collect()
+    for r in rows:
+        assert r.predicted == (r.doc_id % 4 == 0)
+        marked = {r.text[s.start:s.end] for s in r.spans}
+        assert marked == {w for w in r.text.split() if w in ("Fiend", "knave")}
+    text = "Ü é w1 " * 30 + "— you KNAVE! " + "w2 " * 50
+    (score, spans), = toxicity.score_texts(model, [text])
+    assert score > 0.7 and [text[s["start"]:s["end"]] for s in spans] == ["KNAVE"]
+
+
+def test_toxicity_edges(spark, insults, edge, empty):
+    _, model = insults
+    rows = toxicity.score(edge, model).collect()
+    assert len(rows) == edge.count() and all(r.predicted == 0 and list(r.spans) == [] for r in rows)
+    nothing = {r.score for r in rows if r.doc_id in (2, 3, 4)}
+    assert len(nothing) == 1
+    none = toxicity.fit(empty, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert {r.predicted for r in toxicity.score(edge, none).collect()} == {0}
+    one = toxicity.fit(edge, spark.createDataFrame([(1, 1), (None, 0), (3, 5)], "doc_id long, toxic int"))
+    assert {r.predicted for r in toxicity.score(edge, one).collect()} == {1}
+    assert toxicity.score(empty, model).count() == 0
+
+
+# ------------------------------------------------------------------- quality
+
+def test_quality_held_out(spark):
+    out = queries.op8_quality(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out")
+    right = out.where("selected = (quality = 1)").count()
+    assert right >= 0.93 * out.count() and out.count() > 60
+
+
+def test_thresholds_are_ordered():
+    rng = np.random.default_rng(2)
+    rows, grade = [], []
+    for _ in range(600):
+        g = int(rng.choice([1, 2, 4, 7]))
+        rows.append((np.array([3, 8]), np.array([g + rng.normal() * 0.7, 1.0])))
+        grade.append(g)
+    model = quality.train(rows, np.array(grade), np.ones(600))
+    assert (np.diff(model.thresholds) > 0).all() and model.grades.tolist() == [1, 2, 4, 7]
+    tails = model.tails(np.array([x @ model.weights[at] for at, x in rows]))
+    assert (np.diff(tails, axis=1) <= 0).all()
+    expected = model.grades[0] + tails @ np.diff(model.grades)
+    assert np.corrcoef(expected, grade)[0, 1] > 0.9
+
+
+def test_quality_edges(spark, edge, empty):
+    ratings = spark.createDataFrame([(1, 0), (5, 2), (9, 2), (None, 1), (3, None)], "doc_id long, grade int")
+    model = quality.fit(edge, ratings)
+    rows = quality.score(edge, model, from_grade=2).collect()
+    assert len(rows) == edge.count() and all(0 <= r.expected_grade <= 2 and 0 <= r.tail_probability <= 1 for r in rows)
+    none = quality.fit(edge, ratings.where("false"))
+    assert {r.selected for r in quality.score(edge, none).collect()} == {False}
+    one = quality.fit(edge, ratings.where("grade = 2"))
+    assert {r.expected_grade for r in quality.score(edge, one).collect()} == {2.0}
+    assert quality.score(empty, model).count() == 0
+
+
+# -------------------------------------------------------------------- shared
+
+def test_word_hashes():
+    texts = ["The cat, the CAT. the", None, "", "thé\ncat", "  x"]
+    doc, h, start, end = textbytes.words(texts)
+    raw, _ = textbytes.joined(texts)
+    found = [(d, bytes(raw[a:b]).decode()) for d, a, b in zip(doc.tolist(), start, end)]
+    assert found == [(0, "the"), (0, "cat"), (0, "the"), (0, "cat"), (0, "the"), (3, "thé"), (3, "cat"), (4, "x")]
+    same = {}
+    for (_, w), v in zip(found, h.tolist()):
+        assert same.setdefault(w, v) == v
+    assert len(set(same.values())) == len(same)
+    assert [t for run in textbytes.slices(texts, 5) for t in run] == texts
