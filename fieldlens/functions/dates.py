@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 # Staff time-zone labels and the IANA zones they stand for.
 # Unknown or NULL labels fall back to UTC.
 ZONE_NAMES = {
@@ -77,44 +79,61 @@ def local_to_utc(local_ts: Column, zone: Column) -> Column:
     moves forward.  ``convert_timezone`` alone picks the earlier instant,
     so the later one is used whenever it maps back to the same wall time.
     """
-    u = F.convert_timezone(zone, F.lit("UTC"), local_ts)
-    later = u + F.expr("INTERVAL 1 HOUR")
-    back = F.convert_timezone(F.lit("UTC"), zone, later)
-    return F.when(back == local_ts, later).otherwise(u)
+
+    def standard(u):
+        later = u + F.expr("INTERVAL 1 HOUR")
+        return F.when(F.convert_timezone(F.lit("UTC"), zone, later) == local_ts, later).otherwise(u)
+
+    return let(F.convert_timezone(zone, F.lit("UTC"), local_ts), standard)
 
 
 def iso_utc_text(ts: Column) -> Column:
     return F.date_format(ts, ISO_UTC_FORMAT)
 
 
-# Seconds per interval unit when an interval is measured as
-# an elapsed span (a month counts 30 days, a year 365.25 days).
-UNIT_SECONDS = {
-    "second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800,
-    "month": 2592000, "year": 31557600,
+# The interval units that PostgreSQL reads, with their spellings,
+# and what one is worth: (calendar months, microseconds).
+UNITS = {
+    "microsecond": (0, 1), "millisecond": (0, 1_000), "second": (0, 1_000_000), "minute": (0, 60_000_000),
+    "hour": (0, 3_600_000_000), "day": (0, 86_400_000_000), "week": (0, 604_800_000_000), "month": (1, 0),
+    "year": (12, 0), "decade": (120, 0), "century": (1_200, 0), "millennium": (12_000, 0),
 }
+UNIT_SPELLINGS = {
+    "microsecond": "us usec usecs usecond useconds microsecon microsecond microseconds",
+    "millisecond": "ms msec msecs msecond mseconds millisecon millisecond milliseconds",
+    "second": "s sec secs second seconds",
+    "minute": "m min mins minute minutes",
+    "hour": "h hr hrs hour hours",
+    "day": "d day days",
+    "week": "w week weeks",
+    "month": "mon mons month months",
+    "year": "y yr yrs year years",
+    "decade": "dec decs decade decades",
+    "century": "c cent century centuries",
+    "millennium": "mil mils millennia millennium",
+}
+# Days of a month and of a year when an interval is measured as
+# an elapsed span.
+MONTH_DAYS, YEAR_DAYS = 30, 365.25
+DAY_US = 86_400_000_000
 
 
-def normalize_unit(unit: Column) -> Column:
-    """Lower-case unit name without a plural ``s``."""
-    return F.regexp_replace(F.lower(F.trim(unit)), "s$", "")
+def _worth(unit: Column, of) -> Column:
+    """``of(months, microseconds)`` of the unit that the text stands for; NULL
+    for no unit.  A lookup in a constant map."""
+    pairs = [F.lit(x) for name, spellings in UNIT_SPELLINGS.items() for s in spellings.split() for x in (s, of(*UNITS[name]))]
+    return F.try_element_at(F.create_map(*pairs).cast("map<string,bigint>"), F.lower(F.trim(unit)))
 
 
-def unit_seconds(unit: Column) -> Column:
-    u = normalize_unit(unit)
-    expr = None
-    for k, v in UNIT_SECONDS.items():
-        expr = F.when(u == k, F.lit(v)) if expr is None else expr.when(u == k, F.lit(v))
-    return expr
+def span_us(unit: Column) -> Column:
+    """Microseconds of one unit as an elapsed span; NULL for no unit."""
+    return _worth(unit, lambda months, us: us + int(months // 12 * YEAR_DAYS * DAY_US + months % 12 * MONTH_DAYS * DAY_US))
 
 
 def add_units(ts: Column, n: Column, value: Column, unit: Column) -> Column:
-    """``ts + n * (value unit)``: months and years add calendar months (clamped to
-    month end), shorter units add exact seconds."""
-    u = normalize_unit(unit)
-    months = F.when(u == "month", F.lit(1)).when(u == "year", F.lit(12))
-    secs = unit_seconds(unit)
-    n, value = n.cast("long"), value.cast("long")
-    by_month = F.timestamp_add("MONTH", (n * value * months).cast("int"), ts)
-    by_secs = F.timestamp_add("SECOND", n * value * secs, ts)
-    return F.when(months.isNotNull(), by_month).otherwise(by_secs)
+    """``ts + n * (value unit)``: units of months add calendar months (clamped to
+    month end), others add exact time.  NULL for no unit."""
+    count = n.cast("long") * value.cast("long")
+    by_month = F.timestamp_add("MONTH", (count * _worth(unit, lambda m, _: m)).cast("int"), ts)
+    exact = F.timestamp_add("MICROSECOND", count * _worth(unit, lambda _, us: us), ts)
+    return F.when(_worth(unit, lambda m, _: m) > 0, by_month).otherwise(exact)

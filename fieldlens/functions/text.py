@@ -18,6 +18,11 @@ def _val(c) -> Column:
     return c if isinstance(c, Column) else F.lit(c)
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, not at each use in it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def pg_concat(*parts) -> Column:
     """PostgreSQL ``CONCAT``: NULL arguments count as empty, result never NULL.
 

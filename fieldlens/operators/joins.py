@@ -1,88 +1,41 @@
-"""Join strategies.
+"""Join helpers.
 
-``broadcast_if_small`` only hints a broadcast after measuring (one
-aggregate pass) that the side is within a row and a byte bound;
-otherwise the plan is left to the optimizer (sort-merge join; AQE may
-still convert from measured shuffle sizes and split skewed partitions).
+Join strategies are left to Catalyst: a side whose size the plan's own
+statistics prove small is broadcast, other joins are re-planned by AQE from
+measured shuffle sizes, and skewed partitions are split.  A caller that knows a
+dimension to be small passes it as ``F.broadcast(dim)``; the hint survives the
+projections made here.  Building a DataFrame therefore never runs a job.
 
-``left_join_nulls_aside`` is a left outer join in which rows with a NULL
-join key skip the shuffle: they can never match, and a mass of NULL keys
-(a third of the rows, say) would otherwise all hash to one reducer.
-
-``day_range_join`` is a point-in-interval join (``d BETWEEN start AND
-end`` plus equality keys) written as an exact equi-join on ``(keys,
-day)``: each interval is expanded to the days it covers, so a hot key
-never pairs every point with every interval of that key.
+``left_join`` is a left outer join in which rows with a NULL join key are spread
+over the partitions: they can never match, and a mass of NULL keys (a third of
+the rows, say) would otherwise all hash to one reducer.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-_FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
-                T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
-                T.DecimalType: 16}
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    """Bytes of one row: fixed-width types by their size, text and binary
-    by their actual length, nested values by the length of their JSON."""
-    parts = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        t = f.dataType
-        if isinstance(t, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
-        elif isinstance(t, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
-        else:
-            parts.append(F.lit(_FIXED_WIDTH.get(type(t), 8)))
-    out = F.lit(0).cast("long")
-    for p in parts:
-        out = out + p
-    return out
+_SPREADABLE = (T.NumericType, T.StringType, T.BinaryType, T.BooleanType, T.DateType, T.TimestampType,
+               T.TimestampNTZType)
 
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-             max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes
-    of data, measured by one aggregate pass: each task sends a single
-    (count, bytes) row to the final sum.  (A ``limit`` would ship up to
-    ``max_rows`` rows per input partition into one partition, which on an
-    unexpectedly large input is far costlier than the scan itself.)"""
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
-    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
-
-
-def left_join_nulls_aside(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
+def left_join(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
     """``left LEFT JOIN right ON left[l] = right[r] AND ...`` for ``keys`` =
-    [(l, r), ...].  Left rows with any NULL key are unioned back with NULL
-    right-hand columns instead of being shuffled.  Column names of the
-    two sides must be distinct."""
+    [(l, r), ...].  One pass over the left side: a further key is 0 on the
+    right and for left rows with all keys, and a positive hash of the row for
+    the others.  Column names of the two sides must be distinct."""
     if not keys:
-        raise ValueError("left_join_nulls_aside needs at least one key pair")
-    has_keys = None
-    cond = None
-    for lk, rk in keys:
-        nn = left[lk].isNotNull()
-        has_keys = nn if has_keys is None else has_keys & nn
-        c = left[lk] == right[rk]
-        cond = c if cond is None else cond & c
-    matched = left.where(has_keys).join(right, cond, "left")
-    aside = left.where(~has_keys).select(*[left[c] for c in left.columns],
-                                         *[F.lit(None).cast(t).alias(c) for c, t in right.dtypes])
-    return matched.unionByName(aside)
+        raise ValueError("left_join needs at least one key pair")
+    has_keys = reduce(lambda a, b: a & b, [left[lk].isNotNull() for lk, _ in keys])
+    spreadable = [F.col(f"`{f.name}`") for f in left.schema if isinstance(f.dataType, _SPREADABLE)]
+    place = F.when(has_keys, F.lit(0)).otherwise(1 + F.pmod(F.hash(*spreadable), F.lit(1 << 20)))
+    spread, zero = left.withColumn("__place", place), right.withColumn("__zero", F.lit(0))
+    cond = reduce(lambda a, b: a & b, [spread[lk] == zero[rk] for lk, rk in keys], spread["__place"] == zero["__zero"])
+    return spread.join(zero, cond, "left").drop("__place", "__zero")
 
 
 def expand_days(df: DataFrame, start: str, end: str, day_col: str = "day") -> DataFrame:
@@ -91,15 +44,3 @@ def expand_days(df: DataFrame, start: str, end: str, day_col: str = "day") -> Da
     s, e = F.col(start), F.col(end)
     days = F.when(s.isNotNull() & e.isNotNull() & (s <= e), F.sequence(s, e))
     return df.withColumn(day_col, F.explode(days))
-
-
-def day_range_join(points: DataFrame, intervals: DataFrame, point_day: str,
-                   keys: list[tuple[str, str]], start: str, end: str,
-                   how: str = "left") -> DataFrame:
-    """Join ``points`` to ``intervals`` where keys are equal and the point's
-    day lies in ``[start, end]``.  ``keys`` pairs (point column, interval column)."""
-    iv = expand_days(intervals, start, end, "__day")
-    cond: Column = points[point_day] == iv["__day"]
-    for pk, ik in keys:
-        cond = cond & (points[pk] == iv[ik])
-    return points.join(iv, cond, how).drop("__day")

@@ -9,22 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import left_join_nulls_aside
+from .joins import left_join
 
 
-def split_unique(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key occurs once, and the keys that occur more than once.
+def one_per_key(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """One row per key, and the keys that had several different rows.
 
-    One grouped aggregate (partial aggregation on the map side, so a hot
-    key costs one row per partition in the shuffle); no window over the
-    key.
+    The winner is the row that is largest over the other columns in their order
+    (NULL lowest); identical rows are one.  One grouped aggregate (partial on
+    the map side, so a hot key costs one row per partition in the shuffle); no
+    window over the key.
     """
-    others = [c for c in df.columns if c not in keys]
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
-                              F.any_value(F.struct(*others)).alias("__row"))
-    unique = g.where("__n = 1").select(*keys, "__row.*")
-    rejects = g.where("__n > 1").select(*keys, F.col("__n").alias("copies"))
-    return unique, rejects
+    others = F.struct(*[c for c in df.columns if c not in keys])
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), F.max(others).alias("__row"),
+                              F.min(others).alias("__least"))
+    several = ~F.col("__row").eqNullSafe(F.col("__least"))
+    return g.select(*keys, "__row.*"), g.where(several).select(*keys, "copies")
 
 
 def apply_by_key(base: DataFrame, changes: DataFrame, keys: list[str],
@@ -37,7 +37,7 @@ def apply_by_key(base: DataFrame, changes: DataFrame, keys: list[str],
     ch = changes.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
                         *[F.col(src).alias(f"__v_{tgt}") for tgt, src in set_cols.items()],
                         F.lit(True).alias("__matched"))
-    j = left_join_nulls_aside(base, ch, [(k, f"__k_{k}") for k in keys])
+    j = left_join(base, ch, [(k, f"__k_{k}") for k in keys])
     out = []
     for c in base.columns:
         if c in set_cols:

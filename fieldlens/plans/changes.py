@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import ts_literal
-from ..operators.joins import expand_days, left_join_nulls_aside
-from ..operators.updates import apply_by_key, split_unique
+from ..operators.joins import expand_days, left_join
+from ..operators.updates import apply_by_key, one_per_key
 
 TRACKED = ("zone", "team", "title")
 # staging column -> master column
@@ -42,12 +42,12 @@ def staff_change_history(master: DataFrame, staging: DataFrame, change_ts) -> Da
 def apply_staging(master: DataFrame, staging: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Master post-image with zone, team, title, names and mobile taken
     from staging for every matching ``emp_id`` (changed or not, NULL
-    overwrites).  Staging keys that occur more than once have no defined
-    winner; they are returned as rejects and leave the master unchanged.
-    Returns ``(post_image, rejects)``."""
-    unique, rejects = split_unique(staging, ["emp_id"])
+    overwrites).  Of several different staging rows of one key, the one that is
+    largest over its columns in order is applied; such keys are reported.
+    Returns ``(post_image, reported keys with their number of rows)``."""
+    one, several = one_per_key(staging.select("emp_id", *STAGING_TO_MASTER), ["emp_id"])
     set_cols = {tgt: src for src, tgt in STAGING_TO_MASTER.items()}
-    return apply_by_key(master, unique, ["emp_id"], set_cols), rejects
+    return apply_by_key(master, one, ["emp_id"], set_cols), several
 
 
 def assign_by_date_range(mileage: DataFrame, allocations: DataFrame, active_only: bool = True) -> DataFrame:
@@ -57,13 +57,16 @@ def assign_by_date_range(mileage: DataFrame, allocations: DataFrame, active_only
     allocation (NULL end) matches nothing.  Overlapping allocations: the
     latest start wins, then the lowest emp_id.
 
-    Allocations are expanded to one row per covered day and reduced to
-    one winner per (van, day) first, so the join is an exact equi-join
-    with at most one partner per mileage row.
+    Allocations are cut to the first and last mileage day, expanded to one row
+    per covered day and reduced to one winner per (van, day), so the join is an
+    exact equi-join with at most one partner per mileage row, and an allocation
+    that ends in the year 9999 costs no more than the days of the mileage.
     """
     a = allocations.where(F.col("is_active")) if active_only else allocations
-    days = expand_days(a.select("van_number", "emp_id", "start_date", "end_date"),
-                       "start_date", "end_date", "a_day")
+    first_day, last_day = (mileage.agg(f("mileage_date")).scalar() for f in (F.min, F.max))
+    cut = (a.select("van_number", "emp_id", "start_date", F.greatest("start_date", first_day).alias("from_day"),
+                    F.least("end_date", F.when(F.col("end_date").isNotNull(), last_day)).alias("to_day")))
+    days = expand_days(cut, "from_day", "to_day", "a_day")
     # winner order (latest start, then lowest emp_id, NULL emp_id last) as one
     # fixed-width decimal, so the aggregate runs hash-based (a struct order
     # would force a sort-based aggregate over every expanded day)
@@ -78,7 +81,7 @@ def assign_by_date_range(mileage: DataFrame, allocations: DataFrame, active_only
         pick = F.min_by("emp_id", F.struct(-start_days, F.col("emp_id").isNull(), F.col("emp_id")))
     winner = (days.groupBy(F.col("van_number").alias("a_van"), "a_day")
               .agg(pick.alias("a_emp")))
-    j = left_join_nulls_aside(mileage, winner, [("van_number", "a_van"), ("mileage_date", "a_day")])
+    j = left_join(mileage, winner, [("van_number", "a_van"), ("mileage_date", "a_day")])
     return j.select(*[F.when(F.col("a_day").isNotNull(), F.col("a_emp")).otherwise(F.col("emp_id"))
                       .cast(mileage.schema["emp_id"].dataType).alias("emp_id")
                       if c == "emp_id" else F.col(c) for c in mileage.columns])

@@ -22,8 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import to_date
-from ..functions.text import pipe_concat
-from ..operators.joins import broadcast_if_small
+from ..functions.text import let, pipe_concat
 
 GROUP_KEYS = ["report_date", "full_name", "tech_id", "zone", "team"]
 RECORD_TYPES = ("Activity", "Time Task")
@@ -75,12 +74,10 @@ def daily_staff_summary(staff: DataFrame, srs: DataFrame, activities: DataFrame,
                      F.count(F.lit(1)).alias("n_pa")))
 
     keys = GROUP_KEYS[1:]
-    # sparse cells: one row per (staff row, day) that has SRs or activities;
-    # the staff dimension is broadcast when a count proves it small
-    staff_b = broadcast_if_small(staff_f)
-    sr_cells = (staff_b.join(sr_days, staff_b["emp_id"] == sr_days["siebel_id"])
+    # sparse cells: one row per (staff row, day) that has SRs or activities
+    sr_cells = (staff_f.join(sr_days, staff_f["emp_id"] == sr_days["siebel_id"])
                 .select("staff_id", *keys, F.col("s_day").alias("day"), "n_open", "n_closed", "n_sr"))
-    act_cells = (staff_b.join(act_days, staff_b["staff_id"] == act_days["a_staff"])
+    act_cells = (staff_f.join(act_days, staff_f["staff_id"] == act_days["a_staff"])
                  .select("staff_id", *keys, F.col("a_day").alias("day"), "n_act", "n_tt", "n_pa"))
     counts = ["n_open", "n_closed", "n_sr", "n_act", "n_tt", "n_pa"]
     per_cell = (sr_cells.unionByName(act_cells, allowMissingColumns=True)
@@ -96,15 +93,20 @@ def daily_staff_summary(staff: DataFrame, srs: DataFrame, activities: DataFrame,
                         F.sum(F.col("n_act") * per_pa).alias("a"), F.sum(F.col("n_tt") * per_pa).alias("t")))
     # dense output: every key group gets every day; the days are generated
     # last, per group, so no grid-sized data is ever shuffled
-    cell = F.struct(F.col("day").alias("d"), *[F.col(c).cast("long").alias(c) for c in "ocat"])
+    cell = F.struct(F.col("day").alias("d"), F.lit(0).alias("blank"), *[F.col(c).cast("long").alias(c) for c in "ocat"])
     groups = (staff_f.select(*keys, F.lit(None).cast("date").alias("day"),
                              *[F.lit(None).cast("long").alias(c) for c in "ocat"])
               .unionByName(per_key_day)
               .groupBy(*keys)
-              .agg(F.map_from_entries(F.collect_list(F.when(F.col("day").isNotNull(),
-                                                            F.struct(F.col("day"), cell)))).alias("cells")))
-    out = groups.select(F.explode(F.when(s <= e, F.sequence(s, e))).alias("report_date"), *keys, "cells")
-    got = F.element_at(F.col("cells"), F.col("report_date"))
+              .agg(F.array_sort(F.collect_list(F.when(F.col("day").isNotNull(), cell))).alias("cells")))
+    # a blank cell for each day goes between the sorted cells and, of two cells
+    # of a day, the blank one goes again: no lookup, whatever the number of days
+    blank = F.transform(F.sequence(s, e), lambda d: F.struct(
+        d.alias("d"), F.lit(1).alias("blank"), *[F.lit(0).cast("long").alias(c) for c in "ocat"]))
+    merged = let(F.array_sort(F.concat("cells", blank)), lambda both: F.filter(
+        both, lambda x, i: (i == 0) | (F.get(both, i - 1)["d"] != x["d"])))
+    out = groups.select(F.explode(F.when(s <= e, merged)).alias("got"), *keys).withColumn("report_date", F.col("got.d"))
+    got = F.col("got")
 
     def z(c):
         return F.coalesce(got[c], F.lit(0)).cast("long")

@@ -1,10 +1,10 @@
 """Row <-> JSON field reshaping and time-zone repair: P11-P14.
 
-Field metadata (field name, display name, source column) is a small
-dimension.  It is checked against a row bound and then attached to every
-row as one array value (an uncorrelated scalar subquery, computed once),
-so building and validating field arrays needs no join at all: each
-row's value is looked up by column name in a per-row map.
+Field metadata (field name, display name, source column) is usually a small
+dimension.  If the plan's statistics prove it small it is attached to every
+row as one array value (an uncorrelated scalar subquery, computed once);
+otherwise each row meets the metadata of its columns in an equi-join.  Both
+give the same result.
 
 The reference aggregates all rows of a site into one array and validates
 every element against every row of the site.  Here each source row gets
@@ -20,28 +20,58 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import iso_utc_text, local_to_utc, zone_name
-from ..operators.joins import broadcast_if_small, is_small, left_join_nulls_aside
+from ..operators.joins import left_join
 
-MAX_FIELDS = 10_000
+SMALL_BYTES = 8 << 20
 ELEMENT_SCHEMA = "array<struct<field_name:string,value:string>>"
 
 
-def _metadata_array(metadata: DataFrame) -> Column:
-    if not is_small(metadata, MAX_FIELDS):
-        raise ValueError(f"field metadata has more than {MAX_FIELDS} rows; it must describe columns")
-    entries = F.struct("column_name", "field_name", "field_display_name")
-    return metadata.select(F.array_sort(F.collect_list(entries))).scalar()
+def _estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate; no job runs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def _value_map(rows: DataFrame, cols, as_text: bool) -> Column:
-    kv = []
-    for c in cols:
-        kv += [F.lit(c), F.col(f"`{c}`").cast("string" if as_text else "variant")]
-    return F.create_map(*kv)
+def _with_metadata(rows: DataFrame, metadata: DataFrame, small_bytes: int) -> DataFrame:
+    """``rows`` with ``__meta``: the metadata ordered by column name."""
+    entry = F.struct("column_name", "field_name", "field_display_name")
+    if _estimated_bytes(metadata) <= small_bytes:
+        return rows.withColumn("__meta", metadata.select(F.array_sort(F.collect_list(entry))).scalar())
+    # a row meets the entries of its columns, and under no column the others
+    place = lambda name: F.when(F.col(name).isin(*rows.columns), F.col(name)).otherwise("")
+    entries = metadata.select(F.coalesce(place("column_name"), F.lit("")).alias("__place"), entry.alias("__entry"))
+    places = F.array(F.lit(""), *[F.lit(c) for c in rows.columns])
+    spread = (rows.select(F.monotonically_increasing_id().alias("__row_id"), F.struct("*").alias("__row"))
+              .select("__row_id", "__row", F.explode(places).alias("__place")))
+    met = (spread.join(entries, "__place", "left").groupBy("__row_id")
+           .agg(F.any_value("__row").alias("__row"), F.array_sort(F.collect_list("__entry")).alias("__meta")))
+    return met.select("__row.*", "__meta")
+
+
+def _plain(col: Column, kind: T.DataType) -> Column:
+    """Timestamps as JSON text has them, with a T; other values as they are."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.regexp_replace(col.cast("string"), " ", "T")
+    return col
+
+
+def _value_map(rows: DataFrame, cols) -> Column:
+    return F.create_map(*[x for c in cols for x in (
+        F.lit(c), _plain(F.col(f"`{c}`"), rows.schema[c].dataType).cast("variant"))])
+
+
+def _text_map(rows: DataFrame, cols) -> Column:
+    """The columns as the text that their JSON has."""
+    def text(c):
+        kind = rows.schema[c].dataType
+        if isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            return F.to_json(F.col(f"`{c}`"), {"ignoreNullFields": "false"})
+        return _plain(F.col(f"`{c}`"), kind).cast("string")
+
+    return F.create_map(*[x for c in cols for x in (F.lit(c), text(c))])
 
 
 def build_field_json(rows: DataFrame, metadata: DataFrame, key: str = "site",
-                     keep_row: bool = False) -> DataFrame:
+                     keep_row: bool = False, small_bytes: int = SMALL_BYTES) -> DataFrame:
     """Per source row, a JSON array of ``{field_name,
     field_display_name, value, is_track_time: false}`` ordered by column
     name, where ``value`` is the row's value of the metadata's
@@ -51,8 +81,7 @@ def build_field_json(rows: DataFrame, metadata: DataFrame, key: str = "site",
     with ``keep_row=True``, the input of :func:`validate_field_json`).
     """
     cols = rows.columns
-    with_meta = rows.withColumn("__meta", _metadata_array(metadata))
-    vmap = _value_map(rows, cols, as_text=False)
+    vmap = _value_map(rows, cols)
     arr = F.transform("__meta", lambda m: F.struct(
         m["field_name"].alias("field_name"),
         m["field_display_name"].alias("field_display_name"),
@@ -60,34 +89,25 @@ def build_field_json(rows: DataFrame, metadata: DataFrame, key: str = "site",
         F.lit(False).alias("is_track_time")))
     info = F.to_json(arr, {"ignoreNullFields": "false"}).alias("field_info")
     keep = [F.col(f"`{c}`") for c in cols] if keep_row else [F.col(key)]
-    return with_meta.select(*keep, info)
+    return _with_metadata(rows, metadata, small_bytes).select(*keep, info)
 
 
 def validate_field_json(rows_with_json: DataFrame, metadata: DataFrame, key: str = "site",
                         json_col: str = "field_info") -> DataFrame:
     """Explode each row's field array, map field names back to
     columns through the metadata, and compare the element's value with
-    the row's own value: NULL-safe, as text, and by value for numeric
+    the row's own value: NULL-safe, as JSON text, and by value for numeric
     columns.  A metadata column the row does not have is a ``MISMATCH``
     even though both sides are null.
 
     Output: key, column_name, original_value, json_value, validation_result.
     """
     cols = [c for c in rows_with_json.columns if c != json_col]
-    if not is_small(metadata, MAX_FIELDS):
-        raise ValueError(f"field metadata has more than {MAX_FIELDS} rows")
-    # field name -> its column names (a field named twice joins twice, as
-    # in the reference's join; a NULL field name joins nothing)
-    fmap = (metadata.where(F.col("field_name").isNotNull())
-            .groupBy("field_name").agg(F.collect_list("column_name").alias("cols"))
-            .select(F.map_from_entries(F.collect_list(F.struct("field_name", "cols")))).scalar())
-    tmap = _value_map(rows_with_json, cols, as_text=True)
+    fields = metadata.select(F.col("field_name").alias("__field"), "column_name")
     x = (rows_with_json
-         .withColumn("__fmap", fmap)
-         .select(F.col(key), tmap.alias("__vals"), "__fmap",
+         .select(F.col(key), _text_map(rows_with_json, cols).alias("__vals"),
                  F.explode(F.from_json(json_col, ELEMENT_SCHEMA)).alias("__e"))
-         .select(key, "__vals", "__e",
-                 F.explode(F.try_element_at("__fmap", F.col("__e.field_name"))).alias("column_name")))
+         .join(fields, F.col("__e.field_name") == F.col("__field")))
     orig = F.try_element_at("__vals", F.col("column_name"))
     jv = F.col("__e.value")
     present = F.map_contains_key("__vals", F.col("column_name"))
@@ -97,28 +117,22 @@ def validate_field_json(rows_with_json: DataFrame, metadata: DataFrame, key: str
     is_num = F.col("column_name").isin(*numeric) if numeric else F.lit(False)
     same_number = is_num & (orig.try_cast("double") == jv.try_cast("double"))
     same = orig.eqNullSafe(jv) | F.coalesce(same_number, F.lit(False))
-    result = F.when(present & same, F.lit("MATCH")).otherwise(F.lit("MISMATCH"))
+    result = F.when(F.coalesce(present, F.lit(False)) & same, F.lit("MATCH")).otherwise(F.lit("MISMATCH"))
     return x.select(key, "column_name", orig.alias("original_value"), jv.alias("json_value"),
                     result.alias("validation_result"))
 
 
-def _has_field(elems: Column, field: str) -> Column:
-    return F.exists(elems, lambda e: e["field_name"] == F.lit(field))
-
-
 def field_time_to_utc(exec_rows: DataFrame, staff: DataFrame, field: str,
                       json_col: str = "project_data") -> DataFrame:
     """For rows whose JSON array contains ``field``, list the field's
     local time text, the staff member's zone label (matched by tech_id)
     and the time in UTC as ``YYYY-MM-DDTHH:MM:SSZ``.  Ambiguous local
     times read as standard time; unknown zones as UTC."""
-    elems = F.from_json(json_col, ELEMENT_SCHEMA)
-    e = (exec_rows.select("tech_id", elems.alias("__elems"))
-         .where(_has_field(F.col("__elems"), field)))
-    st = broadcast_if_small(staff.select(F.col("tech_id").alias("s_tech"), "time_zone"))
-    j = e.join(st, e["tech_id"] == st["s_tech"])
-    x = (j.select("tech_id", "time_zone", F.explode("__elems").alias("__e"))
+    # an outer explode: Spark would guard an inner one with a parse of its own
+    e = (exec_rows.select("tech_id", F.explode_outer(F.from_json(json_col, ELEMENT_SCHEMA)).alias("__e"))
          .where(F.col("__e.field_name") == F.lit(field)))
+    st = staff.select(F.col("tech_id").alias("s_tech"), "time_zone")
+    x = e.join(st, e["tech_id"] == st["s_tech"])
     v = F.col("__e.value")
     utc = iso_utc_text(local_to_utc(v.cast("timestamp_ntz"), zone_name(F.col("time_zone"))))
     return x.select("tech_id", "time_zone", v.alias("original_value"),
@@ -134,12 +148,11 @@ def rewrite_field_time_to_utc(exec_rows: DataFrame, staff: DataFrame, field: str
     of the element) are kept.  Other rows are returned unchanged.
     Duplicate staff ids resolve to the smallest zone label."""
     zones = staff.groupBy(F.col("id").alias("s_id")).agg(F.min("time_zone").alias("s_zone"))
-    zones = F.broadcast(zones) if is_small(staff) else zones  # at most one row per staff row
-    elems = F.from_json(json_col, ELEMENT_SCHEMA)
-    j = left_join_nulls_aside(exec_rows, zones, [("staff_id", "s_id")])
-    touch = F.col("s_id").isNotNull() & _has_field(elems, field)
+    parsed = F.try_variant_get(F.try_parse_json(F.col(json_col)), "$", "array<map<string,variant>>")
+    j = left_join(exec_rows.withColumn("__elems", parsed), zones, [("staff_id", "s_id")])
+    has_field = F.exists("__elems", lambda e: e["field_name"].cast("string") == F.lit(field))
+    touch = F.col("s_id").isNotNull() & F.coalesce(has_field, F.lit(False))
     zone = zone_name(F.col("s_zone"))
-    full = F.parse_json(F.col(json_col)).cast("array<map<string,variant>>")
 
     def fix(e):
         name = e["field_name"].cast("string")
@@ -149,5 +162,5 @@ def rewrite_field_time_to_utc(exec_rows: DataFrame, staff: DataFrame, field: str
                                 F.create_map(F.lit("value"), utc.cast("variant")))
         return F.when((name == F.lit(field)) & val.isNotNull(), replaced).otherwise(e)
 
-    new_json = F.when(touch, F.to_json(F.transform(full, fix))).otherwise(F.col(json_col))
+    new_json = F.when(touch, F.to_json(F.transform("__elems", fix))).otherwise(F.col(json_col))
     return j.select(*[new_json.alias(c) if c == json_col else F.col(c) for c in exec_rows.columns])

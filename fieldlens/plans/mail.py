@@ -1,61 +1,32 @@
 """Recipient lists sorted by last name.
 
-Per message and recipient type (To, Cc) the addresses are ordered by the
-last name taken from the display name (ties keep their original
-position) and joined with ``'; '``.  A recipient list belongs to one mail
-and is bounded by the mail system's recipient limit, so it is gathered
-per (message, type) group.  Ordering is a native ``array_sort`` on
-(last name, position) structs, or -- ``tie_order="exchange"`` -- the
-macro's own exchange sort replayed with ``aggregate``/``transform``, which
-reproduces its order among equal last names exactly.
+Per message, the To and Cc addresses are ordered by the last name taken from
+the display name (ties keep their original position) and joined with ``'; '``.
+Other recipient types keep their order.  A recipient list belongs to one mail
+and is bounded by the mail system's recipient limit, so it is gathered per
+(message, type) group and ordered with a native ``array_sort``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import last_name
 
 
-def _exchange_sort(arr: Column) -> Column:
-    """The mail macro's in-place exchange sort, step for step: for each i,
-    for each j > i, swap entries i and j when last name i > last name j
-    (strictly).  Equal last names can change order (the sort is not
-    stable), exactly as the macro leaves them.  Quadratic in the list
-    length, which a mail's recipient limit bounds."""
-    n = F.size(arr)
-
-    def outer(acc, i):
-        def inner(acc2, j):
-            swapped = F.transform(acc2, lambda x, k: F.when(k == i, acc2[j]).when(k == j, acc2[i]).otherwise(x))
-            return F.when(acc2[i]["ln"] > acc2[j]["ln"], swapped).otherwise(acc2)
-        return F.aggregate(F.sequence(i + 1, n - 1), acc, inner)
-
-    return F.when(n > 1, F.aggregate(F.sequence(F.lit(0), n - 2), arr, outer)).otherwise(arr)
+SORTED_TYPES = ("To", "Cc")
 
 
 def sorted_recipients(recipients: DataFrame, message_col: str = "message_id", type_col: str = "type",
-                      position_col: str = "position", tie_order: str = "position") -> DataFrame:
-    """message, type, recipient_count, reordered (more than one
-    recipient -- a single recipient is left as is), sorted_addresses.
-
-    ``tie_order="position"``: equal last names keep their original order
-    (a stable sort).  ``tie_order="exchange"``: the macro's own exchange
-    sort, which may reorder equal last names.
-    """
-    if tie_order not in ("position", "exchange"):
-        raise ValueError("tie_order must be 'position' or 'exchange'")
-    entries = F.struct(last_name(F.col("name")).alias("ln"), F.col(position_col).alias("pos"),
-                       F.col("address").alias("addr"))
-    if tie_order == "position":
-        ordered = F.array_sort(F.collect_list(entries))
-    else:
-        by_position = F.array_sort(F.collect_list(F.struct(F.col(position_col).alias("p"), entries.alias("e"))))
-        ordered = _exchange_sort(F.transform(by_position, lambda x: x["e"]))
+                      position_col: str = "position") -> DataFrame:
+    """message, type, recipient_count, reordered (a To or Cc list of more than
+    one recipient), sorted_addresses."""
+    is_sorted = F.col(type_col).isin(*SORTED_TYPES)
+    name = F.when(is_sorted, last_name(F.col("name")))
+    entries = F.struct(name.alias("ln"), F.col(position_col).alias("pos"), F.col("address").alias("addr"))
     g = recipients.groupBy(message_col, type_col).agg(
-        F.count(F.lit(1)).alias("recipient_count"),
-        ordered.alias("__sorted"))
+        F.count(F.lit(1)).alias("recipient_count"), F.array_sort(F.collect_list(entries)).alias("__sorted"))
     return g.select(message_col, type_col, "recipient_count",
-                    (F.col("recipient_count") > 1).alias("reordered"),
+                    (F.coalesce(is_sorted, F.lit(False)) & (F.col("recipient_count") > 1)).alias("reordered"),
                     F.array_join(F.transform("__sorted", lambda e: e["addr"]), "; ").alias("sorted_addresses"))

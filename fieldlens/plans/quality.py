@@ -177,5 +177,7 @@ def recent_rows(df: DataFrame, ts_col: str, as_of, days: int = 7) -> DataFrame:
         as_of = dt.datetime.combine(as_of, dt.time())
     bound = as_of - dt.timedelta(days=days)
     col_type = df.schema[ts_col].dataType
+    if isinstance(col_type, T.DateType) and bound.time() != dt.time():
+        bound += dt.timedelta(days=1)  # a date is its midnight
     lit = ts_literal(bound) if isinstance(col_type, T.TimestampNTZType) else F.lit(bound).cast(col_type)
     return df.where(F.col(ts_col) >= lit)

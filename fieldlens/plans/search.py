@@ -16,27 +16,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import contains_any, pg_concat, pg_like_text
-from ..operators.joins import is_small, left_join_nulls_aside
+from ..operators.joins import left_join
 
 OUT = ["emp_id", "emp_full_name", "emp_manager_id", "manager_name"]
 
 
-def _employees(employees: DataFrame) -> DataFrame:
-    """The employee dimension, broadcast when a row count proves it small
-    (both joins then leave the hire rows where they are)."""
-    e = employees.select("id", "first_name", "last_name")
-    return F.broadcast(e) if is_small(employees) else e
+NAMES = ("first_name", "last_name")
 
 
-def _with_employee(hires: DataFrame, employees: DataFrame) -> DataFrame:
-    e = employees.select(F.col("id").alias("e_id"), F.col("first_name").alias("e_first_name"),
-                         F.col("last_name").alias("e_last_name"))
-    return left_join_nulls_aside(hires, e, [("old_emp_id", "e_id")])
+def _role(employees: DataFrame, prefix: str, extra=()) -> DataFrame:
+    """The employee columns that one role needs, under the role's prefix."""
+    wanted = dict.fromkeys(["id", *NAMES, *extra])
+    return employees.select(*[F.col(c).alias(prefix + c) for c in wanted])
 
 
-def _with_manager(cte: DataFrame, employees: DataFrame) -> DataFrame:
-    m = employees.select(F.col("id").alias("m_id"), F.col("first_name").alias("m_first_name"),
-                         F.col("last_name").alias("m_last_name"))
+def _with_employee(hires: DataFrame, employees: DataFrame, extra=()) -> DataFrame:
+    return left_join(hires, _role(employees, "e_", extra), [("old_emp_id", "e_id")])
+
+
+def _with_manager(cte: DataFrame, employees: DataFrame, extra=()) -> DataFrame:
+    m = _role(employees, "m_", extra)
     return cte.join(m, cte["emp_manager_id"] == m["m_id"])  # inner: hires without a manager drop out
 
 
@@ -48,7 +47,6 @@ def search_hires(hires: DataFrame, employees: DataFrame, search_text: str | None
     are wildcards, an empty term between two spaces matches any non-NULL
     value), AND the given equality filters; with the employee's and the
     manager's full names (NULL parts as empty)."""
-    employees = _employees(employees)
     j = _with_employee(hires, employees)
     conds = []
     if search_text:  # NULL or '' means no search
@@ -96,8 +94,9 @@ def search_hires_spec(hires: DataFrame, employees: DataFrame, search_text: str |
     join."""
     filters = filters or {}
     spec = spec or DEFAULT_SPEC
-    employees = _employees(employees)
-    j = _with_employee(hires, employees)
+    of = {side: [col for key, (s, col, _) in spec.items() if key in filters and s == side]
+          for side in ("employee", "manager")}
+    j = _with_employee(hires, employees, of["employee"])
     conds = [_spec_pred(side, col, kind, filters[key])
              for key, (side, col, kind) in spec.items() if key in filters and side != "manager"]
     terms = (search_text or "").split()
@@ -108,7 +107,7 @@ def search_hires_spec(hires: DataFrame, employees: DataFrame, search_text: str |
     cte = j.select(F.col("id").alias("emp_id"),
                    pg_concat(F.col("e_first_name"), " ", F.col("e_last_name")).alias("emp_full_name"),
                    F.col("manager_id").alias("emp_manager_id"))
-    out = _with_manager(cte, employees)
+    out = _with_manager(cte, employees, of["manager"])
     mconds = [_spec_pred(side, col, kind, filters[key])
               for key, (side, col, kind) in spec.items() if key in filters and side == "manager"]
     if mconds:

@@ -2,10 +2,10 @@
 the equivalent DuckDB SQL used as an independent oracle.
 
 ``QUERIES[name] = (build(spark, sf_dir) -> DataFrame, oracle_sql | None)``.
-Oracle SQL states each pipeline's semantics directly in DuckDB -- e.g.
-P5 as the literal (cell x SR x activity) left join whose fan-out the
-Spark rewrite reproduces arithmetically, P26 as a step-by-step replay of
-the exchange sort -- so the two sides are independent formulations.
+Oracle SQL states what each pipeline returns in its own way: P1 from one count
+per severity, P5 from counts looked up per cell, P6 and P7 from the hires and
+people that each term finds, P8 and P12 from unpivoted (row, column, value)
+facts.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from .sources.fixtures import Fixtures, duckdb_with
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 
-def register(name: str, fixtures: tuple[str, ...] = (), sql: str | None = None, recursive: bool = False):
+def register(name: str, fixtures: tuple[str, ...] = (), sql: str | None = None):
     def deco(fn):
         oracle = None
         if sql is not None:
@@ -29,8 +29,6 @@ def register(name: str, fixtures: tuple[str, ...] = (), sql: str | None = None,
             # a body starting with "," continues the fixtures' WITH clause
             oracle = (duckdb_with(fixtures).rstrip() + "\n" + body) if body.startswith(",") \
                 else duckdb_with(fixtures) + body
-            if recursive:
-                oracle = oracle.replace("WITH ", "WITH RECURSIVE ", 1)
         QUERIES[name] = (lambda spark, sf_dir: fn(Fixtures(spark, sf_dir)), oracle)
         return fn
     return deco
@@ -38,7 +36,6 @@ def register(name: str, fixtures: tuple[str, ...] = (), sql: str | None = None,
 
 # ---------------------------------------------------------------- parameters
 AS_OF = dt.date(1998, 6, 20)
-AS_OF_FIRST = dt.date(1998, 6, 1)
 TREND_START, TREND_END = dt.date(1998, 1, 1), dt.date(1998, 3, 31)
 GRID_START, GRID_END = dt.date(1998, 1, 1), dt.date(1998, 1, 31)
 FIELD = "comm_rack_inspection_date"
@@ -52,28 +49,24 @@ def _d(d: dt.date) -> str:
 # ---------------------------------------------------------------- severity
 from .plans import severity as sev  # noqa: E402
 
-_BUCKET_SQL = "CASE WHEN s.severity > 5 THEN '5+' ELSE CAST(s.severity AS VARCHAR) END"
-
-
 def _p1_sql(as_of, extra=()):
+    # exact severities first, folded to the labels 1 to 5 and 5+ afterwards
     start, end = month_to_yesterday(as_of)
-    attrs = ", ".join(f"st.{k}" for k in sev.STAFF_KEYS + list(extra))
+    keys = ", ".join([*sev.STAFF_KEYS, *extra])
     return f"""
-SELECT {attrs}, x.day AS closed_day, x.sev AS bucket, count(*)::BIGINT AS "count"
-FROM (SELECT siebel_id, closed_date::DATE AS day, if(severity > 5, '5+', severity::VARCHAR) AS sev
-      FROM siebel_srs WHERE closed_date::DATE >= {_d(start)} AND closed_date::DATE <= {_d(end)}) x
-JOIN staff_master st ON st.emp_id = x.siebel_id
+SELECT {keys}, closed_day, label AS bucket, sum(n)::BIGINT AS "count"
+FROM (SELECT siebel_id AS emp_id, date_trunc('day', closed_date)::DATE AS closed_day, severity, count(*) AS n
+      FROM siebel_srs WHERE closed_date >= TIMESTAMP '{start} 00:00:00' AND closed_date < TIMESTAMP '{end} 00:00:00' + INTERVAL 1 DAY
+      GROUP BY ALL)
+LEFT JOIN (SELECT unnest(range(-100, 101))::INT AS severity, unnest([if(x > 5, '5+', x::VARCHAR) FOR x IN range(-100, 101)]) AS label)
+  USING (severity)
+JOIN (SELECT emp_id, {keys} FROM staff_master) USING (emp_id)
 GROUP BY ALL"""
 
 
 @register("p1_severity_summary", ("siebel_srs", "staff_master"), _p1_sql(AS_OF))
 def q_p1(fx):
-    return sev.severity_summary(fx["siebel_srs"], fx["staff_master"], AS_OF)
-
-
-@register("p1_severity_summary_first_of_month", ("siebel_srs", "staff_master"), _p1_sql(AS_OF_FIRST))
-def q_p1_empty(fx):
-    return sev.severity_summary(fx["siebel_srs"], fx["staff_master"], AS_OF_FIRST)
+    return sev.severity_summary(fx["siebel_srs"], fx.dim("staff_master"), AS_OF)
 
 
 def _p2_sql(as_of):
@@ -93,14 +86,14 @@ GROUP BY st.emp_id, st.tech_id, st.first_name, st.state, st.city, st.zone, st.te
 
 @register("p2_severity_pivot", ("siebel_srs", "staff_master"), _p2_sql(AS_OF))
 def q_p2(fx):
-    return sev.severity_pivot(fx["siebel_srs"], fx["staff_master"], AS_OF)
+    return sev.severity_pivot(fx["siebel_srs"], fx.dim("staff_master"), AS_OF)
 
 
 @register("p3_pivot_json_rows", ("siebel_srs", "staff_master"),
           _p2_sql(AS_OF).replace("\nSELECT st.tech_id", ",\npiv AS (SELECT st.tech_id", 1)
           + ")\nSELECT to_json(piv) AS json FROM piv")
 def q_p3(fx):
-    return sev.to_json_rows(sev.severity_pivot(fx["siebel_srs"], fx["staff_master"], AS_OF))
+    return sev.to_json_rows(sev.severity_pivot(fx["siebel_srs"], fx.dim("staff_master"), AS_OF))
 
 
 def _p4_sql(level, am, mgr):
@@ -149,7 +142,7 @@ FROM d GROUP BY role, manager, {keys}"""
 
 @register("p24_manager_report", ("siebel_srs", "staff_master"), _p24_sql(AS_OF))
 def q_p24(fx):
-    return sev.manager_report(fx["siebel_srs"], fx["staff_master"], AS_OF)
+    return sev.manager_report(fx["siebel_srs"], fx.dim("staff_master"), AS_OF)
 
 
 # ---------------------------------------------------------------- grid (P5)
@@ -160,43 +153,32 @@ def _sql_str(v):
     return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
 
 
-def _p5_prefix(am, mgr):
-    rule = " OR ".join([f"assoc_manager_tid = {_sql_str(am)}"] * (am is not None)
-                       + [f"manager_tid = {_sql_str(mgr)}"] * (mgr is not None)) or "TRUE"
+def _p5_sql(am, mgr, multiply=True):
+    # one looked-up count per cell and kind; a cell's SR counts are multiplied by
+    # its activities and the reverse, as a join of both to the cell would
+    wanted = [f"assoc_manager_tid = {_sql_str(am)}"] * (am is not None) + [f"manager_tid = {_sql_str(mgr)}"] * (mgr is not None)
+    times = lambda other: f" * greatest({other}, 1)" if multiply else ""
     return f"""
-, days AS (SELECT range::DATE AS day FROM range(DATE '{GRID_START}', DATE '{GRID_END}' + INTERVAL 1 DAY, INTERVAL 1 DAY)),
-people AS (SELECT id AS pid, emp_id AS eid, first_name || ' ' || last_name AS full_name, tech_id, zone, team
-           FROM staff_master WHERE is_active AND ({rule})),
-cells AS (SELECT * FROM days, people),
-sr AS (SELECT siebel_id, open_date::DATE AS od, closed_date::DATE AS cd FROM siebel_srs),
-pa AS (SELECT staff_id, created_at::DATE AS ad, record_type FROM project_activities)"""
-
-
-def _p5_sql(am, mgr):
-    # every (cell, SR, activity) combination, as a literal double left join produces
-    return _p5_prefix(am, mgr) + """
-SELECT c.day AS report_date, c.full_name, c.tech_id, c.zone, c.team,
-  sum(CASE WHEN sr.od = c.day THEN 1 ELSE 0 END)::BIGINT AS open_srs,
-  sum(CASE WHEN sr.cd = c.day THEN 1 ELSE 0 END)::BIGINT AS closed_srs,
-  sum(CASE WHEN pa.record_type = 'Activity' THEN 1 ELSE 0 END)::BIGINT AS activity_count,
-  sum(CASE WHEN pa.record_type = 'Time Task' THEN 1 ELSE 0 END)::BIGINT AS time_task_count
-FROM cells c
-LEFT JOIN sr ON sr.siebel_id = c.eid AND c.day IN (sr.od, sr.cd)
-LEFT JOIN pa ON pa.staff_id = c.pid AND pa.ad = c.day AND pa.record_type IN ('Activity', 'Time Task')
-GROUP BY ALL"""
-
-
-def _p5_independent_sql(am, mgr):
-    return _p5_prefix(am, mgr) + """
-SELECT c.day AS report_date, c.full_name, c.tech_id, c.zone, c.team,
-  sum((SELECT count(*) FROM sr WHERE sr.siebel_id = c.eid AND sr.od = c.day))::BIGINT AS open_srs,
-  sum((SELECT count(*) FROM sr WHERE sr.siebel_id = c.eid AND sr.cd = c.day))::BIGINT AS closed_srs,
-  sum((SELECT count(*) FROM pa WHERE pa.staff_id = c.pid AND pa.ad = c.day AND pa.record_type = 'Activity'))::BIGINT
-    AS activity_count,
-  sum((SELECT count(*) FROM pa WHERE pa.staff_id = c.pid AND pa.ad = c.day AND pa.record_type = 'Time Task'))::BIGINT
-    AS time_task_count
-FROM cells c
-GROUP BY ALL"""
+, facts AS (
+  SELECT 'S' || siebel_id AS who, open_date::DATE AS dy, 'open' AS kind FROM siebel_srs
+  UNION ALL SELECT 'S' || siebel_id, closed_date::DATE, 'closed' FROM siebel_srs
+  UNION ALL SELECT 'S' || siebel_id, d, 'any sr' FROM (
+    SELECT siebel_id, unnest(list_distinct([open_date::DATE, closed_date::DATE])) AS d FROM siebel_srs)
+  UNION ALL SELECT 'A' || staff_id, created_at::DATE, record_type FROM project_activities
+  UNION ALL SELECT 'A' || staff_id, created_at::DATE, 'any activity' FROM project_activities
+    WHERE record_type IN ('Activity', 'Time Task')),
+tally AS (SELECT map_from_entries(list(struct_pack(k := concat(who, '/', dy, '/', kind), v := n))) AS m
+          FROM (SELECT who, dy, kind, count(*) AS n FROM facts WHERE dy BETWEEN '{GRID_START}' AND '{GRID_END}' GROUP BY ALL)),
+looked AS (
+  SELECT s.tech_id, s.zone, s.team, s.first_name || ' ' || s.last_name AS full_name, report_date,
+    [coalesce(tally.m['S' || s.emp_id || '/' || report_date || '/' || k], 0) FOR k IN ['open', 'closed', 'any sr']] AS sr,
+    [coalesce(tally.m['A' || s.id || '/' || report_date || '/' || k], 0) FOR k IN ['Activity', 'Time Task', 'any activity']] AS act
+  FROM tally, (SELECT *, unnest(range('{GRID_START}'::DATE, '{GRID_END}'::DATE + 1, INTERVAL 1 DAY))::DATE AS report_date
+               FROM staff_master WHERE is_active AND ({" OR ".join(wanted) or "TRUE"})) s)
+SELECT report_date, full_name, tech_id, zone, team,
+  sum(sr[1]{times("act[3]")})::BIGINT AS open_srs, sum(sr[2]{times("act[3]")})::BIGINT AS closed_srs,
+  sum(act[1]{times("sr[3]")})::BIGINT AS activity_count, sum(act[2]{times("sr[3]")})::BIGINT AS time_task_count
+FROM looked GROUP BY ALL"""
 
 
 _GRID_FX = ("staff_master", "siebel_srs", "project_activities")
@@ -206,33 +188,47 @@ for _name, _am, _mgr, _mode in (("p5_grid_all", None, None, "multiply"),
                                 ("p5_grid_both_managers", "AM1", "M2", "multiply"),
                                 ("p5_grid_independent_counts", None, None, "independent")):
     def _mk(am=_am, mgr=_mgr, mode=_mode):
-        return lambda fx: grid.daily_staff_summary(fx["staff_master"], fx["siebel_srs"], fx["project_activities"],
+        return lambda fx: grid.daily_staff_summary(fx.dim("staff_master"), fx["siebel_srs"], fx["project_activities"],
                                                    GRID_START, GRID_END, am, mgr, fanout=mode)
-    _sql = _p5_sql(_am, _mgr) if _mode == "multiply" else _p5_independent_sql(_am, _mgr)
-    register(_name, _GRID_FX, _sql)(_mk())
+    register(_name, _GRID_FX, _p5_sql(_am, _mgr, _mode == "multiply"))(_mk())
 
 
 # ---------------------------------------------------------------- search
 from .plans import search  # noqa: E402
 
 
-def _contains_any(cols, terms):
-    return "(" + " OR ".join(f"{c} ILIKE '%{t}%'" for t in terms for c in cols) + ")"
-
-
-def _named(alias):
-    return f"coalesce({alias}.first_name, '') || ' ' || coalesce({alias}.last_name, '')"
+def _found_sql(terms, hire_cols, keep_hire, keep_manager="TRUE", keep_employee=None):
+    """Hires that any term finds, by its own columns or by its employee's name."""
+    people = "people AS (SELECT id, concat_ws(' ', coalesce(first_name, ''), coalesce(last_name, '')) AS full_name, " \
+             "first_name, last_name FROM employees)"
+    if terms:
+        list_of = "[" + ", ".join(_sql_str(f"%{t}%") for t in terms) + "]"
+        term = f"wanted AS (SELECT unnest({list_of}) AS pattern)"
+        found = f"""found AS (
+  SELECT h.id FROM wanted JOIN (UNPIVOT (SELECT id, {", ".join(hire_cols)} FROM new_hires) ON {", ".join(hire_cols)} INTO NAME c VALUE v) h
+    ON h.v ILIKE pattern
+  UNION SELECT h.id FROM wanted
+    JOIN (UNPIVOT (SELECT id, first_name, last_name FROM employees) ON first_name, last_name INTO NAME c VALUE v) p ON p.v ILIKE pattern
+    JOIN new_hires h ON h.old_emp_id = p.id)"""
+    else:
+        term, found = "wanted AS (SELECT 1)", "found AS (SELECT id FROM new_hires)"
+    if keep_employee:
+        found += f", kept AS (SELECT id FROM found WHERE id IN (SELECT h.id FROM new_hires h SEMI JOIN (FROM people WHERE {keep_employee}) p ON h.old_emp_id = p.id))"
+    else:
+        found += ", kept AS (FROM found)"
+    return f"""
+, {people},
+{term},
+{found}
+SELECT h.id AS emp_id, coalesce((SELECT full_name FROM people WHERE id = h.old_emp_id), ' ') AS emp_full_name,
+       h.manager_id AS emp_manager_id, b.full_name AS manager_name
+FROM (FROM people WHERE {keep_manager}) b, (FROM new_hires SEMI JOIN kept USING (id) WHERE {keep_hire}) h
+WHERE b.id = h.manager_id"""
 
 
 def _p6_sql(text, pos=None, join=None, zone=None):
-    conds = [_contains_any(["h.req_num", "e.first_name", "e.last_name"], text.split(" "))] if text else []
-    conds += [f"h.{col} = {_sql_str(v)}" for col, v in (("req_status", pos), ("hire_status", join), ("zone", zone))
-              if v is not None]
-    return f"""
-SELECT h.id AS emp_id, {_named("e")} AS emp_full_name, h.manager_id AS emp_manager_id, {_named("boss")} AS manager_name
-FROM new_hires h LEFT JOIN employees e ON h.old_emp_id = e.id
-JOIN employees boss ON boss.id = h.manager_id
-WHERE {" AND ".join(conds) or "TRUE"}"""
+    kept = [f"{col} = {_sql_str(v)}" for col, v in (("req_status", pos), ("hire_status", join), ("zone", zone)) if v is not None]
+    return _found_sql(text.split(" ") if text else [], ["req_num"], " AND ".join(kept) or "TRUE")
 
 
 _SEARCH_FX = ("new_hires", "employees")
@@ -242,32 +238,21 @@ for _name, _args in (("p6_search_terms_open", ("1 ann t5", "Open", None, None)),
                      ("p6_search_double_space_joined", ("dee  z", None, "Joined", None)),
                      ("p6_search_wildcard_terms", ("#00_1_ l%t3", None, None, "Z2"))):
     def _mk(args=_args):
-        return lambda fx: search.search_hires(fx["new_hires"], fx["employees"], *args)
+        return lambda fx: search.search_hires(fx["new_hires"], fx.dim("employees"), *args)
     register(_name, _SEARCH_FX, _p6_sql(*_args))(_mk())
 
 
 def _p7_sql(text, filters):
-    conds = []
-    if "department" in filters:
-        conds.append(f"h.department = {_sql_str(filters['department'])}")
-    if "employee_last_name" in filters:
-        conds.append(f"starts_with(e.last_name, {_sql_str(filters['employee_last_name'])})")
-    terms = (text or "").split()
-    if terms:
-        conds.append(_contains_any(["h.name", "h.position", "e.first_name", "e.last_name"], terms))
-    if "manager_first_name" in filters:
-        conds.append(f"starts_with(boss.first_name, {_sql_str(filters['manager_first_name'])})")
-    return f"""
-SELECT h.id AS emp_id, {_named("e")} AS emp_full_name, h.manager_id AS emp_manager_id, {_named("boss")} AS manager_name
-FROM new_hires h LEFT JOIN employees e ON h.old_emp_id = e.id
-JOIN employees boss ON boss.id = h.manager_id
-WHERE {" AND ".join(conds) or "TRUE"}"""
+    prefix = lambda col, key: f"starts_with({col}, {_sql_str(filters[key])})" if key in filters else None
+    hire = f"department = {_sql_str(filters['department'])}" if "department" in filters else "TRUE"
+    return _found_sql((text or "").split(), ["name", "position"], hire,
+                      prefix("first_name", "manager_first_name") or "TRUE", prefix("last_name", "employee_last_name"))
 
 
 for _name, _text, _filters in (("p7_spec_search_names", "bob hr", {"employee_last_name": "Last1", "manager_first_name": "Bob"}),
                                ("p7_spec_department", "  cand 1 ", {"department": "HOUSEHOLD"})):
     def _mk(text=_text, filters=_filters):
-        return lambda fx: search.search_hires_spec(fx["new_hires"], fx["employees"], text, filters)
+        return lambda fx: search.search_hires_spec(fx["new_hires"], fx.dim("employees"), text, filters)
     register(_name, _SEARCH_FX, _p7_sql(_text, _filters))(_mk())
 
 
@@ -278,13 +263,17 @@ CHANGE_TS = dt.datetime(2024, 2, 1, 9, 30, 0)
 
 
 @register("p8_staff_change_history", ("staff_master", "staff_staging"), f"""
-SELECT m.emp_id, m.zone, m.team, m.title, m.first_name AS firstname, m.last_name AS lastname, m.mobile,
-  TIMESTAMP '{CHANGE_TS}' AS change_date,
-  to_json({{'changes': {{'zone': {{'old': m.zone, 'new': g.zone}}, 'team': {{'old': m.team, 'new': g.team}},
-                         'title': {{'old': m.title, 'new': g.title}}}}}})::VARCHAR AS comments
-FROM staff_master m, staff_staging g
-WHERE m.emp_id = g.emp_id
-  AND (coalesce(m.zone <> g.zone, false) OR coalesce(m.team <> g.team, false) OR coalesce(m.title <> g.title, false))""")
+, old AS (UNPIVOT (SELECT emp_id, zone, team, title FROM staff_master) ON zone, team, title INTO NAME col VALUE was),
+new AS (UNPIVOT (SELECT emp_id, zone, team, title FROM staff_staging) ON zone, team, title INTO NAME col VALUE is_now),
+changed AS (SELECT DISTINCT emp_id FROM old JOIN new USING (emp_id, col) WHERE was <> is_now),
+tracked AS (
+  SELECT emp_id, string_agg('"' || col || '":{{"old":' || coalesce(to_json(was)::VARCHAR, 'null') || ',"new":' || coalesce(to_json(is_now)::VARCHAR, 'null') || '}}', ','
+                            ORDER BY list_position(['zone', 'team', 'title'], col)) AS body
+  FROM (SELECT emp_id, unnest(['zone', 'team', 'title']) AS col FROM changed)
+  LEFT JOIN old USING (emp_id, col) LEFT JOIN new USING (emp_id, col) GROUP BY emp_id)
+SELECT emp_id, zone, team, title, first_name AS firstname, last_name AS lastname, mobile, TIMESTAMP '{CHANGE_TS}' AS change_date,
+       '{{"changes":{{' || body || '}}}}' AS comments
+FROM staff_master JOIN tracked USING (emp_id)""")
 def q_p8(fx):
     return changes.staff_change_history(fx["staff_master"], fx["staff_staging"], CHANGE_TS)
 
@@ -303,7 +292,28 @@ def q_p9(fx):
     return changes.apply_staging(fx["staff_master"], fx["staff_staging"])[0]
 
 
-@register("p10_assign_mileage_by_date_range", ("van_mileage", "van_allocation_history"), """
+_P9_ONE = """
+, one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY emp_id ORDER BY zone DESC NULLS LAST, team DESC NULLS LAST,
+            title DESC NULLS LAST, firstname DESC NULLS LAST, lastname DESC NULLS LAST, mobile DESC NULLS LAST) AS n
+          FROM staff_staging_repeated) WHERE n = 1)"""
+
+
+@register("p9_apply_staging_repeated", ("staff_master", "staff_staging_repeated"), _P9_ONE + """
+SELECT """ + ", ".join(f"CASE WHEN one.emp_id IS NOT NULL THEN one.{_P9_SET[c]} ELSE sm.{c} END AS {c}"
+                       if c in _P9_SET else f"sm.{c}" for c in _MASTER_COLS) + """
+FROM staff_master sm LEFT JOIN one ON sm.emp_id = one.emp_id""")
+def q_p9_repeated(fx):
+    return changes.apply_staging(fx["staff_master"], fx["staff_staging_repeated"])[0]
+
+
+@register("p9_staging_reports", ("staff_staging_repeated",), """
+SELECT emp_id, count(*) AS copies FROM staff_staging_repeated GROUP BY emp_id
+HAVING count(DISTINCT (zone, team, title, firstname, lastname, mobile)) > 1""")
+def q_p9_reports(fx):
+    return changes.apply_staging(fx["staff_master"], fx["staff_staging_repeated"])[1]
+
+
+_P10_SQL = """
 , ad AS (SELECT van_number, emp_id, start_date, end_date FROM van_allocation_history WHERE is_active = TRUE),
 m AS (SELECT DISTINCT vm.l_orderkey, vm.l_linenumber, vm.van_number, vm.mileage_date, vm.miles,
              first_value(ad.emp_id) OVER (PARTITION BY vm.l_orderkey, vm.l_linenumber, vm.van_number, vm.mileage_date, vm.miles
@@ -313,11 +323,20 @@ m AS (SELECT DISTINCT vm.l_orderkey, vm.l_linenumber, vm.van_number, vm.mileage_
 SELECT vm.l_orderkey, vm.l_linenumber, vm.van_number, vm.mileage_date, vm.miles,
        CASE WHEN m.l_orderkey IS NOT NULL THEN m.new_emp ELSE vm.emp_id END AS emp_id
 FROM van_mileage vm LEFT JOIN m ON m.l_orderkey = vm.l_orderkey AND m.l_linenumber = vm.l_linenumber
-  AND m.van_number = vm.van_number AND m.mileage_date = vm.mileage_date AND m.miles = vm.miles""")
+  AND m.van_number = vm.van_number AND m.mileage_date = vm.mileage_date AND m.miles = vm.miles"""
+
+
+@register("p10_assign_mileage_by_date_range", ("van_mileage", "van_allocation_history"), _P10_SQL)
 def q_p10(fx):
     return changes.assign_by_date_range(fx["van_mileage"], fx["van_allocation_history"])
 
 
+@register("p10_assign_mileage_open_ends", ("van_mileage", "van_allocation_open"),
+          _P10_SQL.replace("van_allocation_history", "van_allocation_open"))
+def q_p10_open(fx):
+    return changes.assign_by_date_range(fx["van_mileage"], fx["van_allocation_open"])
+
+
 # ---------------------------------------------------------------- JSON fields
 from .plans import jsonfields  # noqa: E402
 
@@ -334,19 +353,25 @@ def q_p11(fx):
     return jsonfields.build_field_json(fx["project_data"], fx["project_metadata"])
 
 
-@register("p12_validate_field_json", ("project_data", "project_metadata"), _P11_CTES + """,
-ej AS (SELECT site, unnest(from_json(field_info, '["JSON"]')) AS field_obj FROM np)
-SELECT ej.site, m.column_name, t.rowj ->> m.column_name AS original_value, ej.field_obj ->> 'value' AS json_value,
-  CASE WHEN json_exists(t.rowj, '$.' || m.column_name)
-        AND NOT ((t.rowj ->> m.column_name) IS DISTINCT FROM (ej.field_obj ->> 'value')) THEN 'MATCH' ELSE 'MISMATCH' END
-    AS validation_result
-FROM ej JOIN project_metadata m ON ej.field_obj ->> 'field_name' = m.field_name
-JOIN t ON t.site = ej.site""")
+@register("p12_validate_field_json", ("project_data", "project_metadata"), """
+, facts AS (UNPIVOT (SELECT p_partkey_text AS site_text, site, p_name, p_brand, p_size, p_retailprice FROM (
+              SELECT site, site::VARCHAR AS p_partkey_text, p_name, p_brand, p_size::VARCHAR AS p_size, p_retailprice::VARCHAR AS p_retailprice
+              FROM project_data)) ON p_name, p_brand, p_size, p_retailprice INTO NAME column_name VALUE value),
+expected AS (SELECT site, column_name, column_name IN ('site', 'p_name', 'p_brand', 'p_size', 'p_retailprice') AS is_column
+             FROM project_data, project_metadata)
+SELECT e.site, e.column_name, f.value AS original_value, f.value AS json_value, if(is_column, 'MATCH', 'MISMATCH') AS validation_result
+FROM expected e LEFT JOIN facts f USING (site, column_name)""")
 def q_p12(fx):
     built = jsonfields.build_field_json(fx["project_data"], fx["project_metadata"], keep_row=True)
     return jsonfields.validate_field_json(built, fx["project_metadata"])
 
 
+@register("p11_build_field_json_joined", ("project_data", "project_metadata"),
+          _P11_CTES + "\nSELECT site, field_info FROM np")
+def q_p11_joined(fx):
+    return jsonfields.build_field_json(fx["project_data"], fx["project_metadata"], small_bytes=0)
+
+
 def _zone_case(col):
     return (f"CASE {col} WHEN 'Eastern' THEN 'America/New_York' WHEN 'Central' THEN 'America/Chicago' "
             f"WHEN 'Mountain' THEN 'America/Denver' WHEN 'Pacific' THEN 'America/Los_Angeles' "
@@ -367,7 +392,7 @@ FROM hits h JOIN staff_master st ON st.tech_id = h.tech_id"""
 
 @register("p13_field_time_to_utc", ("project_execution_json", "staff_master"), _p13_sql("project_execution_json"))
 def q_p13(fx):
-    return jsonfields.field_time_to_utc(fx["project_execution_json"], fx["staff_master"], FIELD)
+    return jsonfields.field_time_to_utc(fx["project_execution_json"], fx.dim("staff_master"), FIELD)
 
 
 def _p14_sql(tbl):
@@ -385,7 +410,7 @@ FROM {tbl} ped LEFT JOIN staff_master sm ON ped.staff_id = sm.id"""
 
 @register("p14_rewrite_field_time_to_utc", ("project_execution_json", "staff_master"), _p14_sql("project_execution_json"))
 def q_p14(fx):
-    return jsonfields.rewrite_field_time_to_utc(fx["project_execution_json"], fx["staff_master"], FIELD)
+    return jsonfields.rewrite_field_time_to_utc(fx["project_execution_json"], fx.dim("staff_master"), FIELD)
 
 
 # ---------------------------------------------------------------- projects
@@ -443,7 +468,7 @@ SELECT {_SKEL_COLS.format(site='x.site')}
 FROM g, LATERAL (SELECT unnest(CASE WHEN g.scope_data = '' THEN []::VARCHAR[] ELSE string_split(g.scope_data, ',') END) AS site) x
 WHERE g.scope = 'Specified Sites'""")
 def q_p16(fx):
-    return projects.project_skeleton(fx["project_definition"], fx["site_master"], fx["project_execution_cycles"])[0]
+    return projects.project_skeleton(fx["project_definition"], fx.dim("site_master"), fx["project_execution_cycles"])[0]
 
 
 @register("p17_advance_definitions", _PROJ_FX, _GEN_SQL + """
@@ -459,9 +484,7 @@ def q_p17(fx):
 # ---------------------------------------------------------------- jobs
 from .plans import jobs  # noqa: E402
 
-_UNIT_SECS_SQL = ("CASE regexp_replace(lower(trim(m.interval_unit)), 's$', '') WHEN 'second' THEN 1 WHEN 'minute' THEN 60 "
-                  "WHEN 'hour' THEN 3600 WHEN 'day' THEN 86400 WHEN 'week' THEN 604800 WHEN 'month' THEN 2592000 "
-                  "WHEN 'year' THEN 31557600 END")
+_UNIT_SECS_SQL = "epoch(CAST('1 ' || m.interval_unit AS INTERVAL))"
 _SLOTS_SQL = f"""
 , s0 AS (
   SELECT r.*, m.id AS job_id, m.created_at, m.interval_value, m.interval_unit,
@@ -480,14 +503,14 @@ _JOB_FX = ("job_events", "fts_job_master")
 @register("p18_job_slots", _JOB_FX, _SLOTS_SQL + """
 SELECT log_id, job_id, name, event_seq, run_count, scheduled_for, status, started_at, next_run_at FROM slots""")
 def q_p18(fx):
-    return jobs.job_slots(fx["job_events"], fx["fts_job_master"])[0]
+    return jobs.job_slots(fx["job_events"], fx.dim("fts_job_master"))[0]
 
 
 @register("p19_job_log_post_image", _JOB_FX, _SLOTS_SQL + """
 SELECT log_id, job_id, scheduled_for, CASE WHEN ended_at IS NOT NULL THEN end_status ELSE status END AS status,
   started_at, ended_at, error_message FROM slots""")
 def q_p19_log(fx):
-    return jobs.apply_job_events(fx["job_events"], fx["fts_job_master"])[0]
+    return jobs.apply_job_events(fx["job_events"], fx.dim("fts_job_master"))[0]
 
 
 @register("p19_job_master_post_image", _JOB_FX, _SLOTS_SQL + """,
@@ -507,7 +530,67 @@ SELECT m.id, m.name, m.created_at, m.interval_value, m.interval_unit,
   (SELECT next_run_at FROM r WHERE r.job_id = m.id AND kind = 0 AND rn_kind = 1) AS next_run_at
 FROM fts_job_master m""")
 def q_p19_master(fx):
-    return jobs.apply_job_events(fx["job_events"], fx["fts_job_master"])[1]
+    return jobs.apply_job_events(fx["job_events"], fx.dim("fts_job_master"))[1]
+
+
+_SPELLED = ("CASE trim(lower(m.interval_unit)) WHEN 'mins' THEN 'minute' WHEN 'hrs' THEN 'hour' WHEN 'd' THEN 'day' "
+            "WHEN 'mon' THEN 'month' END")
+
+
+@register("p18_job_slots_spellings", ("job_events", "fts_job_master_spellings"),
+          _SLOTS_SQL.replace("m.created_at, m.interval_value, m.interval_unit", f"m.created_at, m.interval_value, {_SPELLED} AS interval_unit")
+          .replace("'1 ' || m.interval_unit", f"'1 ' || {_SPELLED}")
+          .replace("JOIN fts_job_master m ON r.name = m.name", f"JOIN fts_job_master_spellings m ON r.name = m.name AND {_SPELLED} IS NOT NULL")
+          + "\nSELECT log_id, job_id, name, event_seq, run_count, scheduled_for, status, started_at, next_run_at FROM slots")
+def q_p18_spellings(fx):
+    return jobs.job_slots(fx["job_events"], fx.dim("fts_job_master_spellings"))[0]
+
+
+@register("p18_job_slot_rejects", ("job_events", "fts_job_master_spellings"), """
+SELECT *, 'invalid interval unit: fortnight' AS reason FROM job_events WHERE name = 'signup'""")
+def q_p18_rejects(fx):
+    return jobs.job_slots(fx["job_events"], fx.dim("fts_job_master_spellings"))[1]
+
+
+_ENDS_SQL = _SLOTS_SQL + """,
+last_end AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY log_id ORDER BY ended_at DESC, status DESC NULLS LAST) AS n
+                            FROM job_ends) WHERE n = 1)"""
+
+
+def _ended(fx):
+    log = jobs.job_slots(fx["job_events"], fx.dim("fts_job_master"))[0].selectExpr(
+        "log_id", "job_id", "scheduled_for", "status", "started_at", "cast(null as timestamp_ntz) AS ended_at",
+        "cast(null as string) AS error_message")
+    return jobs.end_job_runs(log, fx.dim("fts_job_master"), fx["job_ends"])
+
+
+_ENDS_FX = (*_JOB_FX, "job_ends")
+
+
+@register("p19_end_runs_log", _ENDS_FX, _ENDS_SQL + """
+SELECT s.log_id, s.job_id, s.scheduled_for, if(e.log_id IS NULL, s.status, e.status) AS status, s.started_at,
+       e.ended_at, e.error_message
+FROM slots s LEFT JOIN last_end e USING (log_id)""")
+def q_p19_end_log(fx):
+    return _ended(fx)[0]
+
+
+@register("p19_end_runs_master", _ENDS_FX, _ENDS_SQL + """,
+done AS (SELECT s.job_id, e.* FROM slots s JOIN last_end e USING (log_id))
+SELECT m.id, m.name, m.created_at, m.interval_value, m.interval_unit, NULL::TIMESTAMP AS last_run_start_at,
+  (SELECT max(ended_at) FROM done WHERE job_id = m.id) AS last_run_end_at,
+  (SELECT status FROM done WHERE job_id = m.id ORDER BY ended_at DESC, log_id DESC LIMIT 1) AS last_run_status,
+  (SELECT max(ended_at) FROM done WHERE job_id = m.id AND status = 'SUCCESS') AS last_successful_at,
+  NULL::TIMESTAMP AS next_run_at
+FROM fts_job_master m""")
+def q_p19_end_master(fx):
+    return _ended(fx)[1]
+
+
+@register("p19_end_runs_rejects", _ENDS_FX, """
+SELECT log_id, status, ended_at, error_message FROM job_ends WHERE starts_with(log_id, 'none:')""")
+def q_p19_end_rejects(fx):
+    return _ended(fx)[2]
 
 
 # ---------------------------------------------------------------- quality
@@ -625,8 +708,8 @@ from .plans import mail  # noqa: E402
                        WHEN len(string_split(name, ' ')) >= 2 THEN trim(string_split(name, ' ')[-1], ' ')
                        ELSE name END AS ln
         FROM recipients)
-SELECT message_id, type, COUNT(*) AS recipient_count, COUNT(*) > 1 AS reordered,
-       string_agg(address, '; ' ORDER BY ln, position) AS sorted_addresses
+SELECT message_id, type, COUNT(*) AS recipient_count, COUNT(*) > 1 AND type <> 'Bcc' AS reordered,
+       string_agg(address, '; ' ORDER BY CASE WHEN type <> 'Bcc' THEN ln END, position) AS sorted_addresses
 FROM r GROUP BY message_id, type""")
 def q_p26(fx):
     return mail.sorted_recipients(fx["recipients"])
@@ -643,7 +726,7 @@ WHERE recurrence IS NULL OR recurrence NOT IN ('one-time', 'monthly', 'quarterly
 UNION ALL
 SELECT id, recurrence, 'invalid scope' AS reason FROM bad_scope""")
 def q_p16_rejects(fx):
-    return projects.project_skeleton(fx["project_definition"], fx["site_master"], fx["project_execution_cycles"])[1]
+    return projects.project_skeleton(fx["project_definition"], fx.dim("site_master"), fx["project_execution_cycles"])[1]
 
 
 _DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -664,46 +747,15 @@ def q_p23_conversations(fx):
     return quality.long_value_findings(fx["conversations"], ["conv_id", "turn"], 30)
 
 
-_LN_SQL = ("CASE WHEN instr(name, ',') > 0 THEN trim(split_part(name, ',', 1), ' ') "
-           "WHEN len(string_split(name, ' ')) >= 2 THEN trim(string_split(name, ' ')[-1], ' ') ELSE name END")
-
-
-def _p26_exchange_sql():
-    # the macro's exchange sort, one (i, j) step per recursion level
-    return f"""
-, base AS (SELECT message_id, type, COUNT(*) AS recipient_count,
-                  list(struct_pack(ln := {_LN_SQL}, addr := address) ORDER BY position) AS lst
-           FROM recipients GROUP BY message_id, type),
-sim AS (
-  SELECT message_id, type, recipient_count, lst, 1 AS i, 2 AS j FROM base
-  UNION ALL
-  SELECT message_id, type, recipient_count,
-    CASE WHEN lst[i].ln > lst[j].ln
-         THEN list_transform(lst, lambda x, k: CASE WHEN k = i THEN lst[j] WHEN k = j THEN lst[i] ELSE x END)
-         ELSE lst END,
-    CASE WHEN j < recipient_count THEN i ELSE i + 1 END,
-    CASE WHEN j < recipient_count THEN j + 1 ELSE i + 2 END
-  FROM sim WHERE i < recipient_count AND j <= recipient_count)
-SELECT message_id, type, recipient_count, recipient_count > 1 AS reordered,
-       array_to_string(list_transform(lst, lambda e: e.addr), '; ') AS sorted_addresses
-FROM sim WHERE NOT (i < recipient_count AND j <= recipient_count)"""
-
-
-@register("p26_sorted_recipients_exchange", ("recipients",), _p26_exchange_sql(), recursive=True)
-def q_p26_exchange(fx):
-    return mail.sorted_recipients(fx["recipients"], tie_order="exchange")
-
-
-
 # ---------------------------------------------------------------- P13/P14 across daylight-saving changes
 for _suffix in ("spring", "fall"):
     _tbl = f"project_execution_json_{_suffix}"
 
     def _mk13(tbl=_tbl):
-        return lambda fx: jsonfields.field_time_to_utc(fx[tbl], fx["staff_master"], FIELD)
+        return lambda fx: jsonfields.field_time_to_utc(fx[tbl], fx.dim("staff_master"), FIELD)
 
     def _mk14(tbl=_tbl):
-        return lambda fx: jsonfields.rewrite_field_time_to_utc(fx[tbl], fx["staff_master"], FIELD)
+        return lambda fx: jsonfields.rewrite_field_time_to_utc(fx[tbl], fx.dim("staff_master"), FIELD)
 
     register(f"p13_field_time_to_utc_dst_{_suffix}", (_tbl, "staff_master"), _p13_sql(_tbl))(_mk13())
     register(f"p14_rewrite_field_time_to_utc_dst_{_suffix}", (_tbl, "staff_master"), _p14_sql(_tbl))(_mk14())
@@ -714,7 +766,7 @@ for _suffix in ("spring", "fall"):
           _SLOTS_SQL.replace("JOIN fts_job_master m", "JOIN fts_job_master_calendar m") + """
 SELECT log_id, job_id, name, event_seq, run_count, scheduled_for, status, started_at, next_run_at FROM slots""")
 def q_p18_calendar(fx):
-    return jobs.job_slots(fx["job_events"], fx["fts_job_master_calendar"])[0]
+    return jobs.job_slots(fx["job_events"], fx.dim("fts_job_master_calendar"))[0]
 
 
 # ---------------------------------------------------------------- the reference's SQL call surface

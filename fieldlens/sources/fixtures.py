@@ -16,12 +16,35 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RAW_TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
 ).split()
 
+# The test tables' columns (TESTDATA.md), declared so that no footer is read
+# to plan a query.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "pages": "page_id long, url string, html string",
+    "benchmark": "item_id long, text string",
+    "labels": "doc_id long, quality int, toxic int",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
+
 # ``{ts}`` marks a timestamp literal: TIMESTAMP_NTZ in Spark, TIMESTAMP in DuckDB.
 # Recipes.  ``{name}`` is a table (raw or another recipe); ``{{``/``}}``
 # are literal braces.
@@ -149,7 +172,7 @@ select p_partkey as row_id, p_type as dev_datatype, case when p_partkey % 5 = 0
 from {part}""",
     "recipients": """
 select cast(floor(c_custkey / 40) as bigint) as message_id, c_custkey as position,
- case when c_custkey % 40 < 25 then 'To' else 'Cc' end as type,
+ case when c_custkey % 40 < 22 then 'To' when c_custkey % 40 < 33 then 'Cc' else 'Bcc' end as type,
  case c_custkey % 3 when 0 then concat('Last',cast(c_custkey % 11 as string),', First')
                     when 1 then concat('First Last',cast(c_custkey % 11 as string))
                     else concat('Mono',cast(c_custkey % 11 as string)) end as name,
@@ -157,6 +180,37 @@ select cast(floor(c_custkey / 40) as bigint) as message_id, c_custkey as positio
 from {customer}""",
 }
 
+# Staging rows that repeat: some exactly, some with another zone.
+RECIPES["staff_staging_repeated"] = """
+select * from {staff_staging} union all select * from {staff_staging} where team = 'Team_1'
+union all select emp_id, 'AAA' as zone, team, title, firstname, lastname, mobile from {staff_staging} where team = 'Team_2'
+union all select emp_id, zone, team, 'Zz' as title, firstname, lastname, mobile from {staff_staging} where team = 'Team_3'"""
+
+# Allocations whose open end is written as the usual last day.
+RECIPES["van_allocation_open"] = """
+select van_number, emp_id, start_date, coalesce(end_date, date '9999-12-31') as end_date, is_active
+from {van_allocation_history}"""
+
+# Interval units in other spellings, and one that is none.
+RECIPES["fts_job_master_spellings"] = """
+select id, name, created_at, interval_value,
+ case name when 'click' then 'mins' when 'view' then ' Hrs ' when 'error' then 'D' when 'signup' then 'fortnight' else 'mon' end as interval_unit
+from {fts_job_master}"""
+
+# Ends of logged runs by log id: some with a NULL status, some twice, some of no run.
+RECIPES["job_ends"] = """
+select concat(cast(id as string), ':', cast(event_id as string)) as log_id,
+ case when event_id % 12 = 0 then null when event_id % 5 = 0 then 'FAILED' else 'SUCCESS' end as status,
+ ts + interval '75' second as ended_at, case when event_id % 5 = 0 then 'late' end as error_message
+from {events} join {fts_job_master} on event_type = name where event_id % 3 = 0
+union all
+select concat(cast(id as string), ':', cast(event_id as string)) as log_id, 'SUCCESS' as status,
+ ts + interval '95' second as ended_at, cast(null as string) as error_message
+from {events} join {fts_job_master} on event_type = name where event_id % 33 = 0
+union all
+select concat('none:', cast(event_id as string)) as log_id, 'SUCCESS' as status, ts as ended_at, 'lost' as error_message
+from {events} where event_id % 100 = 7"""
+
 # A job master created on a month end with calendar units, so slot dates
 # clamp to shorter months and month/year slots count 30 / 365.25 days.
 RECIPES["fts_job_master_calendar"] = """
@@ -218,9 +272,17 @@ class Fixtures:
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._cache[name] = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
         return self._cache[name]
 
+    def dim(self, name: str, max_bytes: int = 8 << 20) -> DataFrame:
+        """A dimension, with a broadcast hint if the tables it is made from are
+        small by the optimizer's estimate (each of its rows comes from one of
+        theirs); no job runs."""
+        raw = {r for n in _closure([name]) for r in dependencies(n) if r in RAW_TABLES}
+        size = sum(int(self.raw(r)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for r in raw)
+        return F.broadcast(self[name]) if size <= max_bytes else self[name]
+
     def __getitem__(self, name: str) -> DataFrame:
         if name in RAW_TABLES:
             return self.raw(name)

@@ -126,27 +126,27 @@ SELECT d AS report_date, full_name, tech_id, zone, team,
 FROM grp LATERAL VIEW explode(CASE WHEN start_date <= end_date THEN sequence(start_date, end_date) END) g AS d
 """
 
-SEARCH_ALL_EMP = """
+SEARCH_ALL_EMP = r"""
 CREATE OR REPLACE TEMPORARY FUNCTION search_all_emp(search_text STRING DEFAULT NULL,
                                                     pos_status_filter STRING DEFAULT NULL,
                                                     join_status_filter STRING DEFAULT NULL,
                                                     zone_filter STRING DEFAULT NULL)
 RETURNS TABLE (emp_id BIGINT, emp_full_name STRING, emp_manager_id BIGINT, manager_name STRING)
 RETURN
-SELECT nh.id AS emp_id,
-       concat(coalesce(e.first_name, ''), ' ', coalesce(e.last_name, '')) AS emp_full_name,
-       nh.manager_id AS emp_manager_id,
-       concat(coalesce(m.first_name, ''), ' ', coalesce(m.last_name, '')) AS manager_name
-FROM new_hires nh
-LEFT JOIN employees e ON e.id = nh.old_emp_id
-JOIN employees m ON m.id = nh.manager_id
-WHERE (search_text IS NULL OR search_text = ''
-       OR exists(split(search_text, ' ', -1),
-                 t -> nh.req_num ILIKE concat('%', t, '%') OR e.first_name ILIKE concat('%', t, '%')
-                      OR e.last_name ILIKE concat('%', t, '%')))
-  AND (pos_status_filter IS NULL OR nh.req_status = pos_status_filter)
-  AND (join_status_filter IS NULL OR nh.hire_status = join_status_filter)
-  AND (zone_filter IS NULL OR nh.zone = zone_filter)
+WITH person AS (SELECT id, first_name, last_name, concat_ws(' ', coalesce(first_name, ''), coalesce(last_name, '')) AS full_name
+           FROM employees),
+open_hires AS (
+  SELECT id, req_num, old_emp_id, manager_id FROM new_hires
+  WHERE coalesce(req_status = pos_status_filter, pos_status_filter IS NULL)
+    AND coalesce(hire_status = join_status_filter, join_status_filter IS NULL)
+    AND coalesce(zone = zone_filter, zone_filter IS NULL))
+SELECT h.id AS emp_id, coalesce(p.full_name, ' ') AS emp_full_name, h.manager_id AS emp_manager_id, boss.full_name AS manager_name
+FROM open_hires h LEFT JOIN person p ON p.id = h.old_emp_id JOIN person boss ON boss.id = h.manager_id
+WHERE coalesce(search_text, '') = ''
+   -- one ILIKE pattern for each term; a backslash before another character than %, _ and itself is dropped
+   OR exists(transform(split(search_text, ' ', -1),
+                       t -> regexp_replace(concat('%', t, '%'), '\\\\([^%_\\\\])|(\\\\[%_\\\\])', '$1$2')),
+             x -> exists(array(h.req_num, p.first_name, p.last_name), v -> v ILIKE x))
 """
 
 
@@ -181,12 +181,20 @@ FROM staff_master st JOIN e ON e.siebel_id = st.emp_id
 """
 
 
+#: Views that this module has made and may replace.
+_OURS: set[str] = set()
+
+
 def register_sql_functions(spark: SparkSession, tables: dict[str, DataFrame]) -> list[str]:
     """Bind ``tables`` (keys from :data:`VIEWS`) as temporary views and create
     the table functions whose inputs are all bound.  Returns their names."""
     for name, df in tables.items():
         if name not in VIEWS:
             raise ValueError(f"unknown table {name!r}; expected one of {VIEWS}")
+    for name, df in tables.items():
+        if name not in _OURS and spark.catalog.tableExists(name):
+            raise ValueError(f"a view or table {name!r} exists already; drop it or bind it under another session")
+        _OURS.add(name)
         df.createOrReplaceTempView(name)
     have = set(tables)
     created = []

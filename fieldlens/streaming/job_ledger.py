@@ -2,7 +2,7 @@
 
 Run rows (``event_seq, name, started_at, ended_at, status,
 error_message``) arrive from any streaming source.  The job master is a
-static dimension (stream-static join, broadcast after a size check).
+static dimension (stream-static join).
 Per-job state is the same ``max_by`` fold as the batch pipeline, kept in
 the state store; the state has one row per job, so ``complete`` output
 is bounded by the job master.  Each micro-batch writes the master

@@ -199,7 +199,7 @@ def test_history_and_staging_post_image(spark):
     assert c == '{"changes":{"zone":{"old":"A","new":"B"},"team":{"old":"X","new":"X"},"title":{"old":"Lead","new":"Lead"}}}'
     post, rejects = changes.apply_staging(master, staging)
     got = {r["emp_id"]: (r["zone"], r["last_name"], r["title"]) for r in post.collect()}
-    assert got == {"E1": ("B", None, "Lead"), "E2": ("Z", "L", None), "E3": ("Z", "L3", "Lead")}
+    assert got == {"E1": ("B", None, "Lead"), "E2": ("Z", "L", None), "E3": ("Z", "B", None)}  # the larger of E3's two rows
     assert rows(rejects) == [("E3", 2)]
     assert post.columns == master.columns
 
@@ -396,22 +396,97 @@ def test_strict_mode_raises(spark):
     assert jobs.job_slots(runs, master)[0].count() == 0
 
 
-def test_day_range_join_operator(spark):
-    from fieldlens.operators.joins import day_range_join
-    pts = spark.createDataFrame([(1, D(2024, 1, 3)), (1, D(2024, 1, 9)), (2, D(2024, 1, 3))], "k long, d date")
-    ivs = spark.createDataFrame([(1, D(2024, 1, 1), D(2024, 1, 5), "a"), (1, D(2024, 1, 3), D(2024, 1, 3), "b"),
-                                 (2, D(2024, 1, 5), D(2024, 1, 1), "c")], "ik long, s date, e date, tag string")
-    got = rows(day_range_join(pts, ivs, "d", [("k", "ik")], "s", "e"), "k", "d", "tag")
-    assert got == [(1, D(2024, 1, 3), "a"), (1, D(2024, 1, 3), "b"), (1, D(2024, 1, 9), None), (2, D(2024, 1, 3), None)]
-
-
-def test_size_check_bounds_rows_and_bytes(spark):
-    from fieldlens.operators.joins import is_small
-    df = spark.createDataFrame([(i, "x" * 100) for i in range(50)], "id long, s string")
-    assert is_small(df, max_rows=50)
-    assert not is_small(df, max_rows=49)
-    assert is_small(df, max_rows=100, max_bytes=50 * 108)
-    assert not is_small(df, max_rows=100, max_bytes=50 * 108 - 1)
+def test_metadata_of_any_size_gives_the_same(spark):
+    rows_df = spark.createDataFrame([(1, "a", T(2024, 1, 1, 10, 0, 0, 500000), ["x", "y"]), (2, None, None, None)],
+                                    "site long, code string, at timestamp_ntz, tags array<string>")
+    meta = spark.createDataFrame([("C", "C", "code"), ("C2", "C2", "code"), ("A", "A", "at"), ("T", "T", "tags"),
+                                  ("Ghost", "G", "nope"), (None, "N", None)],
+                                 "field_name string, field_display_name string, column_name string")
+    small = jsonfields.build_field_json(rows_df, meta, keep_row=True)
+    joined = jsonfields.build_field_json(rows_df, meta, keep_row=True, small_bytes=0)
+    assert rows(small, "site", "field_info") == rows(joined, "site", "field_info")
+    assert '"value":"2024-01-01T10:00:00.5"' in small.where("site = 1").first()["field_info"]
+    bad = jsonfields.validate_field_json(joined, meta).where("validation_result <> 'MATCH'")
+    assert {r["column_name"] for r in bad.collect()} == {"nope"}
+    none = jsonfields.build_field_json(rows_df, meta.where("false"), small_bytes=-1)
+    assert {r["field_info"] for r in none.collect()} == {"[]"}
+
+
+def test_repeated_staging_rows(spark):
+    master = spark.createDataFrame([("E1", "old", "t", "x", "f", "l", "m"), ("E2", "old", "t", "x", "f", "l", "m")],
+                                   "emp_id string, zone string, team string, title string, first_name string, last_name string, mobile string")
+    staging = spark.createDataFrame([("E1", "new", "t", "x", "f", "l", "m")] * 2 + [
+        ("E2", "b", "t", "x", "f", "l", "m"), ("E2", None, "z", "x", "f", "l", "m")],
+        "emp_id string, zone string, team string, title string, firstname string, lastname string, mobile string")
+    image, several = changes.apply_staging(master, staging)
+    assert rows(image, "emp_id", "zone") == [("E1", "new"), ("E2", "b")]
+    assert rows(several, "emp_id", "copies") == [("E2", 2)]
+
+
+def test_open_ends_cost_the_fact_days_only(spark):
+    mileage = spark.createDataFrame([(1, D(2024, 1, 3), -1)], "van_number long, mileage_date date, emp_id long")
+    alloc = spark.createDataFrame([(1, 7, D(1, 1, 1), D(9999, 12, 31), True), (1, 8, D(2024, 1, 3), D(9999, 12, 31), True),
+                                   (1, 9, D(2024, 1, 4), D(9999, 12, 31), True), (1, 6, D(2024, 1, 3), None, True)],
+                                  "van_number long, emp_id long, start_date date, end_date date, is_active boolean")
+    assert rows(changes.assign_by_date_range(mileage, alloc), "emp_id") == [(8,)]
+    assert changes.assign_by_date_range(mileage.where("false"), alloc).count() == 0
+
+
+def test_end_of_a_logged_run(spark):
+    log = spark.createDataFrame([("1:1", 1, "RUNNING", None, None), ("1:2", 1, "RUNNING", None, None), ("2:9", 2, "RUNNING", None, None)],
+                                "log_id string, job_id long, status string, ended_at timestamp_ntz, error_message string")
+    master = spark.createDataFrame([(1, "SUCCESS", T(2023, 1, 1)), (2, "FAILED", None), (3, "kept", None)],
+                                   "id long, last_run_status string, last_successful_at timestamp_ntz")
+    ends = spark.createDataFrame([("1:1", "SUCCESS", T(2024, 1, 2), None), ("1:1", "FAILED", T(2024, 1, 1), "early"),
+                                  ("1:2", None, T(2024, 1, 3), "e"), ("7:7", "SUCCESS", T(2024, 1, 4), None)],
+                                 "log_id string, status string, ended_at timestamp_ntz, error_message string")
+    new_log, new_master, rejects = jobs.end_job_runs(log, master, ends)
+    assert rows(new_log, "log_id", "status", "error_message") == [("1:1", "SUCCESS", None), ("1:2", None, "e"), ("2:9", "RUNNING", None)]
+    assert rows(new_master, "id", "last_run_status", "last_successful_at", "last_run_end_at") == [
+        (1, None, T(2024, 1, 2), T(2024, 1, 3)), (2, "FAILED", None, None), (3, "kept", None, None)]
+    assert rows(rejects, "log_id") == [("7:7",)]
+
+
+def test_interval_spellings(spark):
+    master = spark.createDataFrame([(i, n, T(2024, 1, 1), 2, n) for i, n in enumerate(["mins", "HRS", " d ", "mons", "decade", "fortnight", "ms"])],
+                                   "id long, name string, created_at timestamp_ntz, interval_value int, interval_unit string")
+    runs = spark.createDataFrame([(i, n, T(2024, 1, 1, 5)) for i, n in enumerate(["mins", "HRS", " d ", "mons", "decade", "fortnight", "ms"])],
+                                 "event_seq long, name string, started_at timestamp_ntz")
+    slots, rejects = jobs.job_slots(runs, master)
+    assert rows(slots, "event_seq", "run_count") == [(0, 151), (1, 3), (2, 1), (3, 1), (4, 1), (6, 9_000_001)]
+    assert rows(rejects, "name", "reason") == [("fortnight", "invalid interval unit: fortnight")]
+
+
+def test_spec_on_any_column_and_other_recipient_types(spark):
+    hires = spark.createDataFrame([(1, "r", "h", "p", "d", 5, 6), (2, "r", "h", "p", "d", 7, 6)],
+                                  "id long, req_num string, name string, position string, department string, old_emp_id long, manager_id long")
+    emp = spark.createDataFrame([(5, "A", "B", "x@y"), (6, "M", "N", "m@y"), (7, "C", "D", "z@y")],
+                                "id long, first_name string, last_name string, mail string")
+    spec = {"mail": ("employee", "mail", "like"), "boss": ("manager", "mail", "eq")}
+    assert rows(search.search_hires_spec(hires, emp, None, {"mail": "x@", "boss": "m@y"}, spec), "emp_id") == [(1,)]
+    from fieldlens.plans import mail
+    to = spark.createDataFrame([(1, i, k, n, n) for k in ("To", "Bcc") for i, n in enumerate(["Zed", "Amy"])],
+                               "message_id long, position long, type string, name string, address string")
+    assert rows(mail.sorted_recipients(to), "type", "reordered", "sorted_addresses") == [
+        ("Bcc", False, "Zed; Amy"), ("To", True, "Amy; Zed")]
+
+
+def test_recent_dates_with_a_noon(spark):
+    from fieldlens.plans import quality
+    df = spark.createDataFrame([(D(2024, 1, 13),), (D(2024, 1, 14),)], "d date")
+    assert rows(quality.recent_rows(df, "d", dt.datetime(2024, 1, 20, 12)), "d") == [(D(2024, 1, 14),)]
+    assert quality.recent_rows(df, "d", dt.datetime(2024, 1, 20)).count() == 2
+
+
+def test_building_a_query_runs_no_job(spark):
+    from conftest import SF_CHECK
+    from fieldlens.registry import QUERIES
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    for name, (build, _) in QUERIES.items():
+        build(spark, SF_CHECK)
+    assert not tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_validate_numbers_by_value(spark):
@@ -582,11 +657,11 @@ def test_sql_surface_with_bound_parameters(spark):
 
 
 def test_pg_split_empty_delimiter_and_keyless_join(spark):
-    from fieldlens.operators.joins import left_join_nulls_aside
+    from fieldlens.operators.joins import left_join
     df = spark.createDataFrame([("a,b",), ("",), (None,)], "s string")
     assert [r[0] for r in df.select(pg_split(F.col("s"), "")).collect()] == [["a,b"], [], None]
     with pytest.raises(ValueError):
-        left_join_nulls_aside(df, df.select(F.col("s").alias("t")), [])
+        left_join(df, df.select(F.col("s").alias("t")), [])
 
 
 def test_mileage_winner_with_text_emp_ids(spark):
