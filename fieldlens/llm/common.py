@@ -84,8 +84,9 @@ def append_columns(df: DataFrame, col: str, new: T.StructType, work, chars: int
     def run(batches):
         for batch in batches:
             values = batch.column(place)
-            width = pc.fill_null(pc.binary_length(values) if pa.types.is_string(values.type) else
-                                 pc.multiply(pc.list_value_length(values), 4), 0).to_numpy(zero_copy_only=False)
+            is_list = pa.types.is_list(values.type) or pa.types.is_large_list(values.type)
+            width = pc.multiply(pc.list_value_length(values), 4) if is_list else pc.binary_length(values)
+            width = pc.fill_null(width, 0).to_numpy(zero_copy_only=False)
             run_no = np.cumsum(width) // chars
             starts = [0, *(np.flatnonzero(run_no[1:] != run_no[:-1]) + 1).tolist(), batch.num_rows]
             for a, b in zip(starts, starts[1:]):
