@@ -130,10 +130,16 @@ def span_us(unit: Column) -> Column:
     return _worth(unit, lambda months, us: us + int(months // 12 * YEAR_DAYS * DAY_US + months % 12 * MONTH_DAYS * DAY_US))
 
 
-def add_units(ts: Column, n: Column, value: Column, unit: Column) -> Column:
-    """``ts + n * (value unit)``: units of months add calendar months (clamped to
-    month end), others add exact time.  NULL for no unit."""
-    count = n.cast("long") * value.cast("long")
-    by_month = F.timestamp_add("MONTH", (count * _worth(unit, lambda m, _: m)).cast("int"), ts)
-    exact = F.timestamp_add("MICROSECOND", count * _worth(unit, lambda _, us: us), ts)
-    return F.when(_worth(unit, lambda m, _: m) > 0, by_month).otherwise(exact)
+def unit_months(unit: Column) -> Column:
+    return _worth(unit, lambda months, _: months)
+
+
+def unit_us(unit: Column) -> Column:
+    return _worth(unit, lambda _, us: us)
+
+
+def add_units(ts: Column, count: Column, months: Column, us: Column) -> Column:
+    """``ts`` plus ``count`` units of ``months`` calendar months (clamped to month
+    end) or of ``us`` microseconds.  NULL for no unit."""
+    by_month = F.timestamp_add("MONTH", (count * months).cast("int"), ts)
+    return F.when(months > 0, by_month).otherwise(F.timestamp_add("MICROSECOND", count * us, ts))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import add_units, span_us
+from ..functions.dates import add_units, span_us, unit_months, unit_us
 from ..operators.joins import left_join
 
 MASTER_STATE = ["last_run_start_at", "last_run_end_at", "last_run_status", "last_successful_at", "next_run_at"]
@@ -25,23 +25,25 @@ def slotted_runs(runs: DataFrame, job_master: DataFrame, seq_col: str, strict: b
     rejected runs with a ``reason``: the job is unknown, or its interval unit is
     none that PostgreSQL reads.  ``strict=True`` fails the job on a reject."""
     m = job_master.select(F.col("id").alias("job_id"), F.col("name").alias("__name"),
-                          "created_at", "interval_value", "interval_unit")
+                          "created_at", "interval_value", "interval_unit",
+                          *[worth(F.col("interval_unit")).alias(c) for c, worth in
+                            (("__span", span_us), ("__months", unit_months), ("__us", unit_us))])
     all_runs = runs.join(m, runs["name"] == m["__name"], "left")
-    unit_us = span_us(F.col("interval_unit"))
     reason = (F.when(F.col("__name").isNull(), F.concat(F.lit("Job not found: "), F.coalesce(F.col("name"), F.lit("NULL"))))
-              .when(unit_us.isNull(), F.concat(F.lit("invalid interval unit: "),
+              .when(F.col("__span").isNull(), F.concat(F.lit("invalid interval unit: "),
                                                F.coalesce(F.col("interval_unit"), F.lit("NULL")))))
     rejects = all_runs.where(reason.isNotNull()).select(*runs.columns, reason.alias("reason"))
     # strict: the check is the only filter, so that no other one can run before it
     good = F.when(reason.isNotNull(), F.raise_error(reason)).isNull() if strict else reason.isNull()
     j = all_runs.where(good).drop("__name")
+    value, months, us = F.col("interval_value").cast("long"), F.col("__months"), F.col("__us")
     elapsed_us = F.timestamp_diff("MICROSECOND", F.col("created_at"), F.col("started_at"))
-    run_count = (F.floor(elapsed_us / (F.col("interval_value").cast("long") * unit_us)) + 1).cast("long")
-    value, unit = F.col("interval_value"), F.col("interval_unit")
+    run_count = (F.floor(elapsed_us / (value * F.col("__span"))) + 1).cast("long")
     out = (j.withColumn("run_count", run_count)
            .withColumn("log_id", F.concat(F.col("job_id").cast("string"), F.lit(":"), F.col(seq_col).cast("string")))
-           .withColumn("scheduled_for", add_units(F.col("created_at"), F.col("run_count") - 1, value, unit))
-           .withColumn("next_run_at", add_units(F.col("created_at"), F.col("run_count"), value, unit)))
+           .withColumn("scheduled_for", add_units(F.col("created_at"), (F.col("run_count") - 1) * value, months, us))
+           .withColumn("next_run_at", add_units(F.col("created_at"), F.col("run_count") * value, months, us))
+           .drop("__span", "__months", "__us"))
     return out, rejects
 
 

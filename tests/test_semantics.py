@@ -500,14 +500,18 @@ def test_validate_numbers_by_value(spark):
 
 
 def test_helpers_split_weeks_units(spark):
-    from fieldlens.functions.dates import add_units, date_bucket
+    from fieldlens.functions.dates import add_units, date_bucket, unit_months, unit_us
+
+    def plus(count, unit):
+        return add_units(F.col("c"), F.lit(count), unit_months(F.lit(unit)), unit_us(F.lit(unit)))
+
     df = spark.createDataFrame([("a|b||c", T(2024, 1, 3, 10), T(2024, 1, 31))], "s string, t timestamp_ntz, c timestamp_ntz")
     r = df.select(pg_split(F.col("s"), "|").alias("parts"), pg_split(F.col("s"), ".").alias("dot"),
                   date_bucket(F.col("t"), "weekly").alias("wk"), date_bucket(F.col("t"), "monthly").alias("mo"),
                   date_bucket(F.col("t"), None).alias("dy"),
-                  add_units(F.col("c"), F.lit(1), F.lit(1), F.lit("Months")).alias("m1"),
-                  add_units(F.col("c"), F.lit(-2), F.lit(3), F.lit("hours")).alias("h"),
-                  add_units(F.col("c"), F.lit(1), F.lit(1), F.lit("year")).alias("y")).first()
+                  plus(1, "Months").alias("m1"),
+                  plus(-6, "hours").alias("h"),
+                  plus(1, "year").alias("y")).first()
     assert r["parts"] == ["a", "b", "", "c"] and r["dot"] == ["a|b||c"]
     assert r["wk"] == D(2024, 1, 1) and r["mo"] == D(2024, 1, 1) and r["dy"] == D(2024, 1, 3)
     assert r["m1"] == T(2024, 2, 29) and r["h"] == T(2024, 1, 30, 18) and r["y"] == T(2025, 1, 31)
