@@ -64,7 +64,8 @@ def assign_by_date_range(mileage: DataFrame, allocations: DataFrame, active_only
     """
     a = allocations.where(F.col("is_active")) if active_only else allocations
     first_day, last_day = (mileage.agg(f("mileage_date")).scalar() for f in (F.min, F.max))
-    cut = (a.select("van_number", "emp_id", "start_date", F.greatest("start_date", first_day).alias("from_day"),
+    cut = (a.select("van_number", "emp_id", "start_date",
+                    F.greatest("start_date", F.when(F.col("start_date").isNotNull(), first_day)).alias("from_day"),
                     F.least("end_date", F.when(F.col("end_date").isNotNull(), last_day)).alias("to_day")))
     days = expand_days(cut, "from_day", "to_day", "a_day")
     # winner order (latest start, then lowest emp_id, NULL emp_id last) as one

@@ -432,6 +432,17 @@ def test_open_ends_cost_the_fact_days_only(spark):
     assert changes.assign_by_date_range(mileage.where("false"), alloc).count() == 0
 
 
+@pytest.mark.parametrize("id_type", ["long", "string"])
+def test_allocation_without_start_covers_no_day(spark, id_type):
+    mileage = spark.createDataFrame([(1, D(2024, 1, 3), 5), (2, D(2024, 1, 3), 5)], "van_number long, mileage_date date, emp_id long")
+    alloc = spark.createDataFrame([(1, 7, None, D(9999, 12, 31), True), (2, 8, None, D(2024, 1, 3), True),
+                                   (2, 9, D(2024, 1, 1), D(2024, 1, 3), True), (2, 6, None, None, True)],
+                                  "van_number long, emp_id long, start_date date, end_date date, is_active boolean")
+    mileage, alloc = (x.withColumn("emp_id", x["emp_id"].cast(id_type)) for x in (mileage, alloc))
+    out = changes.assign_by_date_range(mileage, alloc)
+    assert rows(out.selectExpr("van_number", "int(emp_id) AS emp_id"), "van_number", "emp_id") == [(1, 5), (2, 9)]
+
+
 def test_end_of_a_logged_run(spark):
     log = spark.createDataFrame([("1:1", 1, "RUNNING", None, None), ("1:2", 1, "RUNNING", None, None), ("2:9", 2, "RUNNING", None, None)],
                                 "log_id string, job_id long, status string, ended_at timestamp_ntz, error_message string")
