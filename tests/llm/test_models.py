@@ -34,6 +34,28 @@ def test_languages_edges(spark, edge, empty):
     assert langid.identify(empty, model).count() == 0
 
 
+def test_rare_language_is_learned(spark):
+    vowels = "CASE WHEN {0} THEN substr('αεηιου', int(pmod({1}, 6)) + 1, 1) ELSE substr('aeiouy', int(pmod({1}, 6)) + 1, 1) END"
+    word = "concat('{2}', " + vowels + ", '{3}', " + vowels.replace("{1}", "{1} div 6") + ")"
+    rare = "doc_id % 2500 = 7"
+    text = "concat_ws(' ', " + ", ".join(
+        word.format(rare, f"xxhash64(doc_id, {k})", *c) for k, c in enumerate(["nt", "rs", "lm", "dk"])) + ")"
+    docs = spark.range(100_000).withColumnRenamed("id", "doc_id").selectExpr(
+        "doc_id", f"IF(doc_id % 3 = 1, 'one and the same', {text}) AS text", f"IF({rare}, 'el', 'en') AS lang")
+    docs = docs.where(f"NOT ({rare} AND doc_id % 3 = 1)")
+    model = langid.fit(docs)
+    assert model.languages == ["el", "en"]
+    out = langid.identify(docs.where(f"{rare} OR doc_id < 300"), model)
+    assert out.where("lang_pred <> lang").count() == 0
+
+
+def test_copies_are_drawn_once(spark):
+    texts = spark.range(3000).selectExpr("id", "'en' AS lang", "xxhash64(IF(id < 1000, 0, id)) AS hash")
+    drawn, total = langid._drawn(texts, 400)
+    assert len({h for _, _, h in drawn}) == len(drawn) == 400 and total == {"en": 2001}
+    assert [h for _, _, h in drawn] == sorted(r.hash for r in texts.select("hash").distinct().collect())[:400]
+
+
 def test_subword_counts():
     got = langid.subword_counts(["ab c", "", None, "AB C!"])
     assert got[0].sum() == 3 + 2 + 1 + 2 + 1 and got[1].sum() == 0 and got[2].sum() == 0  # " ab ", " c "
