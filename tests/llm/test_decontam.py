@@ -1,3 +1,4 @@
+import os
 import re
 
 import pytest
@@ -62,3 +63,22 @@ def test_edges(spark, edge, empty, items):
     assert out.where("contaminated").count() == 0 and out.count() == edge.count()
     assert [c for c in out.columns if c.lower() == "spans"] == ["spans"]
     assert decontam.decontaminate(empty, benchmark).count() == 0
+
+
+def test_large_benchmark_stays_off_the_driver(spark, items, monkeypatch):
+    driver, windows = os.getpid(), decontam.windows
+
+    def refused(*_):
+        raise AssertionError("on the driver")
+
+    monkeypatch.setattr(decontam, "windows", lambda *x: windows(*x) if os.getpid() != driver else refused())
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", refused)
+    docs = spark.createDataFrame([(1, items[0][1]), (2, "nullid answer, short item here")], "doc_id long, text string")
+    out = decontam.decontaminate(docs, spark.createDataFrame(items, ITEMS), shard_bytes=100)
+    assert [(r.doc_id, r.n_hit, r["items"]) for r in out.orderBy("doc_id").collect()] == [
+        (1, 14, ["1", "11"]), (2, 5, ["", "2"])]
+
+
+def test_shards_on_a_folder_that_arrow_does_not_read(spark, items, monkeypatch):
+    monkeypatch.setattr(decontam, "_arrow_path", lambda path: None)
+    test_against_brute_force(spark, items, 1)
