@@ -1,4 +1,4 @@
-"""SimHash near-duplicate groups with a byte-position inverted index.
+"""SimHash near-duplicate groups with an inverted index of six-byte keys.
 
 Fingerprints: whole texts, A-Z in lower case, split at ASCII white space into
 words, shingles of ``shingle`` words (repeats included, blank-joined; a text
@@ -9,10 +9,11 @@ zero and is linked like any other.
 Links: two fingerprints within ``max_bits`` differing bits differ in at most
 that many of their eight bytes, so they share at least 8 - max_bits positional
 bytes: the guaranteed minimum.  The index keeps one posting list for each
-choice of that many positions and the bytes there; being in one list is a
-tally that reaches the minimum, so no pair below it is ever formed.  For each
-pair in a list, the shared positional bytes are counted; a pair that shares
-more than the minimum meets in several lists and is kept in the first only.
+choice of that many positions and the bytes there (six for two bits).  These
+composite keys stand for a tally over lists of single bytes, which would grow
+with the corpus: who is in one list shares the minimum by construction, so no
+pair below it is ever formed and no count is filtered.  A pair that shares more
+than the minimum meets in several lists and is kept in the first only.
 What remains is verified on all 64 bits.  Lists hold distinct fingerprints and
 the bytes outside the key vary only, so for two bits a list has at most 65,536
 entries however large the corpus is.  Long lists are not compared pair by
@@ -125,7 +126,7 @@ def list_pairs(prints: np.ndarray, free: tuple[int, ...], max_bits: int) -> tupl
         takes = differing[p] | (spare < needed)
         spare += takes & ~differing[p]
         first &= takes == chosen
-    ok = first & (shared >= 8 - max_bits) & (np.bitwise_count(diff) <= max_bits)
+    ok = first & (np.bitwise_count(diff) <= max_bits)
     return a[ok], b[ok]
 
 
