@@ -4,10 +4,14 @@ Training data are document labels.  A bounded sample of labelled documents
 (``per_class`` of each label, those whose ids have the smallest hashes) is
 turned into token labels: a token is marked toxic in a toxic document if its
 word is far more frequent in toxic than in clean documents, by a likelihood
-ratio test at 5 % over all words tested, near copies counting once.  A
+ratio test at 5 % over all words tested, near copies counting once; of more
+than ``MARKED`` such words those in the most toxic documents count.  A
 two-state chain (clean, toxic) with weights for the word, the word before and
 the word after, and for transitions, is fitted to segments of these tokens by
-gradient ascent with forward-backward marginals.
+gradient ascent with forward-backward marginals.  ``SEGMENTS`` with and as many
+without a marked word are chosen: first one for each marked word, then a second
+one, then others, and one document of each group of near copies before the
+others of the group.
 
 Scoring: forward-backward marginals over the whole text.  Tokens with a
 marginal of at least ``SPAN`` are reported with character offsets in the
@@ -37,6 +41,7 @@ from .textbytes import mixed, slices, words
 PER_CLASS = 3000
 SEGMENT = 32
 SEGMENTS = 2000
+MARKED = 50_000
 MIN_RATIO = 30.0
 SPAN = 0.5
 ROUNDS = 60
@@ -189,9 +194,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ training
 
-def _copies_once(signatures: list) -> np.ndarray:
-    """A weight for each sampled document: 1 over the size of its group of
-    near copies, which share one of four signatures."""
+def _copies_once(signatures: list) -> tuple[np.ndarray, np.ndarray]:
+    """For each sampled document a weight, 1 over the size of its group of near
+    copies, which share one of four signatures, and whether it stands for the
+    group."""
     root = list(range(len(signatures)))
 
     def find(i):
@@ -203,8 +209,8 @@ def _copies_once(signatures: list) -> np.ndarray:
     for i, own in enumerate(signatures):
         for k, v in enumerate(own):
             root[find(i)] = find(seen.setdefault((k, v), i))
-    size = np.bincount([find(i) for i in range(len(signatures))], minlength=len(signatures))
-    return np.array([1 / size[find(i)] for i in range(len(signatures))])
+    group = np.array([find(i) for i in range(len(signatures))], np.int64)
+    return 1 / np.bincount(group, minlength=len(signatures))[group], group == np.arange(len(signatures))
 
 
 def _sample_tokens(docs: DataFrame, labels: DataFrame, per_class: int, id_col: str, text_col: str,
@@ -255,9 +261,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     if not n[0] or not n[1]:
         odds = 30.0 if n[1] else -30.0
         return Model(none, np.zeros((3, 1)), -30.0, np.zeros((2, 2)), np.zeros(2), np.array([odds, 0.0, 0.0]))
-    weight = dict(zip((r["id"] for r in rows), _copies_once([r["signatures"] for r in rows])))
-    weights = spark.createDataFrame([(i, float(w)) for i, w in weight.items()],
-                                    f"id {sample.schema['id'].dataType.simpleString()}, w double")
+    weight, stands = (dict(zip((r["id"] for r in rows), x)) for x in _copies_once([r["signatures"] for r in rows]))
+    weights = spark.createDataFrame([(i, float(w), not stands[i]) for i, w in weight.items()],
+                                    f"id {sample.schema['id'].dataType.simpleString()}, w double, copy boolean")
     counted = (sample.join(F.broadcast(weights), "id")
                .select("label", "w", F.explode(F.array_distinct("hashes")).alias("h"))
                .groupBy("h").agg(F.sum(F.col("w") * F.col("label")).alias("toxic"),
@@ -270,22 +276,31 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     term = lambda x, k: F.when(x > 0, x * F.log(x * every / (both * total[k]))).otherwise(0.0)
     marked = (counted.where(2 * (term(F.col("toxic"), 1) + term(F.col("clean"), 0)) >= least)
               .where((F.col("toxic") + 0.5) / (total[1] + 1) >= MIN_RATIO * (F.col("clean") + 0.5) / (total[0] + 1)))
-    toxic_words = np.sort(np.array([r["h"] for r in marked.orderBy(F.desc("toxic"), "h").limit(50_000).collect()],
+    toxic_words = np.sort(np.array([r["h"] for r in marked.orderBy(F.desc("toxic"), "h").limit(MARKED).collect()],
                                    np.int64))
 
     def segments(batches):
         for pdf in batches:
             out = []
-            for label, h in zip(pdf["label"], pdf["hashes"]):
+            for label, h, copy in zip(pdf["label"], pdf["hashes"], pdf["copy"]):
                 toxic = np.isin(h, toxic_words) if label else np.zeros(len(h), bool)
                 for i in range(0, len(h), SEGMENT):
                     y, x = toxic[i:i + SEGMENT], h[i:i + SEGMENT]
-                    out.append((x, y.astype(np.int32), bool(y.any()), int(np.bitwise_xor.reduce(x))))
-            yield pd.DataFrame(out, columns=["h", "y", "any", "o"])
-
-    cut = sample.mapInPandas(segments, "h array<long>, y array<int>, any boolean, o long")
-    picked = [r for k in (True, False) for r in
-              cut.where(F.col("any") == k).orderBy("o", "h").limit(SEGMENTS).collect()]
+                    out.append((x, y.astype(np.int32), np.unique(x[y]), copy, int(np.bitwise_xor.reduce(x))))
+            yield pd.DataFrame(out, columns=["h", "y", "marked", "copy", "o"])
+
+    cut = sample.join(F.broadcast(weights), "id").select("label", "hashes", "copy").mapInPandas(
+        segments, "h array<long>, y array<int>, marked array<long>, copy boolean, o long")
+    # of each marked word the first and the last segment in their order
+    ends = (cut.select(F.explode("marked").alias("word"), "copy", "o").groupBy("word")
+            .agg(F.min(F.struct("copy", "o"))["o"].alias("first"),
+                 F.min(F.struct("copy", F.bitwise_not("o").alias("o")))["o"].alias("last")).collect())  # at most MARKED
+    turn = {~r["last"]: 1 for r in ends} | {r["first"]: 0 for r in ends}
+    turns = spark.createDataFrame(sorted(turn.items()), "o long, turn int")
+    marked = (cut.where(F.size("marked") > 0).join(F.broadcast(turns), "o", "left")
+              .orderBy(F.coalesce("turn", F.lit(2)), "copy", "o", "h"))
+    clean = cut.where(F.size("marked") == 0).orderBy("copy", "o", "h")
+    picked = [r for some in (marked, clean) for r in some.select("h", "y").limit(SEGMENTS).collect()]
     first = np.concatenate([np.arange(len(r["h"])) == 0 for r in picked]) if picked else np.zeros(0, bool)
     model = fit_chain(np.concatenate([np.array(r["h"], np.int64).view(np.uint64) for r in picked] or [none]),
                       np.concatenate([np.array(r["y"], np.int64) for r in picked] or [np.zeros(0, np.int64)]), first)

@@ -138,6 +138,30 @@ def test_toxicity_edges(spark, insults, edge, empty):
     assert toxicity.score(empty, model).count() == 0
 
 
+def test_segments_hold_every_marked_word(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SEGMENTS", 50)
+    rng = np.random.default_rng(5)
+    rare = ["knave", "rogue", "scamp", "brute", "churl", "villain", "wretch"]
+    rows, labels = [], []
+    for i in range(400):
+        words = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in rng.integers(0, 300, 640)]
+        if i % 4 == 0:
+            words[::32] = ["fiend"] * 20
+            if i % 24 == 0:
+                words[330:523:32] = rare
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert (model.known(textbytes.words(rare)[1]) < len(model.vocabulary)).all()
+
+
+def test_one_of_each_group_of_near_copies_stands_for_it():
+    weight, stands = toxicity._copies_once([[1, 2], [3, 4], [1, 5], [6, 5], [7, 8]])
+    assert weight.tolist() == [1 / 3, 1, 1 / 3, 1 / 3, 1]
+    assert stands.sum() == 3 and stands[[0, 2, 3]].sum() == 1
+
+
 # ------------------------------------------------------------------- quality
 
 def test_quality_held_out(spark):
