@@ -8,6 +8,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SF_CHECK = os.environ.get("FIELDLENS_TEST_SF", "/root/testdata/sf0.01")
 
 
+@pytest.fixture(scope="session")
+def sf_check():
+    return SF_CHECK
+
+
 @pytest.fixture(scope="session")
 def spark():
     import tempfile

@@ -7,7 +7,6 @@ from collections import Counter
 
 import pytest
 
-from conftest import SF_CHECK
 from fieldlens.registry import QUERIES
 
 
@@ -33,9 +32,9 @@ def _bag(cols, rows):
 
 
 @pytest.mark.parametrize("name", [n for n, (_, sql) in QUERIES.items() if sql is not None])
-def test_query_matches_oracle(spark, duck, name):
+def test_query_matches_oracle(spark, duck, sf_check, name):
     fn, sql = QUERIES[name]
-    df = fn(spark, SF_CHECK)
+    df = fn(spark, sf_check)
     s_cols, s_bag = _bag(df.columns, [tuple(r) for r in df.collect()])
     res = duck.sql(sql)
     d_cols, d_bag = _bag(res.columns, res.fetchall())

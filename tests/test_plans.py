@@ -3,7 +3,6 @@ UDF), has no cartesian product / nested-loop join, and filters reach the
 parquet scan where the plan allows it."""
 import pytest
 
-from conftest import SF_CHECK
 from fieldlens.registry import QUERIES
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct", "BroadcastNestedLoopJoin",
@@ -15,25 +14,25 @@ def _plan(df):
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
-def test_no_python_and_no_cartesian(spark, name):
-    plan = _plan(QUERIES[name][0](spark, SF_CHECK))
+def test_no_python_and_no_cartesian(spark, sf_check, name):
+    plan = _plan(QUERIES[name][0](spark, sf_check))
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name}: {bad} in plan"
 
 
-def test_recent_rows_filter_is_pushed(spark):
-    plan = _plan(QUERIES["p25_recent_events"][0](spark, SF_CHECK))
+def test_recent_rows_filter_is_pushed(spark, sf_check):
+    plan = _plan(QUERIES["p25_recent_events"][0](spark, sf_check))
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan
 
 
-def test_range_join_is_an_equi_join(spark):
-    plan = _plan(QUERIES["p10_assign_mileage_by_date_range"][0](spark, SF_CHECK))
+def test_range_join_is_an_equi_join(spark, sf_check):
+    plan = _plan(QUERIES["p10_assign_mileage_by_date_range"][0](spark, sf_check))
     assert "HashJoin [van_number" in plan or "SortMergeJoin [van_number" in plan
 
 
-def test_pivot_has_explicit_days(spark):
+def test_pivot_has_explicit_days(spark, sf_check):
     # an explicit value list: no extra job to discover pivot values
-    df = QUERIES["p2_severity_pivot"][0](spark, SF_CHECK)
+    df = QUERIES["p2_severity_pivot"][0](spark, sf_check)
     assert "Pivot" not in df._jdf.queryExecution().optimizedPlan().toString()
     assert df.columns[7] == "1998-06-01"
 
@@ -46,21 +45,21 @@ def test_pivot_has_explicit_days(spark):
     ("p19_job_master_post_image", "partial_max_by"),
     ("p20_schema_diff_tables", "partial_max"),   # bool_or is planned as max over booleans
 ])
-def test_hot_keys_are_pre_aggregated_map_side(spark, name, partial):
-    plan = _plan(QUERIES[name][0](spark, SF_CHECK))
+def test_hot_keys_are_pre_aggregated_map_side(spark, sf_check, name, partial):
+    plan = _plan(QUERIES[name][0](spark, sf_check))
     assert partial in plan, f"{name}: no map-side partial aggregate"
 
 
 @pytest.mark.parametrize("name", ["p5_grid_all", "p6_search_no_text", "p7_spec_search_names",
                                   "p13_field_time_to_utc", "p14_rewrite_field_time_to_utc", "p18_job_slots",
                                   "p19_job_master_post_image", "p16_project_skeleton"])
-def test_dimension_joins_broadcast_up_front(spark, name):
+def test_dimension_joins_broadcast_up_front(spark, sf_check, name):
     # planned before execution: the fact side is never shuffled for these joins
-    plan = QUERIES[name][0](spark, SF_CHECK)._jdf.queryExecution().sparkPlan().toString()
+    plan = QUERIES[name][0](spark, sf_check)._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan, name
 
 
-def test_grid_output_is_generated_after_the_last_shuffle(spark):
-    plan = _plan(QUERIES["p5_grid_all"][0](spark, SF_CHECK))
+def test_grid_output_is_generated_after_the_last_shuffle(spark, sf_check):
+    plan = _plan(QUERIES["p5_grid_all"][0](spark, sf_check))
     top = plan.split("Exchange")[0]
     assert "Generate explode" in top   # the dense days come from a generator above every exchange
