@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, covertree, decontam, langid, linededup, pii, quality, sharding, simhash, toxicity
+from . import bpe, covertree, decontam, filteraudit, langid, linededup, pii, quality, sharding, simhash, toxicity
 from .common import id_fold, read_table, with_columns
 
 SHINGLE, MAX_BITS = 3, 2
@@ -137,6 +137,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_join(F.col("findings.kind"), ",").alias("kinds"))
 
 
+# ------------------------------------------------- 13: filter interaction
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filteraudit.audit(docs, read_table(spark, sf_dir, "labels"))
+
+
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -172,5 +179,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_pii": op10_pii,
+    "op13_filter_audit": op13_filter_audit,
 }
-ORACLE_SQL = {"op3_line_dedup": linededup.oracle(), "op7_embedding_dedup": OP7_SQL, "op9_decontamination": OP9_SQL}
+ORACLE_SQL = {"op3_line_dedup": linededup.oracle(), "op7_embedding_dedup": OP7_SQL, "op9_decontamination": OP9_SQL,
+              "op13_filter_audit": filteraudit.ORACLE}
