@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, covertree, decontam, filteraudit, langid, linededup, pii, quality, sharding, simhash, toxicity
+from . import bpe, convrepair, covertree, decontam, filteraudit, langid, linededup, pii, quality, sharding, simhash, toxicity
 from .common import id_fold, read_table, with_columns
 
 SHINGLE, MAX_BITS = 3, 2
@@ -137,6 +137,129 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_join(F.col("findings.kind"), ",").alias("kinds"))
 
 
+# --------------------------------------------- 12: conversation structure
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text) after the damage that the query repairs."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = turns.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"),
+                        (F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20).alias("fate"))
+    return rows.where("fate <> 0").select(
+        "conv_id", "turn", F.when(F.col("fate") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("fate") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy")).drop("copy")
+
+
+def text_digests(turns: DataFrame, id_col: str) -> DataFrame:
+    """(id, repaired_sha256) over the lines ``role:text`` of each id by place.
+    A task reads the sorted lines as a stream and holds one of them."""
+    conv_type = turns.schema[id_col].dataType
+    lines = turns.select(F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("")).alias("of"), "place",
+                         F.concat("role", F.lit(":"), "text").alias("line"))
+
+    def digest(batches):
+        import hashlib
+        import pyarrow as pa
+        of, sha = None, None
+        for batch in batches:
+            done = []
+            for o, line in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if o != of:
+                    done += [(of, sha.hexdigest())] if sha else []
+                    of, sha = o, hashlib.sha256()
+                else:
+                    sha.update(b"\n")
+                sha.update(line.as_py().encode())
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*done)], names=["of", "repaired_sha256"])
+        if sha:
+            yield pa.RecordBatch.from_arrays([pa.array([of]), pa.array([sha.hexdigest()])], names=["of", "repaired_sha256"])
+
+    parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = (lines.repartition(parts, "of").sortWithinPartitions("of", "place").select("of", "line")
+           .mapInArrow(digest, "of string, repaired_sha256 string"))
+    return out.select(F.when(F.col("of") != "", F.substr(F.col("of"), F.lit(2)).cast(conv_type)).alias(id_col), "repaired_sha256")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    done = convrepair.repair(damaged(turns))
+    texts = text_digests(done.turns, "conv_id").withColumnRenamed("conv_id", "of")
+    every = turns.select(F.col("conv_id").alias("id")).distinct()
+    found = every.join(done.summary, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    out = found.join(texts, F.col("id").eqNullSafe(F.col("of")), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return out.select(F.col("id").alias("conv_id"), *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+           [unicode(c)::BIGINT FOR c IN string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')], lambda b: b)),
+           lambda h, b: list_reduce([xor(h, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+             lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS h
+  FROM conversations),
+fate AS (SELECT *, xor(h, 4294967295) % 20 AS f FROM raw),
+dmg AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+         CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN f = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM fate WHERE f <> 0),
+ord AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+         regexp_replace(text, '[ 	-
+]+$', '') AS bare FROM dmg),
+fault AS (
+  SELECT *, CASE WHEN bare = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+         left(role, 1) AS init, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM ord),
+step(p, l, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+ins AS (
+  SELECT p, p AS q, 0 AS k, '' AS lines FROM (SELECT DISTINCT p FROM step)
+  UNION ALL
+  SELECT ins.p, step.q, k + 1, lines || chr(10) || CASE l WHEN 'u' THEN 'user:' ELSE 'assistant:' END
+  FROM ins JOIN step ON step.p = ins.q AND l <> 's' WHERE k < 2),
+edit AS (
+  SELECT (SELECT list({'p': p, 'q': q, 'c': 5 * k + 2, 'a': repeat('I', k) || 'D', 'lines': lines}) FROM ins) AS dels,
+         (SELECT list({'p': ins.p, 'q': step.q, 'c': 5 * k + 1, 'a': repeat('I', k) || 'R',
+                       'lines': lines || chr(10) || CASE l WHEN 'u' THEN 'user:' ELSE 'assistant:' END})
+          FROM ins JOIN step ON step.p = ins.q AND l <> 's') AS rers,
+         (SELECT list({'p': ins.p, 'q': step.q, 'l': l, 'c': 5 * k, 'a': repeat('I', k) || 'K', 'lines': lines || chr(10)})
+          FROM ins JOIN step ON step.p = ins.q) AS keeps),
+conv(conv_id, i, st) AS (
+  SELECT conv_id, 0::BIGINT, [{'c': 0, 'a': '', 'r': ''}, {'c': 1000000000, 'a': '', 'r': ''}, {'c': 1000000000, 'a': '', 'r': ''},
+         {'c': 1000000000, 'a': '', 'r': ''}] FROM fault GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, i, list_transform([0, 1, 2, 3], lambda w: coalesce(list_sort(list_filter(cand, lambda e: e.q = w))[1].v,
+         {'c': 1000000000, 'a': '', 'r': ''})) FROM (
+    SELECT c.conv_id, f.i, list_concat(
+      list_transform(e.dels, lambda x: {'q': x.q, 'v': {'c': c.st[x.p + 1].c + x.c, 'a': c.st[x.p + 1].a || x.a, 'r': c.st[x.p + 1].r || x.lines}}),
+      CASE WHEN f.fault IN ('b', 'd') THEN [] ELSE list_concat(
+        list_transform(e.rers, lambda x: {'q': x.q, 'v': {'c': c.st[x.p + 1].c + x.c + CASE f.fault WHEN 't' THEN 5 ELSE 0 END,
+                       'a': c.st[x.p + 1].a || x.a, 'r': c.st[x.p + 1].r || x.lines || f.text}}),
+        list_transform(list_filter(e.keeps, lambda x: x.l = f.init), lambda x: {'q': x.q, 'v': {
+                       'c': c.st[x.p + 1].c + x.c + CASE f.fault WHEN 't' THEN 5 ELSE 0 END,
+                       'a': c.st[x.p + 1].a || x.a, 'r': c.st[x.p + 1].r || x.lines || f.role || ':' || f.text}})) END) AS cand
+    FROM conv c JOIN fault f ON f.conv_id IS NOT DISTINCT FROM c.conv_id AND f.i = c.i + 1, edit e)),
+fin AS (
+  SELECT c.conv_id, list_sort(list({'c': st[p + 1].c + 5 * k, 'a': st[p + 1].a || repeat('I', k), 'r': st[p + 1].r || lines}))[1] AS v
+  FROM conv c JOIN (SELECT conv_id, max(i) AS n FROM fault GROUP BY conv_id) m ON m.conv_id IS NOT DISTINCT FROM c.conv_id AND n = i, ins
+  WHERE ins.q IN (0, 3) GROUP BY c.conv_id),
+stat AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+         count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (i > 1 AND before || init NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM fault GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(v.c, 0)::BIGINT AS cost,
+       coalesce(v.a, '') AS audit, sha256(coalesce(substr(v.r, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN stat s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+  LEFT JOIN fin ON fin.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
 # ------------------------------------------------- 13: filter interaction
 
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,7 +302,8 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_pii": op10_pii,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_filter_audit": op13_filter_audit,
 }
 ORACLE_SQL = {"op3_line_dedup": linededup.oracle(), "op7_embedding_dedup": OP7_SQL, "op9_decontamination": OP9_SQL,
-              "op13_filter_audit": filteraudit.ORACLE}
+              "op12_conversation_repair": OP12_SQL, "op13_filter_audit": filteraudit.ORACLE}
