@@ -68,16 +68,18 @@ def with_columns(df: DataFrame, new: dict) -> DataFrame:
     return df.select(*kept, *[c.alias(n) for n, c in new.items()])
 
 
-def append_columns(df: DataFrame, col: str, new: T.StructType, work, chars: int = 1 << 18) -> DataFrame:
+def append_columns(df: DataFrame, col: str, new: T.StructType, work, chars: int = 1 << 18, also: str | None = None) -> DataFrame:
     """``df`` with the columns ``new``, which replace input columns of the same
     names.  ``work`` gets the values of ``col`` of about ``chars`` bytes' worth
     of rows (one row at least) and returns a list of values for each new
     column, so that memory in a task follows the longest value, not the batch.
+    With ``also`` it gets the values of that column as well.
     """
     taken = {f.name.lower() for f in new}
     kept = [f for f in df.schema if f.name.lower() not in taken]
     place = df.columns.index(col)
     places = [df.columns.index(f.name) for f in kept]
+    others = df.columns.index(also) if also else None
     names = [f.name for f in [*kept, *new]]
     kinds = [_arrow_type(f.dataType) for f in new]
 
@@ -91,7 +93,8 @@ def append_columns(df: DataFrame, col: str, new: T.StructType, work, chars: int
             starts = [0, *(np.flatnonzero(run_no[1:] != run_no[:-1]) + 1).tolist(), batch.num_rows]
             for a, b in zip(starts, starts[1:]):
                 part = batch.slice(a, b - a)
-                made = work(part.column(place).to_pylist()) if b > a else [[] for _ in new]
+                given = [part.column(i).to_pylist() for i in (place, others) if i is not None]
+                made = work(*given) if b > a else [[] for _ in new]
                 arrays = [pa.array(v, k, from_pandas=False) for v, k in zip(made, kinds)]
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in places), *arrays], names=names)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, convrepair, covertree, decontam, filteraudit, langid, linededup, pii, quality, sharding, simhash, toxicity
+from . import bpe, convrepair, covertree, decontam, filteraudit, htmltext, langid, linededup, pii, quality, sharding, simhash, toxicity
 from .common import id_fold, read_table, with_columns
 
 SHINGLE, MAX_BITS = 3, 2
@@ -137,6 +137,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_join(F.col("findings.kind"), ",").alias("kinds"))
 
 
+# --------------------------------------------------------- 11: HTML extraction
+
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return htmltext.extract(pages).select("page_id", "url", "text", "n_chars", "n_repeated")
+
+
 # --------------------------------------------- 12: conversation structure
 
 def damaged(turns: DataFrame) -> DataFrame:
@@ -302,6 +309,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_pii": op10_pii,
+    "op11_html_text": op11_html_text,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_filter_audit": op13_filter_audit,
 }
