@@ -23,6 +23,18 @@ _SPREADABLE = (T.NumericType, T.StringType, T.BinaryType, T.BooleanType, T.DateT
                T.TimestampNTZType)
 
 
+def spare_names(columns, *wanted: str) -> list[str]:
+    """The wanted names, each with as many underscores behind it as it takes
+    not to be among ``columns`` (compared without case, as Spark does)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def left_join(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
     """``left LEFT JOIN right ON left[l] = right[r] AND ...`` for ``keys`` =
     [(l, r), ...].  One pass over the left side: a further key is 0 on the
@@ -33,9 +45,10 @@ def left_join(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]]) ->
     has_keys = reduce(lambda a, b: a & b, [left[lk].isNotNull() for lk, _ in keys])
     spreadable = [F.col(f"`{f.name}`") for f in left.schema if isinstance(f.dataType, _SPREADABLE)]
     place = F.when(has_keys, F.lit(0)).otherwise(1 + F.pmod(F.hash(*spreadable), F.lit(1 << 20)))
-    spread, zero = left.withColumn("__place", place), right.withColumn("__zero", F.lit(0))
-    cond = reduce(lambda a, b: a & b, [spread[lk] == zero[rk] for lk, rk in keys], spread["__place"] == zero["__zero"])
-    return spread.join(zero, cond, "left").drop("__place", "__zero")
+    of_left, of_right = spare_names([*left.columns, *right.columns], "place", "zero")
+    spread, zero = left.withColumn(of_left, place), right.withColumn(of_right, F.lit(0))
+    cond = reduce(lambda a, b: a & b, [spread[lk] == zero[rk] for lk, rk in keys], spread[of_left] == zero[of_right])
+    return spread.join(zero, cond, "left").drop(of_left, of_right)
 
 
 def expand_days(df: DataFrame, start: str, end: str, day_col: str = "day") -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import left_join
+from .joins import left_join, spare_names
 
 
 def one_per_key(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -21,10 +21,10 @@ def one_per_key(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     window over the key.
     """
     others = F.struct(*[c for c in df.columns if c not in keys])
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), F.max(others).alias("__row"),
-                              F.min(others).alias("__least"))
-    several = ~F.col("__row").eqNullSafe(F.col("__least"))
-    return g.select(*keys, "__row.*"), g.where(several).select(*keys, "copies")
+    row, least = spare_names(keys, "row", "least")
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), F.max(others).alias(row), F.min(others).alias(least))
+    several = ~F.col(row).eqNullSafe(F.col(least))
+    return g.select(*keys, f"{row}.*"), g.where(several).select(*keys, "copies")
 
 
 def apply_by_key(base: DataFrame, changes: DataFrame, keys: list[str],
@@ -34,15 +34,11 @@ def apply_by_key(base: DataFrame, changes: DataFrame, keys: list[str],
     every ``target: source`` in ``set_cols`` -- NULL included.  Other rows
     are unchanged.  Column order and types of ``base`` are kept.
     """
-    ch = changes.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
-                        *[F.col(src).alias(f"__v_{tgt}") for tgt, src in set_cols.items()],
-                        F.lit(True).alias("__matched"))
-    j = left_join(base, ch, [(k, f"__k_{k}") for k in keys])
-    out = []
-    for c in base.columns:
-        if c in set_cols:
-            out.append(F.when(F.col("__matched").isNotNull(), F.col(f"__v_{c}").cast(base.schema[c].dataType))
-                       .otherwise(F.col(c)).alias(c))
-        else:
-            out.append(F.col(c))
-    return j.select(*out)
+    names = spare_names(base.columns, *(f"key_{k}" for k in keys), *(f"new_{c}" for c in set_cols), "matched")
+    key_of, new_of, matched = dict(zip(keys, names)), dict(zip(set_cols, names[len(keys):])), names[-1]
+    ch = changes.select(*[F.col(k).alias(key_of[k]) for k in keys],
+                        *[F.col(src).alias(new_of[tgt]) for tgt, src in set_cols.items()],
+                        F.lit(True).alias(matched))
+    j = left_join(base, ch, [(k, key_of[k]) for k in keys])
+    return j.select(*[F.when(F.col(matched).isNotNull(), F.col(new_of[c]).cast(base.schema[c].dataType))
+                      .otherwise(F.col(c)).alias(c) if c in set_cols else F.col(c) for c in base.columns])

@@ -698,3 +698,18 @@ def test_spark_catalog_columns_with_temp_views(spark):
     names = {r["table_name"] for r in spark_catalog_columns(spark, "fl_views", include_temp_views=True).collect()}
     assert "fl_tmp_view" in names
     assert "fl_tmp_view" not in {r["table_name"] for r in spark_catalog_columns(spark, "fl_views").collect()}
+
+
+def test_columns_with_the_names_of_working_columns_come_back(spark):
+    from fieldlens.operators.joins import left_join, spare_names
+    from fieldlens.operators.updates import apply_by_key, one_per_key
+    assert spare_names(["Place", "place_"], "place", "zero") == ["place__", "zero"]
+    base = spark.createDataFrame([(1, "a", 7, 8, 9), (None, "b", 5, 5, 5)], "id long, place string, zero int, matched int, key_id int")
+    other = spark.createDataFrame([(1, "new", 3)], "k long, place_ string, zero_ int")
+    got = sorted(left_join(base, other, [("id", "k")]).collect(), key=lambda r: r["zero"])
+    assert [tuple(r) for r in got] == [(None, "b", 5, 5, 5, None, None, None), (1, "a", 7, 8, 9, 1, "new", 3)]
+    changes = spark.createDataFrame([(1, "z", "y")], "id long, row string, least string")
+    one, several = one_per_key(changes, ["id"])
+    assert one.columns == changes.columns and several.count() == 0
+    out = apply_by_key(base, one, ["id"], {"place": "row"}).orderBy("zero").collect()
+    assert [tuple(r) for r in out] == [(None, "b", 5, 5, 5), (1, "z", 7, 8, 9)]
