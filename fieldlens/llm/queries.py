@@ -3,6 +3,8 @@ where SQL can state the result."""
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import bpe, convrepair, covertree, decontam, filteraudit, htmltext, langid, linededup, pii, quality, sharding, simhash, toxicity
@@ -55,7 +57,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return sharding.shard_documents(docs, sharding.even_tree(40), sharding.even_tree(41))
+    return sharding.shard_documents(docs, sharding.even_tree(40), sharding.even_tree(41, base=40))
 
 
 # -------------------------------------------------------------- 5: toxicity
@@ -127,12 +129,15 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------- 10: PII
 
-PSEUDONYM_KEY = "set your own"  # a parameter of the operator; deployments take theirs from a secret store
+def pseudonym_key(spark: SparkSession) -> str:
+    """The session's ``spark.fieldlens.pii.key``; without one a fresh key, under
+    which values are linked within this result and nowhere else."""
+    return spark.conf.get("spark.fieldlens.pii.key", None) or secrets.token_hex(32)
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = pii.pseudonymize(docs, PSEUDONYM_KEY)
+    out = pii.pseudonymize(docs, pseudonym_key(spark))
     return out.select("doc_id", "text", F.size("findings").cast("long").alias("n_findings"),
                       F.array_join(F.col("findings.kind"), ",").alias("kinds"))
 

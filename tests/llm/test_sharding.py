@@ -9,20 +9,21 @@ from fieldlens.llm import sharding
 from fieldlens.llm.sharding import Shard
 
 
-def draw(doc_id, number, weight=1.0):
+def draw(doc_id, level, number, weight=1.0):
     h = 42 if doc_id is None else xxhash.xxh64_intdigest(struct.pack("<q", doc_id), 42)
-    h = xxhash.xxh64_intdigest(struct.pack("<i", number), h)
+    for x in (level, number):
+        h = xxhash.xxh64_intdigest(struct.pack("<i", x), h)
     return -math.log(((h >> 11) + 0.5) / 2 ** 53) / weight
 
 
 def brute(doc_id, tree):
-    """Region by region, rack by rack, shard by shard."""
-    def least(shards):
-        return min(draw(doc_id, s.number, s.weight) for s in shards if s.weight > 0)
-
-    for level in ("region", "rack", "number"):
-        names = {getattr(s, level) for s in tree if s.weight > 0}
-        best = min(names, key=lambda n: least([s for s in tree if getattr(s, level) == n]))
+    """The draws of the regions, then of that region's racks, then of that rack's shards."""
+    tree = [s for s in tree if s.weight > 0]
+    for k, level in enumerate(("region", "rack", "number")):
+        weight = Counter()
+        for s in tree:
+            weight[getattr(s, level)] += s.weight
+        best = min(weight, key=lambda n: draw(doc_id, k, n, weight[n]))
         tree = [s for s in tree if getattr(s, level) == best]
     return tree[0]
 
@@ -35,14 +36,31 @@ def placed(spark, ids, tree):
 
 def test_descent_and_movement(spark):
     ids = list(range(3000))
-    for n in (1, 7, 40):
-        tree, grown = sharding.even_tree(n), sharding.even_tree(n + 1)
-        now, later = placed(spark, ids, tree), placed(spark, ids, grown)
-        for i in ids[:150]:
-            s = brute(i, tree)
-            assert now[i] == (s.region, s.rack, s.number)
-        assert all(now[i] == later[i] or later[i][2] == n for i in ids)
+    now = placed(spark, ids, sharding.even_tree(40))
+    for i in [*ids[:300], None]:
+        s = brute(i, sharding.even_tree(40))
+        assert placed(spark, [i], sharding.even_tree(40))[i] == (s.region, s.rack, s.number) if i is None else \
+            now[i] == (s.region, s.rack, s.number)
     assert all(40 < c < 120 for c in Counter(s for _, _, s in now.values()).values())
+    for n in range(41, 46):  # each further shard takes rows into itself alone
+        later = placed(spark, ids, sharding.even_tree(n, base=40))
+        moved = [i for i in ids if now[i] != later[i]]
+        assert 30 < len(moved) < 130 and all(later[i][2] == n - 1 for i in moved)
+        assert all(brute(i, sharding.even_tree(n, base=40)).number == later[i][2] for i in ids[:100])
+        now = later
+
+
+def test_each_level_decides(spark):
+    """The winner is not the smallest draw of all leaves: it is drawn level by level."""
+    ids = list(range(2000))
+    tree = [Shard(0, 0, 0), Shard(1, 0, 1), Shard(2, 1, 2), Shard(3, 1, 3)]
+    now = placed(spark, ids, tree)
+    for i in ids:
+        region = min((0, 1), key=lambda r: draw(i, 0, r, 2.0))
+        rack = min((2 * region, 2 * region + 1), key=lambda r: draw(i, 1, r))
+        assert now[i] == (region, rack, rack)
+    flat = [min(range(4), key=lambda n: draw(i, 2, n)) for i in ids]
+    assert sum(now[i][2] != f for i, f in zip(ids, flat)) > 1000
 
 
 def test_weights(spark):
@@ -54,11 +72,14 @@ def test_weights(spark):
         assert abs(share[s.number] / 4000 - s.weight / 8) < 0.03
     heavier = placed(spark, ids, [*tree[:2], Shard(2, 0, 1, 4.0), *tree[3:]])
     moved = [i for i in ids if now[i] != heavier[i]]
-    assert moved and all(heavier[i][2] == 2 for i in moved)
+    # Region 0 and rack 1 grew: rows come into region 0 from outside, and within it into rack 1 only.
+    assert moved and all(heavier[i][0] == 0 for i in moved)
+    assert all(heavier[i] == (0, 1, 2) for i in moved if now[i][0] == 0)
+    assert {now[i][0] for i in moved} == {0, 1}
 
 
 def test_rows(spark, edge, empty):
-    rows = sharding.shard_documents(edge, sharding.even_tree(4), sharding.even_tree(5)).collect()
+    rows = sharding.shard_documents(edge, sharding.even_tree(4), sharding.even_tree(5, base=4)).collect()
     assert len(rows) == edge.count() and {r.law for r in rows} == {"key"}
     want = Counter()
     for d in edge.collect():
