@@ -33,6 +33,7 @@ from urllib.parse import urlsplit
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.joins import spare_names
 from .common import drop_written, with_columns, written
 
 #: Bytes to words: A-Z to a-z, other word bytes to themselves, the rest to a blank.
@@ -206,16 +207,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
         for rows in found:
             yield pd.DataFrame(rows, columns=["n_words", "indexes", "items"])
 
-    out = docs.withColumn("__hits", scanned.asNondeterministic()(F.col(text_col)))  # so that it is planned once
-    out = out.withColumn("__hit", F.col("__hits.indexes"))
+    hits, hit, found_spans = spare_names([*docs.columns, "n_words", "n_hit", "items", "spans", "contaminated"], "hits", "hit", "at")
+    out = docs.withColumn(hits, scanned.asNondeterministic()(F.col(text_col)))  # so that it is planned once
+    out = out.withColumn(hit, F.col(f"{hits}.indexes"))
 
     @F.pandas_udf(_SPANS)
     def located(text: pd.Series, indexes: pd.Series) -> pd.Series:
         return pd.Series([[{"start": s, "end": e} for s, e in spans(t, list(i))] if t else []
                           for t, i in zip(text, indexes)])
 
-    only_hit = F.when(F.size("__hit") > 0, F.col(text_col))
-    out = out.withColumn("__spans", located(only_hit, F.col("__hit")))
-    new = {"n_words": F.col("__hits.n_words"), "n_hit": F.size("__hit").cast("long"), "items": F.col("__hits.items"),
-           "spans": F.col("__spans"), "contaminated": F.size("__hit") > 0}
-    return with_columns(out, new).drop("__hit", "__spans", "__hits")
+    only_hit = F.when(F.size(hit) > 0, F.col(text_col))
+    out = out.withColumn(found_spans, located(only_hit, F.col(hit)))
+    new = {"n_words": F.col(f"{hits}.n_words"), "n_hit": F.size(hit).cast("long"), "items": F.col(f"{hits}.items"),
+           "spans": F.col(found_spans), "contaminated": F.size(hit) > 0}
+    return with_columns(out, new).drop(hit, found_spans, hits)

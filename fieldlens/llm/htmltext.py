@@ -41,6 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..operators.joins import spare_names
 from .common import _path_fs, append_columns, written
 
 RUN = 8
@@ -350,8 +351,7 @@ def extract(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", r
     path, fs = _path_fs(pages.sparkSession, gone._corpus_path)
     of = gone.select(F.struct("host", "page").alias("of"), "removed")
     of = F.broadcast(of) if fs.getContentSummary(path).getLength() < broadcast else of
-    names = set(pages.columns)
-    key, cut = (next(n for k in range(len(names) + 1) if (n := f"{base}{k}") not in names) for base in ("page", "removed"))
+    key, cut = spare_names([*pages.columns, "text", "n_chars", "n_repeated"], "page", "removed")
     keyed = pages.withColumn(key, F.struct(host_of(F.col(url_col)).alias("host"), F.md5(html_col).alias("page")))
     of = of.withColumnsRenamed({"of": key, "removed": cut})
     joined = keyed.join(of, key, "left").drop(key)

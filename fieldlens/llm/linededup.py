@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.joins import spare_names
 from .common import with_columns
 
 WINDOW = 3
@@ -99,13 +100,14 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` with the text less its repeated windows, and ``lines_removed``
     long: how many counting lines went."""
     later = later_windows(docs, id_col=id_col, text_col=text_col, window=window)
-    covered = (later.groupBy(F.col("id").alias("__id"), F.col("hash").alias("__hash"))
-               .agg(F.array_sort(F.collect_set(F.struct("pos", "start", "end"))).alias("__cuts")))  # of one document
-    joined = (docs.withColumn("__of", F.xxhash64(text_col))
-              .join(covered, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__hash")), "left"))
-    cut = F.col("__cuts").isNotNull()
-    new = {text_col: F.when(cut, _cut(F.col(text_col), F.col("__cuts"))).otherwise(F.col(text_col)),
-           "lines_removed": F.when(cut, _removed(F.col("__cuts"), window)).otherwise(F.lit(0).cast("long"))}
+    of, its_id, its_hash, cuts = spare_names(docs.columns, "of", "its_id", "its_hash", "cuts")
+    covered = (later.groupBy(F.col("id").alias(its_id), F.col("hash").alias(its_hash))
+               .agg(F.array_sort(F.collect_set(F.struct("pos", "start", "end"))).alias(cuts)))  # of one document
+    joined = (docs.withColumn(of, F.xxhash64(text_col))
+              .join(covered, F.col(id_col).eqNullSafe(F.col(its_id)) & (F.col(of) == F.col(its_hash)), "left"))
+    cut = F.col(cuts).isNotNull()
+    new = {text_col: F.when(cut, _cut(F.col(text_col), F.col(cuts))).otherwise(F.col(text_col)),
+           "lines_removed": F.when(cut, _removed(F.col(cuts), window)).otherwise(F.lit(0).cast("long"))}
     out = with_columns(joined, new)
     order = [c for c in docs.columns if c.lower() != "lines_removed"] + ["lines_removed"]
     return out.select(*[F.col(f"`{c}`") for c in order])

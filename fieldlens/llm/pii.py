@@ -6,10 +6,11 @@ valid, permuted with a key within its own format by a Feistel network of
 and in turn each half is shifted, digit by digit modulo the digit's radix, by a
 SHA-256 of key, kind, round, position and the other half.  A permutation never
 merges two values, and equal values get equal pseudonyms in every document,
-whatever separators they are written with.
+whatever separators they are written with.  A round hashes the other half once
+and derives its shifts from that digest, so the work is linear in the value.
 
 kind    validated by                      permuted
-email   its form                          letters and digits before the last dot, by class
+email   its form, 64 characters before the @, labels of 63   letters and digits before the last dot, by class
 secret  32 or more hex digits, of both kinds   all
 iban    check digits, modulo 97           the account part by class; new check digits
 card    13 to 19 digits, Luhn             all but the last; new last digit
@@ -21,22 +22,28 @@ phone   + and up to 15 digits, or 3-3-4   digits after the country code
 Candidates that fail their rule stay as they are, and so does all other text.
 There is no Python code on the executors; nothing is shuffled.
 
+No form repeats a group without a bound (such a pattern recurses for each
+round and would end the executor on a long text): an email's domain has at most
+126 labels, as domains do.
+
 Defined cases: null texts stay null with no findings; texts without findings
-stay as they are; all rows and other columns are kept; input columns with the
-names of outputs are replaced.
+stay as they are; of an email beyond the bounds the part within them counts; all rows
+and other columns are kept; input columns with the names of outputs are
+replaced.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.joins import spare_names
 from .common import with_columns
 
 ROUNDS = 10
 
 #: The forms of the kinds, in the order in which they are tried.
 FORMS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}",
     "secret": r"(?:[0-9a-f]{32,}|[0-9A-F]{32,})",
     "iban": r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}",
     "card": r"(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})",
@@ -63,14 +70,20 @@ def _let(value: Column, body) -> Column:
 def feistel(digits: Column, radix: Column, kind: str, key: str) -> Column:
     """array<long>: the permuted digits, each below its radix."""
 
-    def shift(i, k, other):
-        seen = F.concat_ws("|", F.lit(key), F.lit(kind), k.cast("string"), i.cast("string"),
-                           F.array_join(other.cast("array<string>"), ","))
-        return F.conv(F.substring(F.sha2(seen, 256), 1, 15), 16, 10).cast("long")
+    def shifts(s, k):
+        """Four digits' shifts to a hash."""
+        seen = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), k.cast("string"),
+                                  F.array_join(s["b"].cast("array<string>"), ",")), 256)
+        block = lambda d: F.transform(F.sequence(F.lit(0), F.floor(F.size(s["a"]) / 4).cast("int")),
+                                      lambda j: F.sha2(F.concat_ws("|", d, j.cast("string")), 256))
+        return _let(seen, block)
 
     def step(s, k):
-        moved = F.transform(s["a"], lambda x, i: F.pmod(x + shift(i, k, s["b"]), F.get(s["ra"], i)))
-        return F.struct(s["b"].alias("a"), moved.alias("b"), s["rb"].alias("ra"), s["ra"].alias("rb"))
+        def moved(blocks):
+            part = lambda i: F.get(blocks, F.floor(i / 4).cast("int")).substr((i % 4) * 15 + 1, F.lit(15))
+            return F.transform(s["a"], lambda x, i: F.pmod(x + F.conv(part(i), 16, 10).cast("long"), F.get(s["ra"], i)))
+
+        return F.struct(s["b"].alias("a"), _let(shifts(s, k), moved).alias("b"), s["rb"].alias("ra"), s["ra"].alias("rb"))
 
     def network(x):
         half = F.floor(F.size(x["d"]) / 2).cast("int")
@@ -86,7 +99,7 @@ def feistel(digits: Column, radix: Column, kind: str, key: str) -> Column:
 # -------------------------------------------------------------- pieces of text
 
 def _chars(value: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: value.substr(i, F.lit(1)))
+    return F.filter(F.split(value, ""), lambda c: c != "")
 
 
 def _digits(value: Column) -> Column:
@@ -268,14 +281,15 @@ def pseudonymize(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFr
         return _let(_kind(value), of_kind)
 
     candidates = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    out = docs.withColumn("__found", F.when(text.rlike("[0-9@]"), F.transform(candidates, found)))
+    name, = spare_names(docs.columns, "found")
+    out = docs.withColumn(name, F.when(text.rlike("[0-9@]"), F.transform(candidates, found)))
     between = F.split(text, ANY, -1)
-    new_text = _let(F.struct(between.alias("between"), F.col("__found").alias("found")), lambda x: F.array_join(
+    new_text = _let(F.struct(between.alias("between"), F.col(name).alias("found")), lambda x: F.array_join(
         F.transform(x["between"], lambda t, i: F.concat(t, F.coalesce(
             F.get(x["found"], i)["pseudonym"], F.get(x["found"], i)["original"], F.lit("")))), ""))
-    findings = F.coalesce(F.filter("__found", lambda f: f["pseudonym"].isNotNull()),
+    findings = F.coalesce(F.filter(name, lambda f: f["pseudonym"].isNotNull()),
                           F.array().cast("array<struct<kind:string,original:string,pseudonym:string>>"))
-    changed = F.exists("__found", lambda f: f["pseudonym"].isNotNull())
+    changed = F.exists(name, lambda f: f["pseudonym"].isNotNull())
     new = {text_col: F.when(changed, new_text).otherwise(text), "findings": findings}
     ordered = [c for c in docs.columns if c.lower() != "findings"] + ["findings"]
     return with_columns(out, new).select(*[F.col(f"`{c}`") for c in ordered])

@@ -37,6 +37,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.joins import spare_names
 from .common import connected_components, with_columns, written
 
 SEED = 42
@@ -182,7 +183,8 @@ def keep_one_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     that share that id, the one with the smallest text hash; of rows equal in
     both, one."""
     _, by_print = _groups(docs, id_col, text_col, shingle, max_bits)
-    names = by_print.select(F.col("least.id").alias("__id"), F.col("least.hash").alias("__hash")).distinct()
-    hashed = docs.withColumn("__of", F.xxhash64(text_col))
-    kept = hashed.join(names, hashed[id_col].eqNullSafe(names["__id"]) & (F.col("__of") == F.col("__hash")), "left_semi")
-    return kept.dropDuplicates([id_col, "__of"]).drop("__of")
+    of, its_id, its_hash = spare_names(docs.columns, "of", "its_id", "its_hash")
+    names = by_print.select(F.col("least.id").alias(its_id), F.col("least.hash").alias(its_hash)).distinct()
+    hashed = docs.withColumn(of, F.xxhash64(text_col))
+    kept = hashed.join(names, hashed[id_col].eqNullSafe(names[its_id]) & (F.col(of) == F.col(its_hash)), "left_semi")
+    return kept.dropDuplicates([id_col, of]).drop(of)

@@ -2,7 +2,9 @@
 
 import pytest
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, Ids string, spans int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, Ids string, spans int, " \
+         "of string, its_id int, its_hash string, cuts string, hits int, hit string, found string, at int, page string, removed int"
+OWN = ("o", 1, "h", "c", 2, "i", "f", 3, "p", 4)  # the columns that no operator makes
 LONG = " ".join(f"word{i % 977} piece{i % 31}" for i in range(30_000))
 PASSAGE = "one more line\nand a second one\nthe third of them\n"
 
@@ -23,7 +25,7 @@ ROWS = [
 
 @pytest.fixture(scope="session")
 def edge(spark):
-    return spark.createDataFrame(ROWS, SCHEMA)
+    return spark.createDataFrame([(*r, *OWN) for r in ROWS], SCHEMA)
 
 
 @pytest.fixture(scope="session")

@@ -106,7 +106,7 @@ def test_edge_cases(spark, empty, edge):
             (5, "http://h.example/b", "<p>" + own(4, 50_000) + "<p>tail of this one page only")]
     got = htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r["page_id"]: r["text"] for r in got} == {1: "", 2: "", None: "x", 4: own(4, 50_000), 5: "tail of this one page only"}
-    clash = spark.createDataFrame([("u", "<p>a", 1, "x", "y", "z")], "url string, html string, removed0 int, page0 string, Text string, host string")
+    clash = spark.createDataFrame([("u", "<p>a", 1, "x", "y", "z")], "url string, html string, removed int, page string, Text string, host string")
     out = htmltext.extract(clash)
     assert [tuple(r) for r in out.collect()] == [("u", "<p>a", 1, "x", "z", "a", 1, 0)]
     none = spark.createDataFrame([], "page_id long, url string, html string")

@@ -7,13 +7,17 @@ from fieldlens.llm import pii
 KEY = "k"
 
 
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def feistel(digits, radix, kind):
     half = len(digits) // 2
     a, b, ra, rb = digits[:half], digits[half:], radix[:half], radix[half:]
     for k in range(pii.ROUNDS):
-        other = ",".join(map(str, b))
-        moved = [(x + int(hashlib.sha256("|".join([KEY, kind, str(k), str(i), other]).encode()).hexdigest()[:15], 16)) % ra[i]
-                 for i, x in enumerate(a)]
+        seen = sha("|".join([KEY, kind, str(k), ",".join(map(str, b))]))
+        shifts = [int(sha(f"{seen}|{i // 4}")[i % 4 * 15:][:15], 16) for i in range(len(a))]
+        moved = [(x + y) % r for x, y, r in zip(a, shifts, ra)]
         a, b, ra, rb = b, moved, rb, ra
     return a + b
 
@@ -83,3 +87,35 @@ def test_edges_and_plan(spark, edge, empty):
     assert pii.pseudonymize(empty, KEY).count() == 0
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def by_class(value, kind):
+    base = lambda c: "0" if c.isdigit() else "A" if c.isupper() else "a"
+    own = [c for c in value if c.isascii() and c.isalnum()]
+    new = iter(feistel([ord(c) - ord(base(c)) for c in own], [10 if c.isdigit() else 26 for c in own], kind))
+    return "".join(chr(ord(base(c)) + next(new)) if c.isascii() and c.isalnum() else c for c in value)
+
+
+def test_email_iban_and_phone_against_brute_force(spark):
+    mail, iban, phones = "a.B34_x@mail-7.example.com", "DE89370400440532013000", ["+1 (017) 555-7713", "(212) 555-0199", "+442071838750"]
+    rows = [r.text for r in run(spark, [mail, iban, *phones])]
+    assert rows[0] == by_class("a.B34_x@mail-7.example", "email") + ".com"
+    account = by_class(iban[4:], "iban")
+    number = int("".join(str(int(c, 36)) for c in account + "DE00"))
+    assert rows[1] == f"DE{98 - number % 97:02d}{account}"
+    for old, new, country in zip(phones, rows[2:], (1, 0, 2)):
+        d = [int(c) for c in old if c.isdigit()]
+        if old == "+442071838750":
+            country = len(re.search(r"^\+([0-9]{1,3}?)(?=[0-9]{7,12}$)", old)[1])
+        fresh = iter(map(str, d[:country] + feistel(d[country:], [10] * (len(d) - country), "phone")))
+        assert new == "".join(next(fresh) if c.isdigit() else c for c in old)
+
+
+def test_very_long_texts(spark):
+    hexes = ("0123456789abcdef" * 4096)[:65_536]
+    texts = ["x@a" + ".b" * 500_000, "a." * 500_000, "x@" + "a" * 1_000_000 + ".com", hexes, "f" * 1_000_000,
+             "1-" * 500_000, "(12) " * 200_000, "u@" + "ab." * 126 + "com", "u@" + "ab." * 127 + "com"]
+    rows = run(spark, texts)
+    assert [bool(r.findings) for r in rows] == [False, False, False, True, False, False, False, True, True]
+    assert rows[3].text == "".join("%x" % d for d in feistel([int(c, 16) for c in hexes], [16] * len(hexes), "secret"))
+    assert rows[7].text.endswith(".com") and len(rows[7].text) == len(texts[7])
