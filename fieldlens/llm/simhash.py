@@ -1,4 +1,4 @@
-"""SimHash near-duplicate groups with an inverted index of six-byte keys.
+"""SimHash near-duplicate groups with a byte-position inverted index and a tally.
 
 Fingerprints: whole texts, A-Z in lower case, split at ASCII white space into
 words, shingles of ``shingle`` words (repeats included, blank-joined; a text
@@ -8,17 +8,21 @@ zero and is linked like any other.
 
 Links: two fingerprints within ``max_bits`` differing bits differ in at most
 that many of their eight bytes, so they share at least 8 - max_bits positional
-bytes: the guaranteed minimum.  The index keeps one posting list for each
-choice of that many positions and the bytes there (six for two bits).  These
-composite keys stand for a tally over lists of single bytes, which would grow
-with the corpus: who is in one list shares the minimum by construction, so no
-pair below it is ever formed and no count is filtered.  A pair that shares more
-than the minimum meets in several lists and is kept in the first only.
-What remains is verified on all 64 bits.  Lists hold distinct fingerprints and
-the bytes outside the key vary only, so for two bits a list has at most 65,536
-entries however large the corpus is.  Long lists are not compared pair by
-pair: each entry looks up the values of the free bytes that lie within
-``max_bits``, 137 for two bytes, which keeps the work linear.
+bytes: the guaranteed minimum.  Of the first 4 + max_bits positions they share
+at least four.  The index therefore keeps one posting list for each choice of
+four of these positions and the bytes there (15 rows per fingerprint for two
+bits), and every pair to be found meets in a list.  In each list the shared
+bytes of every pair are tallied over all eight positions, column by column; a
+pair below the guaranteed minimum is dropped, and what remains is verified on
+all 64 bits.  A pair is kept in the first list that it shares only.
+
+Lists hold distinct fingerprints.  One of more than ``LONG_LIST`` entries is
+split without loss: of the other four positions its pairs share at least 4 -
+max_bits, so its entries go to one list for each choice of that many, keyed by
+these bytes as well.  Only max_bits bytes are left free in such a list, which
+for two bits has at most 65,536 entries however large the corpus is; if still
+long, each entry looks up the values of the free bytes that lie within
+``max_bits`` bits, 137 for two bytes, instead of all others.
 
 Groups are the connected components of the links.  Rows of one fingerprint
 are one node.  No text is shuffled.
@@ -41,8 +45,8 @@ from ..operators.joins import spare_names
 from .common import connected_components, with_columns, written
 
 SEED = 42
-#: From this many entries on, a posting list is searched by neighbouring values.
-LONG_LIST = 512
+#: A posting list of more entries is split.
+LONG_LIST = 1024
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -77,79 +81,116 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = 3,
 
 # --------------------------------------------------------------------- links
 
-def _masks(max_bits: int) -> list[tuple[int, tuple[int, ...]]]:
-    """(bits of the key, free byte positions) of each choice of positions."""
-    if not 0 <= max_bits <= 3:
-        raise ValueError("max_bits must be 0 to 3: more free bytes make posting lists too long")
-    out = []
-    for free in combinations(range(8), max_bits):
-        mask = (1 << 64) - 1
-        for p in free:
-            mask &= ~(0xFF << (8 * p))
-        out.append((mask, free))
-    return out
+def _mask(positions) -> int:
+    return _signed(sum(0xFF << (8 * p) for p in positions))
 
 
 def _signed(v: int) -> int:
     return v - (1 << 64) if v >= 1 << 63 else v
 
 
-def _near_flips(free: tuple[int, ...], max_bits: int) -> np.ndarray:
+def choices(max_bits: int) -> list[tuple[int, ...]]:
+    """The positions of the bytes of each key."""
+    if not 0 <= max_bits <= 3:
+        raise ValueError("max_bits must be 0 to 3: more free bytes make posting lists too long")
+    return list(combinations(range(4 + max_bits), 4))
+
+
+def further_choices(key: tuple[int, ...], max_bits: int) -> list[tuple[int, ...]]:
+    """The positions that a long list's keys have besides."""
+    return list(combinations([p for p in range(8) if p not in key], 4 - max_bits))
+
+
+def tally(prints: np.ndarray) -> np.ndarray:
+    """How many positional bytes each pair of the list shares (n x n)."""
+    columns = prints.view(np.uint8).reshape(-1, 8)
+    shared = np.zeros((len(prints), len(prints)), np.uint8)
+    for p in range(8):
+        shared += columns[:, None, p] == columns[None, :, p]
+    return shared
+
+
+def _first_in(a: np.ndarray, b: np.ndarray, own: int, keys: list[tuple[int, ...]]) -> np.ndarray:
+    """Which pairs share the bytes of no key before the own one."""
+    diff = a ^ b
+    first = np.ones(len(a), bool)
+    for key in keys[:own]:
+        first &= (diff & np.uint64(sum(0xFF << (8 * p) for p in key))) != 0
+    return first
+
+
+def list_pairs(prints: np.ndarray, own: int, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (smaller, larger; unsigned) of the posting list of choice ``own``
+    within ``max_bits`` bits for which it is the first list they share."""
+    prints = np.unique(prints)
+    i, j = np.nonzero(np.triu(tally(prints) >= 8 - max_bits, 1))
+    a, b = prints[i], prints[j]
+    ok = np.bitwise_count(a ^ b) <= max_bits
+    a, b = a[ok], b[ok]
+    ok = _first_in(a, b, own, choices(max_bits))
+    return a[ok], b[ok]
+
+
+def _near_flips(free: list[int], max_bits: int) -> np.ndarray:
     """The non-zero 64-bit differences of at most ``max_bits`` bits in the free bytes."""
     at = [8 * p + b for p in free for b in range(8)]
     return np.array([sum(1 << b for b in c) for k in range(1, max_bits + 1) for c in combinations(at, k)], np.uint64)
 
 
-def list_pairs(prints: np.ndarray, free: tuple[int, ...], max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (smaller, larger; unsigned) of a posting list within ``max_bits``
-    bits for which this list is the first they share."""
+def split_list_pairs(prints: np.ndarray, own: int, further: int, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same of a part of a long list."""
     prints = np.unique(prints)
-    if len(prints) < LONG_LIST:
-        i, j = np.triu_indices(len(prints), 1)
-        a, b = prints[i], prints[j]
+    key = choices(max_bits)[own]
+    parts = further_choices(key, max_bits)
+    if len(prints) <= LONG_LIST:
+        a, b = list_pairs(prints, own, max_bits)
     else:
-        found = []
-        for flip in _near_flips(free, max_bits):
+        found = [(prints[:0], prints[:0])]
+        for flip in _near_flips([p for p in range(8) if p not in key + parts[further]], max_bits):
             other = prints ^ flip
             at = np.minimum(np.searchsorted(prints, other), len(prints) - 1)
             ok = (prints[at] == other) & (prints < other)
             found.append((prints[ok], other[ok]))
         a, b = (np.concatenate(x) for x in zip(*found))
-    diff = a ^ b
-    differing = [((diff >> np.uint64(8 * p)) & np.uint64(0xFF)) != 0 for p in range(8)]
-    shared = 8 - sum(d.astype(np.int64) for d in differing)
-    # The first choice of free positions that holds all differing ones is ours?
-    needed = max_bits - (8 - shared)  # free positions that the pair has to spare
-    first = np.ones(len(a), bool)
-    spare = np.zeros(len(a), np.int64)
-    for p in range(8):
-        chosen = p in free
-        takes = differing[p] | (spare < needed)
-        spare += takes & ~differing[p]
-        first &= takes == chosen
-    ok = first & (np.bitwise_count(diff) <= max_bits)
+        ok = _first_in(a, b, own, choices(max_bits))
+        a, b = a[ok], b[ok]
+    ok = _first_in(a, b, further, parts)
     return a[ok], b[ok]
 
 
 def linked_prints(prints: DataFrame, col: str = "fingerprint", max_bits: int = 2) -> DataFrame:
     """(a, b) signed longs: all pairs of distinct fingerprints of the column
     (distinct, not null) that differ in 1 to ``max_bits`` bits."""
-    masks = _masks(max_bits)
+    keys = choices(max_bits)
     posted = prints.select(F.col(col).alias("p"), F.posexplode(F.array(
-        *[F.col(col).bitwiseAND(F.lit(_signed(m))) for m, _ in masks])).alias("choice", "key"))
-    lists = (posted.repartition("choice", "key")  # as they are: hardly any two of one task combine
-             .groupBy("choice", "key").agg(F.collect_list("p").alias("prints"))  # at most 256 ** max_bits
-             .where(F.size("prints") > 1).select("choice", "prints"))
-    free = [f for _, f in masks]
-
-    def pairs(batches):
-        for pdf in batches:
-            found = [list_pairs(np.asarray(p, np.int64).view(np.uint64), free[c], max_bits)
-                     for c, p in zip(pdf["choice"], pdf["prints"])]
-            a, b = (np.concatenate(x).view(np.int64) for x in zip(*found)) if found else ([], [])
-            yield pd.DataFrame({"a": a, "b": b})
-
-    return lists.mapInPandas(pairs, "a long, b long")
+        *[F.col(col).bitwiseAND(F.lit(_mask(k))) for k in keys])).alias("choice", "key"))
+    sizes = posted.groupBy("choice", "key").count()
+    long_lists = written(sizes.where(F.col("count") > LONG_LIST).select("choice", "key"), "long-lists")
+
+    def pairs(of):
+        def work(batches):
+            for pdf in batches:
+                found = [of(np.asarray(p, np.int64).view(np.uint64), *x) for p, *x in zip(pdf["prints"], *(
+                    pdf[c] for c in pdf.columns if c != "prints"))]
+                a, b = (np.concatenate(x).view(np.int64) for x in zip(*found)) if found else ([], [])
+                yield pd.DataFrame({"a": a, "b": b})
+        return work
+
+    some_long = not long_lists.isEmpty()
+    short = posted.join(long_lists, ["choice", "key"], "left_anti") if some_long else posted
+    lists = (short.repartition("choice", "key")  # as they are: hardly any two of one task combine
+             .groupBy("choice", "key").agg(F.collect_list("p").alias("prints"))  # at most LONG_LIST
+             .where(F.size("prints") > 1).select("prints", "choice"))
+    found = lists.mapInPandas(pairs(lambda p, c: list_pairs(p, c, max_bits)), "a long, b long")
+    if not some_long:
+        return found
+    split = F.array(*[F.array(*[F.col("p").bitwiseAND(F.lit(_mask(k + more))) for more in further_choices(k, max_bits)])
+                      for k in keys])
+    parts = (posted.join(long_lists, ["choice", "key"], "left_semi")
+             .select("p", "choice", F.posexplode(F.get(split, "choice")).alias("further", "key"))
+             .groupBy("choice", "further", "key").agg(F.collect_list("p").alias("prints"))  # at most 256 ** max_bits
+             .where(F.size("prints") > 1).select("prints", "choice", "further"))
+    return found.unionByName(parts.mapInPandas(pairs(lambda p, c, f: split_list_pairs(p, c, f, max_bits)), "a long, b long"))
 
 
 def _groups(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:

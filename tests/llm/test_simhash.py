@@ -56,17 +56,51 @@ def test_links_are_all_pairs(spark):
         assert got == want
 
 
-def test_long_lists_find_the_same(monkeypatch):
+def all_pairs(prints, bits):
+    return sorted((a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= bits)
+
+
+def test_the_tally_drops_pairs():
+    """A list's pairs share four bytes; of those the tally keeps what shares six."""
+    rng = random.Random(4)
+    head = 0x0102_0304
+    prints = sorted({head | near << 32 for near in [rng.getrandbits(32) for _ in range(30)] for near in (near, near ^ 1, near ^ 0x0101, near ^ 0x30000)})
+    shared = simhash.tally(np.array(prints, np.uint64))
+    want = [[sum((a >> 8 * p & 255) == (b >> 8 * p & 255) for p in range(8)) for b in prints] for a in prints]
+    assert shared.tolist() == want
+    pairs = [(i, j) for i in range(len(prints)) for j in range(i)]
+    assert sum(4 <= want[i][j] < 6 for i, j in pairs) > 1000 and sum(want[i][j] >= 6 for i, j in pairs) > 50
+    a, b = simhash.list_pairs(np.array(prints, np.uint64), 0, 2)
+    assert sorted(zip(a.tolist(), b.tolist())) == all_pairs(prints, 2) != []
+
+
+def test_every_choice_keeps_a_pair_once():
+    rng = random.Random(6)
+    for bits in (0, 1, 2, 3):
+        for _ in range(200):
+            a = rng.getrandbits(64)
+            b = a
+            while b == a:
+                for _ in range(rng.randint(1, max(bits, 1))):
+                    b ^= 1 << rng.randrange(64)
+            found = 0
+            for own, key in enumerate(simhash.choices(bits)):
+                mask = sum(0xFF << 8 * p for p in key)
+                if a & mask == b & mask:
+                    found += len(simhash.list_pairs(np.array([a, b], np.uint64), own, bits)[0])
+            assert found == ((a ^ b).bit_count() <= bits)
+
+
+def test_long_lists_find_the_same(spark, monkeypatch):
     rng = np.random.default_rng(0)
-    low = rng.integers(0, 1 << 16, 900).astype(np.uint64)
-    for free in ((0, 1), (0, 7), (3, 5)):
-        prints = (low & np.uint64(255)) << np.uint64(8 * free[0]) | (low >> np.uint64(8)) << np.uint64(8 * free[1])
-        pairs = []
-        for limit in (1, 1 << 20):
-            monkeypatch.setattr(simhash, "LONG_LIST", limit)
-            a, b = simhash.list_pairs(prints, free, 2)
-            pairs.append(sorted(zip(a.tolist(), b.tolist())))
-        assert pairs[0] == pairs[1] and pairs[0]
+    groups = [[7 | int(x) << 48 for x in rng.choice(1 << 16, 700, False)], [9 << 8 | int(x) << 32 for x in rng.integers(0, 1 << 32, 500)],
+              [5 << 40 | int(x) & 0xFF | int(x >> 8) << 24 for x in rng.choice(1 << 16, 300, False)], [rng.integers(1 << 62).item() for _ in range(50)]]
+    prints = sorted({p for g in groups for p in g})
+    df = spark.createDataFrame([(simhash._signed(p),) for p in prints], "fingerprint long")
+    for limit in (20, 400):
+        monkeypatch.setattr(simhash, "LONG_LIST", limit)
+        got = [tuple(sorted((r.a & (1 << 64) - 1, r.b & (1 << 64) - 1))) for r in simhash.linked_prints(df).collect()]
+        assert sorted(got) == all_pairs(prints, 2)
 
 
 def test_groups(spark, edge, empty):
@@ -117,3 +151,18 @@ def test_components(spark):
     alone = {5} | {a for a, b in edges if a == b}
     assert got == {n: find(n) for n in root if n in got}
     assert set(root) - set(got) <= alone
+
+
+def test_a_split_list_by_values_or_by_pairs(monkeypatch):
+    rng = np.random.default_rng(5)
+    key = simhash.choices(2)[3]
+    for further, more in enumerate(simhash.further_choices(key, 2)):
+        free = [p for p in range(8) if p not in key + more]
+        low = rng.choice(1 << 16, 700, False).astype(np.uint64)
+        prints = (low & np.uint64(255)) << np.uint64(8 * free[0]) | (low >> np.uint64(8)) << np.uint64(8 * free[1])
+        found = []
+        for limit in (1, 1 << 20):
+            monkeypatch.setattr(simhash, "LONG_LIST", limit)
+            a, b = simhash.split_list_pairs(prints, 3, further, 2)
+            found.append(sorted(zip(a.tolist(), b.tolist())))
+        assert found[0] == found[1]
