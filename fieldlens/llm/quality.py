@@ -66,6 +66,7 @@ def vectors(texts) -> np.ndarray:
         gram = w[:-2] << np.uint64(16) | w[1:-1] << np.uint64(8) | w[2:]
         doc = np.searchsorted(ends, np.arange(1, len(b) - 1), "right")
         inside = doc < n
+        inside[ends[:-1] - 1] = False  # around the blank between two texts
         cell = doc[inside] * BUCKETS + (mixed(gram[inside]) >> np.uint64(64 - BITS)).astype(np.int64)
         out += np.bincount(cell, minlength=n * BUCKETS).reshape(n, BUCKETS)
         out /= np.maximum(np.sqrt((out * out).sum(axis=1, keepdims=True)), 1e-9)
@@ -139,7 +140,7 @@ def fit(docs: DataFrame, ratings: DataFrame, *, id_col: str = "doc_id", text_col
     one = ratings.where(F.col(grade_col).isNotNull()).groupBy(id_col).agg(F.max(grade_col).cast("int").alias("grade"))
     total = {r["grade"]: r["count"] for r in one.groupBy("grade").count().collect()}
     chosen = {i: g for g in sorted(total) for i in smallest_ids(one.where(F.col("grade") == g), id_col, per_grade)}
-    few = among(docs.select(id_col, text_col), id_col, list(chosen)).dropDuplicates([id_col])
+    few = among(docs.select(id_col, text_col), id_col, list(chosen)).groupBy(id_col).agg(F.max(text_col).alias(text_col))
 
     @F.pandas_udf("at array<int>, x array<float>")
     def vector(text: pd.Series) -> pd.DataFrame:

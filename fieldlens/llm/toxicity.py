@@ -4,11 +4,12 @@ Training data are document labels.  A bounded sample of labelled documents
 (``per_class`` of each label, those whose ids have the smallest hashes) is
 turned into token labels: a token is marked toxic in a toxic document if its
 word is far more frequent in toxic than in clean documents, by a likelihood
-ratio test at 5 % over all words tested, near copies counting once; of more
-than ``MARKED`` such words those in the most toxic documents count.  A
-two-state chain (clean, toxic) with weights for the word, the word before and
+ratio test at 5 % over all words tested, near copies counting once.  The test
+is repeated on the toxic documents that have no marked word yet, against all
+clean ones, until it marks none: words of a rare language or topic stand out
+among these only.  A two-state chain (clean, toxic) with weights for the word, the word before and
 the word after, and for transitions, is fitted to segments of these tokens by
-gradient ascent with forward-backward marginals.  ``SEGMENTS`` with and as many
+gradient ascent with forward-backward marginals.  ``segments`` with and as many
 without a marked word are chosen: first one for each marked word, then a second
 one, then others, and one document of each group of near copies before the
 others of the group.
@@ -20,7 +21,8 @@ would gather many) and the largest marginal go through a logistic curve, fitted
 on the sample with the classes' true shares, to the document's probability.
 
 Defined cases: null, empty and wordless texts get the score of a document
-without evidence and no spans; labels other than 0 and 1 and rows without an
+without evidence and no spans; several texts of one id are all learned from,
+with the weight of the one that is last by its signatures; labels other than 0 and 1 and rows without an
 id are not learned from; of an id with several labels the largest counts; with
 one class or none to learn from, every score is that class's share (0.0 if
 there are no labels); input columns with the names of outputs are replaced.
@@ -40,8 +42,7 @@ from .textbytes import mixed, slices, words
 
 PER_CLASS = 3000
 SEGMENT = 32
-SEGMENTS = 2000
-MARKED = 50_000
+SEGMENTS = 4000
 MIN_RATIO = 30.0
 SPAN = 0.5
 ROUNDS = 60
@@ -249,14 +250,46 @@ def _signatures(hashes: pd.Series) -> pd.Series:
     return pd.Series([of(h) for h in hashes])
 
 
+def _marked_words(sample: DataFrame, weights: DataFrame, of: dict) -> np.ndarray:
+    """Hashes of the words that mark toxic documents, ascending.  ``of``: the
+    weight of each sampled document by label and id."""
+    spark = sample.sparkSession
+    each = sample.join(F.broadcast(weights), "id").select("id", "label", "w", F.explode(F.array_distinct("hashes")).alias("h"))
+    found, toxic, least = [], dict(of[1]), None
+    clean_total = sum(of[0].values())
+    while toxic:
+        total = sum(toxic.values())
+        left = spark.createDataFrame([(i,) for i in toxic], f"id {sample.schema['id'].dataType.simpleString()}")
+        rows = each.where("label = 0").unionByName(each.where("label = 1").join(F.broadcast(left), "id", "left_semi"))
+        counted = written(rows.groupBy("h").agg(F.sum(F.col("w") * F.col("label")).alias("toxic"),
+                                                F.sum(F.col("w") * (1 - F.col("label"))).alias("clean")), "toxic-words")
+        least = least or 2 * math.log(20 * max(1, counted.count()))
+        both, every = F.col("toxic") + F.col("clean"), total + clean_total
+        term = lambda x, k: F.when(x > 0, x * F.log(x * every / (both * k))).otherwise(0.0)
+        marked = [r["h"] for r in counted
+                  .where(2 * (term(F.col("toxic"), total) + term(F.col("clean"), clean_total)) >= least)
+                  .where((F.col("toxic") + 0.5) / (total + 1) >= MIN_RATIO * (F.col("clean") + 0.5) / (clean_total + 1))
+                  .select("h").collect()]
+        drop_written(counted)
+        if not marked:
+            break
+        found += marked
+        words_now = spark.createDataFrame([(h,) for h in marked], "h long")
+        explained = each.where("label = 1").join(F.broadcast(words_now), "h", "left_semi").select("id").distinct().collect()
+        toxic = {i: w for i, w in toxic.items() if i not in {r["id"] for r in explained}}
+    return np.sort(np.array(found, np.int64))
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", per_class: int = PER_CLASS) -> Model:
-    """Fit on the rows of ``labels`` and the texts that ``docs`` has for them."""
+        label_col: str = "toxic", per_class: int = PER_CLASS, segments: int = SEGMENTS) -> Model:
+    """Fit on the rows of ``labels`` and the texts that ``docs`` has for them.
+    ``per_class`` bounds the labelled rows of each label, ``segments`` the pieces
+    of 32 words that the chain learns from, of each kind."""
     none = np.zeros(0, np.uint64)
     sample, share = _sample_tokens(docs, labels, per_class, id_col, text_col, label_col)
     spark = docs.sparkSession
     signatures = F.pandas_udf(_signatures, "array<long>")
-    rows = sample.select("id", "label", signatures("hashes").alias("signatures")).orderBy("id").collect()
+    rows = sample.select("id", "label", signatures("hashes").alias("signatures")).orderBy("id", "signatures").collect()
     n = {k: sum(r["label"] == k for r in rows) for k in (0, 1)}
     if not n[0] or not n[1]:
         odds = 30.0 if n[1] else -30.0
@@ -264,22 +297,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     weight, stands = (dict(zip((r["id"] for r in rows), x)) for x in _copies_once([r["signatures"] for r in rows]))
     weights = spark.createDataFrame([(i, float(w), not stands[i]) for i, w in weight.items()],
                                     f"id {sample.schema['id'].dataType.simpleString()}, w double, copy boolean")
-    counted = (sample.join(F.broadcast(weights), "id")
-               .select("label", "w", F.explode(F.array_distinct("hashes")).alias("h"))
-               .groupBy("h").agg(F.sum(F.col("w") * F.col("label")).alias("toxic"),
-                                 F.sum(F.col("w") * (1 - F.col("label"))).alias("clean")))
-    counted = written(counted, "toxic-words")
-    total = {k: sum(weight[r["id"]] for r in rows if r["label"] == k) for k in (0, 1)}
-    least = 2 * math.log(20 * max(1, counted.count()))
-    both = F.col("toxic") + F.col("clean")
-    every = total[0] + total[1]
-    term = lambda x, k: F.when(x > 0, x * F.log(x * every / (both * total[k]))).otherwise(0.0)
-    marked = (counted.where(2 * (term(F.col("toxic"), 1) + term(F.col("clean"), 0)) >= least)
-              .where((F.col("toxic") + 0.5) / (total[1] + 1) >= MIN_RATIO * (F.col("clean") + 0.5) / (total[0] + 1)))
-    toxic_words = np.sort(np.array([r["h"] for r in marked.orderBy(F.desc("toxic"), "h").limit(MARKED).collect()],
-                                   np.int64))
-
-    def segments(batches):
+    toxic_words = _marked_words(sample, weights, {k: {r["id"]: weight[r["id"]] for r in rows if r["label"] == k} for k in (0, 1)})
+
+    def cut_up(batches):
         for pdf in batches:
             out = []
             for label, h, copy in zip(pdf["label"], pdf["hashes"], pdf["copy"]):
@@ -290,17 +310,17 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
             yield pd.DataFrame(out, columns=["h", "y", "marked", "copy", "o"])
 
     cut = sample.join(F.broadcast(weights), "id").select("label", "hashes", "copy").mapInPandas(
-        segments, "h array<long>, y array<int>, marked array<long>, copy boolean, o long")
+        cut_up, "h array<long>, y array<int>, marked array<long>, copy boolean, o long")
     # of each marked word the first and the last segment in their order
     ends = (cut.select(F.explode("marked").alias("word"), "copy", "o").groupBy("word")
             .agg(F.min(F.struct("copy", "o"))["o"].alias("first"),
-                 F.min(F.struct("copy", F.bitwise_not("o").alias("o")))["o"].alias("last")).collect())  # at most MARKED
+                 F.min(F.struct("copy", F.bitwise_not("o").alias("o")))["o"].alias("last")).collect())  # of each marked word of the sample
     turn = {~r["last"]: 1 for r in ends} | {r["first"]: 0 for r in ends}
     turns = spark.createDataFrame(sorted(turn.items()), "o long, turn int")
     marked = (cut.where(F.size("marked") > 0).join(F.broadcast(turns), "o", "left")
               .orderBy(F.coalesce("turn", F.lit(2)), "copy", "o", "h"))
     clean = cut.where(F.size("marked") == 0).orderBy("copy", "o", "h")
-    picked = [r for some in (marked, clean) for r in some.select("h", "y").limit(SEGMENTS).collect()]
+    picked = [r for some in (marked, clean) for r in some.select("h", "y").limit(segments).collect()]
     first = np.concatenate([np.arange(len(r["h"])) == 0 for r in picked]) if picked else np.zeros(0, bool)
     model = fit_chain(np.concatenate([np.array(r["h"], np.int64).view(np.uint64) for r in picked] or [none]),
                       np.concatenate([np.array(r["y"], np.int64) for r in picked] or [np.zeros(0, np.int64)]), first)
@@ -315,7 +335,6 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     x = np.stack([np.ones(len(y)), np.log1p(seen["total"].to_numpy()), seen["peak"].to_numpy()], axis=1)
     model.curve = _logistic(x, y, np.where(y == 1, share[1] / (y == 1).sum(), share[0] / (y == 0).sum()))
     drop_written(sample)
-    drop_written(counted)
     return model
 
 

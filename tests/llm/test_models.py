@@ -1,6 +1,8 @@
 """Language ID, toxicity and quality: held-out accuracy and exact parts."""
 
 import itertools
+import math
+import re
 
 import numpy as np
 import pytest
@@ -138,8 +140,7 @@ def test_toxicity_edges(spark, insults, edge, empty):
     assert toxicity.score(empty, model).count() == 0
 
 
-def test_segments_hold_every_marked_word(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "SEGMENTS", 50)
+def test_segments_hold_every_marked_word(spark):
     rng = np.random.default_rng(5)
     rare = ["knave", "rogue", "scamp", "brute", "churl", "villain", "wretch"]
     rows, labels = [], []
@@ -152,7 +153,7 @@ def test_segments_hold_every_marked_word(spark, monkeypatch):
         rows.append((i, " ".join(words)))
         labels.append((i, int(i % 4 == 0)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), segments=50)
     assert (model.known(textbytes.words(rare)[1]) < len(model.vocabulary)).all()
 
 
@@ -210,3 +211,110 @@ def test_word_hashes():
         assert same.setdefault(w, v) == v
     assert len(set(same.values())) == len(same)
     assert [t for run in textbytes.slices(texts, 5) for t in run] == texts
+
+
+# ------------------------------------------------- plain loops over the fitted numbers
+
+M64 = (1 << 64) - 1
+
+
+def mix(h):
+    h ^= h >> 32
+    h = h * 0xD6E8FEB86659FD93 & M64
+    return h ^ h >> 29
+
+
+def low(text):
+    return bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode())
+
+
+def plain_language(model, text):
+    """One text, one subword at a time."""
+    counts = {}
+    letter = lambda c: 65 <= c <= 90 or 97 <= c <= 122 or c >= 128
+    b = b" " + low(text) + b" "
+    for n in (2, 3, 4):
+        for i in range(len(b) - n + 1):
+            gram = b[i:i + n]
+            if all(map(letter, gram[1:-1])) if n > 2 else letter(gram[0]) or letter(gram[1]):
+                h = n
+                for c in gram:
+                    h = (h << 8 | (c if letter(c) else 32)) & M64
+                bucket = mix(h) >> 64 - langid.BITS
+                counts[bucket] = counts.get(bucket, 0) + 1
+    size = max(1, sum(counts.values()))
+    z = [sum(n * float(model.scores[b, k]) for b, n in counts.items()) / size / model.temperature + float(model.prior[k])
+         for k in range(len(model.languages))]
+    e = [math.exp(x - max(z)) for x in z]
+    best = max(range(len(e)), key=lambda k: (e[k], -k))
+    return model.languages[best], e[best] / sum(e)
+
+
+def test_languages_against_a_plain_loop(spark, sf_check):
+    docs = spark.read.parquet(f"{sf_check}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where("doc_id % 3 = 0"), per_language=40)
+    rows = langid.identify(docs.where("doc_id % 40 = 1").where("length(text) < 4000"), model, reject=False).collect()
+    assert len(rows) > 10 and {r["lang_pred"] for r in rows} >= {"en", "de"}
+    for r in rows:
+        if r["lang_pred"] != "und":
+            lang, score = plain_language(model, r["text"])
+            assert lang == r["lang_pred"] and abs(score - r["score"]) < 1e-4
+
+
+def plain_tails(model, text):
+    """Trigram by trigram, trait by trait; then the cumulative-link formula."""
+    x = {}
+    put = lambda h, v: x.__setitem__(k := mix(h) >> 64 - quality.BITS, x.get(k, 0) + v)
+    b = b" " + low(text) + b" "
+    grams = {}
+    for i in range(len(b) - 2):
+        h = mix(b[i] << 16 | b[i + 1] << 8 | b[i + 2]) >> 64 - quality.BITS
+        grams[h] = grams.get(h, 0) + 1
+    if len(b) >= 3:
+        norm = math.sqrt(sum(n * n for n in grams.values()))
+        x = {h: n / norm for h, n in grams.items()}
+    words = re.findall(rb"[^\x00-\x20\x7f]+", low(text))
+    n = max(1, len(words))
+    lines = [t for t in (text or "").split("\n") if t.strip()]
+    symbols = sum(0x20 < c < 0x7F and not chr(c).isalnum() for c in low(text))
+    traits = [(math.log2(len(words) + 1), [1, 2, 3, 4, 5, 6, 8, 10, 12]),
+              (len(set(words)) / n, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8]),
+              (sum(a == c for a, c in zip(words, words[1:])) / n, [0.001, 0.01, 0.03, 0.1, 0.3]),
+              (symbols / max(1, len(low(text))), [0.01, 0.02, 0.04, 0.06, 0.1, 0.2, 0.4]),
+              (1 - len(set(lines)) / len(lines) if lines else 0.0, [0.01, 0.1, 0.2, 0.4, 0.6]),
+              (sum(map(len, words)) / n, [2, 3, 4, 5, 6, 8, 12])]
+    for k, (value, cuts) in enumerate(traits):
+        put((1 << 40) + (k << 8) + sum(value >= c for c in cuts), 0.5)
+    z = sum(v * float(model.weights[h]) for h, v in x.items())
+    return [1 / (1 + math.exp(float(t) - z)) for t in model.thresholds]
+
+
+def test_quality_against_a_plain_loop(spark, sf_check):
+    docs = spark.read.parquet(f"{sf_check}/documents.parquet").select("doc_id", "text")
+    ratings = queries.graded(spark.read.parquet(f"{sf_check}/labels.parquet"))
+    model = quality.fit(docs, ratings, per_grade=40)
+    rows = quality.score(docs.where("doc_id % 40 = 1").where("length(text) < 4000"), model).collect()
+    assert len(rows) > 10
+    for r in rows:
+        tails = plain_tails(model, r["text"])
+        assert abs(tails[0] - r["tail_probability"]) < 1e-4
+        assert abs(sum(tails) - r["expected_grade"]) < 1e-3  # grades 0, 1, 2
+
+
+def test_two_texts_of_one_id_give_one_model(spark):
+    rows = [(i, f"text {i} of some words " * (i % 5 + 1)) for i in range(40)] + [(3, "another text of id three")]
+    grades = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, grade int")
+    models = [quality.fit(spark.createDataFrame(x, "doc_id long, text string").repartition(n), grades)
+              for x, n in ((rows, 1), (rows[::-1], 3))]
+    assert (models[0].weights == models[1].weights).all()
+
+
+def test_words_of_few_documents_are_marked_among_the_unexplained(spark):
+    """A word in six of a thousand documents marks none among all toxic ones, but among those without a marked word."""
+    rng = np.random.default_rng(8)
+    plain = lambda: " ".join("w" + chr(97 + k // 26) + chr(97 + k % 26) for k in rng.integers(0, 600, 40))
+    rows = [(i, plain() + (" fiend" if i % 5 == 0 and i % 100 else "") + (" knave" if i % 100 == 0 and i else "")) for i in range(700)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0 and i > 0)) for i in range(700)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
+    assert all(r["predicted"] == (r["doc_id"] % 5 == 0 and r["doc_id"] > 0) for r in out)
