@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from ..functions.dates import ts_literal
 from ..operators.joins import expand_days, left_join
 from ..operators.updates import apply_by_key, one_per_key
+from ..sinks.tables import KeyedTable
 
 TRACKED = ("zone", "team", "title")
 # staging column -> master column
@@ -50,6 +51,13 @@ def apply_staging(master: DataFrame, staging: DataFrame) -> tuple[DataFrame, Dat
     return apply_by_key(master, one, ["emp_id"], set_cols), several
 
 
+def update_stored_master(table: KeyedTable, staging: DataFrame) -> list[int]:
+    """P9 on a stored master keyed by ``emp_id``: only partitions in which a row
+    changes are rewritten; their numbers are returned."""
+    set_cols = {tgt: src for src, tgt in STAGING_TO_MASTER.items()}
+    return table.update(staging.select("emp_id", *STAGING_TO_MASTER), set_cols)
+
+
 def assign_by_date_range(mileage: DataFrame, allocations: DataFrame, active_only: bool = True) -> DataFrame:
     """P10: mileage post-image where ``emp_id`` comes from the allocation of
     the same van whose ``[start_date, end_date]`` holds ``mileage_date``.

@@ -11,13 +11,13 @@ facts.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .functions.dates import day_list, month_to_yesterday
-from .session import ensure_checkpoint_dir
+from .session import scratch_path
+from .sinks.tables import KeyedTable
 from .sources.fixtures import Fixtures, duckdb_with
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -151,7 +151,7 @@ def q_p24(fx):
     "\nSELECT role, manager,", "\nSELECT if(role = 'Manager', 'MGR_', 'AM_') || replace(manager, ' ', '_') AS report, role, manager,", 1))
 def q_p24_files(fx):
     """The report's folders, written and read back."""
-    path = f"{ensure_checkpoint_dir(fx.spark)}/manager-report-{uuid.uuid4().hex}"
+    path = scratch_path(fx.spark, "manager-report")
     sev.write_manager_report(sev.manager_report(fx["siebel_srs"], fx.dim("staff_master"), AS_OF), path)
     return fx.spark.read.parquet(path)
 
@@ -293,26 +293,29 @@ _MASTER_COLS = ("id emp_id tech_id first_name last_name state city zone team tit
                 "assoc_manager_tid manager_tid time_zone is_active").split()
 _P9_SET = {"zone": "zone", "team": "team", "title": "title", "first_name": "firstname",
            "last_name": "lastname", "mobile": "mobile"}
+_STAGED = ["zone", "team", "title", "firstname", "lastname", "mobile"]
 
 
-@register("p9_apply_staging", ("staff_master", "staff_staging"), """
-SELECT """ + ", ".join(f"CASE WHEN ss.emp_id IS NOT NULL THEN ss.{_P9_SET[c]} ELSE sm.{c} END AS {c}"
-                       if c in _P9_SET else f"sm.{c}" for c in _MASTER_COLS) + """
-FROM staff_master sm LEFT JOIN staff_staging ss ON sm.emp_id = ss.emp_id""")
-def q_p9(fx):
-    return changes.apply_staging(fx["staff_master"], fx["staff_staging"])[0]
+def _p9_sql(staging):
+    """Each column's value looked up per key: the staged one where the key is
+    staged (the row that is last in descending order of its columns), else the master's."""
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in _STAGED)
+    facts = "\n  UNION ALL ".join(
+        f"SELECT emp_id, '{t}' AS col, {s} AS value FROM (SELECT DISTINCT ON (emp_id) * FROM {staging} ORDER BY emp_id, {order})"
+        for t, s in _P9_SET.items())
+    cells = ", ".join(f"if(staged.vals IS NULL, {c}, staged.vals['{c}']) AS {c}" if c in _P9_SET else c for c in _MASTER_COLS)
+    return f"""
+, fact AS ({facts}),
+staged AS (SELECT emp_id AS key, map_from_entries(list(struct_pack(k := col, v := value))) AS vals FROM fact GROUP BY emp_id)
+SELECT {cells} FROM staged RIGHT JOIN staff_master ON key = emp_id"""
 
 
-_P9_ONE = """
-, one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY emp_id ORDER BY zone DESC NULLS LAST, team DESC NULLS LAST,
-            title DESC NULLS LAST, firstname DESC NULLS LAST, lastname DESC NULLS LAST, mobile DESC NULLS LAST) AS n
-          FROM staff_staging_repeated) WHERE n = 1)"""
+@register("p9_apply_staging", ("staff_master", "staff_staging"), _p9_sql("staff_staging"))
+def q_p9(fx):
+    return changes.apply_staging(fx["staff_master"], fx["staff_staging"])[0]
 
 
-@register("p9_apply_staging_repeated", ("staff_master", "staff_staging_repeated"), _P9_ONE + """
-SELECT """ + ", ".join(f"CASE WHEN one.emp_id IS NOT NULL THEN one.{_P9_SET[c]} ELSE sm.{c} END AS {c}"
-                       if c in _P9_SET else f"sm.{c}" for c in _MASTER_COLS) + """
-FROM staff_master sm LEFT JOIN one ON sm.emp_id = one.emp_id""")
+@register("p9_apply_staging_repeated", ("staff_master", "staff_staging_repeated"), _p9_sql("staff_staging_repeated"))
 def q_p9_repeated(fx):
     return changes.apply_staging(fx["staff_master"], fx["staff_staging_repeated"])[0]
 
@@ -324,6 +327,15 @@ def q_p9_reports(fx):
     return changes.apply_staging(fx["staff_master"], fx["staff_staging_repeated"])[1]
 
 
+@register("p9_update_stored_master", ("staff_master", "staff_staging_repeated"), _p9_sql("staff_staging_repeated"))
+def q_p9_stored(fx):
+    """SELECT INTO, UPDATE ... FROM on the stored table, and what it holds then."""
+    master = fx["staff_master"]
+    table = KeyedTable(scratch_path(fx.spark, "staff-master"), master.schema, ("emp_id",), parts=16).create(master)
+    changes.update_stored_master(table, fx["staff_staging_repeated"])
+    return table.rows(fx.spark)
+
+
 _P10_SQL = """
 , ad AS (SELECT van_number, emp_id, start_date, end_date FROM van_allocation_history WHERE is_active = TRUE),
 m AS (SELECT DISTINCT vm.l_orderkey, vm.l_linenumber, vm.van_number, vm.mileage_date, vm.miles,

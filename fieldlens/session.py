@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -59,3 +60,12 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     path = fallback or tempfile.mkdtemp(prefix="fieldlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def scratch_path(spark: SparkSession, what: str) -> str:
+    """A new folder name under the checkpoint directory, which all executors
+    share; what is written there goes when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
