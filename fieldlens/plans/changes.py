@@ -3,12 +3,13 @@ apply, P10 date-range assignment of mileage to allocations."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import ts_literal
-from ..operators.joins import expand_days, left_join
+from ..operators.joins import expand_days, left_join, spare_names
+from ..operators.ranges import as_number, winners_in_range
 from ..operators.updates import apply_by_key, one_per_key
 from ..sinks.tables import KeyedTable
 
@@ -94,3 +95,34 @@ def assign_by_date_range(mileage: DataFrame, allocations: DataFrame, active_only
     return j.select(*[F.when(F.col("a_day").isNotNull(), F.col("a_emp")).otherwise(F.col("emp_id"))
                       .cast(mileage.schema["emp_id"].dataType).alias("emp_id")
                       if c == "emp_id" else F.col(c) for c in mileage.columns])
+
+def assign_by_time_range(mileage: DataFrame, allocations: DataFrame, active_only: bool = True, *,
+                         at: str = "mileage_ts", start: str = "start_ts", end: str = "end_ts") -> DataFrame:
+    """P10 at any grain (dates, timestamps, numbers): mileage post-image where
+    ``emp_id`` comes from the allocation of the same van whose ``[start, end]``
+    holds ``at``, by the rules of ``assign_by_date_range``.
+
+    Nothing is expanded to days or seconds: an allocation is covered by a few
+    blocks for each level of its length (``operators.ranges``), and a mileage
+    row meets at most one allocation per level.
+    """
+    a = allocations.where(F.col("is_active")) if active_only else allocations
+    kind = a.schema["emp_id"].dataType
+    # Largest first: the start, then having an employee, then the lowest one.
+    lowest = -F.col("emp_id").cast("decimal(38,0)") if isinstance(kind, T.NumericType) else _descending(F.col("emp_id"))
+    best = F.struct(as_number(F.col(start), a.schema[start].dataType).alias("start"), F.col("emp_id").isNotNull().alias("some"),
+                    lowest.alias("lowest"))
+    won = winners_in_range(mileage, a, "van_number", at, start, end, "emp_id", best)
+    van, when, emp, found = spare_names(mileage.columns, "van", "when", "emp", "found")
+    side = won.select(F.col("van_number").alias(van), F.col(at).alias(when), F.col("emp_id").alias(emp), F.lit(True).alias(found))
+    j = left_join(mileage, side, [("van_number", van), (at, when)])
+    return j.select(*[F.when(F.col(found), F.col(emp)).otherwise(F.col("emp_id")).cast(mileage.schema["emp_id"].dataType).alias("emp_id")
+                      if c == "emp_id" else F.col(c) for c in mileage.columns])
+
+
+def _descending(text: Column) -> Column:
+    """A key whose ascending order is the descending order of the text (bytes
+    turned over, and an end that is above every byte)."""
+    turned = F.transform(F.filter(F.split(F.hex(text.cast("string")), "(?<=\\G..)"), lambda h: h != ""),
+                         lambda h: 255 - F.conv(h, 16, 10).cast("int"))
+    return F.concat(turned, F.array(F.lit(256)))

@@ -205,7 +205,7 @@ for _name, _am, _mgr, _mode in (("p5_grid_all", None, None, "multiply"),
 
 
 # ---------------------------------------------------------------- search
-from .plans import search  # noqa: E402
+from .plans import search, search_index  # noqa: E402
 
 
 def _found_sql(terms, hire_cols, keep_hire, keep_manager="TRUE", keep_employee=None):
@@ -267,6 +267,21 @@ for _name, _text, _filters in (("p7_spec_search_names", "bob hr", {"employee_las
     register(_name, _SEARCH_FX, _p7_sql(_text, _filters))(_mk())
 
 
+@register("p6_search_many", ("search_requests", "new_hires", "employees"), """
+, asked AS (SELECT *, unnest(if(coalesce(search_text, '') = '', [NULL], string_split(search_text, ' '))) AS term FROM search_requests),
+seen AS (SELECT h.*, first_name, last_name FROM new_hires h LEFT JOIN employees e ON e.id = h.old_emp_id),
+found AS (
+  SELECT DISTINCT search_id, h.id FROM asked a JOIN seen h ON (pos_status IS NULL OR pos_status = req_status)
+    AND (join_status IS NULL OR join_status = hire_status) AND (a.zone IS NULL OR a.zone = h.zone)
+  WHERE term IS NULL OR req_num ILIKE '%' || replace(term, chr(92) || '#', '#') || '%' OR first_name ILIKE '%' || replace(term, chr(92) || '#', '#') || '%'
+     OR last_name ILIKE '%' || replace(term, chr(92) || '#', '#') || '%')
+SELECT search_id, h.id AS emp_id, coalesce(first_name, '') || ' ' || coalesce(last_name, '') AS emp_full_name, h.manager_id AS emp_manager_id,
+       (SELECT coalesce(m.first_name, '') || ' ' || coalesce(m.last_name, '') FROM employees m WHERE m.id = h.manager_id) AS manager_name
+FROM found JOIN seen h USING (id) WHERE h.manager_id IN (SELECT id FROM employees)""")
+def q_p6_many(fx):
+    return search_index.search_many(fx["search_requests"], fx["new_hires"], fx["employees"])
+
+
 # ---------------------------------------------------------------- changes
 from .plans import changes  # noqa: E402
 
@@ -360,6 +375,19 @@ def q_p10_open(fx):
     return changes.assign_by_date_range(fx["van_mileage"], fx["van_allocation_open"])
 
 
+@register("p10_assign_mileage_by_second", ("van_mileage_seconds", "van_allocation_seconds"), """
+, held AS (
+  SELECT vm.van_number, mileage_ts, emp_id AS new_emp, start_ts,
+         rank() OVER (PARTITION BY vm.van_number, mileage_ts ORDER BY start_ts DESC, emp_id NULLS LAST) AS place
+  FROM (SELECT DISTINCT van_number, mileage_ts FROM van_mileage_seconds) vm
+  JOIN (FROM van_allocation_seconds WHERE is_active) a ON a.van_number = vm.van_number AND mileage_ts BETWEEN start_ts AND end_ts),
+won AS (SELECT DISTINCT van_number AS van, mileage_ts AS at_ts, new_emp FROM held WHERE place = 1)
+SELECT * EXCLUDE (van, at_ts, new_emp) REPLACE (if(van IS NULL, emp_id, new_emp) AS emp_id)
+FROM van_mileage_seconds LEFT JOIN won ON van = van_number AND at_ts = mileage_ts""")
+def q_p10_seconds(fx):
+    return changes.assign_by_time_range(fx["van_mileage_seconds"], fx["van_allocation_seconds"])
+
+
 # ---------------------------------------------------------------- JSON fields
 from .plans import jsonfields  # noqa: E402
 

@@ -191,6 +191,28 @@ RECIPES["van_allocation_open"] = """
 select van_number, emp_id, start_date, coalesce(end_date, date '9999-12-31') as end_date, is_active
 from {van_allocation_history}"""
 
+# Mileage and allocations to the second; allocations of a van overlap.
+RECIPES["van_mileage_seconds"] = """
+select l_orderkey, l_linenumber, van_number, cast(mileage_date as {ts}) + interval '1' second * (l_orderkey * 7919 % 86400) as mileage_ts,
+ miles, emp_id
+from {van_mileage}"""
+RECIPES["van_allocation_seconds"] = """
+select van_number, emp_id, cast(start_date as {ts}) + interval '1' second * ((van_number * 3571 + emp_id * 911) % 86400) as start_ts,
+ cast(end_date as {ts}) + interval '1' second * (van_number % 4 * 200000 + emp_id * 617 % 86400) as end_ts, is_active
+from {van_allocation_history}"""
+
+# Searches of several kinds, one per supplier: parts of numbers and names, wildcards, no text.
+RECIPES["search_requests"] = """
+select s_suppkey as search_id,
+ case s_suppkey % 40 when 0 then '' when 1 then null when 2 then 'DEE' when 3 then '_2_' when 4 then 'nn  zz' when 5 then '%'
+ else case s_suppkey % 4 when 0 then concat('#', lpad(cast(s_suppkey % 9 as string), 7, '0'))
+                         when 1 then concat('tomer%', cast(s_suppkey as string), ' nobody')
+                         when 2 then concat('00', cast(s_suppkey * 7 % 1000 as string), ' last', cast(s_suppkey % 97 as string))
+                         else concat(cast(s_suppkey as string), '_ \\#x') end end as search_text,
+ case when s_suppkey % 3 = 0 then 'Open' end as pos_status, case when s_suppkey % 8 = 1 then 'Joined' end as join_status,
+ case when s_suppkey % 40 < 6 then concat('Z', cast(s_suppkey % 4 as string)) end as zone
+from {supplier}"""
+
 # Interval units in other spellings, and one that is none.
 RECIPES["fts_job_master_spellings"] = """
 select id, name, created_at, interval_value,

@@ -1,0 +1,81 @@
+"""Dyadic covers and range joins: against sets of numbers and a nested loop, at the grain of seconds."""
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from fieldlens.operators import ranges
+from fieldlens.plans import changes
+
+
+def test_covers_hold_their_interval_exactly(spark):
+    rng = random.Random(1)
+    pairs = [(a, a + rng.choice([0, 1, 2, 5, 17, 100, 900])) for a in [rng.randint(-500, 500) for _ in range(200)]]
+    pairs += [(5, 4), (None, 3), (3, None), (0, 0), (-4, -1), (0, 63), (1, 62)]
+    rows = spark.createDataFrame(pairs, "a long, b long").select("a", "b", ranges.cover(F.col("a"), F.col("b")).alias("c")).collect()
+    for a, b, found in rows:
+        width = lambda level: 1 << ranges.BITS * level
+        numbers = [n for level, block in found for n in range(block * width(level), (block + 1) * width(level))]
+        assert sorted(numbers) == (list(range(a, b + 1)) if a is not None and b is not None else [])
+
+
+def test_covers_are_logarithmic(spark):
+    second = 1_000_000
+    spans = [(0, 10 ** k * second) for k in range(9)] + [(7 * second + 3, 253402300799 * second), (-(1 << 61) + 1, (1 << 61) - 1)]
+    sizes = [r[0] for r in spark.createDataFrame(spans, "a long, b long").select(F.size(ranges.cover(F.col("a"), F.col("b")))).collect()]
+    for (a, b), n in zip(spans, sizes):
+        levels = -(-(b - a + 1).bit_length() // ranges.BITS)
+        assert n <= 2 * ((1 << ranges.BITS) - 1) * levels + 2
+    assert max(sizes) < 200
+
+
+def brute(mileage, allocations):
+    out = []
+    for row in mileage:
+        van, at, emp = row[1], row[2], row[4]
+        held = [a for a in allocations if a[4] and a[0] == van and van is not None and None not in (at, a[2], a[3]) and a[2] <= at <= a[3]]
+        if held:
+            emp = min(held, key=lambda a: (-a[2].timestamp() if hasattr(a[2], "timestamp") else -a[2].toordinal(), a[1] is None, a[1] or 0))[1]
+        out.append((*row[:4], emp))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date"])
+def test_assignment_equals_a_nested_loop(spark, kind):
+    rng = random.Random(3)
+    base = dt.datetime(2024, 3, 1, 0, 0, 0)
+    at = lambda s: (base + dt.timedelta(days=s % 40)).date() if kind == "date" else base + dt.timedelta(seconds=s)
+    allocations = []
+    for _ in range(60):
+        s = rng.randint(0, 200_000)
+        e = s + rng.choice([-5, 0, 1, 60, 3600, 90_000])
+        allocations.append((rng.choice([1, 2, 3, None]), rng.choice([None, *range(9)]), rng.choice([at(s), at(s), None]),
+                            rng.choice([at(e), None, at(e)]), rng.random() < .8))
+    allocations += [(1, 4, at(0), dt.date(9999, 12, 31) if kind == "date" else dt.datetime(9999, 12, 31, 23, 59, 59), True)] * 2
+    edges = [x for a in allocations for x in a[2:4] if x is not None and x.year < 9999]
+    mileage = [(i, rng.choice([1, 1, 2, 3, 4, None]), rng.choice([None, at(rng.randint(0, 300_000)), rng.choice(edges)]), float(i), -1) for i in range(300)]
+    m = spark.createDataFrame(mileage, f"id long, van_number long, mileage_ts {kind}, found double, emp_id long")
+    a = spark.createDataFrame(allocations, f"van_number long, emp_id long, start_ts {kind}, end_ts {kind}, is_active boolean")
+    got = sorted(map(tuple, changes.assign_by_time_range(m, a).collect()), key=str)
+    if kind == "timestamp":
+        got = [(i, v, t, f, e) for i, v, t, f, e in got]
+    assert got == brute(mileage, allocations)
+    assert sum(r[4] != -1 for r in got) > 40
+
+
+def test_text_ids_and_empty_tables(spark):
+    m = spark.createDataFrame([(1, 5, "x"), (1, 9, "x"), (2, 5, "x")], "van_number int, at int, emp_id string")
+    a = spark.createDataFrame([(1, "b", 1, 6, True), (1, "ab", 1, 6, True), (1, "a", 1, 6, True), (1, None, 1, 9, True)],
+                              "van_number int, emp_id string, s int, e int, is_active boolean")
+    run = lambda a: sorted(map(tuple, changes.assign_by_time_range(m, a, at="at", start="s", end="e").collect()), key=str)
+    assert run(a) == [(1, 5, "a"), (1, 9, None), (2, 5, "x")]
+    assert run(a.limit(0)) == [(1, 5, "x"), (1, 9, "x"), (2, 5, "x")]
+
+
+def test_no_join_on_the_van_alone(spark):
+    m = spark.range(10).selectExpr("id % 2 AS van_number", "id AS at", "cast(-1 AS long) AS emp_id")
+    a = spark.range(5).selectExpr("id % 2 AS van_number", "id AS emp_id", "id AS s", "id + 3 AS e", "true AS is_active")
+    plan = changes.assign_by_time_range(m, a, at="at", start="s", end="e")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and all("level" in j or "when" in j for j in joins) and "sequence(cast(s" not in plan
