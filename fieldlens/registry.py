@@ -13,10 +13,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions.dates import day_list, month_to_yesterday
 from .session import scratch_path
+from .sinks import documents
 from .sinks.tables import KeyedTable
 from .sources.fixtures import Fixtures, duckdb_with
 
@@ -49,7 +50,7 @@ def _d(d: dt.date) -> str:
 
 
 # ---------------------------------------------------------------- severity
-from .plans import severity as sev  # noqa: E402
+from .plans import running, severity as sev  # noqa: E402
 
 def _p1_sql(as_of, extra=()):
     # exact severities first, folded to the labels 1 to 5 and 5+ afterwards
@@ -98,6 +99,35 @@ def q_p3(fx):
     return sev.to_json_rows(sev.severity_pivot(fx["siebel_srs"], fx.dim("staff_master"), AS_OF))
 
 
+@register("p3_json_document", ("siebel_srs", "staff_master"),
+          _p2_sql(AS_OF).replace("\nSELECT st.tech_id", ",\npiv AS (SELECT st.tech_id", 1)
+          + ")\nSELECT to_json(piv) AS json FROM piv")
+def q_p3_document(fx):
+    """The elements of the one JSON array that P3 writes, read back from its parts."""
+    path = scratch_path(fx.spark, "severity-pivot")
+    documents.write_json_array(sev.severity_pivot(fx["siebel_srs"], fx.dim("staff_master"), AS_OF), path, sev.STAFF_KEYS)
+    return documents.read_json_array(fx.spark, path)
+
+
+def _batches(srs):
+    """Three batches (old image, new image) that come to ``srs``: most of it with
+    wrong severities, open ends and rows too many; their correction; the rest."""
+    first = srs.where("sr_id % 4 <> 0")
+    wrong = first.where("sr_id % 3 = 0").withColumns({
+        "severity": F.expr("severity % 15 + 1"), "closed_date": F.expr("CASE WHEN sr_id % 2 = 0 THEN closed_date END")})
+    extra = srs.where("sr_id % 7 = 0")
+    return [(None, first.where("sr_id % 3 <> 0").unionByName(wrong).unionByName(extra)),
+            (wrong, first.where("sr_id % 3 = 0")), (extra, srs.where("sr_id % 4 = 0"))]
+
+
+@register("p1_from_stored_counts", ("siebel_srs", "staff_master"), _p1_sql(AS_OF))
+def q_p1_stored(fx):
+    path = scratch_path(fx.spark, "closed-counts")
+    for k, (old, new) in enumerate(_batches(fx["siebel_srs"])):
+        running.add_batch(running.closed_deltas(old, new), path, k)
+    return sev.severity_summary(None, fx.dim("staff_master"), AS_OF, counts=running.closed_counts(fx.spark, path, AS_OF))
+
+
 def _p4_sql(level, am, mgr):
     unit = {"daily": "day", "weekly": "week", "monthly": "month"}.get(level, "day")
     lo, hi = f"TIMESTAMP '{TREND_START} 00:00:00'", f"TIMESTAMP '{TREND_END} 00:00:00'"
@@ -123,6 +153,14 @@ for _name, _lvl, _am, _mgr in (("p4_trend_daily", "daily", None, None),
     register(_name, ("siebel_srs",), _p4_sql(_lvl, _am, _mgr))(_mk())
 
 
+@register("p4_from_stored_trend", ("siebel_srs",), _p4_sql("weekly", 2, None))
+def q_p4_stored(fx):
+    path = scratch_path(fx.spark, "trend-counts")
+    for k, (old, new) in enumerate(_batches(fx["siebel_srs"])):
+        running.add_batch(running.trend_deltas(old, new), path, k)
+    return running.severity_trend(fx.spark, path, TREND_START, TREND_END, 2, None, "weekly")
+
+
 def _p24_sql(as_of):
     start, end = month_to_yesterday(as_of)
     keys = ", ".join(sev.STAFF_KEYS)
@@ -499,6 +537,27 @@ def q_p15(fx):
     return projects.next_project_cycles(fx["project_definition"])[0]
 
 
+UNTIL = dt.date(2026, 3, 31)
+
+
+@register("p15_cycles_until", ("project_definition",), f"""
+, length(recurrence, months) AS (VALUES ('monthly', 1), ('quarterly', 3), ('half-yearly', 6), ('yearly', 12)),
+chain AS (
+  WITH RECURSIVE call(id, recurrence, months, cycle_index, cycle_start_date, cycle_end_date) AS (
+    SELECT id, d.recurrence, months, coalesce(cycle_index, 0), NULL::DATE, coalesce(cycle_end_date, start_date)
+    FROM project_definition d JOIN length l ON l.recurrence = d.recurrence
+    UNION ALL
+    SELECT id, recurrence, months, cycle_index + 1, (cycle_end_date + INTERVAL 1 DAY)::DATE,
+           ((cycle_end_date + INTERVAL 1 DAY)::DATE + to_months(months) - INTERVAL 1 DAY)::DATE
+    FROM call WHERE cycle_end_date < {_d(UNTIL)})
+  SELECT * EXCLUDE (months) FROM call WHERE cycle_start_date IS NOT NULL)
+SELECT * REPLACE (cycle_index::INTEGER AS cycle_index) FROM chain
+UNION ALL SELECT id, recurrence, 1, start_date, end_date FROM project_definition
+WHERE recurrence = 'one-time' AND start_date <= {_d(UNTIL)}""")
+def q_p15_until(fx):
+    return projects.cycles_until(fx["project_definition"], UNTIL)[0]
+
+
 _SKEL_COLS = "g.id AS project_id, {site} AS site, g.next_cycle_index AS cycle_index, g.next_start_date AS cycle_start_date, " \
              "g.next_end_date AS cycle_end_date, TRUE AS is_on_project, 'pending' AS execution_status"
 
