@@ -3,8 +3,8 @@
 Field metadata (field name, display name, source column) is usually a small
 dimension.  If the plan's statistics prove it small it is attached to every
 row as one array value (an uncorrelated scalar subquery, computed once);
-otherwise each row meets the metadata of its columns in an equi-join.  Both
-give the same result.
+otherwise the rows are dealt evenly over shares and each share meets that array
+in an equi-join.  Both give the same result.
 
 The reference aggregates all rows of a site into one array and validates
 every element against every row of the site.  Here each source row gets
@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import iso_utc_text, local_to_utc, zone_name
-from ..operators.joins import left_join
+from ..operators.joins import left_join, spare_names
 
 SMALL_BYTES = 8 << 20
+SALTS = 1024
 ELEMENT_SCHEMA = "array<struct<field_name:string,value:string>>"
 
 
@@ -31,20 +32,18 @@ def _estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def _with_metadata(rows: DataFrame, metadata: DataFrame, small_bytes: int) -> DataFrame:
-    """``rows`` with ``__meta``: the metadata ordered by column name."""
-    entry = F.struct("column_name", "field_name", "field_display_name")
+def _with_metadata(rows: DataFrame, metadata: DataFrame, small_bytes: int) -> tuple[DataFrame, str]:
+    """``rows`` with the metadata, ordered by column name, as one array; and the
+    array's name.  Every result holds all metadata, so the array is never larger
+    than a result.  Beyond ``small_bytes`` it is no literal of every task but one
+    row for each of ``SALTS`` shares of the rows, which it meets by the share."""
+    name, share, of = spare_names(rows.columns, "meta", "share", "of")
+    entries = F.array_sort(F.collect_list(F.struct("column_name", "field_name", "field_display_name")))
     if _estimated_bytes(metadata) <= small_bytes:
-        return rows.withColumn("__meta", metadata.select(F.array_sort(F.collect_list(entry))).scalar())
-    # a row meets the entries of its columns, and under no column the others
-    place = lambda name: F.when(F.col(name).isin(*rows.columns), F.col(name)).otherwise("")
-    entries = metadata.select(F.coalesce(place("column_name"), F.lit("")).alias("__place"), entry.alias("__entry"))
-    places = F.array(F.lit(""), *[F.lit(c) for c in rows.columns])
-    spread = (rows.select(F.monotonically_increasing_id().alias("__row_id"), F.struct("*").alias("__row"))
-              .select("__row_id", "__row", F.explode(places).alias("__place")))
-    met = (spread.join(entries, "__place", "left").groupBy("__row_id")
-           .agg(F.any_value("__row").alias("__row"), F.array_sort(F.collect_list("__entry")).alias("__meta")))
-    return met.select("__row.*", "__meta")
+        return rows.withColumn(name, metadata.select(entries).scalar()), name
+    whole = metadata.agg(entries.alias(name)).select(name, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(of))
+    spread = rows.withColumn(share, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    return spread.join(whole, spread[share] == whole[of]).drop(share, of), name
 
 
 def _plain(col: Column, kind: T.DataType) -> Column:
@@ -82,14 +81,15 @@ def build_field_json(rows: DataFrame, metadata: DataFrame, key: str = "site",
     """
     cols = rows.columns
     vmap = _value_map(rows, cols)
-    arr = F.transform("__meta", lambda m: F.struct(
+    with_meta, meta = _with_metadata(rows, metadata, small_bytes)
+    arr = F.transform(meta, lambda m: F.struct(
         m["field_name"].alias("field_name"),
         m["field_display_name"].alias("field_display_name"),
         F.try_element_at(vmap, m["column_name"]).alias("value"),
         F.lit(False).alias("is_track_time")))
     info = F.to_json(arr, {"ignoreNullFields": "false"}).alias("field_info")
     keep = [F.col(f"`{c}`") for c in cols] if keep_row else [F.col(key)]
-    return _with_metadata(rows, metadata, small_bytes).select(*keep, info)
+    return with_meta.select(*keep, info)
 
 
 def validate_field_json(rows_with_json: DataFrame, metadata: DataFrame, key: str = "site",
@@ -148,11 +148,14 @@ def rewrite_field_time_to_utc(exec_rows: DataFrame, staff: DataFrame, field: str
     of the element) are kept.  Other rows are returned unchanged.
     Duplicate staff ids resolve to the smallest zone label."""
     zones = staff.groupBy(F.col("id").alias("s_id")).agg(F.min("time_zone").alias("s_zone"))
-    parsed = F.try_variant_get(F.try_parse_json(F.col(json_col)), "$", "array<map<string,variant>>")
-    j = left_join(exec_rows.withColumn("__elems", parsed), zones, [("staff_id", "s_id")])
-    has_field = F.exists("__elems", lambda e: e["field_name"].cast("string") == F.lit(field))
-    touch = F.col("s_id").isNotNull() & F.coalesce(has_field, F.lit(False))
-    zone = zone_name(F.col("s_zone"))
+    # Text without the field's name (or an escape, which could spell it) is not parsed.
+    may = F.col(json_col).contains(field) | F.col(json_col).contains("\\")
+    s_id, s_zone, elems = spare_names(exec_rows.columns, "s_id", "s_zone", "elems")
+    zones = zones.withColumnsRenamed({"s_id": s_id, "s_zone": s_zone})
+    parsed = F.try_variant_get(F.try_parse_json(F.when(may, F.col(json_col))), "$", "array<map<string,variant>>")
+    j = left_join(exec_rows, zones, [("staff_id", s_id)]).withColumn(elems, F.when(F.col(s_id).isNotNull(), parsed))
+    touch = F.coalesce(F.exists(elems, lambda e: e["field_name"].cast("string") == F.lit(field)), F.lit(False))
+    zone = zone_name(F.col(s_zone))
 
     def fix(e):
         name = e["field_name"].cast("string")
@@ -162,5 +165,5 @@ def rewrite_field_time_to_utc(exec_rows: DataFrame, staff: DataFrame, field: str
                                 F.create_map(F.lit("value"), utc.cast("variant")))
         return F.when((name == F.lit(field)) & val.isNotNull(), replaced).otherwise(e)
 
-    new_json = F.when(touch, F.to_json(F.transform("__elems", fix))).otherwise(F.col(json_col))
+    new_json = F.when(touch, F.to_json(F.transform(elems, fix))).otherwise(F.col(json_col))
     return j.select(*[new_json.alias(c) if c == json_col else F.col(c) for c in exec_rows.columns])

@@ -429,15 +429,20 @@ def q_p10_seconds(fx):
 # ---------------------------------------------------------------- JSON fields
 from .plans import jsonfields  # noqa: E402
 
-_P11_CTES = """
-, t AS (SELECT *, to_json(project_data) AS rowj FROM project_data),
-np AS (SELECT t.site, to_json(list(json_object('field_name', m.field_name, 'field_display_name', m.field_display_name,
-                                                'value', t.rowj -> m.column_name, 'is_track_time', false)
-                                    ORDER BY m.column_name))::VARCHAR AS field_info
-       FROM t JOIN project_metadata m ON TRUE GROUP BY t.site)"""
-
-
-@register("p11_build_field_json", ("project_data", "project_metadata"), _P11_CTES + "\nSELECT site, field_info FROM np")
+_P11_SQL = """
+, fact AS (UNPIVOT (SELECT site AS row_site, to_json(site) AS site, to_json(p_name) AS p_name, to_json(p_brand) AS p_brand,
+                           if(p_size IS NULL, NULL, to_json(p_size)) AS p_size, to_json(p_retailprice) AS p_retailprice FROM project_data)
+           ON site, p_name, p_brand, p_size, p_retailprice INTO NAME column_name VALUE json),
+element AS (
+  SELECT site, wanted.column_name, '{"field_name":' || to_json(field_name) || ',"field_display_name":' || to_json(field_display_name)
+         || ',"value":' || coalesce(json::VARCHAR, 'null') || ',"is_track_time":false}' AS body
+  FROM fact RIGHT JOIN (SELECT * FROM project_metadata, (SELECT site FROM project_data)) wanted
+    ON row_site = site AND fact.column_name = wanted.column_name)
+SELECT site, '[' || string_agg(body, ',' ORDER BY wanted_column) || ']' AS field_info
+FROM (SELECT site, body, column_name AS wanted_column FROM element) GROUP BY site"""
+
+
+@register("p11_build_field_json", ("project_data", "project_metadata"), _P11_SQL)
 def q_p11(fx):
     return jsonfields.build_field_json(fx["project_data"], fx["project_metadata"])
 
@@ -456,7 +461,7 @@ def q_p12(fx):
 
 
 @register("p11_build_field_json_joined", ("project_data", "project_metadata"),
-          _P11_CTES + "\nSELECT site, field_info FROM np")
+          _P11_SQL)
 def q_p11_joined(fx):
     return jsonfields.build_field_json(fx["project_data"], fx["project_metadata"], small_bytes=0)
 
