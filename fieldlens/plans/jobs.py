@@ -20,10 +20,11 @@ from ..operators.joins import left_join
 MASTER_STATE = ["last_run_start_at", "last_run_end_at", "last_run_status", "last_successful_at", "next_run_at"]
 
 
-def slotted_runs(runs: DataFrame, job_master: DataFrame, seq_col: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Runs of known jobs with their slot columns (run columns kept), and the
-    rejected runs with a ``reason``: the job is unknown, or its interval unit is
-    none that PostgreSQL reads.  ``strict=True`` fails the job on a reject."""
+def run_outcomes(runs: DataFrame, job_master: DataFrame, seq_col: str = "event_seq") -> DataFrame:
+    """Every run once, with its slot (job_id, run_count, log_id, scheduled_for,
+    next_run_at) and a NULL ``reason``, or without one and with the reason why:
+    the job is unknown, or its interval unit is none that PostgreSQL reads.
+    Accepted and rejected runs come from one pass; ``sinks.outcomes`` stores them so."""
     m = job_master.select(F.col("id").alias("job_id"), F.col("name").alias("__name"),
                           "created_at", "interval_value", "interval_unit",
                           *[worth(F.col("interval_unit")).alias(c) for c, worth in
@@ -32,19 +33,24 @@ def slotted_runs(runs: DataFrame, job_master: DataFrame, seq_col: str, strict: b
     reason = (F.when(F.col("__name").isNull(), F.concat(F.lit("Job not found: "), F.coalesce(F.col("name"), F.lit("NULL"))))
               .when(F.col("__span").isNull(), F.concat(F.lit("invalid interval unit: "),
                                                F.coalesce(F.col("interval_unit"), F.lit("NULL")))))
-    rejects = all_runs.where(reason.isNotNull()).select(*runs.columns, reason.alias("reason"))
-    # strict: the check is the only filter, so that no other one can run before it
-    good = F.when(reason.isNotNull(), F.raise_error(reason)).isNull() if strict else reason.isNull()
-    j = all_runs.where(good).drop("__name")
     value, months, us = F.col("interval_value").cast("long"), F.col("__months"), F.col("__us")
     elapsed_us = F.timestamp_diff("MICROSECOND", F.col("created_at"), F.col("started_at"))
-    run_count = (F.floor(elapsed_us / (value * F.col("__span"))) + 1).cast("long")
-    out = (j.withColumn("run_count", run_count)
-           .withColumn("log_id", F.concat(F.col("job_id").cast("string"), F.lit(":"), F.col(seq_col).cast("string")))
-           .withColumn("scheduled_for", add_units(F.col("created_at"), (F.col("run_count") - 1) * value, months, us))
-           .withColumn("next_run_at", add_units(F.col("created_at"), F.col("run_count") * value, months, us))
-           .drop("__span", "__months", "__us"))
-    return out, rejects
+    run_count = F.when(F.col("__span").isNotNull(), (F.floor(elapsed_us / (value * F.col("__span"))) + 1).cast("long"))
+    return (all_runs.withColumn("reason", reason).withColumn("run_count", run_count)
+            .withColumn("log_id", F.concat(F.col("job_id").cast("string"), F.lit(":"), F.col(seq_col).cast("string")))
+            .withColumn("scheduled_for", add_units(F.col("created_at"), (F.col("run_count") - 1) * value, months, us))
+            .withColumn("next_run_at", add_units(F.col("created_at"), F.col("run_count") * value, months, us))
+            .drop("__name", "__span", "__months", "__us"))
+
+
+def slotted_runs(runs: DataFrame, job_master: DataFrame, seq_col: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The accepted ``run_outcomes`` (run columns kept), and the rejected runs
+    with a ``reason``.  ``strict=True`` fails the job on a reject."""
+    every = run_outcomes(runs, job_master, seq_col)
+    rejects = every.where("reason IS NOT NULL").select(*runs.columns, "reason")
+    # strict: the check is the only filter, so that no other one can run before it
+    good = F.when(F.col("reason").isNotNull(), F.raise_error(F.col("reason"))).isNull() if strict else F.col("reason").isNull()
+    return every.where(good).drop("reason"), rejects
 
 
 def job_slots(runs: DataFrame, job_master: DataFrame, seq_col: str = "event_seq",

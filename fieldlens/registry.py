@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions.dates import day_list, month_to_yesterday
 from .session import scratch_path
-from .sinks import documents
+from .sinks import documents, outcomes
 from .sinks.tables import KeyedTable
 from .sources.fixtures import Fixtures, duckdb_with
 
@@ -661,6 +661,38 @@ def q_p18_spellings(fx):
     return jobs.job_slots(fx["job_events"], fx.dim("fts_job_master_spellings"))[0]
 
 
+_SPELLED_SLOTS = (
+    _SLOTS_SQL.replace("m.created_at, m.interval_value, m.interval_unit", f"m.created_at, m.interval_value, {_SPELLED} AS interval_unit")
+    .replace("'1 ' || m.interval_unit", f"'1 ' || {_SPELLED}")
+    .replace("JOIN fts_job_master m ON r.name = m.name", f"JOIN fts_job_master_spellings m ON r.name = m.name AND {_SPELLED} IS NOT NULL"))
+
+
+@register("p18_run_outcomes", ("job_events", "fts_job_master_spellings"), _SPELLED_SLOTS + """
+SELECT event_seq, name, started_at, log_id, run_count, scheduled_for, next_run_at, NULL AS reason FROM slots
+UNION ALL
+SELECT event_seq, name, started_at, NULL, NULL, NULL, NULL, 'invalid interval unit: fortnight' FROM job_events WHERE name = 'signup'""")
+def q_p18_outcomes(fx):
+    """Accepted and rejected runs, written in one pass and read back from their folders."""
+    cols = ["event_seq", "name", "started_at", "log_id", "run_count", "scheduled_for", "next_run_at", "reason"]
+    every = jobs.run_outcomes(fx["job_events"], fx.dim("fts_job_master_spellings"))
+    every = every.select(*cols[:3], *[F.when(F.col("reason").isNull(), F.col(c)).alias(c) for c in cols[3:-1]], "reason")
+    path = scratch_path(fx.spark, "run-outcomes")
+    counts = outcomes.write_outcomes(every, path)
+    good, bad = (outcomes.read_outcomes(fx.spark, path, every, k) for k in counts)
+    return good.unionByName(bad)
+
+
+@register("p12_validate_tampered_json", ("project_tampered", "project_metadata"), """
+, el AS (SELECT t.*, unnest(from_json(field_info, '["JSON"]')) AS e FROM project_tampered t),
+claim AS (SELECT site, p_brand, p_size, column_name, e ->> 'value' AS said
+          FROM el JOIN project_metadata m ON m.field_name = e ->> 'field_name'),
+fact AS (SELECT *, CASE column_name WHEN 'p_brand' THEN p_brand WHEN 'p_size' THEN p_size::VARCHAR END AS own FROM claim)
+SELECT site, column_name, own AS original_value, said AS json_value,
+       if(column_name <> 'p_nope' AND said IS NOT DISTINCT FROM own, 'MATCH', 'MISMATCH') AS validation_result FROM fact""")
+def q_p12_tampered(fx):
+    return jsonfields.validate_field_json(fx["project_tampered"], fx["project_metadata"])
+
+
 @register("p18_job_slot_rejects", ("job_events", "fts_job_master_spellings"), """
 SELECT *, 'invalid interval unit: fortnight' AS reason FROM job_events WHERE name = 'signup'""")
 def q_p18_rejects(fx):

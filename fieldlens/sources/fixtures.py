@@ -213,6 +213,14 @@ select s_suppkey as search_id,
  case when s_suppkey % 40 < 6 then concat('Z', cast(s_suppkey % 4 as string)) end as zone
 from {supplier}"""
 
+# Field JSON that others wrote: forged brands, wrong sizes, a field of no column and one of no metadata.
+RECIPES["project_tampered"] = """
+select site, p_name, p_brand, p_size, p_retailprice,
+ concat('[{{"field_name":"Brand","value":"', case when site % 4 = 0 then 'forged' else p_brand end,
+        '"}},{{"field_name":"Size","value":', case when site % 5 = 1 then '-1' when site % 7 = 0 or p_size is null then 'null' else cast(p_size as string) end,
+        '}},{{"field_name":"Ghost","value":"x"}},{{"field_name":"Unknown","value":1}}]') as field_info
+from {project_data}"""
+
 # Interval units in other spellings, and one that is none.
 RECIPES["fts_job_master_spellings"] = """
 select id, name, created_at, interval_value,

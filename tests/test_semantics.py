@@ -489,8 +489,8 @@ def test_recent_dates_with_a_noon(spark):
     assert quality.recent_rows(df, "d", dt.datetime(2024, 1, 20)).count() == 2
 
 
-WRITES = {"p24_manager_report_files", "p9_update_stored_master", "p14_update_stored_fields", "p3_json_document", "p1_from_stored_counts",
-          "p4_from_stored_trend"}
+WRITES = {"p24_manager_report_files", "p9_update_stored_master", "p3_json_document", "p1_from_stored_counts",
+          "p4_from_stored_trend", "p18_run_outcomes"}
 
 
 def test_building_a_query_runs_no_job(spark, sf_check):
