@@ -326,7 +326,7 @@ from .plans import changes  # noqa: E402
 CHANGE_TS = dt.datetime(2024, 2, 1, 9, 30, 0)
 
 
-@register("p8_staff_change_history", ("staff_master", "staff_staging"), f"""
+_P8_SQL = f"""
 , old AS (UNPIVOT (SELECT emp_id, zone, team, title FROM staff_master) ON zone, team, title INTO NAME col VALUE was),
 new AS (UNPIVOT (SELECT emp_id, zone, team, title FROM staff_staging) ON zone, team, title INTO NAME col VALUE is_now),
 changed AS (SELECT DISTINCT emp_id FROM old JOIN new USING (emp_id, col) WHERE was <> is_now),
@@ -337,11 +337,19 @@ tracked AS (
   LEFT JOIN old USING (emp_id, col) LEFT JOIN new USING (emp_id, col) GROUP BY emp_id)
 SELECT emp_id, zone, team, title, first_name AS firstname, last_name AS lastname, mobile, TIMESTAMP '{CHANGE_TS}' AS change_date,
        '{{"changes":{{' || body || '}}}}' AS comments
-FROM staff_master JOIN tracked USING (emp_id)""")
+FROM staff_master JOIN tracked USING (emp_id)"""
+
+
+@register("p8_staff_change_history", ("staff_master", "staff_staging"), _P8_SQL)
 def q_p8(fx):
     return changes.staff_change_history(fx["staff_master"], fx["staff_staging"], CHANGE_TS)
 
 
+@register("p8_change_history_by_digest", ("staff_master", "staff_staging"), _P8_SQL)
+def q_p8_digest(fx):
+    return changes.staff_change_history_by_digest(fx["staff_master"], fx["staff_staging"], CHANGE_TS)
+
+
 _MASTER_COLS = ("id emp_id tech_id first_name last_name state city zone team title mobile "
                 "assoc_manager_tid manager_tid time_zone is_active").split()
 _P9_SET = {"zone": "zone", "team": "team", "title": "title", "first_name": "firstname",
