@@ -60,6 +60,6 @@ def test_against_sql(spark, name):
 def duck_over(sf, sql):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "embeddings", "labels"):
+    for t in ("documents", "benchmark", "embeddings", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     return con.execute(sql).df()
