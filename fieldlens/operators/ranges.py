@@ -21,8 +21,13 @@ BITS = 2
 LEVELS = 64 // BITS
 
 
-def as_number(value: Column, kind) -> Column:
-    """A date as its day, a timestamp as its microsecond, a number as it is."""
+def as_number(value: Column, kind, grain: int = 1) -> Column:
+    """A date as its day, a timestamp as its microsecond, a number as it is; in
+    steps of ``grain``, and an error for a value between two steps."""
+    if grain != 1:
+        x = as_number(value, kind)
+        return F.when(F.pmod(x, F.lit(grain)) != 0, F.raise_error(F.concat(
+            F.lit(f"not a multiple of {grain}: "), x.cast("string"))).cast("long")).otherwise(F.floor(x / F.lit(grain).cast("decimal(20,0)")).cast("long"))
     from pyspark.sql import types as T
     if isinstance(kind, T.DateType):
         return F.datediff(value, F.lit("1970-01-01").cast("date")).cast("long")
@@ -62,21 +67,23 @@ def cover(first: Column, last: Column) -> Column:
 
 
 def winners_in_range(points: DataFrame, intervals: DataFrame, key: str, at: str, start: str, end: str, value: str,
-                     best: Column) -> DataFrame:
+                     best: Column, grain: int = 1) -> DataFrame:
     """(``key``, ``at``, ``value``, ``best``) for each distinct (key, at) of
     ``points`` that an interval of the same key holds, bounds included: the
     value of the interval whose ``best`` (a column over ``intervals``) is largest.
 
     Every block first keeps its best interval, so a point meets at most one
     per level however many overlap; the levels that any block has are few.
+    ``grain``: what bounds and points are multiples of (1,000,000 for timestamps
+    of whole seconds), which spares the levels below it.
     """
     kind = intervals.schema[start].dataType
     held = intervals.select(F.col(key).alias("key"), F.col(value).alias("value"), best.alias("best"), F.explode(cover(
-        as_number(F.col(start), kind), as_number(F.col(end), intervals.schema[end].dataType))).alias("c"))
+        as_number(F.col(start), kind, grain), as_number(F.col(end), intervals.schema[end].dataType, grain))).alias("c"))
     blocks = held.groupBy("key", "c.level", "c.block").agg(F.max(F.struct("best", "value")).alias("won"))
     highest = blocks.agg(F.coalesce(F.max("level"), F.lit(-1))).scalar()
     distinct = points.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(at).alias("at")).distinct()
-    number = as_number(F.col("at"), points.schema[at].dataType)
+    number = as_number(F.col("at"), points.schema[at].dataType, grain)
     level = F.explode(F.when(highest >= 0, F.sequence(F.lit(0), highest))).alias("level")
     probes = distinct.where("at IS NOT NULL").select("key", "at", number.alias("x"), level).select(
         "key", "at", "level", F.expr(f"shiftright(x, level * {BITS})").alias("block"))

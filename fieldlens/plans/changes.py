@@ -106,14 +106,16 @@ def assign_by_date_range(mileage: DataFrame, allocations: DataFrame, active_only
                       if c == "emp_id" else F.col(c) for c in mileage.columns])
 
 def assign_by_time_range(mileage: DataFrame, allocations: DataFrame, active_only: bool = True, *,
-                         at: str = "mileage_ts", start: str = "start_ts", end: str = "end_ts") -> DataFrame:
+                         at: str = "mileage_ts", start: str = "start_ts", end: str = "end_ts",
+                         grain: int = 1) -> DataFrame:
     """P10 at any grain (dates, timestamps, numbers): mileage post-image where
     ``emp_id`` comes from the allocation of the same van whose ``[start, end]``
     holds ``at``, by the rules of ``assign_by_date_range``.
 
     Nothing is expanded to days or seconds: an allocation is covered by a few
     blocks for each level of its length (``operators.ranges``), and a mileage
-    row meets at most one allocation per level.
+    row meets at most one allocation per level.  ``grain``: microseconds of which
+    all times are multiples.
     """
     a = allocations.where(F.col("is_active")) if active_only else allocations
     kind = a.schema["emp_id"].dataType
@@ -121,7 +123,7 @@ def assign_by_time_range(mileage: DataFrame, allocations: DataFrame, active_only
     lowest = -F.col("emp_id").cast("decimal(38,0)") if isinstance(kind, T.NumericType) else _descending(F.col("emp_id"))
     best = F.struct(as_number(F.col(start), a.schema[start].dataType).alias("start"), F.col("emp_id").isNotNull().alias("some"),
                     lowest.alias("lowest"))
-    won = winners_in_range(mileage, a, "van_number", at, start, end, "emp_id", best)
+    won = winners_in_range(mileage, a, "van_number", at, start, end, "emp_id", best, grain)
     van, when, emp, found = spare_names(mileage.columns, "van", "when", "emp", "found")
     side = won.select(F.col("van_number").alias(van), F.col(at).alias(when), F.col("emp_id").alias(emp), F.lit(True).alias(found))
     j = left_join(mileage, side, [("van_number", van), (at, when)])

@@ -431,7 +431,7 @@ won AS (SELECT DISTINCT van_number AS van, mileage_ts AS at_ts, new_emp FROM hel
 SELECT * EXCLUDE (van, at_ts, new_emp) REPLACE (if(van IS NULL, emp_id, new_emp) AS emp_id)
 FROM van_mileage_seconds LEFT JOIN won ON van = van_number AND at_ts = mileage_ts""")
 def q_p10_seconds(fx):
-    return changes.assign_by_time_range(fx["van_mileage_seconds"], fx["van_allocation_seconds"])
+    return changes.assign_by_time_range(fx["van_mileage_seconds"], fx["van_allocation_seconds"], grain=1_000_000)
 
 
 # ---------------------------------------------------------------- JSON fields

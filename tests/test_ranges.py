@@ -61,6 +61,11 @@ def test_assignment_equals_a_nested_loop(spark, kind):
     if kind == "timestamp":
         got = [(i, v, t, f, e) for i, v, t, f, e in got]
     assert got == brute(mileage, allocations)
+    if kind == "timestamp_ntz":
+        whole = changes.assign_by_time_range(m, a, grain=1_000_000)
+        assert sorted(map(tuple, whole.collect()), key=str) == got
+        with pytest.raises(Exception, match="not a multiple of 7000000"):
+            changes.assign_by_time_range(m, a, grain=7_000_000).collect()
     assert sum(r[4] != -1 for r in got) > 40
 
 
