@@ -27,7 +27,7 @@ def as_number(value: Column, kind, grain: int = 1) -> Column:
     if grain != 1:
         x = as_number(value, kind)
         return F.when(F.pmod(x, F.lit(grain)) != 0, F.raise_error(F.concat(
-            F.lit(f"not a multiple of {grain}: "), x.cast("string"))).cast("long")).otherwise(F.floor(x / F.lit(grain).cast("decimal(20,0)")).cast("long"))
+            F.lit(f"not a multiple of {grain}: "), x.cast("string"))).cast("long")).otherwise(F.call_function("div", x, F.lit(grain).cast("long")))
     from pyspark.sql import types as T
     if isinstance(kind, T.DateType):
         return F.datediff(value, F.lit("1970-01-01").cast("date")).cast("long")
@@ -38,30 +38,31 @@ def as_number(value: Column, kind, grain: int = 1) -> Column:
     return value.cast("long")
 
 
+def _top(first: Column, last: Column) -> Column:
+    """The highest level whose blocks are no longer than [first, last]."""
+    bits = F.length(F.bin(last - first + 1)) - 1
+    return F.call_function("div", bits, F.lit(BITS)).cast("int")
+
+
+def _of_level(first: Column, last: Column, level: Column) -> Column:
+    """array<bigint>: the blocks that a level adds to the cover of [first, last]:
+    those inside it that no block of the level above inside it holds."""
+    radix = 1 << BITS
+    up = lambda x, by: F.call_function("shiftright", x, by)
+    a, b = -up(-first, level * BITS), up(last + 1, level * BITS) - 1
+    # The first and the last block of the level above that lie inside.
+    above_a, above_b = -up(up(-first, level * BITS), F.lit(BITS)), up(up(last + 1, level * BITS), F.lit(BITS)) - 1
+    run = lambda x, y: F.when(x <= y, F.sequence(x, y)).otherwise(F.array().cast("array<bigint>"))
+    return F.when(above_a > above_b, run(a, b)).otherwise(F.concat(run(a, above_a * radix - 1), run((above_b + 1) * radix, b)))
+
+
 def cover(first: Column, last: Column) -> Column:
     """array<struct<level, block>>: disjoint blocks that hold the numbers of
     [first, last] and no other; empty if there is none or a bound is NULL.  The
     bounds may span 2 ** 62 numbers at most."""
-    radix = 1 << BITS
-    run = "array<struct<level:int,a:bigint,b:bigint>>"
-
-    def step(s, level):
-        a, b = s["a"], s["b"]
-        # The first and the last block of the level above that lie inside.
-        up = F.shiftright(a + (radix - 1), BITS)
-        down = F.shiftright(b + 1, BITS) - 1
-        piece = lambda x, y: F.struct(level.cast("int").alias("level"), x.alias("a"), y.alias("b"))
-        left, right = piece(a, up * radix - 1), piece((down + 1) * radix, b)
-        some = F.filter(F.array(left, right), lambda p: p["a"] <= p["b"])
-        ends = up > down  # no whole block above: what is left is covered here
-        return F.when(a > b, s).when(ends, F.struct(F.lit(1).cast("long").alias("a"), F.lit(0).cast("long").alias("b"),
-                                                    F.concat(s["runs"], F.array(piece(a, b))).alias("runs"))).otherwise(
-            F.struct(up.alias("a"), down.alias("b"), F.concat(s["runs"], some).alias("runs")))
-
-    start = F.struct(first.cast("long").alias("a"), last.cast("long").alias("b"), F.array().cast(run).alias("runs"))
-    runs = F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS - 1)), start, step, lambda s: s["runs"])
-    blocks = F.flatten(F.transform(runs, lambda r: F.transform(
-        F.sequence(r["a"], r["b"]), lambda x: F.struct(r["level"].alias("level"), x.alias("block")))))
+    first, last = first.cast("long"), last.cast("long")
+    blocks = F.flatten(F.transform(F.sequence(F.lit(0), _top(first, last)), lambda level: F.transform(
+        _of_level(first, last, level), lambda x: F.struct(level.alias("level"), x.alias("block")))))
     return F.when(first.isNotNull() & last.isNotNull() & (first <= last), blocks).otherwise(
         F.array().cast("array<struct<level:int,block:bigint>>"))
 
@@ -77,15 +78,17 @@ def winners_in_range(points: DataFrame, intervals: DataFrame, key: str, at: str,
     ``grain``: what bounds and points are multiples of (1,000,000 for timestamps
     of whole seconds), which spares the levels below it.
     """
-    kind = intervals.schema[start].dataType
-    held = intervals.select(F.col(key).alias("key"), F.col(value).alias("value"), best.alias("best"), F.explode(cover(
-        as_number(F.col(start), kind, grain), as_number(F.col(end), intervals.schema[end].dataType, grain))).alias("c"))
-    blocks = held.groupBy("key", "c.level", "c.block").agg(F.max(F.struct("best", "value")).alias("won"))
-    highest = blocks.agg(F.coalesce(F.max("level"), F.lit(-1))).scalar()
-    distinct = points.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(at).alias("at")).distinct()
-    number = as_number(F.col("at"), points.schema[at].dataType, grain)
+    bound = lambda c: as_number(F.col(c), intervals.schema[c].dataType, grain)
+    spans = intervals.select(F.col(key).alias("key"), F.col(value).alias("value"), best.alias("best"), bound(start).alias("a"),
+                             bound(end).alias("b")).where("key IS NOT NULL AND a <= b")
+    # The levels follow from the longest interval, without its blocks.
+    highest = spans.agg(F.coalesce(F.max(_top(F.col("a"), F.col("b"))), F.lit(-1))).scalar()
+    by_level = spans.select("*", F.explode(F.sequence(F.lit(0), _top(F.col("a"), F.col("b")))).alias("level"))
+    held = by_level.select("key", "value", "best", "level", F.explode(_of_level(F.col("a"), F.col("b"), F.col("level"))).alias("block"))
+    blocks = held.groupBy("key", "level", "block").agg(F.max(F.struct("best", "value")).alias("won"))
+    distinct = points.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(F.col(key).alias("key"), F.col(at).alias("at")).distinct()
+    numbered = distinct.withColumn("x", as_number(F.col("at"), points.schema[at].dataType, grain))
     level = F.explode(F.when(highest >= 0, F.sequence(F.lit(0), highest))).alias("level")
-    probes = distinct.where("at IS NOT NULL").select("key", "at", number.alias("x"), level).select(
-        "key", "at", "level", F.expr(f"shiftright(x, level * {BITS})").alias("block"))
+    probes = numbered.select("key", "at", "x", level).select("key", "at", "level", F.expr(f"shiftright(x, level * {BITS})").alias("block"))
     met = probes.join(blocks, ["key", "level", "block"]).groupBy("key", "at").agg(F.max("won").alias("won"))
     return met.select(F.col("key").alias(key), F.col("at").alias(at), F.col("won.value").alias(value), F.col("won.best").alias("best"))
