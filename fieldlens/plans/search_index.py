@@ -60,8 +60,10 @@ def build_index(rows: DataFrame) -> DataFrame:
 
 
 def terms_of(searches: DataFrame) -> DataFrame:
-    """(search_id, term, pattern, grams) of the searches' distinct terms:
-    ``pattern`` for Spark's LIKE, ``grams`` of which any can be looked up."""
+    """(search_id, term, pattern, needle, grams) of the searches' distinct terms:
+    ``pattern`` for Spark's LIKE, ``needle`` what a lower-case text has to contain
+    if that is all that the term asks for (NULL otherwise), ``grams`` of which any
+    can be looked up."""
     split = F.when(F.coalesce(F.col("search_text"), F.lit("")) == "", F.array(F.lit(None).cast("string"))).otherwise(
         pg_split(F.col("search_text"), " "))
     terms = searches.select("search_id", F.explode(F.array_distinct(split)).alias("term"))
@@ -77,24 +79,28 @@ def terms_of(searches: DataFrame) -> DataFrame:
         runs = lambda p: F.when(F.length(p) < GRAM, F.array(p)).otherwise(
             F.transform(F.sequence(F.lit(1), F.length(p) - (GRAM - 1)), lambda i: p.substr(i, F.lit(GRAM))))
         grams = F.flatten(F.transform(pieces, runs))
+        # Without "_" and with at most one piece, the wildcards are all at the ends;
+        # a backslash at the term's end takes the last one away.
+        plain = ~F.exists(found, lambda t: (t == "_") | t.contains(_CUT)) & (F.size(pieces) <= 1) & (F.element_at(found, -1) == "%")
         return F.struct(F.array_join(F.transform(found, for_like), "").alias("pattern"),
+                        F.when(plain, F.array_join(pieces, "")).alias("needle"),
                         F.when(F.size(grams) > 0, F.array_distinct(grams)).otherwise(F.array(F.lit(""))).alias("grams"))
 
-    every = F.struct(F.lit(None).cast("string").alias("pattern"), F.array(F.lit(_CUT)).alias("grams"))
+    every = F.struct(F.lit(None).cast("string").alias("pattern"), F.lit(None).cast("string").alias("needle"), F.array(F.lit(_CUT)).alias("grams"))
     return terms.select("search_id", "term", F.when(F.col("term").isNull(), every).otherwise(let(tokens, cut)).alias("t")).select(
-        "search_id", "term", "t.pattern", "t.grams")
+        "search_id", "term", "t.pattern", "t.needle", "t.grams")
 
 
 def candidates(searches: DataFrame, index: DataFrame) -> DataFrame:
-    """(search_id, pattern, id, text): postings of each term's rarest gram."""
+    """(search_id, pattern, needle, id, text): postings of each term's rarest gram."""
     terms = terms_of(searches)
-    looked = terms.select("search_id", "term", "pattern", F.explode("grams").alias("gram"))
+    looked = terms.select("search_id", "term", "pattern", "needle", F.explode("grams").alias("gram"))
     wanted = looked.select("gram").distinct()
     often = index.join(wanted, "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     sized = looked.join(often, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     # A gram that is not posted is the rarest of all, and joins nothing.
-    rarest = sized.groupBy("search_id", "term", "pattern").agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"))
-    return rarest.join(index, "gram").select("search_id", "pattern", "id", "text")
+    rarest = sized.groupBy("search_id", "term", "pattern", "needle").agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"))
+    return rarest.join(index, "gram").select("search_id", "pattern", "needle", "id", "text")
 
 
 def search_many(searches: DataFrame, hires: DataFrame, employees: DataFrame, index: DataFrame | None = None) -> DataFrame:
@@ -102,7 +108,9 @@ def search_many(searches: DataFrame, hires: DataFrame, employees: DataFrame, ind
     join_status, zone; NULL: not asked for), with its ``search_id``.  ``index``:
     ``build_index(searchable(hires, employees))``, stored or made here."""
     index = build_index(searchable(hires, employees)) if index is None else index
-    found = candidates(searches, index).where("pattern IS NULL OR text ILIKE pattern").select("search_id", "id").distinct()
+    # LIKE makes a regular expression of each row's pattern; most terms need none.
+    holds = "pattern IS NULL OR CASE WHEN needle IS NOT NULL THEN contains(lower(text), needle) ELSE text ILIKE pattern END"
+    found = candidates(searches, index).where(holds).select("search_id", "id").distinct()
     asked = searches.select("search_id", F.col("pos_status").alias("want_pos"), F.col("join_status").alias("want_join"),
                             F.col("zone").alias("want_zone"))
     same = lambda want, has: F.col(want).isNull() | (F.col(want) == F.col(has))

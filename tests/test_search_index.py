@@ -78,3 +78,17 @@ def test_one_join_without_a_scan_per_search(spark, tables):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Python" not in plan
     none = search_index.search_many(searches.limit(0), hires, emps)
     assert none.count() == 0
+
+
+def test_terms_that_a_text_has_to_contain(spark):
+    texts = ["ab", "xAB", "a%b", "x%", "x%y", "a_b", "%", "", "a\x00b", "b a"]
+    terms = ["ab", "a%", "%AB%", "a%b", "x\\", "\\%", "_", "%%", "a\\_b", "a\x00b", "zz"]
+    searches = spark.createDataFrame(list(enumerate(terms)), "search_id int, search_text string")
+    needles = {r["term"]: r["needle"] for r in search_index.terms_of(searches).collect()}
+    assert needles == {"ab": "ab", "a%": "a", "%AB%": "ab", "a%b": None, "x\\": None, "\\%": "%", "_": None, "%%": "", "a\\_b": "a_b",
+                       "a\x00b": None, "zz": "zz"}
+    hires = spark.createDataFrame([(k, t, "Open", None, None, None, 1) for k, t in enumerate(texts)], HIRES)
+    people = spark.createDataFrame([(1, "#", "#")], "id long, first_name string, last_name string")
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("pos_status", "join_status", "zone")]
+    got = {(r["search_id"], r["emp_id"]) for r in search_index.search_many(searches.select("*", *nothing), hires, people).collect()}
+    assert got == {(i, k) for i, term in enumerate(terms) for k, t in enumerate(texts) if ilike(t, term)}
