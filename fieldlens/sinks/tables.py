@@ -89,7 +89,7 @@ class KeyedTable:
         spark = changes.sparkSession
         one, _ = one_per_key(changes.select(*self.keys, *dict.fromkeys(set_cols.values())), list(self.keys))
         differs = [~F.col(f"t.{t}").eqNullSafe(F.col(f"c.{s}").cast(self.schema[t].dataType)) for t, s in set_cols.items()]
-        touched = self._touched(spark, one, [*self.keys, *set_cols], reduce(or_, differs))
+        touched = self._touched(spark, changes, one, [*self.keys, *set_cols], reduce(or_, differs))
         if touched:
             old = self.rows(spark, with_part=True).where(F.col(self.part).isin(touched)).drop(self.part)
             self._write(apply_by_key(old, one, list(self.keys), set_cols), "overwrite")
@@ -100,7 +100,7 @@ class KeyedTable:
         to none).  Returns the numbers of the partitions that were rewritten."""
         spark = gone.sparkSession
         keys = gone.select(*self.keys).distinct()
-        touched = self._touched(spark, keys, list(self.keys), F.lit(True))
+        touched = self._touched(spark, gone, keys, list(self.keys), F.lit(True))
         if touched:
             old = self.rows(spark, with_part=True).where(F.col(self.part).isin(touched)).drop(self.part)
             left = old.join(keys, list(self.keys), "left_anti")
@@ -112,13 +112,15 @@ class KeyedTable:
 
     # --------------------------------------------------------------- helpers
 
-    def _touched(self, spark: SparkSession, changes: DataFrame, columns: list[str], differs: Column) -> list[int]:
-        """Partitions with a row that the changes match and ``differs`` from."""
+    def _touched(self, spark: SparkSession, keyed: DataFrame, changes: DataFrame, columns: list[str], differs: Column) -> list[int]:
+        """Partitions with a row that the changes match and ``differs`` from.
+        ``keyed``: rows with the changes' keys, which may repeat."""
         typed = changes.select(*[F.col(k).cast(self.schema[k].dataType).alias(k) if k in self.keys else F.col(k)
                                  for k in changes.columns])
         c = typed.withColumn(self.part, self.place([F.col(k) for k in self.keys])).alias("c")
-        places = [r[0] for r in c.where(reduce(and_, [F.col(k).isNotNull() for k in self.keys]))
-                  .select(self.part).distinct().collect()]  # at most ``parts`` numbers
+        place = self.place([F.col(k).cast(self.schema[k].dataType) for k in self.keys])
+        places = [r[0] for r in keyed.where(reduce(and_, [F.col(k).isNotNull() for k in self.keys]))
+                  .select(place.alias("p")).distinct().collect()]  # at most ``parts`` numbers
         if not places:
             return []
         t = (self.rows(spark, with_part=True).where(F.col(self.part).isin(places))
