@@ -14,17 +14,18 @@ empty gram, which every text has; a search without a text (NULL or '') finds
 every hire through a posting of its own, so no search is joined to all hires but
 those that ask for all of them.  Terms are split, escaped and matched as in P6.
 
-A posting holds the text itself, so testing needs no second join.  Postings of
-a frequent gram are one key of the join; its larger side is split by AQE.
+What is tested and returned is posted with the gram, so a pair of a search and a
+hire needs no further join.  Postings of a frequent gram meet its searches in cells
+(``operators.joins.join_in_cells``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import let, pg_concat, pg_split
-from ..operators.joins import left_join
+from ..operators.joins import join_in_cells, left_join
 
 #: Grams are of three characters, as in the usual trigram index.
 GRAM = 3
@@ -60,10 +61,10 @@ def build_index(rows: DataFrame) -> DataFrame:
 
 
 def terms_of(searches: DataFrame) -> DataFrame:
-    """(search_id, term, pattern, needle, grams) of the searches' distinct terms:
+    """(search_id, term, pattern, needle, piece, grams) of the searches' distinct terms:
     ``pattern`` for Spark's LIKE, ``needle`` what a lower-case text has to contain
-    if that is all that the term asks for (NULL otherwise), ``grams`` of which any
-    can be looked up."""
+    if that is all that the term asks for (NULL otherwise), ``piece`` the longest of what
+    it has to contain in any case, ``grams`` of which any can be looked up."""
     split = F.when(F.coalesce(F.col("search_text"), F.lit("")) == "", F.array(F.lit(None).cast("string"))).otherwise(
         pg_split(F.col("search_text"), " "))
     terms = searches.select("search_id", F.explode(F.array_distinct(split)).alias("term"))
@@ -84,43 +85,84 @@ def terms_of(searches: DataFrame) -> DataFrame:
         plain = ~F.exists(found, lambda t: (t == "_") | t.contains(_CUT)) & (F.size(pieces) <= 1) & (F.element_at(found, -1) == "%")
         return F.struct(F.array_join(F.transform(found, for_like), "").alias("pattern"),
                         F.when(plain, F.array_join(pieces, "")).alias("needle"),
+                        F.coalesce(F.array_max(F.transform(pieces, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"], F.lit("")).alias("piece"),
                         F.when(F.size(grams) > 0, F.array_distinct(grams)).otherwise(F.array(F.lit(""))).alias("grams"))
 
-    every = F.struct(F.lit(None).cast("string").alias("pattern"), F.lit(None).cast("string").alias("needle"), F.array(F.lit(_CUT)).alias("grams"))
+    every = F.struct(F.lit(None).cast("string").alias("pattern"), F.lit(None).cast("string").alias("needle"),
+                     F.lit(None).cast("string").alias("piece"), F.array(F.lit(_CUT)).alias("grams"))
     return terms.select("search_id", "term", F.when(F.col("term").isNull(), every).otherwise(let(tokens, cut)).alias("t")).select(
-        "search_id", "term", "t.pattern", "t.needle", "t.grams")
+        "search_id", "term", "t.pattern", "t.needle", "t.piece", "t.grams")
+
+
+def rarest_grams(searches: DataFrame, index: DataFrame) -> DataFrame:
+    """``terms_of`` the searches with the gram of each that is posted least, ``gram``,
+    and its number of postings, ``n``; terms with a gram that is not posted find
+    nothing and are left out."""
+    looked = terms_of(searches).withColumn("gram", F.explode("grams")).drop("grams")
+    often = index.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    sized = looked.join(often, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rarest = sized.groupBy("search_id", "term", "pattern", "needle", "piece").agg(F.min(F.struct("n", "gram")).alias("least"))
+    return rarest.select("search_id", "term", "pattern", "needle", "piece", "least.gram", "least.n").where("n > 0")
 
 
 def candidates(searches: DataFrame, index: DataFrame) -> DataFrame:
     """(search_id, pattern, needle, id, text): postings of each term's rarest gram."""
-    terms = terms_of(searches)
-    looked = terms.select("search_id", "term", "pattern", "needle", F.explode("grams").alias("gram"))
-    wanted = looked.select("gram").distinct()
-    often = index.join(wanted, "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    sized = looked.join(often, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    # A gram that is not posted is the rarest of all, and joins nothing.
-    rarest = sized.groupBy("search_id", "term", "pattern", "needle").agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"))
-    return rarest.join(index, "gram").select("search_id", "pattern", "needle", "id", "text")
+    rarest = rarest_grams(searches, index)
+    grams = rarest.groupBy("gram").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("t"))
+    met = join_in_cells(rarest.drop("n").join(grams, "gram"), index.join(grams, "gram"), ["gram"], "t", "n")
+    return met.select("search_id", "pattern", "needle", "id", "text")
+
+
+def _asked(searches: DataFrame, index: DataFrame) -> DataFrame:
+    """One row for each search and each of its terms: search_id, pattern, needle, piece,
+    the ``earlier`` terms of the search, and the ``key`` under which hires are looked up,
+    the rarest gram with the filters; ``n`` and ``t`` bound the hires and count the terms
+    of the key."""
+    before = Window.partitionBy("search_id").orderBy(F.desc("n"), "term").rowsBetween(Window.unboundedPreceding, -1)
+    terms = rarest_grams(searches.where("search_id IS NOT NULL"), index).withColumn(
+        "earlier", F.collect_list(F.struct("pattern", "needle", "piece")).over(before))
+    filters = searches.select("search_id", F.struct(F.col("pos_status").alias("pos"), F.col("join_status").alias("join"), "zone").alias("want"))
+    asked = filters.join(terms, "search_id").withColumn("key", F.struct("gram", "want"))
+    sizes = asked.groupBy("key").agg(F.count(F.lit(1)).alias("t"))
+    return asked.join(sizes, "key").select("key", "search_id", "pattern", "needle", "piece", "earlier", "n", "t")
+
+
+def _found_rows(hires: DataFrame, employees: DataFrame) -> DataFrame:
+    """What is returned of each hire with a manager, its filtered columns, ``lows``, the
+    distinct lower-case texts of its id, and ``low``, those in one text."""
+    names = lambda p: employees.select(F.col("id").alias(f"{p}_id"), pg_concat(
+        F.col("first_name"), " ", F.col("last_name")).alias(f"{p}_name"))
+    named = left_join(hires.select("id", "req_status", "hire_status", "zone", "old_emp_id", "manager_id"), names("e"), [("old_emp_id", "e_id")])
+    managers = names("m")
+    rows = named.join(managers, named["manager_id"] == managers["m_id"]).select(
+        "id", "req_status", "hire_status", "zone", F.coalesce("e_name", F.lit(" ")).alias("emp_full_name"),
+        F.col("manager_id").alias("emp_manager_id"), F.col("m_name").alias("manager_name"))
+    lows = searchable(hires, employees).groupBy("id").agg(F.collect_set(F.lower("text")).alias("lows"))
+    # No needle has a _CUT, so none is found across two texts.
+    return rows.join(lows.withColumn("low", F.when(F.size("lows") > 0, F.array_join("lows", _CUT))), "id")
 
 
 def search_many(searches: DataFrame, hires: DataFrame, employees: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """P6's rows for each of ``searches`` (search_id, search_text, pos_status,
     join_status, zone; NULL: not asked for), with its ``search_id``.  ``index``:
-    ``build_index(searchable(hires, employees))``, stored or made here."""
+    ``build_index(searchable(hires, employees))``, stored or made here.
+
+    The index tells which hires have a looked-up gram.  Such a hire is posted with
+    all that is tested and returned, once under each gram and set of filters asked
+    with it that it meets.  A search finds a hire by the first of its terms that the
+    hire holds, which the pair itself tells; so pairs of searches and hires, many times
+    the tables, are neither moved nor made distinct."""
     index = build_index(searchable(hires, employees)) if index is None else index
-    # LIKE makes a regular expression of each row's pattern; most terms need none.
-    holds = "pattern IS NULL OR CASE WHEN needle IS NOT NULL THEN contains(lower(text), needle) ELSE text ILIKE pattern END"
-    found = candidates(searches, index).where(holds).select("search_id", "id").distinct()
-    asked = searches.select("search_id", F.col("pos_status").alias("want_pos"), F.col("join_status").alias("want_join"),
-                            F.col("zone").alias("want_zone"))
-    same = lambda want, has: F.col(want).isNull() | (F.col(want) == F.col(has))
-    kept = (found.join(hires.select("id", "req_status", "hire_status", "zone", "old_emp_id", "manager_id"), "id")
-            .join(asked, "search_id")
-            .where(same("want_pos", "req_status") & same("want_join", "hire_status") & same("want_zone", "zone")))
-    names = lambda p: employees.select(F.col("id").alias(f"{p}_id"), pg_concat(
-        F.col("first_name"), " ", F.col("last_name")).alias(f"{p}_name"))
-    named = left_join(kept, names("e"), [("old_emp_id", "e_id")])
-    managers = names("m")
-    return named.join(managers, named["manager_id"] == managers["m_id"]).select(
-        "search_id", F.col("id").alias("emp_id"), F.coalesce("e_name", F.lit(" ")).alias("emp_full_name"),
-        F.col("manager_id").alias("emp_manager_id"), F.col("m_name").alias("manager_name"))
+    asked = _asked(searches, index)
+    keys = asked.groupBy("key").agg(F.max("n").alias("n"), F.max("t").alias("t")).withColumn("gram", F.col("key.gram"))
+    looked = index.select("gram", "id").join(keys.select("gram").distinct(), "gram", "left_semi")
+    posted = looked.repartition("id").dropDuplicates(["id", "gram"]).join(_found_rows(hires, employees), "id")
+    same = lambda want, has: F.col(f"key.want.{want}").isNull() | (F.col(f"key.want.{want}") == F.col(has))
+    kept = posted.join(keys, "gram").where(same("pos", "req_status") & same("join", "hire_status") & same("zone", "zone")).select(
+        "key", "id", "emp_full_name", "emp_manager_id", "manager_name", "lows", "low", "n", "t")
+    # LIKE makes a regular expression of each row's pattern; most pairs need none, and no loop over the texts.
+    holds = lambda p: (f"CASE WHEN {p}pattern IS NULL THEN true WHEN NOT coalesce(contains(low, {p}piece), false) THEN false "
+                       f"WHEN {p}needle IS NOT NULL THEN true ELSE exists(lows, x -> x LIKE {p}pattern) END")
+    first = f"size(earlier) = 0 OR NOT exists(earlier, e -> {holds('e.')})"
+    return join_in_cells(asked, kept, ["key"], "t", "n").where(f"({holds('')}) AND ({first})").select(
+        "search_id", F.col("id").alias("emp_id"), "emp_full_name", "emp_manager_id", "manager_name")

@@ -92,3 +92,29 @@ def test_terms_that_a_text_has_to_contain(spark):
     nothing = [F.lit(None).cast("string").alias(c) for c in ("pos_status", "join_status", "zone")]
     got = {(r["search_id"], r["emp_id"]) for r in search_index.search_many(searches.select("*", *nothing), hires, people).collect()}
     assert got == {(i, k) for i, term in enumerate(terms) for k, t in enumerate(texts) if ilike(t, term)}
+
+
+def test_pairs_are_not_moved(spark):
+    """Searches that find all hires by several terms: the rows shuffled are of the tables' size, not of their pairs."""
+    hires = spark.range(400).selectExpr("id", "concat('R', id) AS req_num", "'Open' AS req_status", "'Joined' AS hire_status", "concat('Z', id % 2) AS zone",
+                                        "id % 5 AS old_emp_id", "id % 5 AS manager_id")
+    emps = spark.range(5).selectExpr("id", "'Ann' AS first_name", "concat('L', id) AS last_name")
+    searches = spark.range(200).selectExpr("id AS search_id", "CASE id % 3 WHEN 0 THEN 'r ann  l_' WHEN 1 THEN '' ELSE '%' END AS search_text",
+                                           "'Open' AS pos_status", "cast(null AS string) AS join_status", "if(id % 2 = 0, 'Z1', null) AS zone")
+    found = search_index.search_many(searches, hires, emps)
+    rows = found.collect()
+    assert len(rows) == len(set(rows)) == 100 * 400 + 100 * 200
+    assert shuffled(found) < len(rows)
+
+
+def shuffled(df) -> int:
+    """Rows written by the shuffles of the executed plan."""
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        own = node.metrics().get("shuffleRecordsWritten").get().value() if kind == "ShuffleExchangeExec" else 0
+        return own + sum(walk(node.children().apply(i)) for i in range(node.children().size()))
+    return walk(df._jdf.queryExecution().executedPlan())
