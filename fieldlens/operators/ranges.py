@@ -13,8 +13,9 @@ intervals.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BITS = 2
 #: Levels that 64-bit numbers have.
@@ -28,7 +29,6 @@ def as_number(value: Column, kind, grain: int = 1) -> Column:
         x = as_number(value, kind)
         return F.when(F.pmod(x, F.lit(grain)) != 0, F.raise_error(F.concat(
             F.lit(f"not a multiple of {grain}: "), x.cast("string"))).cast("long")).otherwise(F.call_function("div", x, F.lit(grain).cast("long")))
-    from pyspark.sql import types as T
     if isinstance(kind, T.DateType):
         return F.datediff(value, F.lit("1970-01-01").cast("date")).cast("long")
     if isinstance(kind, T.TimestampNTZType):
@@ -67,18 +67,23 @@ def cover(first: Column, last: Column) -> Column:
         F.array().cast("array<struct<level:int,block:bigint>>"))
 
 
-def winners_in_range(points: DataFrame, intervals: DataFrame, key: str, at: str, start: str, end: str, value: str,
-                     best: Column, grain: int = 1) -> DataFrame:
-    """(``key``, ``at``, ``value``, ``best``) for each distinct (key, at) of
-    ``points`` that an interval of the same key holds, bounds included: the
-    value of the interval whose ``best`` (a column over ``intervals``) is largest.
+def with_winner(points: DataFrame, intervals: DataFrame, key: str, at: str, start: str, end: str, value: str,
+                best: Column, grain: int = 1) -> DataFrame:
+    """(``row``, ``won``) for each row of ``points``: the row, and <best, value> of the
+    interval of its ``key`` that holds its ``at``, bounds included, and whose ``best``
+    (a column over ``intervals``) is largest; NULL if there is none.
 
-    Every block first keeps its best interval, so a point meets at most one
-    per level however many overlap; the levels that any block has are few.
+    The winner of a key changes only where an interval begins or has ended.  There
+    it is looked up by blocks: every block first keeps its best interval, so a place meets at
+    most one per level however many overlap; the levels that any block has are few.
+    A point takes the winner of the last such place before it, so a point is moved once and
+    meets no interval.  For that a key's numbers are cut into stretches, by the
+    spread and number of the points; the first number of a stretch is such a place, too.
     ``grain``: what bounds and points are multiples of (1,000,000 for timestamps
     of whole seconds), which spares the levels below it.
     """
     bound = lambda c: as_number(F.col(c), intervals.schema[c].dataType, grain)
+    shift = lambda x, by: F.call_function("shiftright", x, by)
     spans = intervals.select(F.col(key).alias("key"), F.col(value).alias("value"), best.alias("best"), bound(start).alias("a"),
                              bound(end).alias("b")).where("key IS NOT NULL AND a <= b")
     # The levels follow from the longest interval, without its blocks.
@@ -86,9 +91,39 @@ def winners_in_range(points: DataFrame, intervals: DataFrame, key: str, at: str,
     by_level = spans.select("*", F.explode(F.sequence(F.lit(0), _top(F.col("a"), F.col("b")))).alias("level"))
     held = by_level.select("key", "value", "best", "level", F.explode(_of_level(F.col("a"), F.col("b"), F.col("level"))).alias("block"))
     blocks = held.groupBy("key", "level", "block").agg(F.max(F.struct("best", "value")).alias("won"))
-    distinct = points.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(F.col(key).alias("key"), F.col(at).alias("at")).distinct()
-    numbered = distinct.withColumn("x", as_number(F.col("at"), points.schema[at].dataType, grain))
-    level = F.explode(F.when(highest >= 0, F.sequence(F.lit(0), highest))).alias("level")
-    probes = numbered.select("key", "at", "x", level).select("key", "at", "level", F.expr(f"shiftright(x, level * {BITS})").alias("block"))
-    met = probes.join(blocks, ["key", "level", "block"]).groupBy("key", "at").agg(F.max("won").alias("won"))
-    return met.select(F.col("key").alias(key), F.col("at").alias(at), F.col("won.value").alias(value), F.col("won.best").alias("best"))
+
+    number = as_number(F.col(at), points.schema[at].dataType, grain)
+    numbered = points.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(F.col(key).alias("key"), number.alias("x"))
+    # Stretches of 2 ** wide numbers: some 2 ** 4 to 2 ** 11 of a key over the width that evenly
+    # spread points of this deviation have, as its average number of points asks for.
+    bits = lambda n: F.length(F.bin(n))
+    spread = F.least(F.stddev_pop(F.col("x").cast("double")) * F.lit(12 ** .5), F.lit(float(1 << 62))).cast("long")
+    wide = F.greatest(bits(spread) - F.greatest(F.lit(4), F.least(F.lit(10), bits(
+        F.call_function("div", F.count(F.lit(1)), F.greatest(F.approx_count_distinct("key"), F.lit(1)))) - 8)), F.lit(0))
+    wide = numbered.agg(F.coalesce(wide, F.lit(0)).cast("int")).scalar()
+
+    stretch = lambda: shift(F.col("x"), wide)
+    firsts = numbered.select("key", stretch().alias("s")).distinct().select("key", F.call_function("shiftleft", F.col("s"), wide).alias("x"))
+    places = spans.select("key", F.explode(F.array(F.col("a"), F.col("b") + 1)).alias("x")).unionByName(firsts).distinct()
+    probes = places.select("key", "x", F.explode(F.when(highest >= 0, F.sequence(F.lit(0), highest))).alias("level")).withColumn(
+        "block", F.expr(f"shiftright(x, level * {BITS})"))
+    steps = probes.join(blocks, ["key", "level", "block"], "left").groupBy("key", "x").agg(F.max("won").alias("won"))
+
+    # Rows that nothing can hold are spread, and stand before all places.
+    known = F.col(key).isNotNull() & F.col(at).isNotNull()
+    hashed = [F.col(f"`{f.name}`") for f in points.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    asked = points.select(F.col(key).alias("key"), F.when(known, number).alias("x"), F.struct(*[F.col(f"`{c}`") for c in points.columns]).alias("row"),
+                          F.when(~known, F.pmod(F.xxhash64(*hashed), F.lit(1 << 20))).alias("s"))
+    rows = asked.select("key", "x", F.coalesce("s", stretch()).alias("s"), F.lit(True).alias("asks"), "row", F.lit(None).alias("step"))
+    known_steps = steps.select("key", "x", stretch().alias("s"), F.lit(False).alias("asks"), F.lit(None).alias("row"), F.struct("won").alias("step"))
+    before = Window.partitionBy("key", "s").orderBy("x", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = rows.unionByName(known_steps).withColumn("last", F.last("step", ignorenulls=True).over(before))
+    return last.where("asks").select("row", F.when(F.col("x").isNotNull() & F.col("key").isNotNull(), F.col("last.won")).alias("won"))
+
+
+def winners_in_range(points: DataFrame, intervals: DataFrame, key: str, at: str, start: str, end: str, value: str,
+                     best: Column, grain: int = 1) -> DataFrame:
+    """(``key``, ``at``, ``value``, ``best``) for each distinct (key, at) of
+    ``points`` that an interval of the same key holds: ``with_winner``'s value and best."""
+    met = with_winner(points.select(key, at).distinct(), intervals, key, at, start, end, value, best, grain).where("won IS NOT NULL")
+    return met.select(F.col(f"row.`{key}`").alias(key), F.col(f"row.`{at}`").alias(at), F.col("won.value").alias(value), F.col("won.best").alias("best"))

@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 
 from ..functions.dates import ts_literal
 from ..operators.digests import narrowed
-from ..operators.joins import expand_days, left_join, spare_names
-from ..operators.ranges import as_number, winners_in_range
+from ..operators.joins import expand_days, left_join
+from ..operators.ranges import as_number, with_winner
 from ..operators.updates import apply_by_key, one_per_key
 from ..sinks.tables import KeyedTable
 
@@ -114,7 +114,8 @@ def assign_by_time_range(mileage: DataFrame, allocations: DataFrame, active_only
 
     Nothing is expanded to days or seconds: an allocation is covered by a few
     blocks for each level of its length (``operators.ranges``), and a mileage
-    row meets at most one allocation per level.  ``grain``: microseconds of which
+    row takes the winner of the last place before it where a van's winner
+    changes, so it is moved once.  ``grain``: microseconds of which
     all times are multiples.
     """
     a = allocations.where(F.col("is_active")) if active_only else allocations
@@ -123,12 +124,9 @@ def assign_by_time_range(mileage: DataFrame, allocations: DataFrame, active_only
     lowest = -F.col("emp_id").cast("decimal(38,0)") if isinstance(kind, T.NumericType) else _descending(F.col("emp_id"))
     best = F.struct(as_number(F.col(start), a.schema[start].dataType).alias("start"), F.col("emp_id").isNotNull().alias("some"),
                     lowest.alias("lowest"))
-    won = winners_in_range(mileage, a, "van_number", at, start, end, "emp_id", best, grain)
-    van, when, emp, found = spare_names(mileage.columns, "van", "when", "emp", "found")
-    side = won.select(F.col("van_number").alias(van), F.col(at).alias(when), F.col("emp_id").alias(emp), F.lit(True).alias(found))
-    j = left_join(mileage, side, [("van_number", van), (at, when)])
-    return j.select(*[F.when(F.col(found), F.col(emp)).otherwise(F.col("emp_id")).cast(mileage.schema["emp_id"].dataType).alias("emp_id")
-                      if c == "emp_id" else F.col(c) for c in mileage.columns])
+    met = with_winner(mileage, a, "van_number", at, start, end, "emp_id", best, grain)
+    return met.select(*[F.when(F.col("won").isNotNull(), F.col("won.value")).otherwise(F.col("row.emp_id")).cast(mileage.schema["emp_id"].dataType)
+                        .alias("emp_id") if c == "emp_id" else F.col(f"row.`{c}`").alias(c) for c in mileage.columns])
 
 
 def _descending(text: Column) -> Column:

@@ -84,3 +84,32 @@ def test_no_join_on_the_van_alone(spark):
     plan = changes.assign_by_time_range(m, a, at="at", start="s", end="e")._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join" in line]
     assert joins and all("level" in j or "when" in j for j in joins) and "sequence(cast(s" not in plan
+
+
+def test_a_point_is_moved_once_whatever_the_levels(spark):
+    """Long and short intervals make many levels; what is shuffled does not grow with them times the points."""
+    m = spark.range(30_000).selectExpr("id", "id % 3 AS van_number", "id * 37 AS at", "cast(-1 AS long) AS emp_id")
+    a = spark.range(30).selectExpr("id % 3 AS van_number", "id AS emp_id", "id * 30000 AS s", "id * 30000 + if(id < 3, 4000000000, 20000 + id) AS e", "true AS is_active")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = changes.assign_by_time_range(m, a, at="at", start="s", end="e")
+        rows = done.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    held = lambda r: [i for i in range(30) if i % 3 == r["van_number"] and i * 30000 <= r["at"] <= i * 30000 + (4000000000 if i < 3 else 20000 + i)]
+    assert len(rows) == 30_000 and all(r["emp_id"] == max(held(r), default=-1) for r in rows)
+    assert shuffled(done) < 4 * len(rows)
+
+
+def shuffled(df) -> int:
+    """Rows written by the shuffles of the executed plan."""
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        own = node.metrics().get("shuffleRecordsWritten").get().value() if kind == "ShuffleExchangeExec" else 0
+        return own + sum(walk(node.children().apply(i)) for i in range(node.children().size()))
+    return walk(df._jdf.queryExecution().executedPlan())
