@@ -18,8 +18,8 @@ NOTES = {
                    "dimension); the dense grid is the Generate at the top, after the last exchange.",
     "p10_assign_mileage_by_date_range": "Allocations are expanded to days and reduced to one winner per (van, day); "
                                         "mileage joins on (van, day) with at most one partner.",
-    "p16_project_skeleton": "Sites explode into (scope, value) keys and probe the broadcast project keys; sites are "
-                            "never shuffled; the listed-sites branch is a plain explode.",
+    "p16_project_skeleton": "Sites and projects explode into (scope, value) keys, whose pairs are made in cells "
+                            "(`join_in_cells`); the listed-sites branch is a plain explode.",
     "p19_job_master_post_image": "Runs join the broadcast job master; per-job state is a max_by aggregate with a "
                                  "partial step, then a broadcast join back to the master.",
     "p21_schema_diff_columns": "The table-presence aggregate is computed once and reused; semi-joins are broadcasts; "
