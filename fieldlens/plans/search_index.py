@@ -151,7 +151,8 @@ def search_many(searches: DataFrame, hires: DataFrame, employees: DataFrame, ind
     all that is tested and returned, once under each gram and set of filters asked
     with it that it meets.  A search finds a hire by the first of its terms that the
     hire holds, which the pair itself tells; so pairs of searches and hires, many times
-    the tables, are neither moved nor made distinct."""
+    the tables, are neither moved nor made distinct.  Searches that ask the same of a
+    hire meet it as one array of their ids (``gather``): it is tested once for them."""
     index = build_index(searchable(hires, employees)) if index is None else index
     asked = _asked(searches, index)
     keys = asked.groupBy("key").agg(F.max("n").alias("n"), F.max("t").alias("t")).withColumn("gram", F.col("key.gram"))
@@ -164,5 +165,5 @@ def search_many(searches: DataFrame, hires: DataFrame, employees: DataFrame, ind
     holds = lambda p: (f"CASE WHEN {p}pattern IS NULL THEN true WHEN NOT coalesce(contains(low, {p}piece), false) THEN false "
                        f"WHEN {p}needle IS NOT NULL THEN true ELSE exists(lows, x -> x LIKE {p}pattern) END")
     first = f"size(earlier) = 0 OR NOT exists(earlier, e -> {holds('e.')})"
-    return join_in_cells(asked, kept, ["key"], "t", "n").where(f"({holds('')}) AND ({first})").select(
-        "search_id", F.col("id").alias("emp_id"), "emp_full_name", "emp_manager_id", "manager_name")
+    met = join_in_cells(kept, asked, ["key"], "n", "t", gather="search_id").where(f"({holds('')}) AND ({first})")
+    return met.select(F.explode("search_id").alias("search_id"), F.col("id").alias("emp_id"), "emp_full_name", "emp_manager_id", "manager_name")

@@ -1,9 +1,11 @@
 """Trigram search against P6's scan, a regular-expression ILIKE, and the postings it reads."""
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from test_cells import rows_of_joins
 
 from fieldlens.plans import search, search_index
 
@@ -112,6 +114,22 @@ def test_pairs_are_not_moved(spark):
     assert shuffled(found) < len(rows)
 
 
+def test_searches_that_ask_the_same_are_tested_at_once(spark):
+    """The joins make a row for a hire and what is asked of it, not for each search; a search that comes twice finds twice."""
+    hires = spark.range(300).selectExpr("id", "concat('R', id) AS req_num", "'Open' AS req_status", "'Joined' AS hire_status", "'Z' AS zone",
+                                        "id % 5 AS old_emp_id", "id % 5 AS manager_id")
+    emps = spark.range(5).selectExpr("id", "'Ann' AS first_name", "concat('L', id) AS last_name")
+    searches = spark.range(200).selectExpr("id div 2 * 2 AS search_id", "CASE id div 2 % 3 WHEN 0 THEN 'r ann  l_' WHEN 1 THEN '' ELSE 'R1' END AS search_text",
+                                           "'Open' AS pos_status", "cast(null AS string) AS join_status", "cast(null AS string) AS zone")
+    found = search_index.search_many(searches, hires, emps)
+    counts = Counter(tuple(r) for r in found.select("search_id", "emp_id").collect())
+    ones = [i for i in range(300) if f"R{i}".startswith("R1")]
+    assert counts == {(2 * s, i): 2 for s in range(100) for i in (ones if s % 3 == 2 else range(300))}
+    rows = found.groupBy().count()
+    assert rows.first()[0] == 2 * (67 * 300 + 33 * len(ones))
+    assert rows_of_joins(rows) < 12_000
+
+
 def shuffled(df) -> int:
     """Rows written by the shuffles of the executed plan."""
     def walk(node):
